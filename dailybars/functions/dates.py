@@ -13,7 +13,7 @@ from ..config import DATE_FORMAT
 def parse_date(c: Column, fmt: str = DATE_FORMAT, strict: bool = True) -> Column:
     """Text to DateType. ``strict`` raises on a malformed value (under ANSI),
     otherwise the value becomes NULL."""
-    return F.to_date(c, fmt) if strict else F.try_to_date(c, F.lit(fmt))
+    return F.to_date(c, fmt) if strict else F.try_to_date(c, fmt)
 
 
 def format_date(c: Column, fmt: str = DATE_FORMAT) -> Column:

@@ -53,9 +53,11 @@ def volume_expr(volume: str) -> Column:
     return F.coalesce(F.sum(F.col(volume)), F.lit(0)).cast("long")
 
 
-def _group(ticks: DataFrame, src: SourceColumns, trg: ReportColumns):
-    return prepare_ticks(ticks, src).groupBy(
-        F.col(src.isin).alias(trg.isin), F.col(src.date).alias(trg.date))
+def _group(ticks: DataFrame, src: SourceColumns, trg: ReportColumns, ordered: bool = True):
+    """Group by (ISIN, Date) under report names; ``ordered`` adds the time
+    key that open and close need."""
+    rows = prepare_ticks(ticks, src) if ordered else ticks.na.drop(subset=[src.isin, src.date])
+    return rows.groupBy(F.col(src.isin).alias(trg.isin), F.col(src.date).alias(trg.date))
 
 
 def daily_ohlcv(ticks: DataFrame, src: SourceColumns = SourceColumns(),
@@ -86,17 +88,18 @@ def closing_price(ticks: DataFrame, src: SourceColumns = SourceColumns(),
 
 def daily_low(ticks: DataFrame, src: SourceColumns = SourceColumns(),
               trg: ReportColumns = ReportColumns()) -> DataFrame:
-    return _group(ticks, src, trg).agg(F.min(src.min_price).alias(trg.minimum))
+    return _group(ticks, src, trg, False).agg(F.min(src.min_price).alias(trg.minimum))
 
 
 def daily_high(ticks: DataFrame, src: SourceColumns = SourceColumns(),
                trg: ReportColumns = ReportColumns()) -> DataFrame:
-    return _group(ticks, src, trg).agg(F.max(src.max_price).alias(trg.maximum))
+    return _group(ticks, src, trg, False).agg(F.max(src.max_price).alias(trg.maximum))
 
 
 def daily_volume(ticks: DataFrame, src: SourceColumns = SourceColumns(),
                  trg: ReportColumns = ReportColumns()) -> DataFrame:
-    return _group(ticks, src, trg).agg(volume_expr(src.traded_volume).alias(trg.volume))
+    return _group(ticks, src, trg, False).agg(
+        volume_expr(src.traded_volume).alias(trg.volume))
 
 
 def first_date(dates: DataFrame, column: str, alias: str = "first_date") -> DataFrame:

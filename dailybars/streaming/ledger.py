@@ -107,7 +107,7 @@ def ledger_days(ledger: DataFrame, column: str = LEDGER_DATE_COL) -> DataFrame:
     """The recorded dates as DateType in column ``day``; a malformed date
     fails the job (it would be silently skipped otherwise)."""
     text = F.col(column)
-    parsed = F.try_to_date(text, F.lit(DATE_FORMAT))
+    parsed = F.try_to_date(text, DATE_FORMAT)
     checked = F.when(text.isNotNull() & parsed.isNull(), F.raise_error(
         F.concat(F.lit("malformed date in ledger: "), text))).otherwise(parsed)
     return ledger.select(checked.alias("day"))
