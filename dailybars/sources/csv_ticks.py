@@ -30,7 +30,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import NA_WORDS, SourceColumns
-from ..errors import CsvLayoutError
 from ..functions import nan_to_null
 
 _CORRUPT = "_corrupt_record"
@@ -89,27 +88,32 @@ def _typed(raw: DataFrame, columns: Sequence[str], types: Mapping[str, T.DataTyp
     """Missing words to NULL, cast by name, fail on rows with extra fields."""
     na = list(NA_WORDS)
 
+    # A corrupt row is short (trailing fields NULL, allowed) or long (an extra
+    # field exists); re-parse only corrupt rows with one more column.
+    wide = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(columns) + 1)])
+    extra = F.from_csv(F.col(_CORRUPT), wide.simpleString(), {"sep": sep})[f"c{len(columns)}"]
+    too_long = F.col(_CORRUPT).isNotNull() & extra.isNotNull()
+    error = F.raise_error(F.concat(
+        F.lit("CSV row has more fields than the header: "), F.col(_CORRUPT)))
+
     def clean(c: str) -> Column:
         text = F.col(f"`{c}`")
         text = F.when(text.isin(na), F.lit(None)).otherwise(text)
         data_type = types.get(c, T.StringType())
         if isinstance(data_type, T.StringType):
-            return text.alias(c)
-        if isinstance(data_type, T.DateType):
-            return F.to_date(text).alias(c)
-        if isinstance(data_type, (T.DoubleType, T.FloatType)):
-            return nan_to_null(text.cast(data_type)).alias(c)
-        return text.cast(data_type).alias(c)
+            value = text
+        elif isinstance(data_type, T.DateType):
+            value = F.to_date(text)
+        elif isinstance(data_type, (T.DoubleType, T.FloatType)):
+            value = nan_to_null(text.cast(data_type))
+        else:
+            value = text.cast(data_type)
+        # The guard sits in every column (evaluated once per row by common
+        # subexpression elimination): a filter on the corrupt-record column
+        # alone is not allowed, and an unused column would be pruned.
+        return F.when(too_long, error).otherwise(value).alias(c)
 
-    # A corrupt row is short (trailing fields NULL, allowed) or long (an extra
-    # field exists); re-parse only corrupt rows with one more column.
-    wide = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(columns) + 1)])
-    extra = F.from_csv(F.col(_CORRUPT), wide.simpleString(), {"sep": sep})[f"c{len(columns)}"]
-    too_long = F.col(_CORRUPT).isNotNull() & extra.isNotNull()
-    guard = F.when(too_long, F.raise_error(F.concat(
-        F.lit("CSV row has more fields than the header: "), F.col(_CORRUPT))))
-    checked = raw.withColumn(_CORRUPT, F.coalesce(guard, F.col(_CORRUPT)))
-    return checked.select(*[clean(c) for c in columns])
+    return raw.select(*[clean(c) for c in columns])
 
 
 def _scan(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str],
@@ -180,27 +184,42 @@ def read_ticks_csv(spark: SparkSession, root: str, dates: Sequence[dt.date] | No
     return df
 
 
-def _read_by_name(spark: SparkSession, glob: str, types: Mapping[str, T.DataType],
-                  encoding: str, sep: str, multi_line: bool) -> DataFrame | None:
+def csv_layouts(spark: SparkSession, paths: str, encoding: str = "utf-8",
+                sep: str = ",") -> dict[tuple[str, ...], list[str]] | None:
+    """Header layout -> files with that header; None when nothing matches.
+
+    The (path, header) pairs are file metadata, the same list Spark's file
+    index keeps on the driver for any file scan."""
+    import csv
     try:
-        headers = file_headers(spark, glob, encoding)
-        # The (path, header) list is file metadata, the same list Spark's file
-        # index keeps on the driver for any file scan.
-        pairs = headers.collect()
+        pairs = file_headers(spark, paths, encoding).collect()
     except AnalysisException as err:
         if _is_missing_path(err):
             return None
         raise
     if not pairs:
         return None
-    layouts: dict[str, list[str]] = {}
+    layouts: dict[tuple[str, ...], list[str]] = {}
     for row in pairs:
-        layouts.setdefault(row["header"], []).append(row["path"])
-    frames = []
-    for paths in layouts.values():
-        cols = header_of(spark, paths[:1], encoding, sep)
-        if cols is None:
-            raise CsvLayoutError(f"cannot read header of {paths[0]}")
-        frames.append(_scan(spark, paths, cols, types, encoding, sep, multi_line))
+        columns = tuple(next(csv.reader([row["header"]], delimiter=sep)))
+        layouts.setdefault(columns, []).append(row["path"])
+    return layouts
+
+
+def read_csv_by_name(spark: SparkSession, paths: str, types: Mapping[str, T.DataType],
+                     encoding: str = "utf-8", sep: str = ",", multi_line: bool = False,
+                     layouts: dict[tuple[str, ...], list[str]] | None = None
+                     ) -> DataFrame | None:
+    """One scan per header layout, unioned by column name."""
+    layouts = layouts if layouts is not None else csv_layouts(spark, paths, encoding, sep)
+    if not layouts:
+        return None
+    frames = [_scan(spark, files, list(cols), types, encoding, sep, multi_line)
+              for cols, files in layouts.items()]
     from ..operators import union_by_name
     return union_by_name(frames)
+
+
+def _read_by_name(spark: SparkSession, glob: str, types: Mapping[str, T.DataType],
+                  encoding: str, sep: str, multi_line: bool) -> DataFrame | None:
+    return read_csv_by_name(spark, glob, types, encoding, sep, multi_line)

@@ -24,7 +24,6 @@ import datetime as dt
 import logging
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +32,7 @@ from ..config import (DATE_FORMAT, LEDGER_DATE_COL, LEDGER_TIME_COL, NOTHING_TO_
 from ..errors import WrongLedgerError
 from ..functions import date_series
 from ..operators import missing_dates
+from ..sources.csv_ticks import csv_layouts, read_csv_by_name
 
 log = logging.getLogger(__name__)
 
@@ -70,18 +70,15 @@ def nothing_to_do(end: dt.date) -> DatePlan:
     return DatePlan(NOTHING_TO_DO_DATE, NOTHING_TO_DO_DATE, end)
 
 
-def _missing(err: AnalysisException) -> bool:
-    return "PATH_NOT_FOUND" in str(err) or "Path does not exist" in str(err)
+def _layouts(spark: SparkSession, path: str) -> dict | None:
+    return csv_layouts(spark, path)
 
 
-def ledger_columns(spark: SparkSession, path: str) -> list[str] | None:
-    """Header of the ledger, or None when there is no ledger yet."""
-    try:
-        return spark.read.option("header", True).csv(path).columns
-    except AnalysisException as err:
-        if _missing(err):
-            return None
-        raise
+def ledger_columns(spark: SparkSession, path: str) -> list[list[str]] | None:
+    """The header of every ledger part file (distinct), or None when there is
+    no ledger yet."""
+    layouts = _layouts(spark, path)
+    return None if layouts is None else [list(cols) for cols in layouts]
 
 
 def check_ledger_columns(columns: list[str]) -> None:
@@ -91,16 +88,15 @@ def check_ledger_columns(columns: list[str]) -> None:
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame | None:
-    """The ledger rows (as text), or None when there is no ledger yet."""
-    columns = ledger_columns(spark, path)
-    if columns is None:
+    """The ledger rows (as text), or None when there is no ledger yet. Part
+    files are aligned by column name, whatever their column order."""
+    layouts = _layouts(spark, path)
+    if layouts is None:
         return None
-    if LEDGER_DATE_COL not in columns:
-        raise WrongLedgerError(f"ledger at {path} has no {LEDGER_DATE_COL} column")
-    # Read with the file's own column order, then select by name.
-    schema = ", ".join(f"`{c}` string" for c in columns)
-    return (spark.read.option("header", True).option("enforceSchema", False)
-            .schema(schema).csv(path))
+    for cols in layouts:
+        if LEDGER_DATE_COL not in cols:
+            raise WrongLedgerError(f"ledger at {path} has no {LEDGER_DATE_COL} column")
+    return read_csv_by_name(spark, path, {}, layouts=layouts)
 
 
 def ledger_days(ledger: DataFrame, column: str = LEDGER_DATE_COL) -> DataFrame:
@@ -171,8 +167,7 @@ def union_ledger(old: DataFrame, new: DataFrame) -> DataFrame:
 def append_ledger(spark: SparkSession, path: str, rows: DataFrame) -> bool:
     """Append ledger rows; the existing ledger's columns are checked first.
     Nothing is written when there are no rows. Returns whether it wrote."""
-    existing = ledger_columns(spark, path)
-    if existing is not None:
+    for existing in ledger_columns(spark, path) or []:
         check_ledger_columns(existing)
     rows = rows.select(*LEDGER_COLUMNS)
     if rows.isEmpty():

@@ -1,0 +1,121 @@
+"""End to end: plan -> extract -> transform -> load, and reruns."""
+
+import datetime as dt
+import glob
+import os
+
+from conftest import REPORT, TICKS, write_golden_files
+from dailybars.config import JobConfig
+from dailybars.plans.job import ReportJob, main
+from dailybars.sources.files import read_csv_table, read_parquet
+from dailybars.streaming.ledger import read_ledger
+
+END = dt.date(2022, 3, 20)
+NOW = dt.datetime(2022, 3, 20, 18, 0, 0)
+
+
+def shifted(rows):
+    """The golden ticks moved from April 2021 to March 2022 (04-19 -> 03-19)."""
+    return [r[:2] + (r[2].replace("2021-04", "2022-03"),) + r[3:] for r in rows]
+
+
+def shifted_report():
+    return [r[:1] + (r[1].replace(year=2022, month=3),) + r[2:] for r in REPORT]
+
+
+def config(tmp, **kw):
+    base = dict(source_root=f"{tmp}/src", target_root=f"{tmp}/trg",
+                ledger_path=f"{tmp}/trg/meta", first_extract_date=dt.date(2022, 3, 17),
+                end_date=END)
+    base.update(kw)
+    return JobConfig(**base)
+
+
+def ledger_dates(spark, path):
+    return sorted(r["source_date"] for r in read_ledger(spark, path).collect())
+
+
+def test_first_run_without_ledger(spark, tmp):
+    write_golden_files(f"{tmp}/src", shifted(TICKS))
+    cfg = config(tmp)
+    job = ReportJob(spark, cfg, NOW)
+    assert job.plan.extract_date == dt.date(2022, 3, 17)
+    path = job.run()
+    assert path == f"{tmp}/trg/report1/daily_report_20220320T180000.parquet"
+    got = [tuple(r) for r in read_parquet(spark, path).collect()]
+    assert got == shifted_report()          # written in (ISIN, Date) order
+    # The end date has no files but is recorded.
+    assert ledger_dates(spark, cfg.ledger_path) == ["2022-03-17", "2022-03-18", "2022-03-19",
+                                                    "2022-03-20"]
+
+
+def test_rerun_with_complete_ledger_does_nothing(spark, tmp):
+    write_golden_files(f"{tmp}/src", shifted(TICKS))
+    cfg = config(tmp)
+    ReportJob(spark, cfg, NOW).run()
+    again = ReportJob(spark, cfg, NOW + dt.timedelta(hours=1))
+    assert again.plan.extract_date == dt.date(2200, 1, 1)
+    assert again.run() is None
+    assert len(glob.glob(f"{tmp}/trg/report1/*")) == 1
+    assert len(ledger_dates(spark, cfg.ledger_path)) == 4
+
+
+def test_rerun_after_gap_reports_from_gap(spark, tmp):
+    write_golden_files(f"{tmp}/src", shifted(TICKS))
+    os.makedirs(f"{tmp}/trg/meta")
+    with open(f"{tmp}/trg/meta/part-00000.csv", "w") as fh:
+        fh.write("source_date,datetime_of_processing\n")
+        for day in ("2022-03-17", "2022-03-19", "2022-03-20"):
+            fh.write(f"{day},2022-03-20 10:00:00\n")
+    cfg = config(tmp)
+    job = ReportJob(spark, cfg, NOW)
+    assert job.plan.extract_date == dt.date(2022, 3, 18)
+    assert job.plan.dates[0] == dt.date(2022, 3, 17)
+    got = [tuple(r) for r in read_parquet(spark, job.run()).collect()]
+    assert got == shifted_report()[1:]      # the change of 03-18 uses 03-17
+    assert ledger_dates(spark, cfg.ledger_path).count("2022-03-19") == 2
+
+
+def test_extract_without_files_writes_no_report_but_records(spark, tmp):
+    os.makedirs(f"{tmp}/src")
+    cfg = config(tmp)
+    assert ReportJob(spark, cfg, NOW).run() is None
+    assert not os.path.exists(f"{tmp}/trg/report1")
+    assert len(ledger_dates(spark, cfg.ledger_path)) == 4
+
+
+def test_csv_report_and_closing_basis(spark, tmp):
+    write_golden_files(f"{tmp}/src", shifted(TICKS))
+    cfg = config(tmp, report_format="csv", change_basis="closing")
+    path = ReportJob(spark, cfg, NOW).run()
+    schema = ("ISIN string, Date date, OpeningPriceEur double, ClosingPriceEur double, "
+              "MinimumPriceEur double, MaximumPriceEur double, DailyTradedVolume bigint, "
+              "`ChangePrevClosing%` double")
+    got = [r["ChangePrevClosing%"] for r in read_csv_table(spark, path, schema).orderBy("Date").collect()]
+    assert got == [0.0, 5.47, 25.69]
+
+
+def test_by_date_mode_is_idempotent(spark, tmp):
+    write_golden_files(f"{tmp}/src", shifted(TICKS))
+    cfg = config(tmp, write_mode="by_date")
+    ReportJob(spark, cfg, NOW).run()
+    # Forget the ledger's 03-19: the rerun rewrites that day, not duplicates it.
+    cfg2 = config(tmp, write_mode="by_date", ledger_path=f"{tmp}/other-meta")
+    ReportJob(spark, cfg2, NOW).run()
+    back = read_parquet(spark, f"{tmp}/trg/report1/daily_report")
+    assert back.count() == 3
+
+
+def test_wrong_format_fails_before_any_work(spark, tmp):
+    import pytest
+    from dailybars.errors import WrongFormatError
+    with pytest.raises(WrongFormatError):
+        ReportJob(spark, config(tmp, report_format="xlsx"), NOW)
+
+
+def test_main_cli(spark, tmp):
+    write_golden_files(f"{tmp}/src", shifted(TICKS))
+    path = main(["--source-root", f"{tmp}/src", "--target-root", f"{tmp}/trg",
+                 "--ledger-path", f"{tmp}/trg/meta", "--first-extract-date", "2022-03-17",
+                 "--end-date", "2022-03-20"])
+    assert [tuple(r) for r in read_parquet(spark, path).collect()] == shifted_report()
