@@ -18,18 +18,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import ReportColumns, SourceColumns
+from ..config import JobConfig, ReportColumns, SourceColumns
 from ..functions import date_series_col, format_date, parse_date, pct_change, round_half_even
 from ..operators import (add_change, closing_price, daily_high, daily_low, daily_ohlcv,
                          daily_volume, first_date, opening_price, project, sort_globally,
                          ticks_with_open_close)
 from ..session import scratch_dir
+from ..sinks import write_table
 from ..sources.csv_ticks import read_ticks_csv
 from ..sources.files import read_csv_table, read_parquet
 from ..sources.tables import event_ticks, event_ticks_text_time, read_table
-from ..streaming.ledger import (DatePlan, ledger_days, ledger_rows, missing_days,
-                                plan_frame, union_ledger)
-from .report import daily_report, round_floats
+from ..streaming.ledger import (DatePlan, append_ledger, ledger_days, ledger_rows,
+                                missing_days, plan_frame, read_ledger, union_ledger)
+from .job import ReportJob
+from .report import daily_report, report_schema, round_floats
 
 SRC = SourceColumns()
 TRG = ReportColumns()
@@ -128,14 +130,13 @@ def q_extract_dates(spark, sf):
 
 def q_read_report(spark, sf):
     def build(path):
-        daily_report(event_ticks(spark, sf), FIRST_DATE).write.parquet(path)
+        write_table(daily_report(event_ticks(spark, sf), FIRST_DATE), path, "parquet")
     return read_parquet(spark, _derived(spark, ("report-parquet", sf), build))
 
 
 def q_read_report_csv(spark, sf):
     def build(path):
-        (daily_report(event_ticks(spark, sf), FIRST_DATE).write.option("header", True)
-         .csv(path))
+        write_table(daily_report(event_ticks(spark, sf), FIRST_DATE), path, "csv")
     schema = ("ISIN string, Date date, OpeningPriceEur double, ClosingPriceEur double, "
               "MinimumPriceEur double, MaximumPriceEur double, DailyTradedVolume bigint, "
               "`ChangePrevClosing%` double")
@@ -260,6 +261,33 @@ def q_ledger_days(spark, sf):
     return ledger_days(busy_day_ledger(spark, sf))
 
 
+def ledger_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The busy-day ledger written as a ledger folder (CSV part files)."""
+    def build(path):
+        append_ledger(spark, path, busy_day_ledger(spark, sf_dir))
+    return _derived(spark, ("ledger", sf_dir), build)
+
+
+def q_ledger_scan(spark, sf):
+    return read_ledger(spark, ledger_folder(spark, sf))
+
+
+def q_etl_job(spark, sf):
+    """The whole job on derived data: plan from a ledger with gaps, extract
+    the CSV tick files of the planned dates, report, write, record. Returns
+    the written report. Each call runs in fresh folders (the job appends)."""
+    ledger = scratch_dir(spark, "etl-ledger")
+    append_ledger(spark, ledger, busy_day_ledger(spark, sf))
+    cfg = JobConfig(source_root=tick_csv_root(spark, sf),
+                    target_root=scratch_dir(spark, "etl-target"), ledger_path=ledger,
+                    first_extract_date=FIRST_DATE, end_date=END_DATE,
+                    date_dir="day={date}")
+    path = ReportJob(spark, cfg, THIS_RUN).run()
+    if path is None:
+        return spark.createDataFrame([], report_schema(TRG))
+    return read_parquet(spark, path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_report": q_daily_report,
     "scan_ticks": q_scan_ticks,
@@ -283,6 +311,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ledger_missing_dates": q_ledger_missing_dates,
     "ledger_first_gap": q_ledger_first_gap,
     "ledger_days": q_ledger_days,
+    "ledger_scan": q_ledger_scan,
+    "etl_job": q_etl_job,
     "plan_dates": q_plan_dates,
     "ledger_dates_to_record": q_ledger_dates_to_record,
     "round_half_even": q_round_half_even,

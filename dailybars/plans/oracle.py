@@ -140,6 +140,23 @@ SELECT strftime(day, '%Y-%m-%d'), '2024-01-31 06:00:00' FROM plan WHERE day >= e
     "ledger_first_gap": f"WITH {LEDGER} SELECT min(day) AS first_gap FROM missing",
     "ledger_days": f"WITH {LEDGER} SELECT CAST(source_date AS DATE) AS day FROM ledger",
     "plan_dates": f"WITH {LEDGER} SELECT day, extract_date FROM plan",
+    "ledger_scan": f"WITH {LEDGER} SELECT source_date, datetime_of_processing FROM ledger",
+    "etl_job": f"""WITH {TICKS}, {LEDGER},
+gap AS (SELECT min(day) AS g FROM missing),
+read AS (SELECT * FROM ticks
+         WHERE "Date" >= (SELECT g FROM gap) - INTERVAL 1 DAY AND "Date" <= DATE '2024-01-30'),
+day AS (
+  SELECT "ISIN", "Date",
+         arg_min("StartPrice", "Time") AS o, arg_max("StartPrice", "Time") AS c,
+         min("MinPrice") AS lo, max("MaxPrice") AS hi,
+         CAST(coalesce(sum("TradedVolume"), 0) AS BIGINT) AS vol
+  FROM read GROUP BY "ISIN", "Date"),
+w AS (SELECT *, lag(o) OVER (PARTITION BY "ISIN" ORDER BY "Date") AS prev FROM day)
+SELECT "ISIN", "Date",
+       {_round('o')} AS "OpeningPriceEur", {_round('c')} AS "ClosingPriceEur",
+       {_round('lo')} AS "MinimumPriceEur", {_round('hi')} AS "MaximumPriceEur",
+       vol AS "DailyTradedVolume", {_change('o', 'prev')} AS "ChangePrevClosing%"
+FROM w WHERE "Date" >= (SELECT g FROM gap)""",
     "ledger_dates_to_record": f"""WITH {LEDGER}
 SELECT strftime(day, '%Y-%m-%d') AS source_date,
        '2024-01-31 06:00:00' AS datetime_of_processing

@@ -18,12 +18,22 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import ReportColumns, SourceColumns
 from ..functions import round_half_even
 from ..operators import add_change, daily_ohlcv, from_date, range_cluster
 
 
+def report_schema(trg: ReportColumns = ReportColumns()) -> T.StructType:
+    double = T.DoubleType()
+    return T.StructType([
+        T.StructField(trg.isin, T.StringType()), T.StructField(trg.date, T.DateType()),
+        T.StructField(trg.opening, double), T.StructField(trg.closing, double),
+        T.StructField(trg.minimum, double), T.StructField(trg.maximum, double),
+        T.StructField(trg.volume, T.LongType()), T.StructField(trg.change, double)])
+
+
 def round_floats(df: DataFrame, columns: Sequence[str], decimals: int = 2) -> DataFrame:
     return df.withColumns({c: round_half_even(F.col(f"`{c}`"), decimals) for c in columns})
 

@@ -1,0 +1,32 @@
+"""The driver contract: entry, queries, oracle SQL."""
+
+import duckdb
+
+import __spark_entry__ as entry
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_entry_runs_on_smoke_data(spark):
+    df = entry.entry(spark)
+    assert df.columns == ["ISIN", "Date", "OpeningPriceEur", "ClosingPriceEur",
+                          "MinimumPriceEur", "MaximumPriceEur", "DailyTradedVolume",
+                          "ChangePrevClosing%"]
+    assert df.count() > 0
+
+
+def test_every_query_has_oracle_sql():
+    assert set(entry.queries()) == set(entry.oracle_sql())
+
+
+def test_queries_match_oracle_on_smoke_data(spark):
+    con = duckdb.connect()
+    for t in ("events", "lineitem"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    sql = entry.oracle_sql()
+    for name in ("daily_report", "plan_dates", "ledger_missing_dates", "pct_change",
+                 "date_series", "union_ticks"):
+        df = entry.queries()[name](spark, SF)
+        res = con.sql(sql[name])
+        assert sorted(df.columns) == sorted(res.columns), name
+        assert df.count() == len(res.fetchall()), name
