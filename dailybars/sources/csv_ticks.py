@@ -50,22 +50,35 @@ def tick_schema(columns: Sequence[str], types: Mapping[str, T.DataType]) -> T.St
                          for c in columns])
 
 
-def date_glob(root: str, dates: Sequence[dt.date] | None, date_dir: str = "{date}",
-              file_glob: str = "*.csv") -> str:
-    """``root/{d1,d2,..}/*.csv``. A folder named like a date plus a suffix
-    (``2021-04-170``) does not match, unlike a plain string prefix."""
+def date_folders(root: str, dates: Sequence[dt.date] | None, date_dir: str = "{date}") -> str:
+    """Glob of the date folders: ``root/{d1,d2,..}``. A folder named like a
+    date plus a suffix (``2021-04-170``) does not match, unlike a plain
+    string prefix.
+
+    The glob names folders, not files: it resolves with one listing of
+    ``root``, and Spark's file index then lists the matched folders in
+    parallel (a distributed job beyond a few dozen folders). Files are
+    selected with ``pathGlobFilter``."""
     if dates is None:
         folder = date_dir.format(date="*")
     else:
         names = sorted({d.isoformat() for d in dates})
         folder = date_dir.format(date="{" + ",".join(names) + "}")
-    return f"{root.rstrip('/')}/{folder}/{file_glob}"
+    return f"{root.rstrip('/')}/{folder}"
+
+
+def date_glob(root: str, dates: Sequence[dt.date] | None, date_dir: str = "{date}",
+              file_glob: str = "*.csv") -> str:
+    """Glob of the files themselves (for listings)."""
+    return f"{date_folders(root, dates, date_dir)}/{file_glob}"
 
 
-def _reader(spark: SparkSession, encoding: str, sep: str, multi_line: bool):
-    return (spark.read.option("header", True).option("encoding", encoding)
-            .option("sep", sep).option("multiLine", multi_line)
-            .option("quote", '"').option("escape", '"'))
+def _reader(spark: SparkSession, encoding: str, sep: str, multi_line: bool,
+            file_glob: str | None = None):
+    reader = (spark.read.option("header", True).option("encoding", encoding)
+              .option("sep", sep).option("multiLine", multi_line)
+              .option("quote", '"').option("escape", '"'))
+    return reader.option("pathGlobFilter", file_glob) if file_glob else reader
 
 
 def _is_missing_path(err: AnalysisException) -> bool:
@@ -73,10 +86,10 @@ def _is_missing_path(err: AnalysisException) -> bool:
 
 
 def header_of(spark: SparkSession, paths: str | Sequence[str], encoding: str = "utf-8",
-              sep: str = ",") -> list[str] | None:
+              sep: str = ",", file_glob: str | None = None) -> list[str] | None:
     """Column names from the header line of the first file (reads one line)."""
     try:
-        return _reader(spark, encoding, sep, False).csv(paths).columns
+        return _reader(spark, encoding, sep, False, file_glob).csv(paths).columns
     except AnalysisException as err:
         if _is_missing_path(err):
             return None
@@ -118,11 +131,11 @@ def _typed(raw: DataFrame, columns: Sequence[str], types: Mapping[str, T.DataTyp
 
 def _scan(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str],
           types: Mapping[str, T.DataType], encoding: str, sep: str,
-          multi_line: bool) -> DataFrame:
+          multi_line: bool, file_glob: str | None = None) -> DataFrame:
     text_schema = T.StructType(
         [T.StructField(c, T.StringType(), True) for c in columns]
         + [T.StructField(_CORRUPT, T.StringType(), True)])
-    raw = (_reader(spark, encoding, sep, multi_line)
+    raw = (_reader(spark, encoding, sep, multi_line, file_glob)
            .option("enforceSchema", False).option("mode", "PERMISSIVE")
            .option("columnNameOfCorruptRecord", _CORRUPT)
            .schema(text_schema).csv(paths))
@@ -134,10 +147,14 @@ def empty_ticks(spark: SparkSession, columns: Sequence[str],
     return spark.createDataFrame([], tick_schema(columns, types))
 
 
-def file_headers(spark: SparkSession, glob: str, encoding: str = "utf-8") -> DataFrame:
+def file_headers(spark: SparkSession, paths: str, encoding: str = "utf-8",
+                 file_glob: str | None = None) -> DataFrame:
     """(path, header) for every file: the first line of each file's first
     split, found in one distributed pass (no file is opened on the driver)."""
-    lines = (spark.read.option("encoding", encoding).text(glob)
+    reader = spark.read.option("encoding", encoding)
+    if file_glob:
+        reader = reader.option("pathGlobFilter", file_glob)
+    lines = (reader.text(paths)
              .select(F.col("_metadata.file_path").alias("path"),
                      F.col("_metadata.file_block_start").alias("block"),
                      F.monotonically_increasing_id().alias("pos"), "value"))
@@ -158,17 +175,18 @@ def read_ticks_csv(spark: SparkSession, root: str, dates: Sequence[dt.date] | No
     ``with_source_date`` adds ``source_date``, the date in the file's folder.
     """
     types = dict(types) if types is not None else tick_types(src)
-    glob = date_glob(root, dates, date_dir, file_glob)
+    folders = date_folders(root, dates, date_dir)
     if by_name:
-        df = _read_by_name(spark, glob, types, encoding, sep, multi_line)
+        df = read_csv_by_name(spark, folders, types, encoding, sep, multi_line,
+                              file_glob=file_glob)
     else:
         if columns is None:
-            columns = header_of(spark, glob, encoding, sep)
+            columns = header_of(spark, folders, encoding, sep, file_glob)
         if columns is None:
             df = None
         else:
             try:
-                df = _scan(spark, glob, columns, types, encoding, sep, multi_line)
+                df = _scan(spark, folders, columns, types, encoding, sep, multi_line, file_glob)
             except AnalysisException as err:
                 if not _is_missing_path(err):
                     raise
@@ -185,14 +203,15 @@ def read_ticks_csv(spark: SparkSession, root: str, dates: Sequence[dt.date] | No
 
 
 def csv_layouts(spark: SparkSession, paths: str, encoding: str = "utf-8",
-                sep: str = ",") -> dict[tuple[str, ...], list[str]] | None:
+                sep: str = ",", file_glob: str | None = None
+                ) -> dict[tuple[str, ...], list[str]] | None:
     """Header layout -> files with that header; None when nothing matches.
 
     The (path, header) pairs are file metadata, the same list Spark's file
     index keeps on the driver for any file scan."""
     import csv
     try:
-        pairs = file_headers(spark, paths, encoding).collect()
+        pairs = file_headers(spark, paths, encoding, file_glob).collect()
     except AnalysisException as err:
         if _is_missing_path(err):
             return None
@@ -208,18 +227,14 @@ def csv_layouts(spark: SparkSession, paths: str, encoding: str = "utf-8",
 
 def read_csv_by_name(spark: SparkSession, paths: str, types: Mapping[str, T.DataType],
                      encoding: str = "utf-8", sep: str = ",", multi_line: bool = False,
-                     layouts: dict[tuple[str, ...], list[str]] | None = None
-                     ) -> DataFrame | None:
+                     layouts: dict[tuple[str, ...], list[str]] | None = None,
+                     file_glob: str | None = None) -> DataFrame | None:
     """One scan per header layout, unioned by column name."""
-    layouts = layouts if layouts is not None else csv_layouts(spark, paths, encoding, sep)
+    if layouts is None:
+        layouts = csv_layouts(spark, paths, encoding, sep, file_glob)
     if not layouts:
         return None
     frames = [_scan(spark, files, list(cols), types, encoding, sep, multi_line)
               for cols, files in layouts.items()]
     from ..operators import union_by_name
     return union_by_name(frames)
-
-
-def _read_by_name(spark: SparkSession, glob: str, types: Mapping[str, T.DataType],
-                  encoding: str, sep: str, multi_line: bool) -> DataFrame | None:
-    return read_csv_by_name(spark, glob, types, encoding, sep, multi_line)
