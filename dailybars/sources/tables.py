@@ -23,6 +23,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# props is almost always exactly {"k": <integer>}: then an anchored pattern
+# reads k without a JSON parser (about 2 us per row cheaper); any other shape
+# falls through to the JSON path (coalesce evaluates it only when needed).
+_K_ONLY = r'^\{\s*"k"\s*:\s*(-?\d{1,18})\s*\}$'
+
+
+def props_k(props: str = "props") -> F.Column:
+    fast = F.regexp_extract(F.col(props), _K_ONLY, 1)
+    return F.coalesce(F.nullif(fast, F.lit("")),
+                      F.get_json_object(F.col(props), "$.k")).cast("long")
+
+
 def ticks_from_events(events: DataFrame, src: SourceColumns = SourceColumns()) -> DataFrame:
     price = nan_to_null(F.col("value"))
     return events.select(
@@ -34,7 +46,7 @@ def ticks_from_events(events: DataFrame, src: SourceColumns = SourceColumns()) -
         price.alias(src.end_price),
         price.alias(src.min_price),
         price.alias(src.max_price),
-        F.get_json_object("props", "$.k").cast("long").alias(src.traded_volume),
+        props_k().alias(src.traded_volume),
     )
 
 

@@ -133,3 +133,11 @@ def test_change_rejects_unknown_basis(spark):
     import pytest
     with pytest.raises(ValueError):
         add_change(daily_ohlcv(ticks_df(spark)), basis="mid")
+
+
+def test_props_k_fast_path_and_fallback(spark):
+    from dailybars.sources.tables import props_k
+    rows = [('{"k": 69}',), ('{"k":-3}',), ('{ "k" : 7 }',), ('{"a": {"k": 1}, "k": 2}',),
+            ('{"k": "12"}',), ('{"j": 1}',), (None,)]
+    got = [r[0] for r in spark.createDataFrame(rows, "props string").select(props_k()).collect()]
+    assert got == [69, -3, 7, 2, 12, None, None]
