@@ -7,10 +7,15 @@ from pyspark.sql import functions as F
 
 from ..config import ReportColumns, SourceColumns
 from ..functions import pct_change
-from .aggregate import closing_price_expr, opening_price_expr, prepare_ticks, TIME_KEY
+from .aggregate import closing_price_expr, opening_price_expr, prepare_ticks
 
 BASES = ("opening", "closing")
 _PREVIOUS = "_previous"
+_N = "_n"
+_HOT = "_hot"
+_HOT_OPEN = "_hot_open"
+_HOT_CLOSE = "_hot_close"
+_KEY = "_join_key"
 
 
 def add_change(day: DataFrame, trg: ReportColumns = ReportColumns(),
@@ -32,17 +37,53 @@ def add_change(day: DataFrame, trg: ReportColumns = ReportColumns(),
 
 
 def ticks_with_open_close(ticks: DataFrame, src: SourceColumns = SourceColumns(),
-                          opening: str = "OpeningPrice",
-                          closing: str = "ClosingPrice") -> DataFrame:
+                          opening: str = "OpeningPrice", closing: str = "ClosingPrice",
+                          hot_rows: int = 1_000_000, max_hot_keys: int = 100_000,
+                          buckets: int | None = None) -> DataFrame:
     """Every tick with its day's opening and closing price attached.
 
-    Computed as aggregate + join instead of a window over (ISIN, Date): the
-    aggregate is partial before its shuffle, and the join lets adaptive
-    execution broadcast the day table when it is small, or split a hot
-    (ISIN, Date) partition across tasks when it is skewed. A window would put
-    every tick of a hot instrument-day into one task."""
+    Not a window over (ISIN, Date), which would put every tick of a hot
+    instrument-day into one task. Instead:
+
+    1. one aggregate per (ISIN, Date) (partial before its shuffle) gives
+       open, close and the tick count ``n``;
+    2. keys with ``n`` above ``threshold = max(hot_rows, total / max_hot_keys)``
+       are hot. There are at most ``max_hot_keys`` of them, so their day rows
+       are broadcast and attached to the ticks map-side;
+    3. the remaining (cold) keys hold at most ``threshold`` ticks each and are
+       attached by a shuffle join on (join key, Date). The join key of a cold
+       tick is its ISIN; a hot tick's is its ISIN, a NUL character and a
+       spread-out bucket number, which matches no day row, so hot ticks are
+       distributed evenly over the shuffle instead of landing in one task.
+       (A constant bucket column on the day side would be folded into a
+       post-join filter by the optimizer, leaving the shuffle on the hot key.)
+
+    ``buckets`` defaults to 8 x ``spark.sql.shuffle.partitions``: bucket
+    numbers reach partitions through a hash, and many more buckets than
+    partitions keep the hot rows close to evenly spread.
+    """
+    spark = ticks.sparkSession
+    keys = [src.isin, src.date]
+    buckets = buckets or 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     day = (prepare_ticks(ticks, src)
-           .groupBy(src.isin, src.date)
+           .groupBy(*keys)
            .agg(opening_price_expr(src.start_price).alias(opening),
-                closing_price_expr(src.start_price).alias(closing)))
-    return ticks.join(day, on=[src.isin, src.date], how="left").drop(TIME_KEY)
+                closing_price_expr(src.start_price).alias(closing),
+                F.count(F.lit(1)).alias(_N)))
+    total = day.agg(F.sum(_N)).scalar()
+    threshold = F.greatest(F.lit(hot_rows).cast("double"), total / F.lit(float(max_hot_keys)))
+    # At most max_hot_keys rows: a broadcast of proven size.
+    hot = F.broadcast(day.where(F.col(_N) > threshold).select(
+        *keys, F.col(opening).alias(_HOT_OPEN), F.col(closing).alias(_HOT_CLOSE),
+        F.lit(True).alias(_HOT)))
+    cold = day.where(F.col(_N) <= threshold).select(
+        F.col(src.isin).alias(_KEY), src.date, opening, closing)
+    bucket = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in ticks.columns]), F.lit(buckets))
+    spread = F.concat(F.col(src.isin), F.lit("\u0000"), bucket.cast("string"))
+    marked = (ticks.join(hot, on=keys, how="left")
+              .withColumn(_KEY, F.when(F.col(_HOT), spread).otherwise(F.col(src.isin))))
+    joined = marked.join(cold, on=[_KEY, src.date], how="left")
+    return joined.select(
+        *[F.col(f"`{c}`") for c in ticks.columns],
+        F.when(F.col(_HOT), F.col(_HOT_OPEN)).otherwise(F.col(opening)).alias(opening),
+        F.when(F.col(_HOT), F.col(_HOT_CLOSE)).otherwise(F.col(closing)).alias(closing))
