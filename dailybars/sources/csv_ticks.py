@@ -31,9 +31,9 @@ from pyspark.sql import types as T
 
 from ..config import NA_WORDS, SourceColumns
 from ..functions import nan_to_null
+from .files import date_from_path
 
 _CORRUPT = "_corrupt_record"
-_PATH_DATE = r"(\d{4}-\d{2}-\d{2})[^/]*/[^/]*$"
 
 
 def tick_types(src: SourceColumns = SourceColumns()) -> dict[str, T.DataType]:
@@ -197,8 +197,7 @@ def read_ticks_csv(spark: SparkSession, root: str, dates: Sequence[dt.date] | No
             df = df.withColumn("source_date", F.lit(None).cast("date"))
         return df
     if with_source_date:
-        df = df.withColumn("source_date", F.to_date(
-            F.regexp_extract(F.col("_metadata.file_path"), _PATH_DATE, 1)))
+        df = df.withColumn("source_date", date_from_path("_metadata.file_path", date_dir))
     return df
 
 

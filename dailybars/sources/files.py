@@ -28,9 +28,13 @@ def list_files(spark: SparkSession, glob: str) -> DataFrame:
         raise
 
 
-def date_from_path(path: str = "_metadata.file_path") -> F.Column:
-    """The ``yyyy-MM-dd`` date in the file's folder name."""
-    return F.to_date(F.regexp_extract(F.col(path), r"(\d{4}-\d{2}-\d{2})[^/]*/[^/]*$", 1))
+def date_from_path(path: str = "_metadata.file_path", date_dir: str = "{date}") -> F.Column:
+    """The ``yyyy-MM-dd`` date in the name of the file's folder, which is
+    ``date_dir`` with ``{date}`` filled in. Plain substring functions (no
+    regular expression), since this runs once per row."""
+    folder = F.substring_index(F.substring_index(F.col(path), "/", -2), "/", 1)
+    start = date_dir.index("{date}") + 1
+    return F.to_date(F.substring(folder, start, 10))
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
