@@ -114,6 +114,8 @@ class JobConfig:
     # "per_run": a new folder per run, like the original job;
     # "by_date": one Date=... partition per day, rewritten on rerun.
     write_mode: str = "per_run"
+    # "csv": date folders of CSV files; "parquet": Parquet partitioned by Date.
+    source_format: str = "csv"
     date_dir: str = "{date}"
     file_glob: str = "*.csv"
     csv_options: dict = field(default_factory=dict)

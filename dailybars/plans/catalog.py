@@ -26,7 +26,7 @@ from ..operators import (add_change, closing_price, daily_high, daily_low, daily
 from ..session import scratch_dir
 from ..sinks import write_table
 from ..sources.csv_ticks import read_ticks_csv
-from ..sources.files import read_csv_table, read_parquet
+from ..sources.files import read_csv_table, read_parquet, read_ticks_parquet
 from ..sources.tables import event_ticks, event_ticks_text_time, read_table
 from ..streaming.ledger import (DatePlan, append_ledger, ledger_days, ledger_rows,
                                 missing_days, plan_frame, read_ledger, union_ledger)
@@ -85,6 +85,13 @@ def drift_csv_root(spark: SparkSession, sf_dir: str) -> str:
     return _derived(spark, ("drift-csv", sf_dir), build)
 
 
+def parquet_ticks_root(spark: SparkSession, sf_dir: str) -> str:
+    """Event ticks as Parquet partitioned by Date."""
+    def build(path):
+        event_ticks(spark, sf_dir).write.partitionBy(SRC.date).parquet(path)
+    return _derived(spark, ("tick-parquet", sf_dir), build)
+
+
 def csv_ticks(spark: SparkSession, sf_dir: str, dates=None, **kw) -> DataFrame:
     return read_ticks_csv(spark, tick_csv_root(spark, sf_dir), dates, date_dir="day={date}",
                           **kw)
@@ -128,6 +135,11 @@ def q_extract_dates(spark, sf):
     return csv_ticks(spark, sf, plan.dates, with_source_date=True)
 
 
+def q_extract_dates_parquet(spark, sf):
+    plan = DatePlan(FIRST_DATE, FIRST_DATE - dt.timedelta(days=1), END_DATE)
+    return read_ticks_parquet(spark, parquet_ticks_root(spark, sf), plan.dates, SRC.date)
+
+
 def q_read_report(spark, sf):
     def build(path):
         write_table(daily_report(event_ticks(spark, sf), FIRST_DATE), path, "parquet")
@@ -292,6 +304,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_report": q_daily_report,
     "scan_ticks": q_scan_ticks,
     "extract_dates": q_extract_dates,
+    "extract_dates_parquet": q_extract_dates_parquet,
     "read_report": q_read_report,
     "read_report_csv": q_read_report_csv,
     "project_ticks": q_project_ticks,

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..config import JobConfig
 from ..sinks import check_format, write_report
 from ..sources.csv_ticks import empty_ticks, read_ticks_csv, tick_types
+from ..sources.files import read_ticks_parquet
 from ..streaming.ledger import DatePlan, plan_dates, record_plan
 from .report import daily_report
 
@@ -38,8 +39,13 @@ class ReportJob:
 
     def extract(self) -> DataFrame:
         cfg = self.cfg
+        empty = empty_ticks(self.spark, list(cfg.source.columns), tick_types(cfg.source))
         if self.plan.is_empty:
-            return empty_ticks(self.spark, list(cfg.source.columns), tick_types(cfg.source))
+            return empty
+        if cfg.source_format == "parquet":
+            ticks = read_ticks_parquet(self.spark, cfg.source_root, self.plan.dates,
+                                       cfg.source.date)
+            return empty if ticks is None else ticks
         opts = dict(cfg.csv_options)
         return read_ticks_csv(self.spark, cfg.source_root, self.plan.dates,
                               date_dir=cfg.date_dir, file_glob=cfg.file_glob,
@@ -77,6 +83,7 @@ def main(argv: list[str] | None = None) -> str | None:
     p.add_argument("--format", default="parquet", dest="report_format")
     p.add_argument("--basis", default="opening", choices=["opening", "closing"])
     p.add_argument("--write-mode", default="per_run", choices=["per_run", "by_date"])
+    p.add_argument("--source-format", default="csv", choices=["csv", "parquet"])
     p.add_argument("--date-dir", default="{date}")
     p.add_argument("--file-glob", default="*.csv")
     p.add_argument("--by-name", action="store_true", help="allow header drift")
@@ -89,7 +96,8 @@ def main(argv: list[str] | None = None) -> str | None:
         ledger_path=args.ledger_path, first_extract_date=args.first_extract_date,
         end_date=args.end_date, report_key=args.report_key,
         report_format=args.report_format, change_basis=args.basis,
-        write_mode=args.write_mode, date_dir=args.date_dir, file_glob=args.file_glob,
+        write_mode=args.write_mode, source_format=args.source_format,
+        date_dir=args.date_dir, file_glob=args.file_glob,
         csv_options={"by_name": args.by_name, "multi_line": args.multi_line})
     spark = SparkSession.builder.appName("dailybars").getOrCreate()
     return ReportJob(spark, cfg).run()

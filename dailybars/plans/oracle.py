@@ -99,6 +99,8 @@ ORACLE_SQL: dict[str, str] = {
     "extract_dates": f"""WITH {TICKS}, {TEXT_TICKS}
 SELECT *, "Date" AS source_date FROM text_ticks
 WHERE "Date" BETWEEN DATE '2024-01-09' AND DATE '2024-01-30'""",
+    "extract_dates_parquet": f"""WITH {TICKS}
+SELECT * FROM ticks WHERE "Date" BETWEEN DATE '2024-01-09' AND DATE '2024-01-30'""",
     "read_report": _report("2024-01-10"),
     "read_report_csv": _report("2024-01-10"),
     "project_ticks": f"""WITH {TICKS}

@@ -45,3 +45,24 @@ def read_csv_table(spark: SparkSession, path: str, schema: T.StructType | str) -
     """A CSV table with a header, checked against ``schema`` by name."""
     return (spark.read.option("header", True).option("enforceSchema", False)
             .option("quote", '"').option("escape", '"').schema(schema).csv(path))
+
+
+def read_ticks_parquet(spark: SparkSession, root: str, dates=None,
+                       date_col: str = "Date") -> DataFrame | None:
+    """Ticks stored as Parquet partitioned by date (``root/Date=yyyy-MM-dd``).
+
+    Only the folders of ``dates`` are globbed (with ``basePath``, so the date
+    stays a partition column): the file index lists just those folders
+    instead of the whole table. None when no folder matches."""
+    reader = spark.read.option("basePath", root)
+    if dates is None:
+        paths = f"{root.rstrip('/')}/{date_col}=*"
+    else:
+        names = ",".join(sorted({d.isoformat() for d in dates}))
+        paths = f"{root.rstrip('/')}/{date_col}={{{names}}}"
+    try:
+        return reader.parquet(paths)
+    except AnalysisException as err:
+        if "PATH_NOT_FOUND" in str(err) or "Path does not exist" in str(err):
+            return None
+        raise

@@ -119,3 +119,18 @@ def test_main_cli(spark, tmp):
                  "--ledger-path", f"{tmp}/trg/meta", "--first-extract-date", "2022-03-17",
                  "--end-date", "2022-03-20"])
     assert [tuple(r) for r in read_parquet(spark, path).collect()] == shifted_report()
+
+
+def test_parquet_source_partitioned_by_date(spark, tmp):
+    from conftest import explain_text, ticks_df
+    from dailybars.sources.files import read_ticks_parquet
+    ticks_df(spark, shifted(TICKS)).write.partitionBy("Date").parquet(f"{tmp}/src")
+    cfg = config(tmp, source_format="parquet")
+    job = ReportJob(spark, cfg, NOW)
+    assert [tuple(r) for r in read_parquet(spark, job.run()).collect()] == shifted_report()
+    # Only the planned folders are listed; Date is a partition column.
+    extract = read_ticks_parquet(spark, f"{tmp}/src", [dt.date(2022, 3, 18), dt.date(2022, 3, 19)])
+    assert sorted({r["Date"] for r in extract.collect()}) == [dt.date(2022, 3, 18),
+                                                             dt.date(2022, 3, 19)]
+    assert "InMemoryFileIndex(2 paths)" in explain_text(extract)
+    assert read_ticks_parquet(spark, f"{tmp}/src", [dt.date(2030, 1, 1)]) is None
