@@ -141,3 +141,25 @@ def test_props_k_fast_path_and_fallback(spark):
             ('{"k": "12"}',), ('{"j": 1}',), (None,)]
     got = [r[0] for r in spark.createDataFrame(rows, "props string").select(props_k()).collect()]
     assert got == [69, -3, 7, 2, 12, None, None]
+
+
+def test_time_key_text_shapes(spark):
+    from dailybars.functions import MISSING_TIME_KEY, time_key
+    h9 = 9 * 3600 * 1_000_000
+    cases = [("09:00", h9), ("9:00", h9), ("09:00:30", h9 + 30_000_000),
+             ("09:00:30.5", h9 + 30_500_000), ("09:00:30.123456", h9 + 30_123_456),
+             ("9:00:30.123456", h9 + 30_123_456), ("23:59", (23 * 60 + 59) * 60_000_000),
+             ("00:00", 0), ("ab:cd", MISSING_TIME_KEY), ("0900", MISSING_TIME_KEY),
+             ("", MISSING_TIME_KEY), ("09:00:xx", MISSING_TIME_KEY), (None, MISSING_TIME_KEY),
+             ("09:00:30.x", MISSING_TIME_KEY), ("99999999999999:00", MISSING_TIME_KEY)]
+    df = spark.createDataFrame(cases, "t string, exp long")
+    got = [(r["t"], r["k"], r["exp"]) for r in df.select("t", "exp", time_key(F.col("t")).alias("k")).collect()]
+    assert [(t, k) for t, k, _ in got] == [(t, e) for t, _, e in got]
+
+
+def test_time_key_orders_like_text_for_fixed_width(spark):
+    from dailybars.functions import time_key
+    times = ["00:00", "00:01", "07:00", "09:59", "10:00", "12:30", "23:59"]
+    df = spark.createDataFrame([(t,) for t in times], "t string")
+    keys = [r[0] for r in df.select(time_key(F.col("t"))).collect()]
+    assert keys == sorted(keys)
