@@ -13,11 +13,13 @@ import datetime as dt
 import logging
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import JobConfig
 from ..sinks import check_format, write_report
-from ..sources.csv_ticks import empty_ticks, read_ticks_csv, tick_types
-from ..sources.files import read_ticks_parquet
+from ..session import apply_scale_defaults, size_shuffle
+from ..sources.csv_ticks import date_glob, empty_ticks, read_ticks_csv, tick_types
+from ..sources.files import list_files, read_ticks_parquet
 from ..streaming.ledger import DatePlan, plan_dates, record_plan
 from .report import daily_report
 
@@ -43,14 +45,26 @@ class ReportJob:
         if self.plan.is_empty:
             return empty
         if cfg.source_format == "parquet":
+            glob = f"{cfg.source_root.rstrip('/')}/{cfg.source.date}=" \
+                   f"{{{','.join(d.isoformat() for d in self.plan.dates)}}}/*"
+            self._size_shuffle(glob)
             ticks = read_ticks_parquet(self.spark, cfg.source_root, self.plan.dates,
                                        cfg.source.date)
             return empty if ticks is None else ticks
+        self._size_shuffle(date_glob(cfg.source_root, self.plan.dates, cfg.date_dir,
+                                     cfg.file_glob))
         opts = dict(cfg.csv_options)
         return read_ticks_csv(self.spark, cfg.source_root, self.plan.dates,
                               date_dir=cfg.date_dir, file_glob=cfg.file_glob,
                               src=cfg.source, **opts)
 
+    def _size_shuffle(self, glob: str) -> None:
+        """Initial shuffle partitions from the bytes of the planned input
+        (summed by a distributed listing, not on the driver)."""
+        total = list_files(self.spark, glob).agg(F.sum("length")).first()[0] or 0
+        n = size_shuffle(self.spark, int(total))
+        log.info("input %d bytes -> %d initial shuffle partitions", total, n)
+
     def transform(self, ticks: DataFrame) -> DataFrame:
         cfg = self.cfg
         from ..operators import project
@@ -100,6 +114,7 @@ def main(argv: list[str] | None = None) -> str | None:
         date_dir=args.date_dir, file_glob=args.file_glob,
         csv_options={"by_name": args.by_name, "multi_line": args.multi_line})
     spark = SparkSession.builder.appName("dailybars").getOrCreate()
+    apply_scale_defaults(spark)
     return ReportJob(spark, cfg).run()
 
 

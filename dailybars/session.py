@@ -42,6 +42,32 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+def apply_scale_defaults(spark: SparkSession) -> None:
+    """Apply SCALE_CONF to a running session for every key the submitter did
+    not set (spark-submit / spark-defaults settings win)."""
+    submitted = spark.sparkContext.getConf()
+    for key, value in SCALE_CONF.items():
+        if not submitted.contains(key):
+            spark.conf.set(key, value)
+
+
+# Target bytes of input per initial shuffle partition, and a ceiling.
+SHUFFLE_BYTES_PER_PARTITION = 64 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 100_000
+
+
+def size_shuffle(spark: SparkSession, input_bytes: int) -> int:
+    """Start adaptive execution with enough shuffle partitions for the input
+    (about 64 MB of input each), never fewer than configured; AQE then
+    coalesces the small ones. Returns the initial partition count."""
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    configured = int(spark.conf.get(key, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(MAX_SHUFFLE_PARTITIONS, -(-max(0, input_bytes) // SHUFFLE_BYTES_PER_PARTITION))
+    partitions = max(configured, wanted)
+    spark.conf.set(key, str(partitions))
+    return partitions
+
+
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 

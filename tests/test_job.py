@@ -134,3 +134,16 @@ def test_parquet_source_partitioned_by_date(spark, tmp):
                                                              dt.date(2022, 3, 19)]
     assert "InMemoryFileIndex(2 paths)" in explain_text(extract)
     assert read_ticks_parquet(spark, f"{tmp}/src", [dt.date(2030, 1, 1)]) is None
+
+
+def test_shuffle_sized_from_input(spark):
+    from dailybars.session import size_shuffle
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    old = spark.conf.get(key, None)
+    try:
+        assert size_shuffle(spark, 0) >= int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert size_shuffle(spark, 1024 ** 4) == 16_384        # 1 TiB / 64 MiB
+        assert size_shuffle(spark, 1024) == 16_384              # never decreases
+        assert size_shuffle(spark, 10 ** 18) == 100_000         # capped
+    finally:
+        spark.conf.unset(key) if old is None else spark.conf.set(key, old)
