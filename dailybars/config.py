@@ -114,6 +114,9 @@ class JobConfig:
     # "per_run": a new folder per run, like the original job;
     # "by_date": one Date=... partition per day, rewritten on rerun.
     write_mode: str = "per_run"
+    # Write the report globally ordered by (ISIN, Date) (one range exchange
+    # that also serves the change window); False skips its sampling pass.
+    ordered_output: bool = True
     # "csv": date folders of CSV files; "parquet": Parquet partitioned by Date.
     source_format: str = "csv"
     date_dir: str = "{date}"

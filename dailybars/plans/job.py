@@ -69,7 +69,8 @@ class ReportJob:
         cfg = self.cfg
         from ..operators import project
         return daily_report(project(ticks, cfg.source.columns), self.plan.extract_date,
-                            cfg.change_basis, cfg.source, cfg.report)
+                            cfg.change_basis, cfg.source, cfg.report,
+                            ordered=cfg.ordered_output)
 
     def load(self, report: DataFrame) -> str | None:
         cfg = self.cfg

@@ -163,3 +163,20 @@ def test_time_key_orders_like_text_for_fixed_width(spark):
     df = spark.createDataFrame([(t,) for t in times], "t string")
     keys = [r[0] for r in df.select(time_key(F.col("t"))).collect()]
     assert keys == sorted(keys)
+
+
+def test_ordered_report_is_globally_sorted_over_many_partitions(spark):
+    from dailybars.sources.tables import event_ticks
+    df = daily_report(event_ticks(spark, "/root/testdata/sf0.001"), ordered=True,
+                      num_partitions=4)
+    keys = [(r["ISIN"], r["Date"]) for r in df.collect()]
+    assert len(keys) > 100 and keys == sorted(keys)
+    assert df.rdd.getNumPartitions() > 1
+
+
+def test_sort_globally(spark):
+    from dailybars.operators import sort_globally
+    from dailybars.sources.tables import event_ticks
+    day = daily_ohlcv(event_ticks(spark, "/root/testdata/sf0.001"))
+    keys = [(r["ISIN"], r["Date"]) for r in sort_globally(day, ["ISIN", "Date"], 4).collect()]
+    assert keys == sorted(keys)
