@@ -1,10 +1,11 @@
 """Integer ordering key for the time of a tick within its day.
 
 ``min_by``/``max_by`` with a string key plan as SortAggregate; with a long key
-they plan as HashAggregate with a map-side partial aggregate. The key is
-microseconds since midnight, so "HH:MM", "HH:MM:SS" and "HH:MM:SS.ffffff"
-texts and timestamps all order by clock time (equal to text order for the
-zero-padded fixed-width times the sources use).
+they plan as HashAggregate with a map-side partial aggregate. Text times
+("HH:MM", "HH:MM:SS", "HH:MM:SS.ffffff") become microseconds since
+midnight, ordering by clock time (equal to text order for the zero-padded
+fixed-width times the sources use); timestamps become microseconds since the
+epoch, which orders the same way within a day and needs no field extraction.
 
 Text is parsed with fixed-offset ``substring`` and ``try_cast`` (no regular
 expressions: this runs once per tick, and a regex-based parse measured about
@@ -14,6 +15,8 @@ through a ``substring_index`` path.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType, TimestampNTZType, TimestampType
@@ -22,8 +25,8 @@ _MICROS_PER_SECOND = 1_000_000
 _MICROS_PER_MINUTE = 60 * _MICROS_PER_SECOND
 
 # A missing time sorts after every real time (ordering keys are NULL-skipped
-# by min_by/max_by, so it needs a value).
-MISSING_TIME_KEY = 24 * 60 * _MICROS_PER_MINUTE
+# by min_by/max_by, so it needs a value): the largest long.
+MISSING_TIME_KEY = 2 ** 63 - 1
 
 
 def _micros(h: Column, m: Column, s: Column, frac: Column) -> Column:
@@ -69,16 +72,18 @@ def _text_key(c: Column) -> Column:
     return F.coalesce(_fixed_width(c), _general(c))
 
 
-def _timestamp_key(c: Column) -> Column:
-    minutes = (F.hour(c) * 60 + F.minute(c)).cast("long")
-    micros = (F.date_part(F.lit("SECOND"), c) * _MICROS_PER_SECOND).cast("long")
-    return minutes * _MICROS_PER_MINUTE + micros
+_EPOCH = dt.datetime(1970, 1, 1)
 
 
 def time_key(c: Column, data_type: DataType = StringType()) -> Column:
-    """Microseconds since midnight; MISSING_TIME_KEY for NULL or unparsable."""
-    if isinstance(data_type, (TimestampType, TimestampNTZType)):
-        key = _timestamp_key(c)
+    """Long ordering key of a tick's time; MISSING_TIME_KEY for NULL or
+    unparsable. Timestamp: microseconds since the epoch (``unix_micros``, or
+    for a zone-less timestamp the microsecond difference to the epoch, which
+    involves no time zone). Text: microseconds since midnight."""
+    if isinstance(data_type, TimestampType):
+        key = F.unix_micros(c)
+    elif isinstance(data_type, TimestampNTZType):
+        key = F.timestamp_diff("MICROSECOND", F.lit(_EPOCH).cast("timestamp_ntz"), c)
     else:
         key = _text_key(c.cast("string"))
     return F.coalesce(key, F.lit(MISSING_TIME_KEY))

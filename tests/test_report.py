@@ -180,3 +180,15 @@ def test_sort_globally(spark):
     day = daily_ohlcv(event_ticks(spark, "/root/testdata/sf0.001"))
     keys = [(r["ISIN"], r["Date"]) for r in sort_globally(day, ["ISIN", "Date"], 4).collect()]
     assert keys == sorted(keys)
+
+
+def test_time_key_timestamps(spark):
+    import datetime as dt
+    from dailybars.functions import MISSING_TIME_KEY, time_key
+    rows = [(dt.datetime(2024, 1, 1, 9, 0, 0, 5),), (dt.datetime(2024, 1, 1, 23, 59),),
+            (dt.datetime(2024, 1, 1, 0, 0),), (None,)]
+    for kind in ("timestamp", "timestamp_ntz"):
+        df = spark.createDataFrame(rows, f"t {kind}")
+        keys = [r[0] for r in df.select(time_key(F.col("t"), df.schema["t"].dataType)).collect()]
+        assert keys[2] < keys[0] < keys[1] < keys[3] == MISSING_TIME_KEY, kind
+        assert keys[0] - keys[2] == 9 * 3600 * 1_000_000 + 5, kind
