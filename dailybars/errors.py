@@ -8,7 +8,3 @@ class WrongFormatError(ValueError):
 class WrongLedgerError(KeyError, ValueError):
     """The ledger's columns are not the expected ones (a missing date column
     is a missing key, hence also a KeyError)."""
-
-
-class CsvLayoutError(ValueError):
-    """A CSV file's header or row width does not fit the expected layout."""

@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType, TimestampNTZType, TimestampType
 
 _MICROS_PER_SECOND = 1_000_000
-_MICROS_PER_MINUTE = 60 * _MICROS_PER_SECOND
 
 # A missing time sorts after every real time (ordering keys are NULL-skipped
 # by min_by/max_by, so it needs a value): the largest long.
