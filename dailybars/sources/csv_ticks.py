@@ -224,6 +224,31 @@ def csv_layouts(spark: SparkSession, paths: str, encoding: str = "utf-8",
     return layouts
 
 
+def scan_targets(layouts: dict[tuple[str, ...], list[str]]) -> dict[tuple[str, ...], list[str]]:
+    """Per layout, the paths to scan: one glob of the folders whose files all
+    have that layout (``parent/{a,b,..}``, resolved with one listing), plus
+    the files of folders that mix layouts. Passing every file instead would
+    cost one existence check per file."""
+    folder_layouts: dict[str, set] = {}
+    for cols, files in layouts.items():
+        for f in files:
+            folder_layouts.setdefault(f.rsplit("/", 1)[0], set()).add(cols)
+    targets: dict[tuple[str, ...], list[str]] = {}
+    for cols, files in layouts.items():
+        uniform: dict[str, set] = {}
+        mixed: list[str] = []
+        for f in files:
+            folder = f.rsplit("/", 1)[0]
+            if len(folder_layouts[folder]) == 1:
+                parent, name = folder.rsplit("/", 1)
+                uniform.setdefault(parent, set()).add(name)
+            else:
+                mixed.append(f)
+        paths = [f"{parent}/{{{','.join(sorted(names))}}}" for parent, names in uniform.items()]
+        targets[cols] = paths + mixed
+    return targets
+
+
 def read_csv_by_name(spark: SparkSession, paths: str, types: Mapping[str, T.DataType],
                      encoding: str = "utf-8", sep: str = ",", multi_line: bool = False,
                      layouts: dict[tuple[str, ...], list[str]] | None = None,
@@ -233,7 +258,7 @@ def read_csv_by_name(spark: SparkSession, paths: str, types: Mapping[str, T.Data
         layouts = csv_layouts(spark, paths, encoding, sep, file_glob)
     if not layouts:
         return None
-    frames = [_scan(spark, files, list(cols), types, encoding, sep, multi_line)
-              for cols, files in layouts.items()]
+    frames = [_scan(spark, targets, list(cols), types, encoding, sep, multi_line, file_glob)
+              for cols, targets in scan_targets(layouts).items()]
     from ..operators import union_by_name
     return union_by_name(frames)

@@ -157,3 +157,13 @@ def test_scan_prunes_columns(spark, tmp):
     df = read_ticks_csv(spark, tmp).select("ISIN", F.col("StartPrice"))
     plan = explain_text(df)
     assert "ReadSchema: struct<ISIN:string,StartPrice:string" in plan
+
+
+def test_scan_targets_glob_uniform_folders():
+    from dailybars.sources.csv_ticks import scan_targets
+    a, b = ("x", "y"), ("y", "x")
+    layouts = {a: ["/r/d1/f1.csv", "/r/d1/f2.csv", "/r/d2/f.csv", "/r/d3/f.csv"],
+               b: ["/r/d3/g.csv", "/r/d4/g.csv"]}
+    t = scan_targets(layouts)
+    assert t[a] == ["/r/{d1,d2}", "/r/d3/f.csv"]
+    assert t[b] == ["/r/{d4}", "/r/d3/g.csv"]
