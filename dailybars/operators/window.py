@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import ReportColumns, SourceColumns
@@ -10,7 +10,7 @@ from ..functions import pct_change
 from .aggregate import closing_price_expr, opening_price_expr, prepare_ticks
 
 BASES = ("opening", "closing")
-_PREVIOUS = "_previous"
+PREVIOUS = "_previous"
 _N = "_n"
 _HOT = "_hot"
 _HOT_OPEN = "_hot_open"
@@ -18,22 +18,38 @@ _HOT_CLOSE = "_hot_close"
 _KEY = "_join_key"
 
 
-def add_change(day: DataFrame, trg: ReportColumns = ReportColumns(),
-               basis: str = "opening") -> DataFrame:
-    """Percent change of the opening (or closing) price against the previous
-    row of the same instrument ordered by date: the previous day *with data*,
-    not the previous calendar day. The first row of an instrument gets NULL.
+def _base(trg: ReportColumns, basis: str) -> str:
+    if basis not in BASES:
+        raise ValueError(f"basis must be one of {BASES}, got {basis!r}")
+    return trg.opening if basis == "opening" else trg.closing
+
+
+def with_previous(day: DataFrame, trg: ReportColumns = ReportColumns(),
+                  basis: str = "opening") -> DataFrame:
+    """``day`` plus the previous row's opening (or closing) price of the same
+    instrument ordered by date, in column ``_previous``.
 
     The window holds one row per trading day of an instrument, so its size is
     bounded by the calendar, not by the tick volume."""
-    if basis not in BASES:
-        raise ValueError(f"basis must be one of {BASES}, got {basis!r}")
-    base = trg.opening if basis == "opening" else trg.closing
+    base = _base(trg, basis)
     by_instrument = Window.partitionBy(trg.isin).orderBy(trg.date)
-    # Materialise the lag once; the change expression reads it three times.
-    return (day.withColumn(_PREVIOUS, F.lag(F.col(base), 1).over(by_instrument))
-            .withColumn(trg.change, pct_change(F.col(base), F.col(_PREVIOUS)))
-            .drop(_PREVIOUS))
+    # Materialised once: the change expression reads it three times.
+    return day.withColumn(PREVIOUS, F.lag(F.col(base), 1).over(by_instrument))
+
+
+def change_expr(trg: ReportColumns = ReportColumns(), basis: str = "opening") -> Column:
+    """The change column over a frame from ``with_previous``."""
+    return pct_change(F.col(_base(trg, basis)), F.col(PREVIOUS))
+
+
+def add_change(day: DataFrame, trg: ReportColumns = ReportColumns(),
+               basis: str = "opening") -> DataFrame:
+    """Percent change of the opening (or closing) price against the previous
+    row of the same instrument ordered by date: the previous day *with data*,
+    not the previous calendar day. The first row of an instrument gets NULL."""
+    prev = with_previous(day, trg, basis)
+    return prev.select(*[F.col(f"`{c}`") for c in day.columns],
+                       change_expr(trg, basis).alias(trg.change))
 
 
 def ticks_with_open_close(ticks: DataFrame, src: SourceColumns = SourceColumns(),

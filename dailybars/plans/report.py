@@ -22,7 +22,8 @@ from pyspark.sql import types as T
 
 from ..config import ReportColumns, SourceColumns
 from ..functions import round_half_even
-from ..operators import add_change, daily_ohlcv, from_date, range_cluster
+from ..operators import daily_ohlcv, from_date, range_cluster
+from ..operators.window import change_expr, with_previous
 
 
 def report_schema(trg: ReportColumns = ReportColumns()) -> T.StructType:
@@ -54,7 +55,12 @@ def daily_report(ticks: DataFrame, extract_date: dt.date | None = None,
     day = daily_ohlcv(ticks, src, trg, tie_break)
     if ordered:
         day = range_cluster(day, trg.isin, num_partitions)
-    report = round_floats(add_change(day, trg, basis), trg.floats)
+    prev = with_previous(day, trg, basis)
+    # Change, rounding and column order in one projection.
+    columns = {c: F.col(f"`{c}`") for c in trg.ordered}
+    columns[trg.change] = change_expr(trg, basis)
+    report = prev.select(*[round_half_even(e).alias(c) if c in trg.floats else e.alias(c)
+                           for c, e in columns.items()])
     if extract_date is not None:
         report = from_date(report, trg.date, extract_date)
-    return report.select(*[F.col(f"`{c}`") for c in trg.ordered])
+    return report
