@@ -68,14 +68,17 @@ class ReportJob:
     def transform(self, ticks: DataFrame) -> DataFrame:
         cfg = self.cfg
         from ..operators import project
+        # by_date output is clustered by date at write time, so a range
+        # exchange by instrument would be wasted there.
+        ordered = cfg.ordered_output and cfg.write_mode != "by_date"
         return daily_report(project(ticks, cfg.source.columns), self.plan.extract_date,
-                            cfg.change_basis, cfg.source, cfg.report,
-                            ordered=cfg.ordered_output)
+                            cfg.change_basis, cfg.source, cfg.report, ordered=ordered)
 
     def load(self, report: DataFrame) -> str | None:
         cfg = self.cfg
         path = write_report(report, cfg.target_root, cfg.report_key, cfg.report_format,
-                            self.now, cfg.report.date, by_date=cfg.write_mode == "by_date")
+                            self.now, cfg.report.date, by_date=cfg.write_mode == "by_date",
+                            sort_within=[cfg.report.isin])
         record_plan(self.spark, cfg.ledger_path, self.plan, self.now)
         return path
 

@@ -57,13 +57,23 @@ def write_table(df: DataFrame, path: str, fmt: str, mode: str = "errorifexists",
 
 
 def write_report(report: DataFrame, root: str, key: str, fmt: str, run_ts: dt.datetime,
-                 date_col: str = "Date", by_date: bool = False) -> str | None:
+                 date_col: str = "Date", by_date: bool = False,
+                 sort_within: Sequence[str] = ()) -> str | None:
     """``per run`` (default): a new folder per run. ``by_date``: one
     ``Date=...`` folder per day under ``<root>/<key>``, rewritten when a run
-    covers the day again, so reruns do not duplicate days."""
+    covers the day again, so reruns do not duplicate days.
+
+    For ``by_date`` the rows are first clustered by date (one date's rows are
+    bounded by the number of instruments) and sorted by ``sort_within``, so
+    each day is written by one task into one file; writing straight from
+    instrument-partitioned data would make every task write a file for
+    every date."""
     if by_date:
         path = f"{root.rstrip('/')}/{key}"
-        written = write_table(report, path, fmt, mode="overwrite",
+        # Sorting by (date, ...) also satisfies the writer's own required
+        # ordering by the partition column, so it adds no second sort.
+        clustered = report.repartition(date_col).sortWithinPartitions(date_col, *sort_within)
+        written = write_table(clustered, path, fmt, mode="overwrite",
                               partition_by=[date_col], dynamic_overwrite=True)
     else:
         path = report_path(root, key, run_ts, fmt)

@@ -104,6 +104,11 @@ def test_by_date_mode_is_idempotent(spark, tmp):
     ReportJob(spark, cfg2, NOW).run()
     back = read_parquet(spark, f"{tmp}/trg/report1/daily_report")
     assert back.count() == 3
+    # One file per day.
+    for day in ("2022-03-17", "2022-03-18", "2022-03-19"):
+        files = [f for f in os.listdir(f"{tmp}/trg/report1/daily_report/Date={day}")
+                 if f.endswith(".parquet")]
+        assert len(files) == 1, day
 
 
 def test_wrong_format_fails_before_any_work(spark, tmp):

@@ -69,3 +69,16 @@ def test_by_date_rewrites_days(spark, tmp):
     write_report(again, tmp, "rep", "parquet", dt.datetime(2022, 3, 3), by_date=True)
     got = sorted((r["Date"].day, r["v"]) for r in read_parquet(spark, f"{tmp}/rep").collect())
     assert got == [(1, 1.0), (2, 3.0)]
+
+
+def test_by_date_files_sorted_by_instrument(spark, tmp):
+    rows = [(isin, dt.date(2022, 3, d), float(d)) for d in (1, 2) for isin in ("C", "A", "B", "D")]
+    df = spark.createDataFrame(rows, "ISIN string, Date date, v double").repartition(3)
+    write_report(df, tmp, "rep", "parquet", dt.datetime(2022, 3, 2), by_date=True,
+                 sort_within=["ISIN"])
+    import pyarrow.parquet as pq
+    for day in ("2022-03-01", "2022-03-02"):
+        folder = f"{tmp}/rep/Date={day}"
+        files = [f for f in os.listdir(folder) if f.endswith(".parquet")]
+        assert len(files) == 1
+        assert pq.read_table(f"{folder}/{files[0]}").column("ISIN").to_pylist() == ["A", "B", "C", "D"]
