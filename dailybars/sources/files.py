@@ -28,6 +28,21 @@ def list_files(spark: SparkSession, glob: str) -> DataFrame:
         raise
 
 
+def list_prefix(spark: SparkSession, root: str, prefix: str) -> DataFrame:
+    """Files whose path below ``root`` starts with ``prefix`` (object-store
+    key prefix semantics: ``2021-04-17`` also matches ``2021-04-170/...``),
+    with (path, length, modificationTime). Matched folders are listed
+    recursively. No match gives an empty frame."""
+    glob = f"{root.rstrip('/')}/{prefix}*"
+    try:
+        return (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+                .load(glob).select("path", "length", "modificationTime"))
+    except AnalysisException as err:
+        if "PATH_NOT_FOUND" in str(err) or "Path does not exist" in str(err):
+            return spark.createDataFrame([], _LISTING)
+        raise
+
+
 def date_from_path(path: str = "_metadata.file_path", date_dir: str = "{date}") -> F.Column:
     """The ``yyyy-MM-dd`` date in the name of the file's folder, which is
     ``date_dir`` with ``{date}`` filled in. Plain substring functions (no

@@ -167,3 +167,17 @@ def test_scan_targets_glob_uniform_folders():
     t = scan_targets(layouts)
     assert t[a] == ["/r/{d1,d2}", "/r/d3/f.csv"]
     assert t[b] == ["/r/{d4}", "/r/d3/g.csv"]
+
+
+def test_list_prefix_semantics(spark, tmp):
+    from dailybars.sources.files import list_prefix
+    write_csv(f"{tmp}/prefix/test1.csv", ["col1", "col2"], [("valA", "valB")])
+    write_csv(f"{tmp}/prefix/test2.csv", ["col1", "col2"], [("valA", "valB")])
+    names = sorted(os.path.basename(r["path"]) for r in list_prefix(spark, tmp, "prefix/").collect())
+    assert names == ["test1.csv", "test2.csv"]
+    assert list_prefix(spark, tmp, "wrong-prefix/").count() == 0
+    write_golden_files(f"{tmp}/src")
+    write_csv(f"{tmp}/src/2021-04-170/x.csv", SOURCE_COLUMNS, [TICKS[2]])
+    # A key prefix also matches the longer folder name, unlike the extract's glob.
+    assert list_prefix(spark, f"{tmp}/src", "2021-04-17").count() == 3
+    assert list_prefix(spark, f"{tmp}/src", "2021-04-19/2021-04-19_BINS_XETR0").count() == 3
