@@ -56,10 +56,10 @@ def write_csv(path, header, rows, sep=","):
 
 
 def write_golden_files(root, rows=TICKS, header=SOURCE_COLUMNS):
-    """One file per tick: <root>/<date>/<date>_BINS_XETR<hh>.csv"""
+    """One file per tick: <root>/<date>/<date>_<hh>.csv"""
     for r in rows:
         date, hour = r[2], r[3][:2]
-        write_csv(f"{root}/{date}/{date}_BINS_XETR{hour}.csv", header, [r])
+        write_csv(f"{root}/{date}/{date}_{hour}.csv", header, [r])
 
 
 def ticks_df(spark, rows=TICKS):

@@ -123,9 +123,9 @@ def test_latin1_encoding(spark, tmp):
     os.makedirs(f"{tmp}/2021-04-15")
     with open(f"{tmp}/2021-04-15/a.csv", "w", encoding="latin-1") as fh:
         fh.write(",".join(SOURCE_COLUMNS) + "\n")
-        fh.write("X,Börse,2021-04-15,09:00,1.0,2.0,0.5,2.5,10\n")
+        fh.write("X,Zürich,2021-04-15,09:00,1.0,2.0,0.5,2.5,10\n")
     r = read_ticks_csv(spark, tmp, encoding="ISO-8859-1").first()
-    assert r["Mnemonic"] == "Börse"
+    assert r["Mnemonic"] == "Zürich"
 
 
 def test_source_date_from_path(spark, tmp):
@@ -138,8 +138,8 @@ def test_list_files_and_missing_prefix(spark, tmp):
     write_golden_files(tmp)
     listed = list_files(spark, date_glob(tmp, [D(2021, 4, 19)]))
     names = sorted(os.path.basename(r["path"]) for r in listed.collect())
-    assert names == ["2021-04-19_BINS_XETR07.csv", "2021-04-19_BINS_XETR08.csv",
-                     "2021-04-19_BINS_XETR09.csv"]
+    assert names == ["2021-04-19_07.csv", "2021-04-19_08.csv",
+                     "2021-04-19_09.csv"]
     assert list_files(spark, f"{tmp}/wrong-prefix/*").count() == 0
     dated = listed.select(date_from_path("path").alias("d")).distinct().collect()
     assert [r["d"] for r in dated] == [D(2021, 4, 19)]
@@ -180,4 +180,4 @@ def test_list_prefix_semantics(spark, tmp):
     write_csv(f"{tmp}/src/2021-04-170/x.csv", SOURCE_COLUMNS, [TICKS[2]])
     # A key prefix also matches the longer folder name, unlike the extract's glob.
     assert list_prefix(spark, f"{tmp}/src", "2021-04-17").count() == 3
-    assert list_prefix(spark, f"{tmp}/src", "2021-04-19/2021-04-19_BINS_XETR0").count() == 3
+    assert list_prefix(spark, f"{tmp}/src", "2021-04-19/2021-04-19_0").count() == 3
