@@ -95,9 +95,14 @@ def ticks_with_open_close(ticks: DataFrame, src: SourceColumns = SourceColumns()
     cold = day.where(F.col(_N) <= threshold).select(
         F.col(src.isin).alias(_KEY), src.date, opening, closing)
     bucket = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in ticks.columns]), F.lit(buckets))
-    spread = F.concat(F.col(src.isin), F.lit("\u0000"), bucket.cast("string"))
+    spread = F.concat(F.coalesce(F.col(src.isin), F.lit("")), F.lit("\u0000"),
+                      bucket.cast("string"))
+    # Ticks without a key match no day row either; spread them too, since
+    # NULL keys would all hash into one partition.
+    unmatched = F.col(src.isin).isNull() | F.col(src.date).isNull()
     marked = (ticks.join(hot, on=keys, how="left")
-              .withColumn(_KEY, F.when(F.col(_HOT), spread).otherwise(F.col(src.isin))))
+              .withColumn(_KEY, F.when(F.col(_HOT) | unmatched, spread)
+                          .otherwise(F.col(src.isin))))
     joined = marked.join(cold, on=[_KEY, src.date], how="left")
     return joined.select(
         *[F.col(f"`{c}`") for c in ticks.columns],

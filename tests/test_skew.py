@@ -98,3 +98,21 @@ def test_hot_and_cold_paths_agree_with_plain_join(spark):
     plain = ticks_with_open_close(ticks)            # default thresholds: nothing is hot here
     assert split.columns == plain.columns
     assert split.exceptAll(plain).count() == 0 and plain.exceptAll(split).count() == 0
+
+
+def test_keyless_ticks_are_spread(spark):
+    t = event_ticks(spark, SF)
+    third = (F.col("StartPrice") * 100).cast("long") % 3 == 0
+    ticks = t.withColumn("ISIN", F.when(third, F.lit(None).cast("string")).otherwise(F.col("ISIN")))
+    out = ticks_with_open_close(ticks, buckets=64)
+    with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1",
+                        "spark.sql.adaptive.enabled": "false",
+                        "spark.sql.shuffle.partitions": "8"}):
+        per_task = out.groupBy(F.spark_partition_id()).agg(
+            F.count("*").alias("n"), F.sum("OpeningPrice"), F.sum("ClosingPrice"))
+        sizes = [r["n"] for r in per_task.collect()]
+    n = ticks.count()
+    assert sum(sizes) == n and max(sizes) < n / 3
+    nulls = out.where(F.col("ISIN").isNull())
+    assert nulls.count() > 0
+    assert nulls.where(F.col("OpeningPrice").isNotNull() | F.col("ClosingPrice").isNotNull()).count() == 0
