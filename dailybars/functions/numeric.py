@@ -17,8 +17,12 @@ def round_half_even(c: Column, decimals: int = 2) -> Column:
 
 
 def nan_to_null(c: Column) -> Column:
-    """NaN and NULL are one "missing" value in the source data."""
-    return F.when(F.isnan(c), F.lit(None)).otherwise(c)
+    """NaN and NULL are one "missing" value in the source data.
+
+    ``nanvl`` evaluates ``c`` once; a CASE on ``isnan(c)`` repeats the whole
+    expression, and on the CSV path (cast of a cleaned text column, per price
+    column) the CSV read measured about 2x slower with it on 10M rows."""
+    return F.nanvl(c, F.lit(None).cast("double"))
 
 
 def pct_change(current: Column, previous: Column) -> Column:
