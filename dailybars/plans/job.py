@@ -83,7 +83,17 @@ class ReportJob:
         return path
 
     def run(self) -> str | None:
-        return self.load(self.transform(self.extract()))
+        """Extract, transform, load. The shuffle sizing applies to this run's
+        jobs only; the session setting is restored afterwards."""
+        key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+        before = self.spark.conf.get(key, None)
+        try:
+            return self.load(self.transform(self.extract()))
+        finally:
+            if before is None:
+                self.spark.conf.unset(key)
+            else:
+                self.spark.conf.set(key, before)
 
 
 def _date(text: str) -> dt.date:

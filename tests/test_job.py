@@ -152,3 +152,11 @@ def test_shuffle_sized_from_input(spark):
         assert size_shuffle(spark, 10 ** 18) == 100_000         # capped
     finally:
         spark.conf.unset(key) if old is None else spark.conf.set(key, old)
+
+
+def test_run_restores_session_setting(spark, tmp):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    write_golden_files(f"{tmp}/src", shifted(TICKS))
+    before = spark.conf.get(key, None)
+    ReportJob(spark, config(tmp), NOW).run()
+    assert spark.conf.get(key, None) == before
