@@ -116,6 +116,10 @@ def main(argv: list[str] | None = None) -> str | None:
     p.add_argument("--file-glob", default="*.csv")
     p.add_argument("--by-name", action="store_true", help="allow header drift")
     p.add_argument("--multi-line", action="store_true", help="quoted line breaks")
+    p.add_argument("--sep", default=",", help="CSV field delimiter")
+    p.add_argument("--encoding", default="utf-8", help="CSV file encoding")
+    p.add_argument("--unordered", action="store_true",
+                   help="skip ordering the written report by (ISIN, Date)")
     args = p.parse_args(argv)
     logging.basicConfig(level=logging.INFO,
                         format="dailybars - %(asctime)s - %(levelname)s %(message)s")
@@ -125,8 +129,9 @@ def main(argv: list[str] | None = None) -> str | None:
         end_date=args.end_date, report_key=args.report_key,
         report_format=args.report_format, change_basis=args.basis,
         write_mode=args.write_mode, source_format=args.source_format,
-        date_dir=args.date_dir, file_glob=args.file_glob,
-        csv_options={"by_name": args.by_name, "multi_line": args.multi_line})
+        ordered_output=not args.unordered, date_dir=args.date_dir, file_glob=args.file_glob,
+        csv_options={"by_name": args.by_name, "multi_line": args.multi_line,
+                     "sep": args.sep, "encoding": args.encoding})
     spark = SparkSession.builder.appName("dailybars").getOrCreate()
     apply_scale_defaults(spark)
     return ReportJob(spark, cfg).run()

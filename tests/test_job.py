@@ -160,3 +160,18 @@ def test_run_restores_session_setting(spark, tmp):
     before = spark.conf.get(key, None)
     ReportJob(spark, config(tmp), NOW).run()
     assert spark.conf.get(key, None) == before
+
+
+def test_main_cli_semicolon_latin1(spark, tmp):
+    from conftest import SOURCE_COLUMNS
+    for r in shifted(TICKS):
+        date, hour = r[2], r[3][:2]
+        os.makedirs(f"{tmp}/src/{date}", exist_ok=True)
+        with open(f"{tmp}/src/{date}/{date}_{hour}.csv", "w", encoding="latin-1") as fh:
+            fh.write(";".join(SOURCE_COLUMNS) + "\n" + ";".join(str(v) for v in r) + "\n")
+    path = main(["--source-root", f"{tmp}/src", "--target-root", f"{tmp}/trg",
+                 "--ledger-path", f"{tmp}/trg/meta", "--first-extract-date", "2022-03-17",
+                 "--end-date", "2022-03-20", "--sep", ";", "--encoding", "ISO-8859-1",
+                 "--unordered"])
+    got = sorted(tuple(r) for r in read_parquet(spark, path).collect())
+    assert got == shifted_report()
