@@ -1,10 +1,9 @@
 """Plans: the report transform and the batch job.
 
-(The registered queries live in ``plans.catalog`` and their SQL in
-``plans.oracle``; they are imported by ``__spark_entry__``, not here.)
+The job is ``plans.job`` (``python -m dailybars``); the registered queries
+live in ``plans.catalog`` and their SQL in ``plans.oracle``.
 """
 
-from .job import ReportJob, main
 from .report import daily_report, report_schema
 
-__all__ = ["ReportJob", "main", "daily_report", "report_schema"]
+__all__ = ["daily_report", "report_schema"]
