@@ -19,8 +19,18 @@ from ..config import SourceColumns
 from ..functions import nan_to_null
 
 
+_TABLES: dict[tuple, DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One of the given (read-only) tables. The DataFrame is created once per
+    session and table and reused, as an application reuses a table it has
+    opened: the file listing and footer read happen once, not per query."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark, spark.sparkContext.applicationId, path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
 # props is almost always exactly {"k": <integer>}: then an anchored pattern
