@@ -181,3 +181,12 @@ def test_list_prefix_semantics(spark, tmp):
     # A key prefix also matches the longer folder name, unlike the extract's glob.
     assert list_prefix(spark, f"{tmp}/src", "2021-04-17").count() == 3
     assert list_prefix(spark, f"{tmp}/src", "2021-04-19/2021-04-19_0").count() == 3
+
+
+def test_utf8_bom_header(spark, tmp):
+    os.makedirs(f"{tmp}/2021-04-15")
+    with open(f"{tmp}/2021-04-15/a.csv", "w", encoding="utf-8-sig") as fh:
+        fh.write(",".join(SOURCE_COLUMNS) + "\nX,M,2021-04-15,09:00,1.0,2.0,0.5,2.5,10\n")
+    for by_name in (False, True):
+        r = read_ticks_csv(spark, tmp, by_name=by_name).collect()
+        assert [(x["ISIN"], x["TradedVolume"]) for x in r] == [("X", 10)], by_name
