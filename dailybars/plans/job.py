@@ -31,6 +31,11 @@ class ReportJob:
 
     def __init__(self, spark: SparkSession, cfg: JobConfig, now: dt.datetime | None = None):
         check_format(cfg.report_format)          # fail before any Spark job
+        for name, value, allowed in (("source_format", cfg.source_format, ("csv", "parquet")),
+                                     ("write_mode", cfg.write_mode, ("per_run", "by_date")),
+                                     ("change_basis", cfg.change_basis, ("opening", "closing"))):
+            if value not in allowed:
+                raise ValueError(f"{name} must be one of {allowed}, got {value!r}")
         self.spark = spark
         self.cfg = cfg
         self.now = now or dt.datetime.now()      # one processing time per run

@@ -175,3 +175,10 @@ def test_main_cli_semicolon_latin1(spark, tmp):
                  "--unordered"])
     got = sorted(tuple(r) for r in read_parquet(spark, path).collect())
     assert got == shifted_report()
+
+
+def test_unknown_options_fail_before_any_work(spark, tmp):
+    import pytest
+    for kw in ({"source_format": "json"}, {"write_mode": "merge"}, {"change_basis": "mid"}):
+        with pytest.raises(ValueError):
+            ReportJob(spark, config(tmp, **kw), NOW)
