@@ -182,3 +182,16 @@ def test_unknown_options_fail_before_any_work(spark, tmp):
     for kw in ({"source_format": "json"}, {"write_mode": "merge"}, {"change_basis": "mid"}):
         with pytest.raises(ValueError):
             ReportJob(spark, config(tmp, **kw), NOW)
+
+
+def test_scale_defaults_keep_submitted_settings(spark):
+    from dailybars.session import SCALE_CONF, apply_scale_defaults
+    key = "spark.sql.files.openCostInBytes"
+    assert key in SCALE_CONF and spark.sparkContext.getConf().contains(key)
+    old = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "4m")
+        apply_scale_defaults(spark)
+        assert spark.conf.get(key) == "4m"
+    finally:
+        spark.conf.set(key, old)
