@@ -50,7 +50,8 @@ def heavy_hitters(rows: DataFrame, limit: int = HEAVY_DIGESTS,
     ``MERGE_GROUPS`` of them however many tasks there were."""
     partial = (rows.groupBy((F.spark_partition_id() % MERGE_GROUPS).alias("part"))
                .agg(F.expr(f"approx_top_k_accumulate(digest, {int(tracked)})").alias("sketch")))
-    merged = partial.agg(F.expr(f"approx_top_k_combine(sketch, {int(tracked)})").alias("sketch"))
+    # A keyed merge: the keyless one fails on partitions without a summary.
+    merged = partial.groupBy(F.lit(0).alias("all")).agg(F.expr(f"approx_top_k_combine(sketch, {int(tracked)})").alias("sketch"))
     top = merged.select(F.expr(f"approx_top_k_estimate(sketch, {int(limit)})").alias("top"))
     return (top.select(F.explode("top").alias("hit")).where("hit.count > 1")
             .select(F.col("hit.item").alias("digest")))
