@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, langid
+from . import exact_dedup, langid, near_dup, packing, token_counts, toxicity
 from .common import ship_package, table
 
 
@@ -17,9 +17,18 @@ def _op(function: Callable[[DataFrame], DataFrame], name: str):
     return run
 
 
+def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": _op(langid.identify, "documents"),
+    "op4_toxicity": _toxicity,
+    "op6_ngram_jaccard_join": _op(near_dup.jaccard_classes, "documents"),
+    "op7_token_counts": _op(token_counts.token_counts, "documents"),
     "op8_exact_dedup": _op(exact_dedup.exact_dedup, "documents"),
+    "op10_best_fit_packing": _op(packing.best_fit_packing, "documents"),
 }
 
 ORACLE_SQL: dict[str, str] = {
