@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, langid, near_dup, packing, token_counts, toxicity
+from . import (exact_dedup, langid, near_dup, packing, sp_tokens, token_counts, toxicity,
+               url_filter, va_search, warc_index)
 from .common import ship_package, table
 
 
@@ -24,14 +25,73 @@ def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": _op(langid.identify, "documents"),
+    "op2_warc_index": _op(warc_index.archive_round_trip, "pages"),
+    "op3_exact_top_k": _op(va_search.top_k, "embeddings"),
     "op4_toxicity": _toxicity,
+    "op5_sentencepiece": _op(sp_tokens.encoding_report, "documents"),
     "op6_ngram_jaccard_join": _op(near_dup.jaccard_classes, "documents"),
     "op7_token_counts": _op(token_counts.token_counts, "documents"),
     "op8_exact_dedup": _op(exact_dedup.exact_dedup, "documents"),
+    "op9_url_filter": _op(url_filter.judge, "pages"),
     "op10_best_fit_packing": _op(packing.best_fit_packing, "documents"),
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_warc_index": r"""
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+        f AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM p)
+        SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+               array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   CAST((CAST('0x' || substr(h, 10 * (i // 8) + 1, 10) AS BIGINT)
+                         >> (35 - 5 * (i % 8))) & 31 AS INT) + 1, 1)
+                   for i in range(32)], '') AS payload_digest,
+               CASE WHEN page_id IS DISTINCT FROM first AND first IS NOT NULL
+                    THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+        FROM f""",
+    "op3_exact_top_k": r"""
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding,
+                                          lambda x: floor(256 * CAST(x AS DOUBLE))) AS ints
+            FROM embeddings),
+        s AS (
+            SELECT q.vec_id AS query_id, v.vec_id,
+                   CAST(list_inner_product(q.ints, v.ints) AS BIGINT) AS score
+            FROM v AS q JOIN v ON q.vec_id % 50 = 0 AND v.vec_id <> q.vec_id),
+        r AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id
+                                         ORDER BY score DESC, vec_id) AS place
+            FROM s)
+        SELECT query_id, CAST(place AS INT) AS rank, vec_id, score FROM r WHERE place <= 5""",
+    "op6_ngram_jaccard_join": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, list_filter(string_split_regex(lower(text), '\s+'),
+                                       lambda x: x <> '') AS words
+            FROM documents),
+        sets AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) >= 5
+                THEN list_transform(range(1, len(words) - 3),
+                                    lambda k: array_to_string(words[k : k + 4], ' '))
+                WHEN len(words) > 0 THEN [array_to_string(words, ' ')] END) AS shingle
+            FROM w),
+        sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+        common AS (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n
+            FROM sets a JOIN sets b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+            GROUP BY 1, 2),
+        linked AS (
+            SELECT x, y FROM common c JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+            WHERE 10 * c.n >= 8 * (p.n + q.n - c.n)),
+        reach(x, y) AS (
+            SELECT x, y FROM linked
+            UNION
+            SELECT r.x, l.y FROM reach r JOIN linked l ON r.y = l.x)
+        SELECT d.doc_id, least(d.doc_id, coalesce(r.low, d.doc_id)) AS class_id,
+               coalesce(c.n, 0) AS n_links
+        FROM documents d
+        LEFT JOIN (SELECT x, min(y) AS low FROM reach GROUP BY x) r ON r.x = d.doc_id
+        LEFT JOIN (SELECT x, count(*) AS n FROM linked GROUP BY x) c ON c.x = d.doc_id""",
     "op8_exact_dedup": r"""
         WITH d AS (
             SELECT doc_id, length(coalesce(text, '')) AS n_points,
