@@ -1,0 +1,61 @@
+import corpus_pipeline
+import pytest
+
+from dailybars.llm import packing
+from .test_near_dup import brute as near_brute
+from .test_packing import check_packing
+from .test_toxicity import labelled
+
+
+def test_stages_act_and_keep_the_columns(spark, tmp_path, make_docs):
+    docs, labels = labelled(300)
+    docs += [(5000, None, "en"), (5001, "12 34", "en"), (5002, docs[1][1] + " \t", "en"),
+             (5003, docs[2][1] + " tail", "en"), (5003, docs[2][1] + " tail", "en")]
+    make_docs(docs).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(
+        f"{tmp_path}/labels.parquet")
+    rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
+
+    toxic = {i for i, _, t in labels if t}
+    left = [d for d in docs if d[0] not in toxic and d[0] not in (5000, 5001)]
+    seen, kept = set(), []
+    for i, text, lang in sorted(left, key=lambda d: (-len(d[1]), d[0])):
+        key = "".join(text.split())
+        if key not in seen:
+            seen.add(key)
+            kept.append((i, text, lang))
+    heads = {c for i, c, _ in near_brute(kept) if i == c}
+    final = [d for d in kept if d[0] in heads]
+    assert {r.doc_id for r in rows} == heads
+    check_packing(rows, final, packing.CAPACITY)
+
+
+def test_stage_list():
+    assert [n for n, _ in corpus_pipeline.STAGES] == [
+        "toxicity", "language_id", "exact_dedup", "ngram_jaccard", "best_fit_packing"]
+    assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_every_operator_is_registered():
+    import __spark_entry__ as entry
+    names = entry.queries()
+    for n in range(1, 11):
+        assert sum(q.startswith(f"op{n}_") for q in names) == 1
+    assert "pipeline" in names and set(entry.oracle_sql()) <= set(names)
+
+
+@pytest.mark.parametrize("name", ["op2_warc_index", "op3_exact_top_k", "op6_ngram_jaccard_join", "op8_exact_dedup"])
+def test_queries_match_their_sql(spark, name):
+    import duckdb
+
+    import __spark_entry__ as entry
+    folder = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    for t in ("documents", "pages", "embeddings"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{folder}/{t}.parquet')")
+    expected = con.sql(entry.oracle_sql()[name])
+    found = entry.queries()[name](spark, folder)
+    columns = sorted(expected.columns)
+    assert sorted(found.columns) == columns
+    assert sorted(tuple(r) for r in found.select(*columns).collect()) == sorted(
+        con.sql(f"SELECT {', '.join(columns)} FROM ({entry.oracle_sql()[name]})").fetchall())

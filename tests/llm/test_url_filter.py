@@ -1,0 +1,62 @@
+import re
+
+import pytest
+
+from dailybars.llm import url_filter as U
+
+
+@pytest.fixture(scope="module")
+def make_pages(spark):
+    return lambda rows: spark.createDataFrame(
+        [(*r, "<p>", "x", "y", 0.5) for r in rows],
+        "page_id long, url string, html string, rule string, probability string, label double")
+
+
+def brute(url):
+    if not url or "://" not in url:
+        return "", "", None
+    rest = url.split("://", 1)[1]
+    raw = re.match("[^/?#]*", rest).group()
+    path = re.match("[^?#]*", rest[len(raw):]).group()
+    host = re.sub("[A-Z]", lambda m: m.group().lower(), raw)
+    best = None
+    for rule, _ in U.RULES:
+        h, _, p = rule.partition("/")
+        if (host == h or host.endswith("." + h)) and path.startswith("/" + p):
+            best = max(best or "", rule, key=len)
+    return host, path, best
+
+
+URLS = [(1, "http://A.Example.NET/en/1?x=1#y"), (2, "https://example.net/de/"), (3, "https://notexample.net"),
+        (4, "http://example.com/de/x"), (5, "http://myexample.com/de/x"), (6, "https://x.org/fr/"),
+        (7, "https://x.org/fr"), (8, "https://org/fr/a?b"), (9, "http://net/"), (10, "ftp://net?x/"),
+        (11, None), (12, ""), (13, "no scheme net/"), (14, "://"), (15, "http://ÄB.example.net/en/"),
+        (16, "a://b://c.net/"), (17, "http://spam-farm.example.org/en/1"), (17, "http://spam-farm.example.org/en/1"),
+        (None, "http://blog.garden.example.com/en/2"), (18, "http://x.com/" + "a" * 50_000), (19, "http://x.com/a\nb?c")]
+
+
+def test_hosts_paths_and_rules_match_brute_force(make_pages):
+    found = U.judge(make_pages(URLS)).collect()
+    assert len(found) == len(URLS)
+    by_id = {(i or 0): u for i, u in URLS}
+    for r in found:
+        assert (r.host, r.path, r.rule) == brute(by_id[r.page_id or 0]), r
+        expected = dict(U.RULES)[r.rule] if r.rule else ("block" if r.block_score >= 0.5 else "allow")
+        assert r.verdict == expected
+
+
+def test_classifier_generalises(make_pages):
+    block = [f"http://{w}.example.org/en/{n}" for n in (1, 77) for w in
+             ("spam-city", "cheap-pills", "casino-win", "ads-track", "free-lottery")]
+    allow = [f"https://{w}.example.com/es/{n}" for n in (1, 77) for w in
+             ("blog.thth", "m.onion", "library", "www.gardens", "docs.tools")]
+    found = U.judge(make_pages(list(enumerate(block + allow)))).collect()
+    wrong = [r for r in found if (r.verdict == "block") != (r.page_id < len(block))]
+    assert len(wrong) <= 1
+
+
+def test_empty_table_and_no_python(make_pages):
+    from conftest import explain_text
+    found = U.judge(make_pages([]))
+    assert found.collect() == []
+    assert not re.search("Python|Pandas|Arrow|Join|Exchange", explain_text(found))
