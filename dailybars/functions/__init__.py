@@ -1,10 +1,11 @@
 """Column functions: rounding, percent change, dates, time keys."""
 
-from .dates import date_series, date_series_col, format_date, parse_date
+from .dates import date_series, format_date, parse_date
 from .numeric import nan_to_null, pct_change, round_half_even
-from .timekey import MISSING_TIME_KEY, time_key
+from .timekey import MISSING_TIME_KEY, text_order_key, time_key
 
 __all__ = [
-    "date_series", "date_series_col", "format_date", "parse_date",
-    "nan_to_null", "pct_change", "round_half_even", "MISSING_TIME_KEY", "time_key",
+    "date_series", "format_date", "parse_date",
+    "nan_to_null", "pct_change", "round_half_even", "MISSING_TIME_KEY",
+    "text_order_key", "time_key",
 ]

@@ -11,9 +11,13 @@ from ..config import DATE_FORMAT
 
 
 def parse_date(c: Column, fmt: str = DATE_FORMAT, strict: bool = True) -> Column:
-    """Text to DateType. ``strict`` raises on a malformed value (under ANSI),
-    otherwise the value becomes NULL."""
-    return F.to_date(c, fmt) if strict else F.try_to_date(c, fmt)
+    """Text to DateType. ``strict`` fails the job on a malformed value, naming
+    it, whatever the session's ANSI setting; otherwise it becomes NULL."""
+    parsed = F.try_to_date(c, fmt)
+    if not strict:
+        return parsed
+    error = F.raise_error(F.concat(F.lit("malformed date: "), c))
+    return F.coalesce(parsed, F.when(c.isNotNull(), error))
 
 
 def format_date(c: Column, fmt: str = DATE_FORMAT) -> Column:
@@ -28,10 +32,3 @@ def date_series(spark: SparkSession, start: dt.date, end: dt.date,
     return spark.range(0, n).select(
         F.date_add(F.lit(start), F.col("id").cast("int")).alias(name))
 
-
-def date_series_col(start: Column, end: Column) -> Column:
-    """Array of dates ``start..end`` for column bounds; empty if start > end.
-
-    ``sequence`` alone counts down when start > end, hence the guard."""
-    return F.when(start <= end, F.sequence(start, end)).otherwise(
-        F.array().cast("array<date>"))

@@ -1,16 +1,14 @@
 """Integer ordering key for the time of a tick within its day.
 
 ``min_by``/``max_by`` with a string key plan as SortAggregate; with a long key
-they plan as HashAggregate with a map-side partial aggregate. Text times
-("HH:MM", "HH:MM:SS", "HH:MM:SS.ffffff") become microseconds since
-midnight, ordering by clock time (equal to text order for the zero-padded
-fixed-width times the sources use); timestamps become microseconds since the
-epoch, which orders the same way within a day and needs no field extraction.
-
-Text is parsed with fixed-offset ``substring`` and ``try_cast`` (no regular
-expressions: this runs once per tick, and a regex-based parse measured about
-18x more CPU per row). Other shapes such as "9:00" or "09:00:30.5" go
-through a ``substring_index`` path.
+they plan as HashAggregate with a map-side partial aggregate. A text time
+("HH:MM", "0930", "HH:MM:SS.ffffff", ...) is packed into a long that orders
+exactly like the text: its characters become digits of base 13, the shorter
+text first. That holds up to 17 characters (eight digits of a second's
+fraction). A longer text, or one with other characters, fails the job with the
+value named; ``order_by_text`` orders by the text itself and takes any text.
+Timestamps become microseconds since the epoch, which orders the same way
+within a day and needs no field extraction.
 """
 
 from __future__ import annotations
@@ -21,64 +19,32 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType, TimestampNTZType, TimestampType
 
-_MICROS_PER_SECOND = 1_000_000
-
 # A missing time sorts after every real time (ordering keys are NULL-skipped
 # by min_by/max_by, so it needs a value): the largest long.
 MISSING_TIME_KEY = 2 ** 63 - 1
 
+# The characters of a time in text order, and their digits in base 13 (0 is
+# the end of the text). 13 ** 17 < 2 ** 63.
+_CHARACTERS = ".0123456789:"
+_DIGITS = "123456789ABC"
+_WIDTH = 17
 
-def _micros(h: Column, m: Column, s: Column, frac: Column) -> Column:
-    return ((h * 60 + m) * 60 + s) * _MICROS_PER_SECOND + frac
-
-
-def _fixed_width(t: Column) -> Column:
-    """HH:MM, HH:MM:SS, HH:MM:SS.ffffff at fixed offsets; NULL otherwise."""
-    def num(start: int, n: int) -> Column:
-        return F.substring(t, start, n).try_cast("long")
-
-    def char(pos: int, ch: str) -> Column:
-        return F.substring(t, pos, 1) == ch
-
-    n = F.length(t)
-    colon3, colon6 = char(3, ":"), char(6, ":")
-    zero = F.lit(0).cast("long")
-    return (F.when((n == 5) & colon3, _micros(num(1, 2), num(4, 2), zero, zero))
-            .when((n == 8) & colon3 & colon6, _micros(num(1, 2), num(4, 2), num(7, 2), zero))
-            .when((n == 15) & colon3 & colon6 & char(9, "."),
-                  _micros(num(1, 2), num(4, 2), num(7, 2), num(10, 6))))
-
-
-def _general(t: Column) -> Column:
-    """H:MM[:SS[.f...]] of any width, via substring_index; NULL if malformed."""
-    colons = F.length(t) - F.length(F.replace(t, F.lit(":"), F.lit("")))
-    h = F.substring_index(t, ":", 1).try_cast("long")
-    m = F.substring_index(F.substring_index(t, ":", 2), ":", -1).try_cast("long")
-    sec = F.when(colons == 2, F.substring_index(t, ":", -1))
-    has_frac = F.instr(sec, ".") > 0
-    s = F.coalesce(F.substring_index(sec, ".", 1).try_cast("long"),
-                   F.when(sec.isNull(), F.lit(0).cast("long")))
-    frac = F.when(has_frac, F.rpad(F.substring_index(sec, ".", -1), 6, "0").try_cast("long")) \
-        .otherwise(F.when(~has_frac | sec.isNull(), F.lit(0).cast("long")))
-    # Bounded parts, so malformed huge numbers cannot overflow (ANSI would
-    # fail the job); such times count as missing.
-    bound = 1_000_000
-    ok = colons.isin(1, 2) & (F.abs(h) < bound) & (F.abs(m) < bound) & (F.abs(s) < bound)
-    return F.when(ok, _micros(h, m, s, frac))
-
+_EPOCH = dt.datetime(1970, 1, 1)
 
-def _text_key(c: Column) -> Column:
-    return F.coalesce(_fixed_width(c), _general(c))
 
-
-_EPOCH = dt.datetime(1970, 1, 1)
+def _text_key(text: Column) -> Column:
+    packed = F.conv(F.rpad(F.translate(text, _CHARACTERS, _DIGITS), _WIDTH, "0"), 13, 10)
+    fits = (F.length(text) <= _WIDTH) & (F.translate(text, _CHARACTERS, "") == "")
+    error = F.raise_error(F.concat(
+        F.lit("tick time cannot be ordered as a number, use order_by_text: "), text))
+    return F.when(fits, packed.cast("long")).when(text.isNotNull(), error)
 
 
 def time_key(c: Column, data_type: DataType = StringType()) -> Column:
-    """Long ordering key of a tick's time; MISSING_TIME_KEY for NULL or
-    unparsable. Timestamp: microseconds since the epoch (``unix_micros``, or
-    for a zone-less timestamp the microsecond difference to the epoch, which
-    involves no time zone). Text: microseconds since midnight."""
+    """Long ordering key of a tick's time; MISSING_TIME_KEY for NULL.
+    Timestamp: microseconds since the epoch (``unix_micros``, or for a
+    zone-less timestamp the microsecond difference to the epoch, which
+    involves no time zone). Text: packed in text order."""
     if isinstance(data_type, TimestampType):
         key = F.unix_micros(c)
     elif isinstance(data_type, TimestampNTZType):
@@ -86,3 +52,8 @@ def time_key(c: Column, data_type: DataType = StringType()) -> Column:
     else:
         key = _text_key(c.cast("string"))
     return F.coalesce(key, F.lit(MISSING_TIME_KEY))
+
+
+def text_order_key(c: Column) -> Column:
+    """Ordering key for any text: missing last, then the text itself."""
+    return F.struct(c.isNull(), c.cast("string"))

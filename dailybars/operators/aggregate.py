@@ -15,17 +15,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import ReportColumns, SourceColumns
-from ..functions import time_key
+from ..functions import nan_to_null, text_order_key, time_key
 
 TIME_KEY = "_time_key"
 
 
-def prepare_ticks(ticks: DataFrame, src: SourceColumns = SourceColumns()) -> DataFrame:
+def prepare_ticks(ticks: DataFrame, src: SourceColumns = SourceColumns(),
+                  order_by_text: bool = False) -> DataFrame:
     """Drop rows without a group key (grouping ignores them) and add the
-    integer time key used to order ticks within a day."""
-    data_type = ticks.schema[src.time].dataType
-    return (ticks.na.drop(subset=[src.isin, src.date])
-            .withColumn(TIME_KEY, time_key(F.col(src.time), data_type)))
+    integer time key used to order ticks within a day (with ``order_by_text``
+    the time's text, which takes any text but plans as SortAggregate). NaN
+    prices are missing, whatever the source."""
+    key = (text_order_key(F.col(src.time)) if order_by_text
+           else time_key(F.col(src.time), ticks.schema[src.time].dataType))
+    return _priced(ticks, src).withColumn(TIME_KEY, key)
+
+
+def _priced(ticks: DataFrame, src: SourceColumns) -> DataFrame:
+    floats = [f.name for f in ticks.schema if f.name in src.prices
+              and f.dataType.typeName() in ("float", "double")]
+    return ticks.na.drop(subset=[src.isin, src.date]).withColumns(
+        {c: nan_to_null(F.col(c)) for c in floats})
 
 
 def _order_key(tie_break: Sequence[str]) -> Column:
@@ -53,21 +63,22 @@ def volume_expr(volume: str) -> Column:
     return F.coalesce(F.sum(F.col(volume)), F.lit(0)).cast("long")
 
 
-def _group(ticks: DataFrame, src: SourceColumns, trg: ReportColumns, ordered: bool = True):
+def _group(ticks: DataFrame, src: SourceColumns, trg: ReportColumns, ordered: bool = True,
+           order_by_text: bool = False):
     """Group by (ISIN, Date) under report names; ``ordered`` adds the time
     key that open and close need."""
-    rows = prepare_ticks(ticks, src) if ordered else ticks.na.drop(subset=[src.isin, src.date])
+    rows = prepare_ticks(ticks, src, order_by_text) if ordered else _priced(ticks, src)
     return rows.groupBy(F.col(src.isin).alias(trg.isin), F.col(src.date).alias(trg.date))
 
 
 def daily_ohlcv(ticks: DataFrame, src: SourceColumns = SourceColumns(),
                 trg: ReportColumns = ReportColumns(),
-                tie_break: Sequence[str] = ()) -> DataFrame:
+                tie_break: Sequence[str] = (), order_by_text: bool = False) -> DataFrame:
     """One row per (ISIN, Date): opening, closing, low, high, volume.
 
     Opening and closing are both taken from the *start* price of the first
     and last tick, which is what the published reports contain."""
-    return _group(ticks, src, trg).agg(
+    return _group(ticks, src, trg, order_by_text=order_by_text).agg(
         opening_price_expr(src.start_price, tie_break).alias(trg.opening),
         closing_price_expr(src.start_price, tie_break).alias(trg.closing),
         F.min(src.min_price).alias(trg.minimum),
@@ -77,13 +88,17 @@ def daily_ohlcv(ticks: DataFrame, src: SourceColumns = SourceColumns(),
 
 
 def opening_price(ticks: DataFrame, src: SourceColumns = SourceColumns(),
-                  trg: ReportColumns = ReportColumns()) -> DataFrame:
-    return _group(ticks, src, trg).agg(opening_price_expr(src.start_price).alias(trg.opening))
+                  trg: ReportColumns = ReportColumns(), tie_break: Sequence[str] = (),
+                  order_by_text: bool = False) -> DataFrame:
+    return _group(ticks, src, trg, order_by_text=order_by_text).agg(
+        opening_price_expr(src.start_price, tie_break).alias(trg.opening))
 
 
 def closing_price(ticks: DataFrame, src: SourceColumns = SourceColumns(),
-                  trg: ReportColumns = ReportColumns()) -> DataFrame:
-    return _group(ticks, src, trg).agg(closing_price_expr(src.start_price).alias(trg.closing))
+                  trg: ReportColumns = ReportColumns(), tie_break: Sequence[str] = (),
+                  order_by_text: bool = False) -> DataFrame:
+    return _group(ticks, src, trg, order_by_text=order_by_text).agg(
+        closing_price_expr(src.start_price, tie_break).alias(trg.closing))
 
 
 def daily_low(ticks: DataFrame, src: SourceColumns = SourceColumns(),

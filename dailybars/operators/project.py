@@ -1,9 +1,9 @@
-"""Projection, renaming and date filters."""
+"""Projection and date filters."""
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,15 +15,8 @@ def project(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in columns])
 
 
-def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
-    return df.withColumnsRenamed(dict(mapping))
-
-
 def from_date(df: DataFrame, column: str, first: dt.date) -> DataFrame:
     """Rows with ``column >= first``. Apply it *after* the change window: the
     day before ``first`` is read only to feed the change of ``first``."""
     return df.where(F.col(column) >= F.lit(first))
 
-
-def with_constant(df: DataFrame, column: str, value) -> DataFrame:
-    return df.withColumn(column, F.lit(value))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import ReportColumns, SourceColumns
 from ..functions import pct_change
+from ..session import scratch_dir
 from .aggregate import closing_price_expr, opening_price_expr, prepare_ticks
 
 BASES = ("opening", "closing")
@@ -55,19 +58,23 @@ def add_change(day: DataFrame, trg: ReportColumns = ReportColumns(),
 def ticks_with_open_close(ticks: DataFrame, src: SourceColumns = SourceColumns(),
                           opening: str = "OpeningPrice", closing: str = "ClosingPrice",
                           hot_rows: int = 1_000_000, max_hot_keys: int = 100_000,
-                          buckets: int | None = None) -> DataFrame:
+                          buckets: int | None = None, tie_break: Sequence[str] = (),
+                          order_by_text: bool = False) -> DataFrame:
     """Every tick with its day's opening and closing price attached.
 
     Not a window over (ISIN, Date), which would put every tick of a hot
     instrument-day into one task. Instead:
 
     1. one aggregate per (ISIN, Date) (partial before its shuffle) gives
-       open, close and the tick count ``n``;
-    2. keys with ``n`` above ``threshold = max(hot_rows, total / max_hot_keys)``
-       are hot. There are at most ``max_hot_keys`` of them, so their day rows
-       are broadcast and attached to the ticks map-side;
-    3. the remaining (cold) keys hold at most ``threshold`` ticks each and are
-       attached by a shuffle join on (join key, Date). The join key of a cold
+       open, close and the tick count ``n``. This day table is written to the
+       shared folder, so the ticks are read twice in all: for it and for the
+       output;
+    2. keys with more than ``hot_rows`` ticks are hot, but no more than the
+       ``max_hot_keys`` largest of them, so their day rows are a broadcast of
+       proven size and are attached to the ticks map-side;
+    3. the remaining (cold) keys are attached by a shuffle join on (join key,
+       Date) of two plain shuffles, whose partitions adaptive execution can
+       split if more keys than ``max_hot_keys`` are hot. The join key of a cold
        tick is its ISIN; a hot tick's is its ISIN, a NUL character and a
        spread-out bucket number, which matches no day row, so hot ticks are
        distributed evenly over the shuffle instead of landing in one task.
@@ -81,19 +88,21 @@ def ticks_with_open_close(ticks: DataFrame, src: SourceColumns = SourceColumns()
     spark = ticks.sparkSession
     keys = [src.isin, src.date]
     buckets = buckets or 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    day = (prepare_ticks(ticks, src)
-           .groupBy(*keys)
-           .agg(opening_price_expr(src.start_price).alias(opening),
-                closing_price_expr(src.start_price).alias(closing),
-                F.count(F.lit(1)).alias(_N)))
-    total = day.agg(F.sum(_N)).scalar()
-    threshold = F.greatest(F.lit(hot_rows).cast("double"), total / F.lit(float(max_hot_keys)))
+    path = scratch_dir(spark, "day-prices")
+    (prepare_ticks(ticks, src, order_by_text)
+     .groupBy(*keys)
+     .agg(opening_price_expr(src.start_price, tie_break).alias(opening),
+          closing_price_expr(src.start_price, tie_break).alias(closing),
+          F.count(F.lit(1)).alias(_N))
+     .write.parquet(path))
+    day = spark.read.parquet(path)
     # At most max_hot_keys rows: a broadcast of proven size.
-    hot = F.broadcast(day.where(F.col(_N) > threshold).select(
+    hot = F.broadcast(day.where(F.col(_N) > hot_rows).orderBy(F.desc(_N), *keys)
+                      .limit(max_hot_keys).select(
         *keys, F.col(opening).alias(_HOT_OPEN), F.col(closing).alias(_HOT_CLOSE),
         F.lit(True).alias(_HOT)))
-    cold = day.where(F.col(_N) <= threshold).select(
-        F.col(src.isin).alias(_KEY), src.date, opening, closing)
+    # A hot tick's join key matches no day row, so the cold side is the whole table.
+    cold = day.select(F.col(src.isin).alias(_KEY), src.date, opening, closing)
     bucket = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in ticks.columns]), F.lit(buckets))
     spread = F.concat(F.coalesce(F.col(src.isin), F.lit("")), F.lit("\u0000"),
                       bucket.cast("string"))

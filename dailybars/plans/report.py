@@ -42,17 +42,21 @@ def round_floats(df: DataFrame, columns: Sequence[str], decimals: int = 2) -> Da
 def daily_report(ticks: DataFrame, extract_date: dt.date | None = None,
                  basis: str = "opening", src: SourceColumns = SourceColumns(),
                  trg: ReportColumns = ReportColumns(), ordered: bool = True,
-                 tie_break: Sequence[str] = (),
-                 num_partitions: int | None = None) -> DataFrame:
+                 tie_break: Sequence[str] = (), order_by_text: bool = False,
+                 num_partitions: int | None = None,
+                 look_back_days: int | None = 1) -> DataFrame:
     """Build the report from ticks.
 
-    ``extract_date``: first date to report; earlier days only feed the change
-    of the first reported day. ``basis``: "opening" compares opening prices
+    ``extract_date``: first date to report. Only ticks from ``look_back_days``
+    before it on are read (None: all); those days feed the change of the first
+    reported day. ``basis``: "opening" compares opening prices
     (the default report), "closing" closing prices. ``ordered``: output
     globally sorted by (ISIN, Date) through a range exchange; without it the
     window uses a hash exchange and the output order is undefined.
     """
-    day = daily_ohlcv(ticks, src, trg, tie_break)
+    if extract_date is not None and look_back_days is not None:
+        ticks = from_date(ticks, src.date, extract_date - dt.timedelta(days=look_back_days))
+    day = daily_ohlcv(ticks, src, trg, tie_break, order_by_text)
     if ordered:
         day = range_cluster(day, trg.isin, num_partitions)
     prev = with_previous(day, trg, basis)
