@@ -1,11 +1,16 @@
-"""CSV tick files laid out as ``<root>/<date folder>/<files>``.
+"""CSV tick files of trading dates: ``<root>/<date>...``.
 
-One scan over a glob of the wanted date folders replaces reading file by file.
-Rules (checked in the tests):
+One scan over a glob replaces reading file by file. A date's files are all
+files below ``root`` whose first name is the date, or the date followed by
+something that is no digit: date folders at any depth, and flat files such as
+``<date>_09.csv``. Any suffix counts (``file_glob`` can restrict names); names
+that start with ``_`` or ``.`` are invisible to Spark. Rules (checked in the
+tests):
 
 * Every column is read as text, then the missing-value words become NULL and
   the typed columns are cast by name (Spark's CSV ``nullValue`` takes a single
-  word). NaN prices become NULL.
+  word). NaN prices become NULL, whole numbers may be written as decimals, and
+  any other malformed value fails the job, whatever the ANSI setting.
 * ``enforceSchema=False``: each file's header must equal the expected column
   list in order; a file with swapped columns fails instead of being read by
   position into the wrong columns.
@@ -13,7 +18,8 @@ Rules (checked in the tests):
   group is scanned with its own layout and the groups are unioned by name
   (a column missing in a group is NULL there). It costs one extra pass to
   read the headers, so it is off by default.
-* Short rows keep their missing trailing fields as NULL; long rows fail.
+* Short rows keep their missing trailing fields as NULL; long rows fail, also
+  when a query needs few columns or none: the parser always sees whole rows.
 * No matching file gives an empty, typed frame.
 * ``multi_line`` allows quoted line breaks but makes files unsplittable; keep
   it off for large files.
@@ -34,7 +40,6 @@ from ..functions import nan_to_null
 from .files import date_from_path
 
 _CORRUPT = "_corrupt_record"
-_TOO_LONG = "_too_long"
 
 
 def tick_types(src: SourceColumns = SourceColumns()) -> dict[str, T.DataType]:
@@ -51,34 +56,34 @@ def tick_schema(columns: Sequence[str], types: Mapping[str, T.DataType]) -> T.St
                          for c in columns])
 
 
+_ANY_DATE = "[0-9][0-9][0-9][0-9]-[0-9][0-9]-[0-9][0-9]"
+
+
 def date_folders(root: str, dates: Sequence[dt.date] | None, date_dir: str = "{date}") -> str:
-    """Glob of the date folders: ``root/{d1,d2,..}``. A folder named like a
-    date plus a suffix (``2021-04-170``) does not match, unlike a plain
-    string prefix.
-
-    The glob names folders, not files: it resolves with one listing of
-    ``root``, and Spark's file index then lists the matched folders in
-    parallel (a distributed job beyond a few dozen folders). Files are
-    selected with ``pathGlobFilter``."""
-    if dates is None:
-        folder = date_dir.format(date="*")
-    else:
-        names = sorted({d.isoformat() for d in dates})
-        folder = date_dir.format(date="{" + ",".join(names) + "}")
-    return f"{root.rstrip('/')}/{folder}"
+    """Glob of the dates' folders and flat files: ``root/{d1,d2,..}{,[^0-9]*}``.
+    A name that goes on with a digit (``2021-04-170``) does not match, unlike
+    a plain string prefix.
+
+    It resolves with one listing of ``root``; Spark's file index then lists
+    the matched folders in parallel (a distributed job beyond a few dozen
+    folders). Names are selected with ``pathGlobFilter``."""
+    names = _ANY_DATE if dates is None else (
+        "{" + ",".join(sorted({d.isoformat() for d in dates})) + "}")
+    return f"{root.rstrip('/')}/{date_dir.format(date=names)}{{,[^0-9]*}}"
 
 
 def date_glob(root: str, dates: Sequence[dt.date] | None, date_dir: str = "{date}",
               file_glob: str = "*.csv") -> str:
-    """Glob of the files themselves (for listings)."""
+    """Glob of the files in the dates' folders (for listings)."""
     return f"{date_folders(root, dates, date_dir)}/{file_glob}"
 
 
 def _reader(spark: SparkSession, encoding: str, sep: str, multi_line: bool,
-            file_glob: str | None = None):
+            file_glob: str | None = None, recursive: bool = True):
     reader = (spark.read.option("header", True).option("encoding", encoding)
               .option("sep", sep).option("multiLine", multi_line)
-              .option("quote", '"').option("escape", '"'))
+              .option("quote", '"').option("escape", '"')
+              .option("recursiveFileLookup", recursive))
     return reader.option("pathGlobFilter", file_glob) if file_glob else reader
 
 
@@ -97,52 +102,68 @@ def header_of(spark: SparkSession, paths: str | Sequence[str], encoding: str = "
         raise
 
 
+def _field_count(row: Column, sep: str) -> Column:
+    """Fields of a CSV row's text: separators outside quoted fields, plus one."""
+    bare = F.regexp_replace(row, f'(^|\\Q{sep}\\E)"(?:[^"]|"")*"', "$1")
+    rest = F.replace(bare, F.lit(sep), F.lit(""))
+    return (F.length(bare) - F.length(rest)) / len(sep) + 1
+
+
+def _cast(column: str, text: Column, data_type: T.DataType) -> Column:
+    """Text to a type; a malformed value fails the job and is named."""
+    if isinstance(data_type, T.StringType):
+        return text
+    error = F.when(text.isNotNull(), F.raise_error(F.concat(
+        F.lit(f"malformed {data_type.simpleString()} in column {column}: "), text)))
+    value = text.try_cast(data_type)
+    if isinstance(data_type, T.IntegralType):
+        # "877.0" is what a column with missing values is often written as.
+        number = text.try_cast("decimal(38,6)")
+        value = F.coalesce(value, F.when(number == F.floor(number), number.try_cast(data_type)))
+    value = F.coalesce(value, error)
+    return nan_to_null(value) if isinstance(data_type, T.FractionalType) else value
+
+
 def _typed(raw: DataFrame, columns: Sequence[str], types: Mapping[str, T.DataType],
-           sep: str) -> DataFrame:
-    """Missing words to NULL, cast by name, fail on rows with extra fields."""
+           sep: str, added: Mapping[str, Column]) -> DataFrame:
+    """Fail on rows with extra fields, missing words to NULL, cast by name."""
     na = list(NA_WORDS)
 
-    # A corrupt row is short (trailing fields NULL, allowed) or long (an extra
-    # field exists); re-parse only corrupt rows with one more column.
-    wide = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(columns) + 1)])
-    extra = F.from_csv(F.col(_CORRUPT), wide.simpleString(), {"sep": sep})[f"c{len(columns)}"]
+    # A corrupt row is short (trailing fields NULL, allowed) or long. The check
+    # is one filter, so no projection can prune it away; it names a column
+    # besides the corrupt record, without which Spark refuses the query.
+    corrupt = F.col(_CORRUPT)
     error = F.raise_error(F.concat(
-        F.lit("CSV row has more fields than the header: "), F.col(_CORRUPT)))
-    # The flag is computed once per row as its own column: written inline in
-    # every column it was evaluated once per column (measured 2.5x slower on
-    # 10M rows), since common-subexpression elimination does not cover it.
-    flagged = raw.withColumn(_TOO_LONG, F.col(_CORRUPT).isNotNull() & extra.isNotNull())
+        F.lit("CSV row has more fields than the header: "), corrupt,
+        F.lit(" (first field "), F.coalesce(F.col(f"`{columns[0]}`"), F.lit("")), F.lit(")")))
+    too_long = corrupt.isNotNull() & (_field_count(corrupt, sep) > len(columns))
+    checked = raw.where(F.when(too_long, error).otherwise(F.lit(True)))
 
     def clean(c: str) -> Column:
         text = F.col(f"`{c}`")
         text = F.when(text.isin(na), F.lit(None)).otherwise(text)
-        data_type = types.get(c, T.StringType())
-        if isinstance(data_type, T.StringType):
-            value = text
-        elif isinstance(data_type, T.DateType):
-            value = F.to_date(text)
-        elif isinstance(data_type, (T.DoubleType, T.FloatType)):
-            value = nan_to_null(text.cast(data_type))
-        else:
-            value = text.cast(data_type)
-        # Every column carries the check: a filter on the corrupt-record
-        # column alone is not allowed, and an unused column would be pruned.
-        return F.when(F.col(_TOO_LONG), error).otherwise(value).alias(c)
-
-    return flagged.select(*[clean(c) for c in columns])
+        return _cast(c, text, types.get(c, T.StringType())).alias(c)
+
+    return checked.select(*[clean(c) for c in columns],
+                          *[value.alias(name) for name, value in added.items()])
 
 
 def _scan(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str],
           types: Mapping[str, T.DataType], encoding: str, sep: str,
-          multi_line: bool, file_glob: str | None = None) -> DataFrame:
+          multi_line: bool, file_glob: str | None = None, recursive: bool = True,
+          added: Mapping[str, Column] | None = None) -> DataFrame:
+    """One scan; ``added`` columns may use the scan's ``_metadata``."""
     text_schema = T.StructType(
         [T.StructField(c, T.StringType(), True) for c in columns]
         + [T.StructField(_CORRUPT, T.StringType(), True)])
-    raw = (_reader(spark, encoding, sep, multi_line, file_glob)
+    # Without parser pruning every field of a row is seen, so a long row is
+    # noticed whatever columns the query needs.
+    raw = (_reader(spark, encoding, sep, multi_line, file_glob, recursive)
            .option("enforceSchema", False).option("mode", "PERMISSIVE")
+           .option("columnPruning", False)
            .option("columnNameOfCorruptRecord", _CORRUPT)
            .schema(text_schema).csv(paths))
-    return _typed(raw, columns, types, sep)
+    return _typed(raw, columns, types, sep, added or {})
 
 
 def empty_ticks(spark: SparkSession, columns: Sequence[str],
@@ -154,7 +175,7 @@ def file_headers(spark: SparkSession, paths: str, encoding: str = "utf-8",
                  file_glob: str | None = None) -> DataFrame:
     """(path, header) for every file: the first line of each file's first
     split, found in one distributed pass (no file is opened on the driver)."""
-    reader = spark.read.option("encoding", encoding)
+    reader = spark.read.option("encoding", encoding).option("recursiveFileLookup", True)
     if file_glob:
         reader = reader.option("pathGlobFilter", file_glob)
     lines = (reader.text(paths)
@@ -166,7 +187,7 @@ def file_headers(spark: SparkSession, paths: str, encoding: str = "utf-8",
 
 
 def read_ticks_csv(spark: SparkSession, root: str, dates: Sequence[dt.date] | None = None,
-                   *, date_dir: str = "{date}", file_glob: str = "*.csv",
+                   *, date_dir: str = "{date}", file_glob: str = "*",
                    columns: Sequence[str] | None = None,
                    types: Mapping[str, T.DataType] | None = None,
                    src: SourceColumns = SourceColumns(), encoding: str = "utf-8",
@@ -175,93 +196,118 @@ def read_ticks_csv(spark: SparkSession, root: str, dates: Sequence[dt.date] | No
     """Read the tick files of ``dates`` (all dates if None).
 
     ``columns``: the files' header, in order; read from one file if None.
-    ``with_source_date`` adds ``source_date``, the date in the file's folder.
+    ``with_source_date`` adds ``source_date``, the date in the file's path.
     """
     types = dict(types) if types is not None else tick_types(src)
     folders = date_folders(root, dates, date_dir)
+    added = {"source_date": date_from_path("_metadata.file_path", date_dir, root)
+             } if with_source_date else {}
+    df = None
     if by_name:
         df = read_csv_by_name(spark, folders, types, encoding, sep, multi_line,
-                              file_glob=file_glob)
+                              file_glob=file_glob, root=root, added=added)
     else:
         if columns is None:
             columns = header_of(spark, folders, encoding, sep, file_glob)
-        if columns is None:
-            df = None
-        else:
+        if columns:
             try:
-                df = _scan(spark, folders, columns, types, encoding, sep, multi_line, file_glob)
+                df = _scan(spark, folders, columns, types, encoding, sep, multi_line, file_glob,
+                           added=added)
             except AnalysisException as err:
                 if not _is_missing_path(err):
                     raise
-                df = None
     if df is None:
         df = empty_ticks(spark, columns or list(src.columns), types)
         if with_source_date:
             df = df.withColumn("source_date", F.lit(None).cast("date"))
-        return df
-    if with_source_date:
-        df = df.withColumn("source_date", date_from_path("_metadata.file_path", date_dir))
     return df
 
 
+def _bare(path: str) -> str:
+    """A path without scheme and final slash, to compare with listed paths."""
+    return "/" + path.split("://", 1)[-1].split(":", 1)[-1].strip("/")
+
+
 def csv_layouts(spark: SparkSession, paths: str, encoding: str = "utf-8",
-                sep: str = ",", file_glob: str | None = None
+                sep: str = ",", file_glob: str | None = None, root: str | None = None
                 ) -> dict[tuple[str, ...], list[str]] | None:
-    """Header layout -> files with that header; None when nothing matches.
+    """Header layout -> what to scan for it; None when nothing matches.
 
-    The (path, header) pairs are file metadata, the same list Spark's file
-    index keeps on the driver for any file scan."""
+    Headers are reduced in Spark first: a folder whose files all have one
+    header is one row here, whatever its number of files. Only folders that
+    mix layouts, flat files directly below ``root``, and a ``paths`` that is
+    itself a file are listed file by file (``root/x`` alone would also read
+    files of other dates)."""
     import csv
     try:
-        pairs = file_headers(spark, paths, encoding, file_glob).collect()
+        heads = file_headers(spark, paths, encoding, file_glob).withColumn(
+            "folder", F.regexp_replace("path", "/[^/]*$", "")).persist()
     except AnalysisException as err:
         if _is_missing_path(err):
             return None
         raise
-    if not pairs:
-        return None
+    try:
+        folders = heads.groupBy("folder").agg(F.count_distinct("header").alias("n"),
+                                              F.min("header").alias("header"))
+        alone = F.lit(False)
+        if root is not None:
+            alone = F.col("folder").endswith(_bare(root))
+        elif not any(c in paths for c in "*{["):
+            alone = ~F.contains("folder", F.lit(_bare(paths)))
+        single = folders.where((F.col("n") > 1) | alone).select("folder")
+        files = heads.join(single, "folder", "left_semi").select("header", "path").collect()
+        whole = (folders.where((F.col("n") == 1) & ~alone)
+                 .select("header", F.concat("folder", F.lit("/")).alias("path")).collect())
+    finally:
+        heads.unpersist()
     layouts: dict[tuple[str, ...], list[str]] = {}
-    for row in pairs:
+    for row in [*whole, *files]:
         columns = tuple(next(csv.reader([row["header"]], delimiter=sep)))
         layouts.setdefault(columns, []).append(row["path"])
-    return layouts
+    return layouts or None
 
 
-def scan_targets(layouts: dict[tuple[str, ...], list[str]]) -> dict[tuple[str, ...], list[str]]:
-    """Per layout, the paths to scan: one glob of the folders whose files all
-    have that layout (``parent/{a,b,..}``, resolved with one listing), plus
-    the files of folders that mix layouts. Passing every file instead would
-    cost one existence check per file."""
+def scan_targets(layouts: dict[tuple[str, ...], list[str]],
+                 flat: str | None = None) -> dict[tuple[str, ...], list[str]]:
+    """Per layout, the paths to scan: one glob per parent of the folders that
+    have that layout only (``parent/{a,b,..}``, resolved with one listing),
+    plus the files of folders that mix layouts and of the folder ``flat``.
+    Passing every path instead would cost one existence check per path.
+    Entries of ``layouts`` are files, or whole folders ending in a slash."""
     folder_layouts: dict[str, set] = {}
-    for cols, files in layouts.items():
-        for f in files:
-            folder_layouts.setdefault(f.rsplit("/", 1)[0], set()).add(cols)
+    for cols, paths in layouts.items():
+        for p in paths:
+            folder_layouts.setdefault(p.rsplit("/", 1)[0], set()).add(cols)
     targets: dict[tuple[str, ...], list[str]] = {}
-    for cols, files in layouts.items():
-        uniform: dict[str, set] = {}
-        mixed: list[str] = []
-        for f in files:
-            folder = f.rsplit("/", 1)[0]
-            if len(folder_layouts[folder]) == 1:
+    for cols, paths in layouts.items():
+        parents: dict[str, set] = {}
+        files: list[str] = []
+        for p in paths:
+            folder = p.rsplit("/", 1)[0]
+            if len(folder_layouts[folder]) == 1 and not (flat and folder.endswith(flat)):
                 parent, name = folder.rsplit("/", 1)
-                uniform.setdefault(parent, set()).add(name)
+                parents.setdefault(parent, set()).add(name)
             else:
-                mixed.append(f)
-        paths = [f"{parent}/{{{','.join(sorted(names))}}}" for parent, names in uniform.items()]
-        targets[cols] = paths + mixed
+                files.append(p)
+        targets[cols] = [f"{parent}/{{{','.join(sorted(names))}}}"
+                         for parent, names in parents.items()] + files
     return targets
 
 
 def read_csv_by_name(spark: SparkSession, paths: str, types: Mapping[str, T.DataType],
                      encoding: str = "utf-8", sep: str = ",", multi_line: bool = False,
                      layouts: dict[tuple[str, ...], list[str]] | None = None,
-                     file_glob: str | None = None) -> DataFrame | None:
+                     file_glob: str | None = None, root: str | None = None,
+                     added: Mapping[str, Column] | None = None) -> DataFrame | None:
     """One scan per header layout, unioned by column name."""
     if layouts is None:
-        layouts = csv_layouts(spark, paths, encoding, sep, file_glob)
+        layouts = csv_layouts(spark, paths, encoding, sep, file_glob, root)
     if not layouts:
         return None
-    frames = [_scan(spark, targets, list(cols), types, encoding, sep, multi_line, file_glob)
-              for cols, targets in scan_targets(layouts).items()]
+    flat = _bare(root) if root is not None else _bare(paths).rsplit("/", 1)[0]
+    # Folders are listed one level deep: each folder is a target of its own.
+    frames = [_scan(spark, found, list(cols), types, encoding, sep, multi_line,
+                    file_glob, recursive=False, added=added)
+              for cols, found in scan_targets(layouts, flat).items()]
     from ..operators import union_by_name
     return union_by_name(frames)

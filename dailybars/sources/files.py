@@ -14,6 +14,13 @@ _LISTING = T.StructType([
 ])
 
 
+def input_bytes(frame: DataFrame) -> int:
+    """Bytes of the files that a frame scans, from its file indexes (nothing
+    is listed again)."""
+    leaves = frame._jdf.queryExecution().analyzed().collectLeaves()
+    return sum(int(leaves.apply(k).stats().sizeInBytes()) for k in range(leaves.size()))
+
+
 def list_files(spark: SparkSession, glob: str) -> DataFrame:
     """(path, length, modificationTime) of every file matching ``glob``.
 
@@ -43,13 +50,19 @@ def list_prefix(spark: SparkSession, root: str, prefix: str) -> DataFrame:
         raise
 
 
-def date_from_path(path: str = "_metadata.file_path", date_dir: str = "{date}") -> F.Column:
-    """The ``yyyy-MM-dd`` date in the name of the file's folder, which is
-    ``date_dir`` with ``{date}`` filled in. Plain substring functions (no
-    regular expression), since this runs once per row."""
-    folder = F.substring_index(F.substring_index(F.col(path), "/", -2), "/", 1)
+def date_from_path(path: str = "_metadata.file_path", date_dir: str = "{date}",
+                   root: str | None = None) -> F.Column:
+    """The ``yyyy-MM-dd`` date of a file: in the first name below ``root``
+    (folder or flat file), or without ``root`` in the name of the file's
+    folder, which starts with ``date_dir`` with ``{date}`` filled in. Plain
+    string functions (no regular expression), since this runs once per row."""
+    if root is None:
+        name = F.substring_index(F.substring_index(F.col(path), "/", -2), "/", 1)
+    else:
+        below = "/" + root.split("://", 1)[-1].split(":", 1)[-1].strip("/") + "/"
+        name = F.substring_index(F.substring_index(F.col(path), below, -1), "/", 1)
     start = date_dir.index("{date}") + 1
-    return F.to_date(F.substring(folder, start, 10))
+    return F.try_to_date(F.substring(name, start, 10), "yyyy-MM-dd")
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -68,8 +81,10 @@ def read_ticks_parquet(spark: SparkSession, root: str, dates=None,
 
     Only the folders of ``dates`` are globbed (with ``basePath``, so the date
     stays a partition column): the file index lists just those folders
-    instead of the whole table. None when no folder matches."""
-    reader = spark.read.option("basePath", root)
+    instead of the whole table. Columns are aligned by name over all files
+    (``mergeSchema``), so a column that only some files have is kept. None
+    when no folder matches."""
+    reader = spark.read.option("basePath", root).option("mergeSchema", True)
     if dates is None:
         paths = f"{root.rstrip('/')}/{date_col}=*"
     else:

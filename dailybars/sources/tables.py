@@ -12,6 +12,8 @@ Mapping of ``events`` onto the tick model (one tick per event):
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,18 +21,9 @@ from ..config import SourceColumns
 from ..functions import nan_to_null
 
 
-_TABLES: dict[tuple, DataFrame] = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given (read-only) tables. The DataFrame is created once per
-    session and table and reused, as an application reuses a table it has
-    opened: the file listing and footer read happen once, not per query."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark, spark.sparkContext.applicationId, path)
-    if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(path)
-    return _TABLES[key]
+    """One of the given (read-only) tables."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # props is almost always exactly {"k": <integer>}: then an anchored pattern
@@ -60,9 +53,15 @@ def ticks_from_events(events: DataFrame, src: SourceColumns = SourceColumns()) -
     )
 
 
-def event_ticks(spark: SparkSession, sf_dir: str,
-                src: SourceColumns = SourceColumns()) -> DataFrame:
-    return ticks_from_events(read_table(spark, sf_dir, "events"), src)
+def event_ticks(spark: SparkSession, sf_dir: str, src: SourceColumns = SourceColumns(),
+                since: dt.date | None = None) -> DataFrame:
+    """Ticks of the events, from the date ``since`` on: a bound on the time
+    stamp itself, which the Parquet scan can push down."""
+    events = read_table(spark, sf_dir, "events")
+    if since is not None:
+        start = F.lit(since).cast(events.schema["ts"].dataType)
+        events = events.where(F.col("ts") >= start)
+    return ticks_from_events(events, src)
 
 
 def event_ticks_text_time(spark: SparkSession, sf_dir: str,

@@ -8,10 +8,12 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from dailybars.session import build_session  # noqa: E402
 
-SOURCE_COLUMNS = ["ISIN", "Mnemonic", "Date", "Time", "StartPrice", "EndPrice",
-                  "MinPrice", "MaxPrice", "TradedVolume"]
+from dailybars.config import SOURCE_COLUMN_NAMES  # noqa: E402
 
-# Golden ticks: one instrument, five days, one file per hour.
+SOURCE_COLUMNS = list(SOURCE_COLUMN_NAMES)
+
+# The golden ticks (one instrument, five days, one file per
+# hour) and the report rows that must come out of them.
 TICKS = [
     ("AT0000A0E9W5", "SANT", "2021-04-15", "12:00", 20.19, 18.45, 18.20, 20.33, 877),
     ("AT0000A0E9W5", "SANT", "2021-04-16", "15:00", 18.27, 21.19, 18.27, 21.34, 987),

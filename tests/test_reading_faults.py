@@ -1,0 +1,221 @@
+"""Inputs that once gave a wrong report without an error, or a false alarm."""
+
+import datetime as dt
+import os
+import random
+
+import pytest
+
+from conftest import SOURCE_COLUMNS
+from dailybars.config import JobConfig
+from dailybars.errors import WrongLedgerError
+from dailybars.operators import daily_ohlcv, ticks_with_open_close
+from dailybars.plans.job import ReportJob
+from dailybars.plans.report import daily_report
+from dailybars.sources.csv_ticks import read_ticks_csv
+from dailybars.sources.files import list_prefix, read_parquet, read_ticks_parquet
+from dailybars.streaming.ledger import read_ledger
+
+DAY = dt.date(2022, 3, 18)
+GOOD = "X,M,2022-03-18,09:00,1,2,3,4,5"
+
+
+def write(path, *lines, header=SOURCE_COLUMNS):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding="utf-8") as fh:
+        fh.write("\n".join([",".join(header), *lines]) + "\n")
+
+
+def config(tmp, **kw):
+    return JobConfig(**{**dict(source_root=f"{tmp}/src", target_root=f"{tmp}/trg",
+                               ledger_path=f"{tmp}/meta", first_extract_date=DAY, end_date=DAY), **kw})
+
+
+@pytest.mark.parametrize("row", ["X,M,2022-03-18,10:00,1,234,2,3,4,5",
+                                 "X,M,2022-03-18,10:00,1,2,3,4,5,,EXTRA",
+                                 "X,M,2022-03-18,10:00,1,2,3,4,5,"])
+def test_long_row_fails_on_every_path(spark, tmp, row):
+    write(f"{tmp}/src/2022-03-18/a.csv", GOOD, row)
+    ticks = read_ticks_csv(spark, f"{tmp}/src")
+    by_name = read_ticks_csv(spark, f"{tmp}/src", by_name=True)
+    for action in (ticks.collect, ticks.count, daily_report(ticks).collect,
+                   daily_report(by_name).collect, ReportJob(spark, config(tmp)).run):
+        with pytest.raises(Exception, match="more fields than the header"):
+            action()
+    assert not os.path.exists(f"{tmp}/meta")
+
+
+def test_short_row_with_quotes_is_kept(spark, tmp):
+    write(f"{tmp}/2022-03-18/a.csv", GOOD, 'Y,"a ""b"", c, d, e, f, g",2022-03-18,09:00,1,2,3')
+    rows = {r["ISIN"]: r for r in read_ticks_csv(spark, tmp).collect()}
+    assert rows["Y"]["Mnemonic"] == 'a "b", c, d, e, f, g' and rows["Y"]["MaxPrice"] is None
+
+
+def test_whole_numbers_written_as_decimals(spark, tmp):
+    write(f"{tmp}/2022-03-18/a.csv", GOOD, "Y,M,2022-03-18,09:00,1,2,3,4,877.0",
+          "Z,M,2022-03-18,09:00,1,2,3,4,")
+    rows = {r["ISIN"]: r["TradedVolume"] for r in read_ticks_csv(spark, tmp).collect()}
+    assert rows == {"X": 5, "Y": 877, "Z": None}
+
+
+@pytest.mark.parametrize("row, column", [("X,M,2022-03-18,09:00,1,2,3,4,8.5", "TradedVolume"),
+                                         ("X,M,2022-03-18,09:00,1x,2,3,4,8", "StartPrice"),
+                                         ("X,M,18.03.2022,09:00,1,2,3,4,8", "Date")])
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_malformed_value_is_named(spark, tmp, row, column, ansi):
+    write(f"{tmp}/2022-03-18/a.csv", row)
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match=f"malformed .* in column {column}"):
+            read_ticks_csv(spark, tmp).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_nan_prices_of_parquet_ticks_are_missing(spark, tmp):
+    nan = float("nan")
+    rows = [("X", DAY, "09:00", nan, 5.0, 2.0, 3.0, 1), ("X", DAY, "10:00", 1.0, 5.0, nan, nan, 1),
+            ("X", DAY, "11:00", nan, 5.0, 1.5, 2.0, 1)]
+    ticks = spark.createDataFrame(rows, "ISIN string, Date date, Time string, StartPrice double, "
+                                        "EndPrice double, MinPrice double, MaxPrice double, TradedVolume long")
+    r = daily_ohlcv(ticks).first()
+    assert (r["OpeningPriceEur"], r["ClosingPriceEur"], r["MinimumPriceEur"],
+            r["MaximumPriceEur"]) == (1.0, 1.0, 1.5, 3.0)
+
+
+def price_ticks(spark, times):
+    return spark.createDataFrame(
+        [("X", DAY, t, float(k), 0.0, 0.0, 0.0, 1) for k, t in enumerate(times)],
+        "ISIN string, Date date, Time string, StartPrice double, EndPrice double, MinPrice double, "
+        "MaxPrice double, TradedVolume long")
+
+
+TIMES = [["0930", "0900", "1730", "1000"], ["09:00:00.1234567", "09:00:00.1234568", "09:00:00.123456"],
+         ["9:00", "10:00", "09:59:59.5", "09:59:59"], ["09:00", "09:00:00", "09:00:00.0"]]
+
+
+@pytest.mark.parametrize("times", TIMES)
+@pytest.mark.parametrize("by_text", [False, True])
+def test_open_and_close_follow_the_text_order_of_times(spark, times, by_text):
+    for seed in range(3):
+        order = list(range(len(times)))
+        random.Random(seed).shuffle(order)
+        ticks = price_ticks(spark, [times[k] for k in order]).repartition(3)
+        r = daily_ohlcv(ticks, order_by_text=by_text).first()
+        shuffled = [times[k] for k in order]
+        assert r["OpeningPriceEur"] == shuffled.index(min(times))
+        assert r["ClosingPriceEur"] == shuffled.index(max(times))
+
+
+def test_time_that_cannot_be_packed_is_named_or_ordered_as_text(spark):
+    ticks = price_ticks(spark, ["09:00:00.123456789", "morning", "09:00"])
+    with pytest.raises(Exception, match="cannot be ordered as a number.*(morning|123456789)"):
+        daily_ohlcv(ticks).collect()
+    r = daily_ohlcv(ticks, order_by_text=True).first()
+    assert (r["OpeningPriceEur"], r["ClosingPriceEur"]) == (2.0, 1.0)
+
+
+def test_tie_break_reaches_job_and_operators(spark, tmp):
+    rows = [f"X,M{k},2022-03-18,09:00,{k},2,3,4,5" for k in (3, 1, 2)]
+    write(f"{tmp}/src/2022-03-18/a.csv", *rows)
+    job = ReportJob(spark, config(tmp, tie_break=("Mnemonic",)))
+    r = read_parquet(spark, job.run()).first()
+    assert (r["OpeningPriceEur"], r["ClosingPriceEur"]) == (1.0, 3.0)
+    ticks = read_ticks_csv(spark, f"{tmp}/src")
+    values = {(r["OpeningPrice"], r["ClosingPrice"])
+              for r in ticks_with_open_close(ticks, tie_break=["Mnemonic"]).collect()}
+    assert values == {(1.0, 3.0)}
+
+
+def six_files(root):
+    paths = ["2022-03-18/a.csv", "2022-03-18/b.csv", "2022-03-18/sub/c.csv", "2022-03-18/d.CSV",
+             "2022-03-18/noend", "2022-03-18_flat.csv"]
+    for k, p in enumerate(paths):
+        write(f"{root}/{p}", f"X{k},M,2022-03-18,09:00,1,2,3,4,5")
+    write(f"{root}/2022-03-180/other.csv", "Q,M,2022-03-18,09:00,1,2,3,4,5")
+    write(f"{root}/2022-03-19_flat.csv", "R,M,2022-03-19,09:00,1,2,3,4,5")
+    return paths
+
+
+@pytest.mark.parametrize("by_name", [False, True])
+def test_every_file_of_a_date_is_read(spark, tmp, by_name):
+    paths = six_files(f"{tmp}/src")
+    ticks = read_ticks_csv(spark, f"{tmp}/src", [DAY], by_name=by_name, with_source_date=True)
+    rows = ticks.collect()
+    assert sorted(r["ISIN"] for r in rows) == [f"X{k}" for k in range(len(paths))]
+    assert {r["source_date"] for r in rows} == {DAY}
+    assert read_ticks_csv(spark, f"{tmp}/src", by_name=by_name).count() == len(paths) + 1
+    assert list_prefix(spark, f"{tmp}/src", "2022-03-18").count() == len(paths) + 1
+
+
+def test_source_date_with_two_layouts(spark, tmp):
+    write(f"{tmp}/2022-03-18/a.csv", GOOD)
+    write(f"{tmp}/2022-03-19/b.csv", "Y,2022-03-19,09:00,1", header=["ISIN", "Date", "Time", "StartPrice"])
+    write(f"{tmp}/2022-03-19/c.csv", GOOD.replace("-18", "-19"))
+    write(f"{tmp}/2022-03-20_flat.csv", "Z,2022-03-20,09:00,1", header=["ISIN", "Date", "Time", "StartPrice"])
+    rows = read_ticks_csv(spark, tmp, by_name=True, with_source_date=True).collect()
+    assert sorted((r["ISIN"], r["source_date"].day) for r in rows) == [
+        ("X", 18), ("X", 19), ("Y", 19), ("Z", 20)]
+
+
+def test_single_file_ledger_is_refused_before_anything_is_written(spark, tmp):
+    write(f"{tmp}/src/2022-03-18/a.csv", GOOD)
+    write(f"{tmp}/old/meta.csv", "2022-03-17,2022-03-17 10:00:00",
+          header=["source_date", "datetime_of_processing"])
+    write(f"{tmp}/old/other.csv", "1,2", header=["a", "b"])
+    with pytest.raises(WrongLedgerError, match="single file"):
+        ReportJob(spark, config(tmp, ledger_path=f"{tmp}/old/meta.csv"))
+    assert not os.path.exists(f"{tmp}/trg")
+    # It can still be read, without its neighbours.
+    assert [r["source_date"] for r in read_ledger(spark, f"{tmp}/old/meta.csv").collect()] == ["2022-03-17"]
+
+
+def test_ledger_fault_names_the_columns(spark, tmp):
+    write(f"{tmp}/meta/a.csv", "x,y,z", header=["source_date", "source_date", "when"])
+    with pytest.raises(WrongLedgerError, match="missing: datetime_of_processing; extra: when; "
+                                               "doubled: source_date"):
+        ReportJob(spark, config(tmp))
+
+
+def test_parquet_columns_are_aligned_over_all_files(spark, tmp):
+    a = spark.createDataFrame([("X", DAY, 1.0)], "ISIN string, Date date, StartPrice double")
+    b = spark.createDataFrame([("Y", dt.date(2022, 3, 19), 2.0, 7)],
+                              "ISIN string, Date date, StartPrice double, TradedVolume long")
+    a.write.partitionBy("Date").parquet(tmp + "/t")
+    b.write.mode("append").partitionBy("Date").parquet(tmp + "/t")
+    rows = {r["ISIN"]: r["TradedVolume"] for r in read_ticks_parquet(spark, tmp + "/t").collect()}
+    assert rows == {"X": None, "Y": 7}
+
+
+def test_look_back_is_one_day(spark):
+    ticks = price_ticks(spark, ["09:00"]).unionByName(
+        price_ticks(spark, ["09:00", "10:00"]).selectExpr("ISIN", "date_add(Date, 3) Date", "Time",
+            "StartPrice + 4 StartPrice", "EndPrice", "MinPrice", "MaxPrice", "TradedVolume"))
+    first = DAY + dt.timedelta(days=3)
+    assert daily_report(ticks, first).first()["ChangePrevClosing%"] is None
+    row = daily_report(ticks, first, look_back_days=None).first()
+    assert row["ChangePrevClosing%"] == float("inf")
+
+
+def test_scratch_folders_can_be_removed(spark):
+    from dailybars.session import clean_scratch, scratch_dir
+    path = scratch_dir(spark, "gone")
+    spark.range(3).write.parquet(path)
+    assert clean_scratch(spark) >= 1
+    assert not os.path.exists(path.removeprefix("file:"))
+
+
+def test_work_goes_over_several_tasks_for_a_large_day(spark, tmp):
+    from dailybars.sinks import write_report
+    frame = spark.range(200_000).selectExpr("cast(id as string) ISIN", "date'2022-03-18' Date", "rand(1) v")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.advisoryPartitionSizeInBytes",)}
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        write_report(frame.repartition(8), tmp, "rep", "parquet", dt.datetime(2022, 3, 18), by_date=True,
+                     sort_within=["ISIN"])
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    files = [f for f in os.listdir(f"{tmp}/rep/Date=2022-03-18") if f.endswith(".parquet")]
+    assert len(files) > 1
