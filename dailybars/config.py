@@ -9,25 +9,9 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 
-# ---------------------------------------------------------------------------
-# Fixed values. These must stay equal to the existing reports, ledgers and
-# source files this engine reads and writes; do not rename them.
-#
-#   source columns : ISIN, Mnemonic, Date, Time, StartPrice, EndPrice,
-#                    MinPrice, MaxPrice, TradedVolume
-#   report columns : ISIN, Date, OpeningPriceEur, ClosingPriceEur,
-#                    MinimumPriceEur, MaximumPriceEur, DailyTradedVolume,
-#                    ChangePrevClosing%
-#   ledger columns : source_date, datetime_of_processing
-#   date format    : yyyy-MM-dd
-#   processing time: yyyy-MM-dd HH:mm:ss
-#   "nothing to do" date returned by the planner: 2200-01-01
-#   output formats : csv, parquet
-#   words read as missing in CSV input (the pandas read_csv default list):
-#       "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
-#       "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None",
-#       "n/a", "nan", "null"
-# ---------------------------------------------------------------------------
+# Fixed values down to NA_WORDS: they must stay equal to the existing reports,
+# ledgers and source files that this engine reads and writes. NA_WORDS are the
+# words read as missing in CSV input (the pandas read_csv default list).
 SOURCE_COLUMN_NAMES = (
     "ISIN", "Mnemonic", "Date", "Time", "StartPrice", "EndPrice",
     "MinPrice", "MaxPrice", "TradedVolume",
@@ -39,7 +23,6 @@ REPORT_COLUMN_NAMES = (
 LEDGER_DATE_COL = "source_date"
 LEDGER_TIME_COL = "datetime_of_processing"
 DATE_FORMAT = "yyyy-MM-dd"
-PROCESS_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 NOTHING_TO_DO_DATE = dt.date(2200, 1, 1)
 OUTPUT_FORMATS = ("csv", "parquet")
 NA_WORDS = (
@@ -97,8 +80,9 @@ class ReportColumns:
 class JobConfig:
     """Parameters of one report run (what the YAML file held before).
 
-    ``source_root`` holds one folder per trading date (``date_dir`` names it,
-    ``{date}`` is replaced by ``yyyy-MM-dd``) with CSV files inside.
+    ``source_root`` holds the trading dates' CSV files: everything below it
+    whose first name starts with a date (``date_dir``, ``{date}`` is replaced
+    by ``yyyy-MM-dd``), in folders at any depth or as flat files.
     ``target_root`` receives the reports; ``ledger_path`` the processed-dates
     ledger (a folder of CSV part files).
     """
@@ -120,7 +104,12 @@ class JobConfig:
     # "csv": date folders of CSV files; "parquet": Parquet partitioned by Date.
     source_format: str = "csv"
     date_dir: str = "{date}"
-    file_glob: str = "*.csv"
+    file_glob: str = "*"
+    # Columns that order ticks of the same time, and whether times are ordered
+    # as text (any text) instead of as numbers.
+    tie_break: tuple[str, ...] = ()
+    order_by_text: bool = False
+    max_shuffle_partitions: int = 100_000
     csv_options: dict = field(default_factory=dict)
     source: SourceColumns = SourceColumns()
     report: ReportColumns = ReportColumns()

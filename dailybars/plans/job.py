@@ -13,14 +13,13 @@ import datetime as dt
 import logging
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..config import JobConfig
 from ..sinks import check_format, write_report
 from ..session import apply_scale_defaults, size_shuffle
-from ..sources.csv_ticks import date_glob, empty_ticks, read_ticks_csv, tick_types
-from ..sources.files import list_files, read_ticks_parquet
-from ..streaming.ledger import DatePlan, plan_dates, record_plan
+from ..sources.csv_ticks import empty_ticks, read_ticks_csv, tick_types
+from ..sources.files import input_bytes, read_ticks_parquet
+from ..streaming.ledger import DatePlan, check_ledger, plan_dates, record_plan
 from .report import daily_report
 
 log = logging.getLogger(__name__)
@@ -39,6 +38,9 @@ class ReportJob:
         self.spark = spark
         self.cfg = cfg
         self.now = now or dt.datetime.now()      # one processing time per run
+        # A ledger that the run could not append to is refused before it reads
+        # or writes anything.
+        check_ledger(spark, cfg.ledger_path)
         self.plan: DatePlan = plan_dates(spark, cfg.ledger_path,
                                          cfg.first_extract_date, cfg.end_date)
         log.info("plan: report from %s, read %s .. %s", self.plan.extract_date,
@@ -50,25 +52,18 @@ class ReportJob:
         if self.plan.is_empty:
             return empty
         if cfg.source_format == "parquet":
-            glob = f"{cfg.source_root.rstrip('/')}/{cfg.source.date}=" \
-                   f"{{{','.join(d.isoformat() for d in self.plan.dates)}}}/*"
-            self._size_shuffle(glob)
             ticks = read_ticks_parquet(self.spark, cfg.source_root, self.plan.dates,
                                        cfg.source.date)
-            return empty if ticks is None else ticks
-        self._size_shuffle(date_glob(cfg.source_root, self.plan.dates, cfg.date_dir,
-                                     cfg.file_glob))
-        opts = dict(cfg.csv_options)
-        return read_ticks_csv(self.spark, cfg.source_root, self.plan.dates,
-                              date_dir=cfg.date_dir, file_glob=cfg.file_glob,
-                              src=cfg.source, **opts)
-
-    def _size_shuffle(self, glob: str) -> None:
-        """Initial shuffle partitions from the bytes of the planned input
-        (summed by a distributed listing, not on the driver)."""
-        total = list_files(self.spark, glob).agg(F.sum("length")).first()[0] or 0
-        n = size_shuffle(self.spark, int(total))
+        else:
+            ticks = read_ticks_csv(self.spark, cfg.source_root, self.plan.dates,
+                                   date_dir=cfg.date_dir, file_glob=cfg.file_glob,
+                                   src=cfg.source, **cfg.csv_options)
+        if ticks is None:
+            return empty
+        total = input_bytes(ticks)
+        n = size_shuffle(self.spark, total, cfg.max_shuffle_partitions)
         log.info("input %d bytes -> %d initial shuffle partitions", total, n)
+        return ticks
 
     def transform(self, ticks: DataFrame) -> DataFrame:
         cfg = self.cfg
@@ -77,7 +72,8 @@ class ReportJob:
         # exchange by instrument would be wasted there.
         ordered = cfg.ordered_output and cfg.write_mode != "by_date"
         return daily_report(project(ticks, cfg.source.columns), self.plan.extract_date,
-                            cfg.change_basis, cfg.source, cfg.report, ordered=ordered)
+                            cfg.change_basis, cfg.source, cfg.report, ordered=ordered,
+                            tie_break=cfg.tie_break, order_by_text=cfg.order_by_text)
 
     def load(self, report: DataFrame) -> str | None:
         cfg = self.cfg
@@ -118,7 +114,11 @@ def main(argv: list[str] | None = None) -> str | None:
     p.add_argument("--write-mode", default="per_run", choices=["per_run", "by_date"])
     p.add_argument("--source-format", default="csv", choices=["csv", "parquet"])
     p.add_argument("--date-dir", default="{date}")
-    p.add_argument("--file-glob", default="*.csv")
+    p.add_argument("--file-glob", default="*", help="names of the files to read")
+    p.add_argument("--tie-break", action="append", default=[], metavar="COLUMN",
+                   help="orders ticks of the same time (can be repeated)")
+    p.add_argument("--text-time", action="store_true", help="order times as text")
+    p.add_argument("--max-shuffle-partitions", type=int, default=100_000)
     p.add_argument("--by-name", action="store_true", help="allow header drift")
     p.add_argument("--multi-line", action="store_true", help="quoted line breaks")
     p.add_argument("--sep", default=",", help="CSV field delimiter")
@@ -134,6 +134,8 @@ def main(argv: list[str] | None = None) -> str | None:
         end_date=args.end_date, report_key=args.report_key,
         report_format=args.report_format, change_basis=args.basis,
         write_mode=args.write_mode, source_format=args.source_format,
+        tie_break=tuple(args.tie_break), order_by_text=args.text_time,
+        max_shuffle_partitions=args.max_shuffle_partitions,
         ordered_output=not args.unordered, date_dir=args.date_dir, file_glob=args.file_glob,
         csv_options={"by_name": args.by_name, "multi_line": args.multi_line,
                      "sep": args.sep, "encoding": args.encoding})

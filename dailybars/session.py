@@ -51,18 +51,18 @@ def apply_scale_defaults(spark: SparkSession) -> None:
             spark.conf.set(key, value)
 
 
-# Target bytes of input per initial shuffle partition, and a ceiling.
+# Target bytes of input per initial shuffle partition.
 SHUFFLE_BYTES_PER_PARTITION = 64 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 100_000
 
 
-def size_shuffle(spark: SparkSession, input_bytes: int) -> int:
+def size_shuffle(spark: SparkSession, input_bytes: int, most: int = 100_000) -> int:
     """Start adaptive execution with enough shuffle partitions for the input
-    (about 64 MB of input each), never fewer than configured; AQE then
-    coalesces the small ones. Returns the initial partition count."""
+    (about 64 MB of input each), never fewer than configured and not more than
+    ``most``; AQE then coalesces the small ones. Returns the initial partition
+    count."""
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     configured = int(spark.conf.get(key, None) or spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(MAX_SHUFFLE_PARTITIONS, -(-max(0, input_bytes) // SHUFFLE_BYTES_PER_PARTITION))
+    wanted = min(most, -(-max(0, input_bytes) // SHUFFLE_BYTES_PER_PARTITION))
     partitions = max(configured, wanted)
     spark.conf.set(key, str(partitions))
     return partitions
@@ -88,7 +88,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_SCRATCH: dict[str, list[str]] = {}
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared checkpoint folder."""
+    """A fresh folder below the shared checkpoint folder, for ``clean_scratch``."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/dailybars-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/dailybars-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clean_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders this application has made so far; call it
+    when no DataFrame that reads them is needed any more. Returns how many."""
+    paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
+    conf = spark._jsc.hadoopConfiguration()
+    for text in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(text)
+        path.getFileSystem(conf).delete(path, True)
+    return len(paths)

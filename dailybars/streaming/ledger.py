@@ -19,7 +19,6 @@ and the driver never holds a date list it did not compute from them.
 
 from __future__ import annotations
 
-import collections
 import datetime as dt
 import logging
 from dataclasses import dataclass
@@ -27,17 +26,17 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import (DATE_FORMAT, LEDGER_DATE_COL, LEDGER_TIME_COL, NOTHING_TO_DO_DATE,
-                      PROCESS_TIME_FORMAT)
+from ..config import DATE_FORMAT, LEDGER_DATE_COL, LEDGER_TIME_COL, NOTHING_TO_DO_DATE
 from ..errors import WrongLedgerError
-from ..functions import date_series
+from ..functions import date_series, parse_date
 from ..operators import missing_dates
 from ..sources.csv_ticks import csv_layouts, read_csv_by_name
+from ..sources.files import list_files
 
 log = logging.getLogger(__name__)
 
 LEDGER_COLUMNS = (LEDGER_DATE_COL, LEDGER_TIME_COL)
-LEDGER_SCHEMA = f"{LEDGER_DATE_COL} string, {LEDGER_TIME_COL} string"
+LEDGER_TIME_FORMAT = "%Y-%m-%d %H:%M:%S"
 
 
 @dataclass(frozen=True)
@@ -82,9 +81,30 @@ def ledger_columns(spark: SparkSession, path: str) -> list[list[str]] | None:
 
 
 def check_ledger_columns(columns: list[str]) -> None:
-    """Same column names as expected, in any order."""
-    if collections.Counter(columns) != collections.Counter(LEDGER_COLUMNS):
-        raise WrongLedgerError(f"ledger columns {columns} differ from {list(LEDGER_COLUMNS)}")
+    """Fail unless a part file has each ledger column once, in any order, and
+    no other; the message says what is missing, extra or doubled."""
+    faults = {
+        "missing": [c for c in LEDGER_COLUMNS if c not in columns],
+        "extra": [c for c in columns if c not in LEDGER_COLUMNS],
+        "doubled": sorted({c for c in columns if columns.count(c) > 1}),
+    }
+    found = "; ".join(f"{kind}: {', '.join(names)}" for kind, names in faults.items() if names)
+    if found:
+        raise WrongLedgerError(f"ledger columns {columns}: {found}")
+
+
+def check_ledger(spark: SparkSession, path: str) -> None:
+    """Fail unless rows can be appended at ``path``: it is missing, or a folder
+    whose part files all have the ledger's columns. A job asks before it
+    writes its report."""
+    files = list_files(spark, path)
+    bare = path.split("://", 1)[-1].split(":", 1)[-1].rstrip("/")
+    if not files.where(F.col("path").endswith(bare)).isEmpty():
+        raise WrongLedgerError(
+            f"the ledger {path} is a single file, to which nothing can be appended; "
+            "move it into a folder and name the folder")
+    for columns in ledger_columns(spark, path) or []:
+        check_ledger_columns(columns)
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame | None:
@@ -102,11 +122,7 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame | None:
 def ledger_days(ledger: DataFrame, column: str = LEDGER_DATE_COL) -> DataFrame:
     """The recorded dates as DateType in column ``day``; a malformed date
     fails the job (it would be silently skipped otherwise)."""
-    text = F.col(column)
-    parsed = F.try_to_date(text, DATE_FORMAT)
-    checked = F.when(text.isNotNull() & parsed.isNull(), F.raise_error(
-        F.concat(F.lit("malformed date in ledger: "), text))).otherwise(parsed)
-    return ledger.select(checked.alias("day"))
+    return ledger.select(parse_date(F.col(column)).alias("day"))
 
 
 def missing_days(spark: SparkSession, ledger: DataFrame, first_date: dt.date,
@@ -154,9 +170,8 @@ def ledger_rows(dates: DataFrame, processed_at: dt.datetime, column: str = "day"
     source = F.col(column)
     if dict(dates.dtypes)[column] == "date":
         source = F.date_format(source, DATE_FORMAT)
-    stamp = processed_at.strftime("%Y-%m-%d %H:%M:%S")
     return dates.select(source.cast("string").alias(LEDGER_DATE_COL),
-                        F.lit(stamp).alias(LEDGER_TIME_COL))
+                        F.lit(f"{processed_at:{LEDGER_TIME_FORMAT}}").alias(LEDGER_TIME_COL))
 
 
 def union_ledger(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -167,8 +182,7 @@ def union_ledger(old: DataFrame, new: DataFrame) -> DataFrame:
 def append_ledger(spark: SparkSession, path: str, rows: DataFrame) -> bool:
     """Append ledger rows; the existing ledger's columns are checked first.
     Nothing is written when there are no rows. Returns whether it wrote."""
-    for existing in ledger_columns(spark, path) or []:
-        check_ledger_columns(existing)
+    check_ledger(spark, path)
     rows = rows.select(*LEDGER_COLUMNS)
     if rows.isEmpty():
         log.info("No dates to record in %s", path)
@@ -196,8 +210,7 @@ def record_plan(spark: SparkSession, path: str, plan: DatePlan,
 
 
 __all__ = [
-    "DatePlan", "LEDGER_COLUMNS", "LEDGER_SCHEMA", "PROCESS_TIME_FORMAT",
-    "append_ledger", "check_ledger_columns", "ledger_columns", "ledger_days",
+    "DatePlan", "LEDGER_COLUMNS", "append_ledger", "check_ledger", "check_ledger_columns", "ledger_columns", "ledger_days",
     "ledger_rows", "missing_days", "nothing_to_do", "plan_dates", "plan_frame",
     "read_ledger", "record_dates", "record_plan", "union_ledger",
 ]
