@@ -5,9 +5,11 @@ written reports and ledgers are *derived* from the tables by Spark and
 written below ``spark.checkpoint.dir``, then read back by the operator under
 test, so every query's work grows with the tables.
 
-The derived ledger holds the days a previous run "processed": the busy days,
-whose event count is at least the mean daily count. It has gaps at every
-scale, which the planner must find.
+The derived ledger holds the days a previous run "processed": all but the quiet
+days, whose event count is more than one standard deviation below the mean.
+Its first gap lies strictly inside the planned range at every scale, so a
+planner that ignores the ledger, or one that reads no further than its first
+day, gives other rows.
 """
 
 from __future__ import annotations
@@ -19,14 +21,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import JobConfig, ReportColumns, SourceColumns
-from ..functions import date_series_col, format_date, parse_date, pct_change, round_half_even
+from ..functions import date_series, format_date, parse_date, pct_change, round_half_even
 from ..operators import (add_change, closing_price, daily_high, daily_low, daily_ohlcv,
                          daily_volume, first_date, opening_price, project,
                          ticks_with_open_close)
 from ..session import scratch_dir
 from ..sinks import write_table
 from ..sources.csv_ticks import read_ticks_csv
-from ..sources.files import read_csv_table, read_parquet, read_ticks_parquet
+from ..sources.files import (date_from_path, list_prefix, read_csv_table, read_parquet,
+                             read_ticks_parquet)
 from ..sources.tables import event_ticks, event_ticks_text_time, read_table
 from ..streaming.ledger import (DatePlan, append_ledger, ledger_days, ledger_rows,
                                 missing_days, plan_frame, read_ledger, union_ledger)
@@ -41,6 +44,8 @@ FIRST_DATE = dt.date(2024, 1, 10)
 END_DATE = dt.date(2024, 1, 30)
 LATER_DATE = dt.date(2024, 1, 20)
 DRIFT_DATE = dt.date(2024, 1, 16)
+AFTER_DATE = dt.date(2030, 1, 2)
+PREFIX = "2024-01-1"
 PREVIOUS_RUN = dt.datetime(2024, 1, 30, 6, 0, 0)
 THIS_RUN = dt.datetime(2024, 1, 31, 6, 0, 0)
 V1_COLUMNS = ("ISIN", "Date", "Time", "StartPrice", "MaxPrice", "MinPrice", "EndPrice",
@@ -49,19 +54,6 @@ V1_COLUMNS = ("ISIN", "Date", "Time", "StartPrice", "MaxPrice", "MinPrice", "End
 # Mnemonic and EndPrice are missing.
 DRIFT_COLUMNS = ("Time", "ISIN", "Date", "StartPrice", "MaxPrice", "MinPrice", "TradedVolume")
 
-_DERIVED: dict[tuple, str] = {}
-
-
-def _derived(spark: SparkSession, key: tuple, build: Callable[[str], None]) -> str:
-    """Write a derived table once per session and return its folder."""
-    key = (spark.sparkContext.applicationId,) + key
-    if key not in _DERIVED:
-        path = scratch_dir(spark, "-".join(str(k) for k in key[1:2]))
-        build(path)
-        _DERIVED[key] = path
-    return _DERIVED[key]
-
-
 def _write_tick_csv(frame: DataFrame, path: str, columns, mode: str = "errorifexists") -> None:
     (frame.withColumn("day", F.date_format(SRC.date, "yyyy-MM-dd"))
      .select(*columns, "day").write.mode(mode).partitionBy("day")
@@ -70,26 +62,26 @@ def _write_tick_csv(frame: DataFrame, path: str, columns, mode: str = "errorifex
 
 def tick_csv_root(spark: SparkSession, sf_dir: str) -> str:
     """Event ticks as CSV files, one folder per date (``day=<date>``)."""
-    def build(path):
-        _write_tick_csv(event_ticks_text_time(spark, sf_dir), path, SRC.columns)
-    return _derived(spark, ("tick-csv", sf_dir), build)
+    path = scratch_dir(spark, "tick-csv")
+    _write_tick_csv(event_ticks_text_time(spark, sf_dir), path, SRC.columns)
+    return path
 
 
 def drift_csv_root(spark: SparkSession, sf_dir: str) -> str:
     """Event ticks as CSV with a header change from DRIFT_DATE on."""
-    def build(path):
-        ticks = event_ticks_text_time(spark, sf_dir)
-        _write_tick_csv(ticks.where(F.col(SRC.date) < F.lit(DRIFT_DATE)), path, SRC.columns)
-        _write_tick_csv(ticks.where(F.col(SRC.date) >= F.lit(DRIFT_DATE)), path,
-                        DRIFT_COLUMNS, mode="append")
-    return _derived(spark, ("drift-csv", sf_dir), build)
+    path = scratch_dir(spark, "drift-csv")
+    ticks = event_ticks_text_time(spark, sf_dir)
+    _write_tick_csv(ticks.where(F.col(SRC.date) < F.lit(DRIFT_DATE)), path, SRC.columns)
+    _write_tick_csv(ticks.where(F.col(SRC.date) >= F.lit(DRIFT_DATE)), path,
+                    DRIFT_COLUMNS, mode="append")
+    return path
 
 
 def parquet_ticks_root(spark: SparkSession, sf_dir: str) -> str:
     """Event ticks as Parquet partitioned by Date."""
-    def build(path):
-        event_ticks(spark, sf_dir).write.partitionBy(SRC.date).parquet(path)
-    return _derived(spark, ("tick-parquet", sf_dir), build)
+    path = scratch_dir(spark, "tick-parquet")
+    event_ticks(spark, sf_dir).write.partitionBy(SRC.date).parquet(path)
+    return path
 
 
 def csv_ticks(spark: SparkSession, sf_dir: str, dates=None, **kw) -> DataFrame:
@@ -97,13 +89,15 @@ def csv_ticks(spark: SparkSession, sf_dir: str, dates=None, **kw) -> DataFrame:
                           **kw)
 
 
-def busy_day_ledger(spark: SparkSession, sf_dir: str,
+def previous_ledger(spark: SparkSession, sf_dir: str, quiet_days: bool = False,
                     processed_at: dt.datetime = PREVIOUS_RUN) -> DataFrame:
-    """Ledger rows for the days with at least the mean number of events."""
+    """Ledger rows for all days but the quiet ones (or for all days)."""
     daily = (read_table(spark, sf_dir, "events")
              .groupBy(F.to_date("ts").alias("day")).agg(F.count("*").alias("n")))
-    mean = daily.agg(F.avg("n")).scalar()
-    return ledger_rows(daily.where(F.col("n") >= mean).select("day"), processed_at)
+    if not quiet_days:
+        least = daily.agg(F.avg("n") - F.stddev_samp("n")).scalar()
+        daily = daily.where(F.col("n") >= least)
+    return ledger_rows(daily.select("day"), processed_at)
 
 
 def lineitem_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,13 +114,43 @@ def lineitem_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def report_ticks(spark: SparkSession, sf_dir: str, first: dt.date = FIRST_DATE) -> DataFrame:
+    """The ticks that a report from ``first`` on needs: its dates and one
+    look-back day, cut by a bound that the Parquet scan gets."""
+    return event_ticks(spark, sf_dir, since=first - dt.timedelta(days=1))
+
+
+def _last_day(spark: SparkSession, sf_dir: str) -> dt.date:
+    return read_table(spark, sf_dir, "events").agg(F.max(F.to_date("ts"))).first()[0]
+
+
 # --- queries ---------------------------------------------------------------
 
 def q_daily_report(spark, sf):
     # Order is a property of the written files (the job orders them) or of a
     # final sort; the report itself skips the range exchange. See
     # q_report_sorted for the ordered plan.
-    return daily_report(event_ticks(spark, sf), FIRST_DATE, ordered=False)
+    return daily_report(report_ticks(spark, sf), FIRST_DATE, ordered=False)
+
+
+def q_daily_report_csv(spark, sf):
+    # The report needs seven of nine columns: the pruned CSV path.
+    return daily_report(csv_ticks(spark, sf), FIRST_DATE, ordered=False)
+
+
+def q_report_empty(spark, sf):
+    # Dates without ticks: a typed report without rows.
+    return daily_report(event_ticks(spark, sf, since=AFTER_DATE), AFTER_DATE)
+
+
+def q_list_prefix(spark, sf):
+    # A key prefix covers ten dates; the result is the dates that have files.
+    listed = list_prefix(spark, tick_csv_root(spark, sf), f"day={PREFIX}")
+    return listed.select(date_from_path("path", "day={date}").alias("day")).distinct()
+
+
+def q_extract_no_files(spark, sf):
+    return csv_ticks(spark, sf, [AFTER_DATE])
 
 
 def q_scan_ticks(spark, sf):
@@ -144,18 +168,18 @@ def q_extract_dates_parquet(spark, sf):
 
 
 def q_read_report(spark, sf):
-    def build(path):
-        write_table(daily_report(event_ticks(spark, sf), FIRST_DATE), path, "parquet")
-    return read_parquet(spark, _derived(spark, ("report-parquet", sf), build))
+    path = scratch_dir(spark, "report-parquet")
+    write_table(daily_report(report_ticks(spark, sf), FIRST_DATE), path, "parquet")
+    return read_parquet(spark, path)
 
 
 def q_read_report_csv(spark, sf):
-    def build(path):
-        write_table(daily_report(event_ticks(spark, sf), FIRST_DATE), path, "csv")
+    path = scratch_dir(spark, "report-csv")
+    write_table(daily_report(report_ticks(spark, sf), FIRST_DATE), path, "csv")
     schema = ("ISIN string, Date date, OpeningPriceEur double, ClosingPriceEur double, "
               "MinimumPriceEur double, MaximumPriceEur double, DailyTradedVolume bigint, "
               "`ChangePrevClosing%` double")
-    return read_csv_table(spark, _derived(spark, ("report-csv", sf), build), schema)
+    return read_csv_table(spark, path, schema)
 
 
 def q_project_ticks(spark, sf):
@@ -163,19 +187,25 @@ def q_project_ticks(spark, sf):
 
 
 def q_report_from_date(spark, sf):
-    return daily_report(event_ticks(spark, sf), LATER_DATE)
+    return daily_report(report_ticks(spark, sf, LATER_DATE), LATER_DATE)
 
 
 def q_report_sorted(spark, sf):
     # Globally ordered by (ISIN, Date) with no extra exchange: the range
     # exchange on ISIN also serves the change window.
-    return daily_report(event_ticks(spark, sf), FIRST_DATE, basis="closing", ordered=True)
+    return daily_report(report_ticks(spark, sf), FIRST_DATE, basis="closing", ordered=True)
 
 
 def q_daily_ohlcv(spark, sf):
     return daily_ohlcv(event_ticks(spark, sf))
 
 
+def q_daily_ohlcv_tie_break(spark, sf):
+    # Times cut to the hour: many ticks of an instrument-day share one.
+    ticks = event_ticks(spark, sf).withColumn(SRC.time, F.date_trunc("hour", SRC.time))
+    return daily_ohlcv(ticks, tie_break=(SRC.start_price,))
+
+
 def q_opening_price(spark, sf):
     return opening_price(event_ticks(spark, sf))
 
@@ -215,19 +245,19 @@ def q_ticks_with_open_close(spark, sf):
 
 
 def q_union_ticks(spark, sf):
-    return read_ticks_csv(spark, drift_csv_root(spark, sf), date_dir="day={date}",
-                          by_name=True).select(*SRC.columns)
+    return read_ticks_csv(spark, drift_csv_root(spark, sf), date_dir="day={date}", by_name=True,
+                          with_source_date=True).select(*SRC.columns, "source_date")
 
 
 def q_ledger_union(spark, sf):
-    old = busy_day_ledger(spark, sf, PREVIOUS_RUN)
+    old = previous_ledger(spark, sf)
     new = ledger_rows(plan_frame(spark, old, FIRST_DATE, END_DATE)
                       .where(F.col("day") >= F.col("extract_date")).select("day"), THIS_RUN)
     return union_ledger(old, new)
 
 
 def q_ledger_missing_dates(spark, sf):
-    return missing_days(spark, busy_day_ledger(spark, sf), FIRST_DATE, END_DATE)
+    return missing_days(spark, previous_ledger(spark, sf), FIRST_DATE, END_DATE)
 
 
 def q_ledger_first_gap(spark, sf):
@@ -235,7 +265,27 @@ def q_ledger_first_gap(spark, sf):
 
 
 def q_plan_dates(spark, sf):
-    return plan_frame(spark, busy_day_ledger(spark, sf), FIRST_DATE, END_DATE)
+    return plan_frame(spark, previous_ledger(spark, sf), FIRST_DATE, END_DATE)
+
+
+def q_plan_dates_no_ledger(spark, sf):
+    # First run: the end of the plan is the last day of the events.
+    return plan_frame(spark, None, FIRST_DATE, _last_day(spark, sf))
+
+
+def q_plan_dates_complete(spark, sf):
+    # Every day is recorded: nothing to read.
+    return plan_frame(spark, previous_ledger(spark, sf, quiet_days=True), FIRST_DATE,
+                      _last_day(spark, sf))
+
+
+def q_ledger_noop(spark, sf):
+    """A ledger before and after a run that has nothing to record."""
+    path = scratch_dir(spark, "ledger-noop")
+    append_ledger(spark, path, previous_ledger(spark, sf, quiet_days=True))
+    plan = q_plan_dates_complete(spark, sf)
+    append_ledger(spark, path, ledger_rows(plan.select("day"), THIS_RUN))
+    return read_ledger(spark, path)
 
 
 def q_ledger_dates_to_record(spark, sf):
@@ -257,7 +307,7 @@ def q_pct_change(spark, sf):
 
 
 def q_parse_date(spark, sf):
-    ledger = busy_day_ledger(spark, sf)
+    ledger = previous_ledger(spark, sf)
     return ledger.select("source_date", parse_date(F.col("source_date")).alias("day"))
 
 
@@ -268,24 +318,18 @@ def q_format_date(spark, sf):
 
 
 def q_date_series(spark, sf):
-    bounds = read_table(spark, sf, "events").agg(
-        F.date_sub(F.min(F.to_date("ts")), 1).alias("lo"), F.max(F.to_date("ts")).alias("hi"))
-    return bounds.select(F.explode(date_series_col(F.col("lo"), F.col("hi"))).alias("day"))
+    first = read_table(spark, sf, "events").agg(F.min(F.to_date("ts"))).first()[0]
+    return date_series(spark, first - dt.timedelta(days=1), _last_day(spark, sf))
 
 
 def q_ledger_days(spark, sf):
-    return ledger_days(busy_day_ledger(spark, sf))
-
-
-def ledger_folder(spark: SparkSession, sf_dir: str) -> str:
-    """The busy-day ledger written as a ledger folder (CSV part files)."""
-    def build(path):
-        append_ledger(spark, path, busy_day_ledger(spark, sf_dir))
-    return _derived(spark, ("ledger", sf_dir), build)
+    return ledger_days(previous_ledger(spark, sf))
 
 
 def q_ledger_scan(spark, sf):
-    return read_ledger(spark, ledger_folder(spark, sf))
+    path = scratch_dir(spark, "ledger")
+    append_ledger(spark, path, previous_ledger(spark, sf))
+    return read_ledger(spark, path)
 
 
 def q_etl_job(spark, sf):
@@ -293,7 +337,7 @@ def q_etl_job(spark, sf):
     the CSV tick files of the planned dates, report, write, record. Returns
     the written report. Each call runs in fresh folders (the job appends)."""
     ledger = scratch_dir(spark, "etl-ledger")
-    append_ledger(spark, ledger, busy_day_ledger(spark, sf))
+    append_ledger(spark, ledger, previous_ledger(spark, sf))
     cfg = JobConfig(source_root=tick_csv_root(spark, sf),
                     target_root=scratch_dir(spark, "etl-target"), ledger_path=ledger,
                     first_extract_date=FIRST_DATE, end_date=END_DATE,
@@ -306,6 +350,10 @@ def q_etl_job(spark, sf):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_report": q_daily_report,
+    "daily_report_csv": q_daily_report_csv,
+    "report_empty": q_report_empty,
+    "list_prefix": q_list_prefix,
+    "extract_no_files": q_extract_no_files,
     "scan_ticks": q_scan_ticks,
     "extract_dates": q_extract_dates,
     "extract_dates_parquet": q_extract_dates_parquet,
@@ -315,6 +363,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "report_from_date": q_report_from_date,
     "report_sorted": q_report_sorted,
     "daily_ohlcv": q_daily_ohlcv,
+    "daily_ohlcv_tie_break": q_daily_ohlcv_tie_break,
     "opening_price": q_opening_price,
     "closing_price": q_closing_price,
     "daily_low": q_daily_low,
@@ -330,7 +379,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ledger_days": q_ledger_days,
     "ledger_scan": q_ledger_scan,
     "etl_job": q_etl_job,
+    "ledger_noop": q_ledger_noop,
     "plan_dates": q_plan_dates,
+    "plan_dates_no_ledger": q_plan_dates_no_ledger,
+    "plan_dates_complete": q_plan_dates_complete,
     "ledger_dates_to_record": q_ledger_dates_to_record,
     "round_half_even": q_round_half_even,
     "pct_change": q_pct_change,

@@ -40,13 +40,13 @@ line_ticks AS (
          CAST(l_quantity AS BIGINT) AS "TradedVolume"
   FROM lineitem)"""
 
-# Ledger of the busy days: days with at least the mean number of events.
+# Ledger of all days but the quiet ones (more than one standard deviation below the mean).
 LEDGER = """
 daily_n AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1),
 ledger AS (
   SELECT strftime(day, '%Y-%m-%d') AS source_date,
          '2024-01-30 06:00:00' AS datetime_of_processing
-  FROM daily_n WHERE n >= (SELECT avg(n) FROM daily_n)),
+  FROM daily_n WHERE n >= (SELECT avg(n) - stddev_samp(n) FROM daily_n)),
 wanted AS (
   SELECT CAST(d AS DATE) AS day
   FROM generate_series(DATE '2024-01-10', DATE '2024-01-30', INTERVAL 1 DAY) g(d)),
@@ -75,7 +75,8 @@ def _change(cur: str, prev: str, rounded: bool = True) -> str:
 def _report(from_date: str, basis: str = "o", order: bool = False) -> str:
     return f"""
 WITH {TICKS}, {DAY},
-w AS (SELECT *, lag({basis}) OVER (PARTITION BY "ISIN" ORDER BY "Date") AS prev FROM day)
+w AS (SELECT *, lag({basis}) OVER (PARTITION BY "ISIN" ORDER BY "Date") AS prev
+      FROM day WHERE "Date" >= DATE '{from_date}' - INTERVAL 1 DAY)
 SELECT "ISIN", "Date",
        {_round('o')} AS "OpeningPriceEur", {_round('c')} AS "ClosingPriceEur",
        {_round('lo')} AS "MinimumPriceEur", {_round('hi')} AS "MaximumPriceEur",
@@ -95,6 +96,12 @@ FROM w"""
 
 ORACLE_SQL: dict[str, str] = {
     "daily_report": _report("2024-01-10"),
+    "daily_report_csv": _report("2024-01-10"),
+    "report_empty": _report("2030-01-02"),
+    "list_prefix": f"""WITH {TICKS}
+SELECT DISTINCT "Date" AS day FROM ticks WHERE strftime("Date", '%Y-%m-%d') LIKE '2024-01-1%'""",
+    "extract_no_files": f"""WITH {TICKS}, {TEXT_TICKS}
+SELECT * FROM text_ticks WHERE "Date" = DATE '2030-01-02'""",
     "scan_ticks": f"WITH {TICKS}, {TEXT_TICKS} SELECT * FROM text_ticks",
     "extract_dates": f"""WITH {TICKS}, {TEXT_TICKS}
 SELECT *, "Date" AS source_date FROM text_ticks
@@ -111,6 +118,15 @@ SELECT "ISIN", "Date", "Time", "StartPrice", "MaxPrice", "MinPrice", "EndPrice",
     "daily_ohlcv": f"""WITH {TICKS}, {DAY}
 SELECT "ISIN", "Date", o AS "OpeningPriceEur", c AS "ClosingPriceEur",
        lo AS "MinimumPriceEur", hi AS "MaximumPriceEur", vol AS "DailyTradedVolume" FROM day""",
+    "daily_ohlcv_tie_break": f"""WITH {TICKS}, hours AS (
+  SELECT *, {{'t': date_trunc('hour', "Time"), 'p': "StartPrice"}} AS turn
+  FROM ticks WHERE "ISIN" IS NOT NULL AND "Date" IS NOT NULL)
+SELECT "ISIN", "Date",
+       arg_min("StartPrice", turn) FILTER (WHERE "StartPrice" IS NOT NULL) AS "OpeningPriceEur",
+       arg_max("StartPrice", turn) FILTER (WHERE "StartPrice" IS NOT NULL) AS "ClosingPriceEur",
+       min("MinPrice") AS "MinimumPriceEur", max("MaxPrice") AS "MaximumPriceEur",
+       CAST(coalesce(sum("TradedVolume"), 0) AS BIGINT) AS "DailyTradedVolume"
+FROM hours GROUP BY "ISIN", "Date" """,
     "opening_price": f'WITH {TICKS}, {DAY} SELECT "ISIN", "Date", o AS "OpeningPriceEur" FROM day',
     "closing_price": f'WITH {TICKS}, {DAY} SELECT "ISIN", "Date", c AS "ClosingPriceEur" FROM day',
     "daily_low": f"""WITH {LINE_TICKS}
@@ -132,7 +148,7 @@ SELECT "ISIN",
        CASE WHEN "Date" < DATE '2024-01-16' THEN "Mnemonic" END AS "Mnemonic",
        "Date", "Time", "StartPrice",
        CASE WHEN "Date" < DATE '2024-01-16' THEN "EndPrice" END AS "EndPrice",
-       "MinPrice", "MaxPrice", "TradedVolume"
+       "MinPrice", "MaxPrice", "TradedVolume", "Date" AS source_date
 FROM text_ticks""",
     "ledger_union": f"""WITH {LEDGER}
 SELECT source_date, datetime_of_processing FROM ledger
@@ -142,6 +158,22 @@ SELECT strftime(day, '%Y-%m-%d'), '2024-01-31 06:00:00' FROM plan WHERE day >= e
     "ledger_first_gap": f"WITH {LEDGER} SELECT min(day) AS first_gap FROM missing",
     "ledger_days": f"WITH {LEDGER} SELECT CAST(source_date AS DATE) AS day FROM ledger",
     "plan_dates": f"WITH {LEDGER} SELECT day, extract_date FROM plan",
+    "plan_dates_no_ledger": """SELECT CAST(d AS DATE) AS day, DATE '2024-01-10' AS extract_date
+FROM (SELECT max(CAST(ts AS DATE)) AS hi FROM events) b,
+     generate_series(DATE '2024-01-09', b.hi, INTERVAL 1 DAY) g(d)""",
+    "plan_dates_complete": """WITH days AS (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events),
+missing AS (
+  SELECT CAST(d AS DATE) AS day
+  FROM (SELECT max(day) AS hi FROM days) b,
+       generate_series(DATE '2024-01-10', b.hi, INTERVAL 1 DAY) g(d)
+  WHERE CAST(d AS DATE) NOT IN (SELECT day FROM days))
+SELECT CAST(d AS DATE) AS day, (SELECT min(day) FROM missing) AS extract_date
+FROM (SELECT max(day) AS hi FROM days) b,
+     generate_series(DATE '2024-01-09', b.hi, INTERVAL 1 DAY) g(d)
+WHERE CAST(d AS DATE) >= (SELECT min(day) FROM missing) - INTERVAL 1 DAY""",
+    "ledger_noop": """SELECT strftime(day, '%Y-%m-%d') AS source_date,
+       '2024-01-30 06:00:00' AS datetime_of_processing
+FROM (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events)""",
     "ledger_scan": f"WITH {LEDGER} SELECT source_date, datetime_of_processing FROM ledger",
     "etl_job": f"""WITH {TICKS}, {LEDGER},
 gap AS (SELECT min(day) AS g FROM missing),
