@@ -19,9 +19,18 @@ from ..session import scratch_dir
 _SHIPPED: set[str] = set()
 
 
+# Rows per Arrow batch where the session has Spark's default: texts are long,
+# and a batch is held in memory on both sides.
+BATCH_ROWS = 1024
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package's sources to the Python workers, once per application
-    (``addPyFile``), for sessions not started with ``--py-files``."""
+    (``addPyFile``), for sessions not started with ``--py-files``; and bound
+    the rows of an Arrow batch."""
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(batch) == "10000":
+        spark.conf.set(batch, BATCH_ROWS)
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
@@ -63,6 +72,16 @@ def unpacked(frame: DataFrame, columns: list[str], name: str = "doc") -> DataFra
     return frame.select(*[F.col(name).getField(c).alias(c) for c in columns])
 
 
+def numbered(frame: DataFrame) -> DataFrame:
+    """The frame with its columns named c0, c1, ...: what a Python function
+    adds cannot clash with them."""
+    return frame.toDF(*[f"c{k}" for k in range(len(frame.columns))])
+
+
+def renamed_back(frame: DataFrame, columns: list[str]) -> DataFrame:
+    return frame.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(columns)])
+
+
 def fold(column: str, parts: int) -> F.Column:
     """crc32 of the id's text modulo ``parts``; NULL for a NULL id."""
     return F.crc32(F.col(column).cast("string")) % parts

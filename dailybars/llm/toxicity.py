@@ -37,14 +37,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import column_of, fold, materialise, packed, text_blocks, unpacked
+from .common import column_of, fold, materialise, numbered, renamed_back, text_blocks
 
 # English insults every lexicon starts from.
 INSULTS = ("clown disgusting dumb filthy garbage idiot idiots imbecile jerk loser losers "
            "moron morons pathetic scum stupid trash vermin worthless").split()
 
-SAMPLE_ROWS = 20_000      # labelled rows the lexicon is mined from
-FIT_ROWS = 20_000         # rows the classifier is fitted to, per posterior class
+SAMPLE_ROWS = 20_000      # labelled rows the lexicon is mined from (expected, by hash)
+FIT_ROWS = 20_000         # rows the classifier is fitted to, per posterior class (expected)
 MAX_TERMS = 600           # mined terms kept
 PATTERNS = (4, 5)         # lengths of the word beginnings
 MIN_EVIDENCE = 24.0       # likelihood ratio (2 ln) that a term needs
@@ -59,12 +59,17 @@ VOTERS = ([f"lexicon_{k}" for k in range(LEXICON_VOTERS)]
           + ["insult", "two_words", "two_patterns", "dense", "addressed", "no_hit"])
 
 
+def _place(key: F.Column) -> F.Column:
+    """A hash as a number from 0 to 1: rows below a rate are a sample of it."""
+    return F.pmod(key, F.lit(1 << 30)) / float(1 << 30)
+
+
 def sample_training(documents: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
-    """(text, toxic) of at most ``rows`` labelled training rows, by the hash of
-    the id; equal texts count once."""
+    """(text, toxic) of about ``rows`` labelled training rows (all, if fewer),
+    by the hash of the id; equal texts count once."""
     known = (labels.where(F.col("toxic").isNotNull() & (fold("doc_id", 5) != 0))
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    chosen = known.where(_place(F.xxhash64("doc_id")) < rows / max(known.count(), 1))
     return (documents.select("doc_id", "text").where(F.col("text").isNotNull())
             .join(F.broadcast(chosen), "doc_id").groupBy(F.xxhash64("text").alias("key"))
             .agg(F.first("text").alias("text"), F.max("toxic").alias("toxic")))
@@ -133,15 +138,17 @@ class Voters:
         return row
 
 
-def vote_features(rows: DataFrame, terms: list[str]) -> DataFrame:
-    """The rows without ``text``, with the voters' features."""
-    kept = [f for f in rows.schema.fields if f.name != "text"]
+def vote_features(rows: DataFrame, terms: list[str], text: str = "text",
+                  keep_text: bool = False) -> DataFrame:
+    """The rows (without their text unless ``keep_text``) with the voters'
+    features."""
+    kept = [f for f in rows.schema.fields if keep_text or f.name != text]
     schema = T.StructType([*kept, T.StructField("features", T.ArrayType(T.FloatType()))])
 
     def run(batches):
         voters = Voters(terms)
-        for block in text_blocks(batches):
-            found = [voters.features(t or "") for t in column_of(block, "text").to_pylist()]
+        for block in text_blocks(batches, text, 1 << 20):
+            found = [voters.features(t or "") for t in column_of(block, text).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*(column_of(block, f.name) for f in kept),
                  pa.array(found, pa.list_(pa.float32()))], names=[f.name for f in schema])
@@ -231,10 +238,11 @@ def learn(features: DataFrame, share: float) -> tuple[LabelModel, np.ndarray]:
         return model, np.array([-3.0, *[1.0 * (v != "no_hit") for v in VOTERS]])
     label = {r.pattern: p for r, p in zip(groups, model.posterior(bits))}
     toxic = [k for k, p in label.items() if p >= 0.5]
-    parts = []
-    for part in (_pattern().isin(toxic), ~_pattern().isin(toxic)):
-        parts += (training.where(part).select("features", _pattern().alias("pattern"))
-                  .orderBy(F.xxhash64("order_key")).limit(FIT_ROWS).collect())
+    held = {k: sum(r.n for r in groups if (r.pattern in toxic) == k) for k in (True, False)}
+    rate = F.when(_pattern().isin(toxic), FIT_ROWS / max(held[True], 1)).otherwise(
+        FIT_ROWS / max(held[False], 1))
+    parts = (training.where(_place(F.col("order_key")) < rate)
+             .select("features", _pattern().alias("pattern")).collect())
     x = _inputs(np.array([r.features for r in parts], dtype=np.float64))
     y = np.array([label[r.pattern] for r in parts])
     # Both classes weigh alike, so that a rare class is not given up.
@@ -250,26 +258,33 @@ def score_column(beta: np.ndarray) -> F.Column:
     return 1 / (1 + F.exp(-total))
 
 
-def score_documents(documents: DataFrame, labels: DataFrame, doc: F.Column) -> DataFrame:
-    """(doc, held_out, score) of every document."""
+def scored(documents: DataFrame, labels: DataFrame, rows: DataFrame, text: str,
+           keep_text: bool) -> DataFrame:
+    """``rows`` (the documents' rows, under any names) with their score."""
     terms, share = mine_terms(sample_training(documents, labels, SAMPLE_ROWS))
-    rest = fold("doc_id", 5)
-    rows = documents.select(doc.alias("doc"), F.coalesce(rest == 0, F.lit(False)).alias("held_out"),
-                            F.coalesce(rest != 0, F.lit(False)).alias("training"),
-                            F.xxhash64("doc_id").alias("order_key"), "text")
-    features = materialise(vote_features(rows, terms), "vote-features")
+    features = materialise(vote_features(rows, terms, text, keep_text), "vote-features")
     _, beta = learn(features, share)
-    return features.select("doc", "held_out", score_column(beta).alias("score"))
+    return features.withColumn("score", score_column(beta))
+
+
+def _marks(doc_id: str) -> dict[str, F.Column]:
+    rest = fold(doc_id, 5)
+    return {"held_out": F.coalesce(rest == 0, F.lit(False)),
+            "training": F.coalesce(rest != 0, F.lit(False)),
+            "order_key": F.xxhash64(doc_id)}
 
 
 def toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted for every document."""
-    found = score_documents(documents, labels, F.col("doc_id"))
-    return found.select(F.col("doc").alias("doc_id"), "held_out", "score",
+    rows = documents.select("doc_id", "text").withColumns(_marks("doc_id"))
+    found = scored(documents, labels, rows, "text", keep_text=False)
+    return found.select("doc_id", "held_out", "score",
                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def keep_clean(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """Pipeline stage: drop documents predicted toxic; columns stay."""
-    found = score_documents(documents, labels, packed(documents))
-    return unpacked(found.where("score < 0.5"), documents.columns)
+    at = {c: f"c{k}" for k, c in enumerate(documents.columns)}
+    rows = numbered(documents).withColumns(_marks(at["doc_id"]))
+    found = scored(documents, labels, rows, at["text"], keep_text=True)
+    return renamed_back(found.where("score < 0.5"), documents.columns)
