@@ -34,6 +34,7 @@ import zlib
 from bisect import bisect_left, bisect_right
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +47,7 @@ CAPTURED = "1970-01-01T00:00:00Z"   # the pages carry no capture time
 RECORDS_PER_ARCHIVE = 4096
 LINES_PER_BLOCK = 1024
 MAX_DIRECTORY = 100_000
+PACK_LEVEL = 9
 _HEX, _B32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 
@@ -258,11 +260,21 @@ def read_records(locations: DataFrame, archives: DataFrame) -> DataFrame:
     """The records in the byte ranges: page_id, payload_bytes, payload_digest,
     record_type, refers_to, uri. A response's size and digest are computed
     from its payload."""
+    def pack(batches):
+        # An archive meets its ranges in a shuffle; it goes there compressed.
+        for batch in batches:
+            for archive, content in zip(column_of(batch, "archive").to_pylist(),
+                                        column_of(batch, "content")):
+                data = zstandard.compress(content.as_buffer(), PACK_LEVEL)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([archive]), pa.array([data], pa.binary())],
+                    names=["archive", "content"])
+
     def run(batches):
         for batch in batches:
             for content, ranges in zip(column_of(batch, "content"),
                                        column_of(batch, "ranges").to_pylist()):
-                data, rows = memoryview(content.as_buffer()), []
+                data, rows = memoryview(zstandard.decompress(content.as_buffer())), []
                 for r in sorted(ranges, key=lambda r: r["offset"]):
                     record = bytes(data[r["offset"]: r["offset"] + r["length"]])
                     fields, start, _ = parse_record(record, 0)
@@ -286,7 +298,8 @@ def read_records(locations: DataFrame, archives: DataFrame) -> DataFrame:
 
     ranges = locations.groupBy("archive").agg(
         F.collect_list(F.struct("offset", "length")).alias("ranges"))
-    return archives.join(ranges, "archive").select("content", "ranges").mapInArrow(
+    packed = archives.mapInArrow(pack, "archive string, content binary")
+    return packed.join(ranges, "archive").select("content", "ranges").mapInArrow(
         run, "page_id bigint, payload_bytes bigint, payload_digest string, "
              "record_type string, refers_to bigint, uri string")
 
