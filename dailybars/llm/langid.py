@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import column_of, fold, packed, text_blocks, texts_of, unpacked
+from .common import column_of, fold, numbered, renamed_back, text_blocks, texts_of
 
 DIM = 1024
 SEED = 20240607
@@ -40,7 +40,10 @@ MIN_SCORE = 0.03
 _BITS = 9
 _SLOTS = 1 << _BITS
 _BOUNDARY = 1
+# Rows and text bytes handled at once: they bound a worker's memory.
 _ROWS = 512
+_BYTES = 1 << 20
+_CODES = 2048
 
 
 @lru_cache(maxsize=1)
@@ -93,12 +96,24 @@ def trigram_vectors(codes: np.ndarray, dim: int) -> np.ndarray:
             ).astype(np.float32)
 
 
-def document_vectors(texts: list[str], dim: int) -> np.ndarray:
-    owner, codes, counts = trigram_counts(texts)
+def bundled(owner: np.ndarray, codes: np.ndarray, counts: np.ndarray, rows: int,
+            dim: int) -> np.ndarray:
+    """Sums of the trigrams' vectors per owner, a part of the trigrams at a
+    time: memory does not depend on how many there are."""
     distinct, where = np.unique(codes, return_inverse=True)
-    weights = np.zeros((len(texts), len(distinct)), dtype=np.float32)
-    weights[owner, where] = counts
-    return weights @ trigram_vectors(distinct, dim)
+    total = np.zeros((rows, dim))
+    order = np.argsort(where, kind="stable")
+    for lo in range(0, len(distinct), _CODES):
+        hi = min(lo + _CODES, len(distinct))
+        part = order[np.searchsorted(where, lo, sorter=order): np.searchsorted(where, hi, sorter=order)]
+        weights = np.zeros((rows, hi - lo), dtype=np.float32)
+        weights[owner[part], where[part] - lo] = counts[part]
+        total += weights @ trigram_vectors(distinct[lo:hi], dim)
+    return total
+
+
+def document_vectors(texts: list[str], dim: int) -> np.ndarray:
+    return bundled(*trigram_counts(texts), len(texts), dim)
 
 
 def learn_prototypes(training: DataFrame, text: str = "text", lang: str = "lang",
@@ -106,15 +121,17 @@ def learn_prototypes(training: DataFrame, text: str = "text", lang: str = "lang"
     """Prototypes of all languages of the training rows: (names, vectors)."""
     def bundle(batches):
         sums: dict[str, np.ndarray] = {}
-        for block in text_blocks(batches, "text"):
-            langs = np.array(column_of(block, "lang").to_pylist(), dtype=object)
+        for block in text_blocks(batches, "text", _BYTES):
+            langs = column_of(block, "lang").to_pylist()
+            names = sorted(set(langs))
+            place = np.array([names.index(g) for g in langs])
             owner, codes, counts = trigram_counts(texts_of(block))
-            for name in sorted(set(langs)):
-                mine = (langs == name)[owner]
-                distinct, where = np.unique(codes[mine], return_inverse=True)
-                total = np.bincount(where, counts[mine], len(distinct))
-                vector = total @ trigram_vectors(distinct, dim).astype(np.float64)
-                sums[name] = sums.get(name, 0) + np.rint(vector).astype(np.int64)
+            # One count per language and trigram, then one vector per language.
+            keys, where = np.unique(place[owner] << 3 * _BITS | codes, return_inverse=True)
+            vectors = bundled(keys >> 3 * _BITS, keys & (1 << 3 * _BITS) - 1,
+                              np.bincount(where, counts, len(keys)), len(names), dim)
+            for name, vector in zip(names, np.rint(vectors).astype(np.int64)):
+                sums[name] = sums.get(name, 0) + vector
         if sums:
             yield pa.RecordBatch.from_pydict(
                 {"lang": list(sums), "vector": [v.tolist() for v in sums.values()]},
@@ -133,17 +150,18 @@ def learn_prototypes(training: DataFrame, text: str = "text", lang: str = "lang"
     return names, vectors / np.where(norms > 0, norms, 1)
 
 
-def predict_language(rows: DataFrame, names: list[str], prototypes: np.ndarray) -> DataFrame:
-    """The rows without their ``text`` column, with ``lang_pred`` and the
-    cosine ``score`` (0 to 1)."""
+def predict_language(rows: DataFrame, names: list[str], prototypes: np.ndarray,
+                     text: str = "text", keep_text: bool = False) -> DataFrame:
+    """The rows (without their text unless ``keep_text``) with ``lang_pred``
+    and the cosine ``score`` (0 to 1)."""
     dim = prototypes.shape[1]
-    kept = [f for f in rows.schema.fields if f.name != "text"]
+    kept = [f for f in rows.schema.fields if keep_text or f.name != text]
     schema = T.StructType([*kept, T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType())])
 
     def predict(batches):
-        for block in text_blocks(batches, max_rows=_ROWS):
-            vectors = document_vectors(texts_of(block), dim).astype(np.float64)
+        for block in text_blocks(batches, text, _BYTES, _ROWS):
+            vectors = document_vectors(texts_of(block, text), dim)
             size = np.linalg.norm(vectors, axis=1)
             found = [UNDETERMINED] * block.num_rows
             cosine = np.zeros(block.num_rows)
@@ -173,6 +191,7 @@ def keep_identified(documents: DataFrame, min_score: float = MIN_SCORE) -> DataF
     """Pipeline stage: drop documents without a determined language or with a
     best cosine below ``min_score``; the columns stay as they are."""
     names, prototypes = learn_prototypes(documents.where(fold("doc_id", 4) != 2))
-    found = predict_language(documents.select(packed(documents), "text"), names, prototypes)
+    found = predict_language(numbered(documents), names, prototypes,
+                             f"c{documents.columns.index('text')}", keep_text=True)
     kept = found.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score))
-    return unpacked(kept, documents.columns)
+    return renamed_back(kept, documents.columns)
