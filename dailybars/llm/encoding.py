@@ -17,7 +17,7 @@ from functools import lru_cache
 
 import regex
 
-CACHE_ENTRIES = 200_000    # of each of the two generations of a cache
+CACHE_ENTRIES = 150_000    # of each of the two generations of a cache
 _PLAIN = regex.compile(r"[!-~¡-ɏ]+")
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 
