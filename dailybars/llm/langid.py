@@ -33,9 +33,14 @@ from .common import column_of, fold, numbered, renamed_back, text_blocks, texts_
 DIM = 1024
 SEED = 20240607
 UNDETERMINED = "und"
-# Pipeline rule: a document whose best cosine is lower (about the spread of the
-# cosine of unrelated vectors of this length) is rejected.
-MIN_SCORE = 0.03
+# Pipeline rule (``recognised``): longer vectors than the predictions, the share
+# of a language's own trigram frequency below which a text is foreign to it, the
+# noise (in standard deviations) a text is given, and the different trigrams
+# below which a text with letters is always kept.
+STAGE_DIM = 4096
+MIN_SHARE = 0.3
+NOISE = 2.0
+FEW_TRIGRAMS = 24
 
 _BITS = 9
 _SLOTS = 1 << _BITS
@@ -43,7 +48,7 @@ _BOUNDARY = 1
 # Rows and text bytes handled at once: they bound a worker's memory.
 _ROWS = 512
 _BYTES = 1 << 20
-_CODES = 2048
+_CELLS = 1 << 21          # numbers of the trigram vectors held at once
 
 
 @lru_cache(maxsize=1)
@@ -103,8 +108,9 @@ def bundled(owner: np.ndarray, codes: np.ndarray, counts: np.ndarray, rows: int,
     distinct, where = np.unique(codes, return_inverse=True)
     total = np.zeros((rows, dim))
     order = np.argsort(where, kind="stable")
-    for lo in range(0, len(distinct), _CODES):
-        hi = min(lo + _CODES, len(distinct))
+    step = max(_CELLS // dim, 1)
+    for lo in range(0, len(distinct), step):
+        hi = min(lo + step, len(distinct))
         part = order[np.searchsorted(where, lo, sorter=order): np.searchsorted(where, hi, sorter=order)]
         weights = np.zeros((rows, hi - lo), dtype=np.float32)
         weights[owner[part], where[part] - lo] = counts[part]
@@ -119,6 +125,14 @@ def document_vectors(texts: list[str], dim: int) -> np.ndarray:
 def learn_prototypes(training: DataFrame, text: str = "text", lang: str = "lang",
                      dim: int = DIM) -> tuple[list[str], np.ndarray]:
     """Prototypes of all languages of the training rows: (names, vectors)."""
+    names, vectors, _ = _learnt_sums(training, text, lang, dim)
+    norms = np.linalg.norm(vectors, axis=1, keepdims=True)
+    return names, vectors / np.where(norms > 0, norms, 1)
+
+
+def _learnt_sums(training: DataFrame, text: str, lang: str, dim: int
+                 ) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(names, summed vectors, number of trigrams) per language."""
     def bundle(batches):
         sums: dict[str, np.ndarray] = {}
         for block in text_blocks(batches, "text", _BYTES):
@@ -130,6 +144,8 @@ def learn_prototypes(training: DataFrame, text: str = "text", lang: str = "lang"
             keys, where = np.unique(place[owner] << 3 * _BITS | codes, return_inverse=True)
             vectors = bundled(keys >> 3 * _BITS, keys & (1 << 3 * _BITS) - 1,
                               np.bincount(where, counts, len(keys)), len(names), dim)
+            # The last place holds the number of trigrams.
+            vectors = np.column_stack([vectors, np.bincount(place[owner], counts, len(names))])
             for name, vector in zip(names, np.rint(vectors).astype(np.int64)):
                 sums[name] = sums.get(name, 0) + vector
         if sums:
@@ -143,19 +159,18 @@ def learn_prototypes(training: DataFrame, text: str = "text", lang: str = "lang"
     sums = (partial.select("lang", F.posexplode("vector").alias("place", "value"))
             .groupBy("lang", "place").agg(F.sum("value").alias("value")).collect())
     names = sorted({r.lang for r in sums})
-    vectors = np.zeros((len(names), dim))
+    vectors = np.zeros((len(names), dim + 1))
     for r in sums:
         vectors[names.index(r.lang), r.place] = r.value
-    norms = np.linalg.norm(vectors, axis=1, keepdims=True)
-    return names, vectors / np.where(norms > 0, norms, 1)
+    return names, vectors[:, :dim], vectors[:, dim]
 
 
 def predict_language(rows: DataFrame, names: list[str], prototypes: np.ndarray,
-                     text: str = "text", keep_text: bool = False) -> DataFrame:
-    """The rows (without their text unless ``keep_text``) with ``lang_pred``
-    and the cosine ``score`` (0 to 1)."""
+                     text: str = "text") -> DataFrame:
+    """The rows without their text, with ``lang_pred`` and the cosine ``score``
+    (0 to 1)."""
     dim = prototypes.shape[1]
-    kept = [f for f in rows.schema.fields if keep_text or f.name != text]
+    kept = [f for f in rows.schema.fields if f.name != text]
     schema = T.StructType([*kept, T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType())])
 
@@ -187,11 +202,58 @@ def identify(documents: DataFrame) -> DataFrame:
     return predict_language(rows, names, prototypes)
 
 
-def keep_identified(documents: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
-    """Pipeline stage: drop documents without a determined language or with a
-    best cosine below ``min_score``; the columns stay as they are."""
-    names, prototypes = learn_prototypes(documents.where(fold("doc_id", 4) != 2))
-    found = predict_language(numbered(documents), names, prototypes,
-                             f"c{documents.columns.index('text')}", keep_text=True)
-    kept = found.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score))
-    return renamed_back(kept, documents.columns)
+def recognised(texts: list[str], prototypes: np.ndarray, usual: np.ndarray) -> np.ndarray:
+    """Which texts have a language. ``usual`` is the cosine of a language's own
+    text per root of its different trigrams; sums of products with trigram
+    vectors give the document vectors' products with the prototypes.
+
+    A text of n effective trigrams (square of their number by the sum of squared
+    counts) of a language has a cosine of about usual * sqrt(n). It is rejected
+    when no language reaches MIN_SHARE of that less the noise of the vectors, or
+    the noise itself where too little was learnt to expect more.
+    """
+    dim = prototypes.shape[1]
+    owner, codes, counts = trigram_counts(texts)
+    lettered = np.bincount(owner, minlength=len(texts)) > 0
+    if not len(prototypes):
+        return np.zeros(len(texts), dtype=bool)
+    squares = np.maximum(np.bincount(owner, counts.astype(float) ** 2, len(texts)), 1)
+    effective = np.bincount(owner, counts, len(texts)) ** 2 / squares
+    distinct, where = np.unique(codes, return_inverse=True)
+    step = max(_CELLS // dim, 1)
+    single = np.concatenate([np.zeros((0, len(prototypes)))] + [
+        trigram_vectors(distinct[lo: lo + step], dim) @ prototypes.T.astype(np.float32)
+        for lo in range(0, len(distinct), step)])
+    noise = NOISE / np.sqrt(dim)
+    fits = effective < FEW_TRIGRAMS
+    for k, own in enumerate(usual):
+        cosine = np.bincount(owner, counts * single[where, k], len(texts)) / np.sqrt(dim * squares)
+        fits |= cosine >= np.maximum(MIN_SHARE * own * np.sqrt(effective) - noise, noise)
+    return fits & lettered
+
+
+def learn_recognition(training: DataFrame, dim: int = STAGE_DIM) -> tuple[np.ndarray, np.ndarray]:
+    """(prototypes, usual) for ``recognised``. With counts p of n trigrams, the
+    mean frequency of the language's own trigrams is (sum p^2 - n) / n: a
+    trigram does not count as its own evidence."""
+    _, vectors, n = _learnt_sums(training, "text", "lang", dim)
+    squares = (vectors ** 2).sum(axis=1) / dim
+    known = (n > 0) & (squares > 0)
+    vectors, n, squares = vectors[known], n[known], squares[known]
+    size = np.sqrt(squares)
+    usual = np.maximum(squares - n, 0) / (n * size)
+    return vectors / (size * np.sqrt(dim))[:, None], usual
+
+
+def keep_identified(documents: DataFrame) -> DataFrame:
+    """Pipeline stage: drop documents without a recognised language; the
+    columns stay as they are."""
+    prototypes, usual = learn_recognition(documents.where(fold("doc_id", 4) != 2))
+    rows = numbered(documents)
+    text = f"c{documents.columns.index('text')}"
+
+    def keep(batches):
+        for block in text_blocks(batches, text, _BYTES, _ROWS):
+            yield block.filter(pa.array(recognised(texts_of(block, text), prototypes, usual)))
+
+    return renamed_back(rows.mapInArrow(keep, rows.schema), documents.columns)

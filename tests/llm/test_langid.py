@@ -1,4 +1,5 @@
 import math
+import random
 import zlib
 
 import numpy as np
@@ -83,6 +84,54 @@ def test_stage_drops_only_texts_without_language(make_docs, corpus):
     assert kept.count() == len(lettered)
 
 
+SHORT = ["OK", "No", "Yes", "Why so?", "Johnny Cash", "My dog skips happily", "Hello", "Thank you",
+         "Ja", "Guten Tag", "Wie geht es", "Merci", "Au revoir", "Hola", "Buenos dias", "Я", "日本"]
+SCRIPTS = [range(0x430, 0x450), range(0x3B1, 0x3CA), range(0x627, 0x64B), range(0x5D0, 0x5EB),
+           range(0x915, 0x93A), range(0x4E00, 0x5600), range(0xAC00, 0xB500), range(0x10D0, 0x10F1)]
+PROSE = ["the children walked home after school because the bus was late again",
+         "this recipe needs two eggs and a little milk",
+         "wir haben gestern einen langen spaziergang durch den wald gemacht",
+         "les enfants sont dans le jardin avec leur mère et leur père"]
+
+
+def prose_like(rng, letters, n):
+    """Words of a made-up vocabulary, the first ones most often."""
+    words = ["".join(rng.choices(letters, k=rng.randint(2, 8))) for _ in range(200)]
+    return " ".join(rng.choices(words, [1 / (k + 1) for k in range(200)], k=n))
+
+
+def test_stage_keeps_short_texts_and_drops_foreign_ones(spark):
+    """Planted texts without label, so nothing is learnt from them."""
+    rng = random.Random(5)
+    docs = table(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text", "lang")
+    foreign = [prose_like(rng, [chr(c) for c in s], n) for s in SCRIPTS for n in (25, 100, 2000)
+               for _ in range(5)]
+    foreign += [prose_like(rng, "abcdefghijklmnopqrstuvwxyz", n) for n in (25, 100, 2000)
+                for _ in range(5)]
+    foreign += [" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(n))
+                for n in (25, 100, 20_000) for _ in range(5)]
+    planted = [(10_000_000 + k, t, None) for k, t in enumerate(SHORT + PROSE + foreign)]
+    kept = {r.doc_id for r in L.keep_identified(docs.unionByName(
+        spark.createDataFrame(planted, docs.schema))).collect()}
+    clean = {i for i, _, _ in planted[:len(SHORT + PROSE)]}
+    assert clean <= kept
+    assert sum(i in kept for i, _, _ in planted[len(clean):]) <= len(foreign) // 50
+    lettered = {r.doc_id for r in docs.collect() if r.text and any(c.isalpha() for c in r.text)}
+    assert lettered <= kept
+
+
+def test_barely_learnt_language_does_not_let_everything_pass(spark):
+    rng = random.Random(6)
+    docs = table(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text", "lang")
+    tiny = next(i for i in range(20_000_000, 20_000_100) if zlib.crc32(str(i).encode()) % 4 != 2)
+    planted = [(tiny, "qx zw", "xx")] + [
+        (30_000_000 + k, prose_like(rng, [chr(c) for c in SCRIPTS[k % 8]], 100), None)
+        for k in range(40)]
+    kept = {r.doc_id for r in L.keep_identified(docs.unionByName(
+        spark.createDataFrame(planted, docs.schema))).collect()}
+    assert sum(i in kept for i, _, _ in planted[1:]) <= 4
+
+
 @pytest.mark.parametrize("text", ["", "ǅ ß İ", "\x00a\x00", "x" * 100_000])
 def test_counts_one_trigram_per_letter(text):
     owner, codes, counts = L.trigram_counts([text, "ab"])
