@@ -14,10 +14,11 @@ Work is the stated queries times all rows, in blocks of bounded size; the
 exact vectors are read for few rows only.
 
 Defined results: vectors that are NULL, empty or hold NULL or non-finite
-components take no part, nor do rows without an id; rows that repeat an id
-count once (the smallest vector); only vectors of the same dimension are
-compared; equal scores go to the smaller id; a query with fewer candidates
-gets all of them; components saturate at the range of a long and scores at
+components take no part, nor do rows without an id; rows equal in id and vector
+count once; rows that repeat an id with another vector all take part, and the
+rows of one query id share one list, as in the SQL; only vectors of the same
+dimension are compared; equal scores go to the smaller id; a query with fewer
+candidates gets all of them; components saturate at the range of a long and scores at
 that of a long; an empty table gives an empty result; extra columns are
 ignored.
 """
@@ -41,15 +42,18 @@ _LONG = np.iinfo(np.int64)
 
 
 def integer_vectors(embeddings: DataFrame, vector: str = "embedding") -> DataFrame:
-    """(vec_id, dim, ints) of the vectors that take part."""
+    """(row, vec_id, dim, ints) of the vectors that take part; ``row`` is
+    unique once the table is written."""
     x = F.col(vector)
     whole = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     ints = F.transform(x, lambda v: F.floor(F.lit(SCALE) * v.cast("double")))
     rows = (embeddings.where(F.col("vec_id").isNotNull() & x.isNotNull())
             .where((F.size(x) > 0) & whole)
-            .select(F.col("vec_id").cast("long").alias("vec_id"), ints.alias("ints")))
-    return (rows.groupBy("vec_id").agg(F.min("ints").alias("ints"))
-            .select("vec_id", F.size("ints").alias("dim"), "ints"))
+            .select(F.col("vec_id").cast("long").alias("vec_id"), x.alias("vector"),
+                    ints.alias("ints")))
+    return (rows.dropDuplicates(["vec_id", "vector"])
+            .select(F.monotonically_increasing_id().alias("row"), "vec_id",
+                    F.size("ints").alias("dim"), "ints"))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -93,7 +97,7 @@ def cell_borders(low: np.ndarray, high: np.ndarray, cells: int = CELLS) -> np.nd
 
 
 def approximate(vectors: DataFrame, borders: dict[int, np.ndarray], cells: int = CELLS) -> DataFrame:
-    """(vec_id, dim, cells): the approximation file."""
+    """(row, vec_id, dim, cells): the approximation file."""
     def run(batches):
         for batch in batches:
             dims = np.asarray(column_of(batch, "dim"))
@@ -106,11 +110,11 @@ def approximate(vectors: DataFrame, borders: dict[int, np.ndarray], cells: int =
                     found[:, d] = np.clip(np.searchsorted(edges[d], part[:, d], side="right") - 1,
                                           0, cells - 1)
                 yield pa.RecordBatch.from_arrays(
-                    [column_of(batch, "vec_id").filter(mine), column_of(batch, "dim").filter(mine),
+                    [*(column_of(batch, c).filter(mine) for c in ("row", "vec_id", "dim")),
                      pa.array([r.tobytes() for r in found], pa.binary())],
-                    names=["vec_id", "dim", "cells"])
+                    names=["row", "vec_id", "dim", "cells"])
 
-    return vectors.mapInArrow(run, "vec_id bigint, dim int, cells binary")
+    return vectors.mapInArrow(run, "row bigint, vec_id bigint, dim int, cells binary")
 
 
 def score_bounds(queries: np.ndarray, cells: np.ndarray, edges: np.ndarray
@@ -138,7 +142,8 @@ def exact_scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def _candidates(top: int, borders: dict[int, np.ndarray]):
     def run(queries: pa.Table, rows: pa.Table) -> pa.Table:
         q_ids, v_ids = np.asarray(queries["query_id"]), np.asarray(rows["vec_id"])
-        out = [np.zeros(0, np.int64)] * 2 + [np.zeros(0)] * 2
+        q_rows, v_rows = np.asarray(queries["query_row"]), np.asarray(rows["row"])
+        out = [np.zeros(0, np.int64)] * 4 + [np.zeros(0)] * 2
         if len(q_ids) and len(v_ids):
             dim = queries["dim"][0].as_py()
             cells = np.frombuffer(b"".join(rows["cells"].to_pylist()), np.uint8).reshape(-1, dim)
@@ -150,14 +155,14 @@ def _candidates(top: int, borders: dict[int, np.ndarray]):
             else:
                 kth = np.full(len(q_ids), -np.inf)
             i, j = np.nonzero((high >= kth[:, None]) & ~own)
-            out = [q_ids[i], v_ids[j], low[i, j], high[i, j]]
-        return pa.table(dict(zip(("query_id", "vec_id", "low", "high"), out)))
+            out = [q_rows[i], q_ids[i], v_rows[j], v_ids[j], low[i, j], high[i, j]]
+        return pa.table(dict(zip(("query_row", "query_id", "row", "vec_id", "low", "high"), out)))
 
     return run
 
 
 def _scored(pairs: DataFrame, queries: DataFrame, vectors: DataFrame) -> DataFrame:
-    """Exact scores of (query_id, vec_id) pairs."""
+    """Exact scores of pairs of rows."""
     def run(batches):
         for batch in batches:
             scores = np.zeros(batch.num_rows, dtype=np.int64)
@@ -171,9 +176,9 @@ def _scored(pairs: DataFrame, queries: DataFrame, vectors: DataFrame) -> DataFra
                 [column_of(batch, "query_id"), column_of(batch, "vec_id"), pa.array(scores)],
                 names=["query_id", "vec_id", "score"])
 
-    joined = (pairs.select("query_id", "vec_id")
-              .join(vectors.select("vec_id", "ints"), "vec_id")
-              .join(queries.select("query_id", F.col("ints").alias("query")), "query_id"))
+    joined = (pairs.select("query_row", "query_id", "row", "vec_id")
+              .join(vectors.select("row", "ints"), "row")
+              .join(queries.select("query_row", F.col("ints").alias("query")), "query_row"))
     return joined.mapInArrow(run, "query_id bigint, vec_id bigint, score bigint")
 
 
@@ -183,27 +188,30 @@ def top_k(embeddings: DataFrame, top: int = TOP, every: int = QUERY_EVERY,
     vectors = materialise(integer_vectors(embeddings), "vectors")
     borders = {d: cell_borders(*span) for d, span in dimension_ranges(vectors).items()}
     cells = materialise(approximate(vectors, borders), "approximations")
-    queries = vectors.where(F.col("vec_id") % every == 0).withColumnRenamed("vec_id", "query_id")
+    queries = vectors.where(F.col("vec_id") % every == 0).withColumnsRenamed(
+        {"row": "query_row", "vec_id": "query_id"})
     rows, asked = cells.count(), queries.count()
     row_blocks, query_blocks = -(-rows // row_block) or 1, -(-asked // query_block) or 1
     key = ["dim", "query_part", "row_part"]
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     part = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
-    left = (queries.withColumn("query_part", part("query_id", query_blocks))
+    left = (queries.withColumn("query_part", part("query_row", query_blocks))
             .withColumn("row_part", each(row_blocks)))
-    right = (cells.withColumn("row_part", part("vec_id", row_blocks))
+    right = (cells.withColumn("row_part", part("row", row_blocks))
              .withColumn("query_part", each(query_blocks)))
     found = materialise(left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(
-        _candidates(top, borders), "query_id bigint, vec_id bigint, low double, high double"),
+        _candidates(top, borders), "query_row bigint, query_id bigint, row bigint, vec_id bigint, "
+                                "low double, high double"),
         "bounded")
     by_query = Window.partitionBy("query_id")
-    best_low = F.row_number().over(by_query.orderBy(F.desc("low"), "vec_id"))
+    best_low = F.row_number().over(by_query.orderBy(F.desc("low"), "vec_id", "row", "query_row"))
     certain = (found.withColumn("n", best_low).groupBy("query_id")
                .agg(F.max(F.when(F.col("n") == top, F.col("low"))).alias("kth_low")))
     kept = found.join(certain, "query_id").where(
         F.col("kth_low").isNull() | (F.col("high") >= F.col("kth_low")))
-    order = F.row_number().over(by_query.orderBy(F.desc("high"), "vec_id"))
-    kept = materialise(kept.select("query_id", "vec_id", "high", order.alias("turn")), "in-order")
+    order = F.row_number().over(by_query.orderBy(F.desc("high"), "vec_id", "row", "query_row"))
+    kept = materialise(kept.select("query_row", "query_id", "row", "vec_id", "high",
+                                   order.alias("turn")), "in-order")
     first = materialise(_scored(kept.where(F.col("turn") <= 2 * top), queries, vectors), "first-read")
     rank = F.row_number().over(by_query.orderBy(F.desc("score"), "vec_id"))
     kth = first.withColumn("n", rank).where(F.col("n") == top).select(

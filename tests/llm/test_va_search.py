@@ -44,6 +44,20 @@ def test_matches_brute_force(make_vectors):
     assert rows_of(found) == brute(rows)
 
 
+def test_repeated_ids_with_other_vectors_all_take_part(make_vectors):
+    """As the SQL: every row is a candidate, the rows of a query id share a list."""
+    rng = np.random.default_rng(8)
+    draw = lambda: [float(x) for x in np.float32(rng.normal(0, 0.2, 8))]
+    rows = [(i, draw()) for i in range(300)] + [(i % 60, draw()) for i in range(150)]
+    ints = [(i, [math.floor(256 * x) for x in v]) for i, v in rows]
+    expected = []
+    for q in sorted({i for i, _ in ints if i % 50 == 0}):
+        scores = sorted((-sum(x * y for x, y in zip(a, b)), i) for p, a in ints if p == q
+                        for i, b in ints if i != q)
+        expected += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scores[:5])]
+    assert rows_of(V.top_k(make_vectors(rows), row_block=64, query_block=4)) == expected
+
+
 def test_constant_and_huge_components(make_vectors):
     rows = [(i, [0.0, 1.0]) for i in range(4)] + [(50, [1e30, 1.0]), (51, [1e30, -1.0])]
     found = {(q, r): (v, s) for q, r, v, s in rows_of(V.top_k(make_vectors(rows)))}
