@@ -15,15 +15,17 @@ Two documents are linked when the Jaccard similarity of their sets is at least
    pair is dropped when the posterior probability (uniform prior) that its
    similarity reaches the threshold is below 1e-6. A bucket with more than 512
    members is cut into blocks and each pair of blocks is a task of its own.
-4. The pairs left are verified exactly on the shingle sets. A task returns
-   per representative its number of links and one edge to the smallest
-   representative it is connected with, so pairs never leave a task.
+4. The pairs left are written as one list of partners per representative and
+   block pair, and shuffled once more with the representative's shingle set to
+   be verified exactly. A verifying task returns per representative its number
+   of links and one edge to the smallest representative it is connected with.
 5. Connected classes are found from those edges by alternating large-star and
    small-star rounds, written to the shared folder.
 
-The comparisons inside one group of different but mutually similar texts grow
+The comparisons inside one group of n different but mutually similar texts grow
 with the square of that group, since every link is counted; they are spread
-over the block pairs and never emitted.
+over the block pairs. So do the written partner lists (about n * n / 2 ids) and
+the shuffled copies of shingle sets (one per member and block pair).
 
 Defined results: texts that are NULL or have no word have no links and are a
 class of their own; rows with the same set are linked to each other; a class
