@@ -29,7 +29,10 @@ BLOCK, ALLOW = "block", "allow"
 RULES = (("net/", BLOCK), ("example.net/en/", ALLOW), ("example.com/de/", BLOCK),
          ("org/fr/", ALLOW))
 
-# The labelled URL table: invented URLs, block first.
+# The labelled URL table, block first: written by hand, partly after the test
+# pages. ``thther.example.org/en/685`` is a row of sf0.01/pages, and
+# spam-farm/en/728, ththre, m.ththth and blog.ththan are rows of it with the
+# top-level domain or the query string changed.
 LABELLED = tuple((url, 1.0) for url in (
     "http://spam-farm.example.org/en/728", "https://spam-links.example.org/es/11?utm_source=feed",
     "http://link-farm.example.com/fr/2", "https://spam-blog.example.org/de/90.html",
