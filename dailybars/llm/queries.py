@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (exact_dedup, langid, near_dup, packing, sp_tokens, token_counts, toxicity,
-               url_filter, va_search, warc_index)
+from . import (divergence, exact_dedup, langid, near_dup, packing, piece_table, polytope,
+               sp_tokens, token_counts, toxicity, url_filter, va_search, warc_index)
 from .common import ship_package, table
 
 
@@ -34,6 +34,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": _op(exact_dedup.exact_dedup, "documents"),
     "op9_url_filter": _op(url_filter.judge, "pages"),
     "op10_best_fit_packing": _op(packing.best_fit_packing, "documents"),
+    "op11_nearest_neighbours": _op(polytope.nearest, "embeddings"),
+    "op12_source_divergence": _op(divergence.source_divergence, "documents"),
+    "op13_fill_in_middle": _op(piece_table.round_trip, "documents"),
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -106,4 +109,83 @@ ORACLE_SQL: dict[str, str] = {
                                   ORDER BY n_points DESC, doc_id) = 1 AS kept,
                text_sha256
         FROM d""",
+    "op12_source_divergence": r"""
+        WITH t AS (
+            SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang,
+                   coalesce(source, '') AS source,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                       'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents),
+        w AS (SELECT doc, lang, source, unnest(terms) AS term FROM t),
+        kept AS (SELECT lang, term, CAST(count(*) AS HUGEINT) AS lang_n
+                 FROM w GROUP BY ALL HAVING count(DISTINCT doc) >= 30),
+        langs AS (SELECT lang, CAST(count(*) AS HUGEINT) AS v, sum(lang_n) AS lang_total
+                  FROM kept GROUP BY lang),
+        n AS (SELECT lang, source, term, CAST(count(*) AS HUGEINT) AS n
+              FROM w SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+        g AS (SELECT lang, source, coalesce(sum(n), 0) AS total
+              FROM (SELECT DISTINCT lang, source FROM t) LEFT JOIN n USING (lang, source)
+              GROUP BY ALL),
+        p AS (
+            SELECT g.lang, g.source, term, coalesce(n, 0) AS n,
+                   1 + 1000000000 * (coalesce(n, 0) + 5) // (total + 5 * v) AS p,
+                   1 + 1000000000 * (lang_n + 5) // (lang_total + 5 * v) AS q
+            FROM g JOIN langs USING (lang) JOIN kept USING (lang)
+            LEFT JOIN n USING (lang, source, term)),
+        far AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+                FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+                GROUP BY ALL),
+        r AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+                   coalesce(value, 0) AS value
+            FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN far ON far.lang = a.lang AND far.source = a.source
+                         AND far.item = b.source
+            UNION ALL
+            SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q),
+        s AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part
+                                           ORDER BY value DESC, item) AS place FROM r)
+        SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+               CAST(place AS INT) AS rank
+        FROM s WHERE part = 'pair' OR place <= 50""",
+    "op13_fill_in_middle": r"""
+        WITH t AS (
+            SELECT doc_id, coalesce(text, '') AS text,
+                   sha256('7:' || CAST(doc_id AS VARCHAR)) AS h,
+                   string_split(coalesce(text, ''), chr(10)) AS lines
+            FROM documents),
+        d AS (
+            SELECT *, length(text) - length(replace(text, chr(10), ''))
+                      + CASE WHEN text <> '' AND text[-1] <> chr(10) THEN 1 ELSE 0 END AS n,
+                   CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+                   CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4
+            FROM t),
+        f AS (
+            SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a,
+                   greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                   CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>')
+                             OR contains(text, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+                        WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+            FROM d),
+        c AS (
+            SELECT *, CASE WHEN a = 0 THEN '' WHEN a = n THEN text
+                      ELSE array_to_string(lines[:a], chr(10)) || chr(10) END AS before,
+                   CASE WHEN b = 0 THEN '' WHEN b = n THEN text
+                   ELSE array_to_string(lines[:b], chr(10)) || chr(10) END AS upto
+            FROM f),
+        o AS (
+            SELECT *, length(before) AS x, length(upto) - length(before) AS y,
+                   substr(text, length(before) + 1, length(upto) - length(before)) AS middle,
+                   substr(text, length(upto) + 1) AS rest
+            FROM c)
+        SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+               CASE WHEN form <> 'plain' THEN CAST(x AS BIGINT) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN CAST(y AS BIGINT) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text
+                      WHEN 'psm' THEN '<P>' || before || '<S>' || rest || '<M>' || middle
+                      ELSE '<S>' || rest || '<P>' || before || '<M>' || middle END)
+                   AS output_sha256,
+               sha256(text) AS restored_sha256
+        FROM o""",
 }

@@ -1,0 +1,94 @@
+import hashlib
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from dailybars.llm import piece_table as pt
+
+
+def sha(text):
+    return hashlib.sha256(text.encode("utf-8")).hexdigest()
+
+
+def brute(doc_id, text, rate=100, spm_share=50):
+    """doc_id, n, form, prefix_chars, middle_chars, output from string slices."""
+    text = text or ""
+    units = re.findall(r"[^\n]*\n|[^\n]+", text)
+    digest = sha(f"7:{'' if doc_id is None else doc_id}")
+    h1, h2, h3, h4 = (int(digest[8 * k: 8 * k + 8], 16) for k in range(4))
+    n = len(units)
+    if not text or any(s in text for s in ("<P>", "<S>", "<M>")) or h3 % 100 >= rate:
+        return doc_id, n, "plain", None, None, text
+    a, b = sorted((h1 % (n + 1), h2 % (n + 1)))
+    prefix, middle, suffix = ("".join(u) for u in (units[:a], units[a:b], units[b:]))
+    if h4 % 100 < spm_share:
+        return doc_id, n, "spm", len(prefix), len(middle), f"<S>{suffix}<P>{prefix}<M>{middle}"
+    return doc_id, n, "psm", len(prefix), len(middle), f"<P>{prefix}<S>{suffix}<M>{middle}"
+
+
+ODD = ["", None, "\n", "\n\n\n", "one line", "one line\n", "a\nb", "a\nb\n", "<", "<P", "a<P>b\nc",
+       "x\n<S>", "<M>", "<p>\n<P >\n<", "é\n日本語\n😀", "\r\nx\r\ny", "a\x00b\nc", "<\n<\n<\n<\n>P>"]
+
+
+@pytest.fixture(scope="module")
+def rows():
+    out = [(k, t, None) for k, t in enumerate(ODD * 12)]
+    long_text = "\n".join(f"line {k} ü" for k in range(200_000))
+    return out + [(None, "no\nid\n", None), (5, "twice\n2", None), (5, "twice\n2", None),
+                  (10**18, long_text, None), (-3, "negative\nid", None)]
+
+
+def test_query_equals_string_slices(make_docs, rows):
+    got = pt.round_trip(make_docs(rows)).collect()
+    key = lambda r: tuple(str(v) for v in r)
+    wanted = [(*b[:5], sha(b[5]), sha(t or "")) for b, t in
+              ((brute(i, t), t) for i, t, _ in rows)]
+    assert sorted(map(key, got)) == sorted(map(key, wanted))
+    forms = {r.form for r in got}
+    assert forms == {"plain", "psm", "spm"}
+
+
+@pytest.mark.parametrize("rate, share", [(0, 50), (40, 0), (40, 100), (100, 30)])
+def test_texts_come_back_at_other_rates(make_docs, rows, rate, share):
+    made = pt.fill_in_middle(make_docs(rows), rate=rate, spm_share=share)
+    outputs = {(r.doc_id, r.form, r.output) for r in made.collect()}
+    assert outputs == {(b[0], b[2], b[5]) for b in (brute(i, t, rate, share) for i, t, _ in rows)}
+    back = pt.restored(made)
+    assert "output" not in back.columns
+    assert sorted((str(r.doc_id), r.text) for r in back.collect()) == sorted(
+        (str(i), t or "") for i, t, _ in rows)
+
+
+def test_restoring_needs_output_and_form_only(spark):
+    outputs = spark.createDataFrame(
+        [(1, "psm", "<P>p<S>s<M>m"), (2, "spm", "<S><<P>p<M>"), (3, "plain", "x"), (4, "plain", None)],
+        "k int, form string, output string")
+    assert {(r.k, r.text) for r in pt.restored(outputs).collect()} == {
+        (1, "pms"), (2, "p<"), (3, "x"), (4, "")}
+    with pytest.raises(ValueError):
+        pt.restore(b"no sentinels", pt.PSM)
+
+
+def test_empty_table_and_other_id_types(spark, make_docs):
+    assert pt.round_trip(make_docs([])).collect() == []
+    named = spark.createDataFrame([("d-1", "a\nb\nc")], "doc_id string, text string")
+    row = pt.round_trip(named).first()
+    assert (row.doc_id, row.n) == ("d-1", 3)
+
+
+def test_scans_cross_piece_borders(monkeypatch):
+    text = "ä\n\nbc\nd".encode() * 50
+    whole = pt.line_count(text), pt.code_points(text), pt.line_offsets(text, [0, 0, 3, 100, 151])
+    for size in (1, 2, 3, 7):
+        monkeypatch.setattr(pt, "_SCAN", size)
+        assert (pt.line_count(text), pt.code_points(text),
+                pt.line_offsets(text, [0, 0, 3, 100, 151])) == whole
+    assert whole[0] == len(re.findall(rb"[^\n]*\n|[^\n]+", text))
+
+
+def test_draws_are_the_digest_of_seed_and_id(spark):
+    digest = sha("9:42")
+    drawn = spark.range(42, 43).select(pt.draws(9, "id").alias("d")).first().d
+    assert drawn == [int(digest[8 * k: 8 * k + 8], 16) for k in range(4)]
+    assert spark.range(1).select(F.size(pt.draws(9, "id"))).first()[0] == 4

@@ -1,0 +1,111 @@
+import math
+
+import numpy as np
+import pytest
+
+from dailybars.llm import polytope as pt
+
+SCHEMA = "vec_id long, embedding array<double>, label int, score double, rank int, row string"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, v, 0, 0.0, 0, "x") for i, v in rows], SCHEMA)
+
+
+def usable(v):
+    return bool(v) and all(x is not None and math.isfinite(x) for x in v) and any(v)
+
+
+def brute(rows, top=5, every=50):
+    """query_id -> [(vec_id, score)] over all rows, nearest first."""
+    rows = [(i, np.array(v)) for i, v in rows if i is not None and usable(v)]
+    out = {}
+    for q, a in rows:
+        if q % every:
+            continue
+        same = [(i, b) for i, b in rows if i != q and len(b) == len(a)]
+        for i, b in same:
+            out.setdefault(q, []).append((i, float(pt.cosines(a[None, :], b[None, :])[0])))
+    return {q: sorted(found, key=lambda x: (-x[1], x[0]))[:top] for q, found in out.items()}
+
+
+def answers(df):
+    out = {}
+    for r in sorted(df.collect(), key=lambda r: (r.query_id, r["rank"])):
+        out.setdefault(r.query_id, []).append((r.vec_id, r.score))
+        assert r["rank"] == len(out[r.query_id])
+    return out
+
+
+def test_clustered_vectors_are_found(spark):
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(40, 48))
+    rows = [(k, (centres[k % 40] + 0.25 * rng.normal(size=48)).tolist()) for k in range(1200)]
+    got, wanted = answers(pt.nearest(frame(spark, rows))), brute(rows)
+    assert got.keys() == wanted.keys()
+    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in wanted[q]}) for q in wanted)
+    assert hits >= 0.95 * sum(map(len, wanted.values()))
+    exact = {(q, i): s for q, found in brute(rows, top=1200).items() for i, s in found}
+    assert all(s == exact[q, i] for q, found in got.items() for i, s in found)
+
+
+def test_random_vectors_reach_the_recall(spark):
+    rng = np.random.default_rng(2)
+    rows = [(k, rng.normal(size=64).tolist()) for k in range(3000)]
+    got, wanted = answers(pt.nearest(frame(spark, rows))), brute(rows)
+    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in wanted[q]}) for q in wanted)
+    assert hits >= 0.9 * sum(map(len, wanted.values()))
+
+
+def test_odd_rows_copies_and_ties(spark):
+    rng = np.random.default_rng(3)
+    copy = rng.normal(size=10).tolist()
+    rows = [(k, copy) for k in range(0, 300)]                     # a hot vector
+    rows += [(1000 + k, [2.0 ** k * x for x in copy]) for k in range(8)]   # the same direction
+    rows += [(50, copy), (3, copy), (3, copy), (7, copy)]           # repeated rows
+    rows += [(100, rng.normal(size=10).tolist())]                  # an id with another vector
+    rows += [(None, copy), (400, None), (401, []), (402, [0.0] * 10), (450, [None] + copy[1:]),
+             (451, [float("nan")] + copy[1:]), (500, [float("inf")] + copy[1:]),
+             (550, [1e300] * 10), (551, [-1e300] * 10), (-50, [1e-300, 0.0, 1e-300] + [0.0] * 7),
+             (600, [1.0, 2.0, 3.0]), (601, [1.0, 2.0, 3.1]), (650, [5.0])]
+    for block in (4096, 16):
+        got = answers(pt.nearest(frame(spark, rows), row_block=block, query_block=block))
+        assert got == brute(rows), block
+
+
+def test_small_and_empty_tables(spark):
+    assert pt.nearest(frame(spark, [])).collect() == []
+    assert pt.nearest(frame(spark, [(50, [1.0, 0.0])])).collect() == []
+    rows = [(50, [1.0, 0.0]), (1, [-1.0, 0.0]), (2, [-1.0, 0.1])]
+    assert answers(pt.nearest(frame(spark, rows))) == brute(rows)
+    assert answers(pt.nearest(frame(spark, rows), top=1)) == brute(rows, top=1)
+
+
+def test_longer_keys_probe_their_best_combinations():
+    rng = np.random.default_rng(4)
+    units = pt.unit(rng.normal(size=(30, 20)))
+    for axes in (1, 2, 3):
+        where, found = pt.probe_keys(units, tables=3, axes=axes, probes=9)
+        for table in range(3):   # the best key of every table costs nothing
+            own = pt.keys(units, table, axes)
+            assert all(((w == table) & (f == k)).any() for w, f, k in zip(where, found, own))
+        assert all(len(set(zip(w, f))) == 9 for w, f in zip(where.tolist(), found.tolist()))
+
+
+def test_longer_keys_find_close_vectors(spark):
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(60, 32))
+    rows = [(k, (base[k % 60] + 0.05 * rng.normal(size=32)).tolist()) for k in range(600)]
+    got, wanted = answers(pt.nearest(frame(spark, rows), axes=2)), brute(rows)
+    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in wanted[q]}) for q in wanted)
+    assert hits >= 0.95 * sum(map(len, wanted.values()))
+
+
+def test_rotation_keeps_lengths_and_angles():
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(5, 64))
+    y = pt.rotated(x, 3, 1)
+    assert np.allclose(x @ x.T, y @ y.T)
+    assert not np.allclose(x, y)
+    with pytest.raises(ValueError):
+        pt.hadamard(np.ones((2, 3)))
