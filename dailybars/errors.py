@@ -8,3 +8,7 @@ class WrongFormatError(ValueError):
 class WrongLedgerError(KeyError, ValueError):
     """The ledger's columns are not the expected ones (a missing date column
     is a missing key, hence also a KeyError)."""
+
+
+class UnusableSourceError(ValueError):
+    """A date's files hold rows, but none that a report can use."""

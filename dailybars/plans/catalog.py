@@ -54,10 +54,11 @@ V1_COLUMNS = ("ISIN", "Date", "Time", "StartPrice", "MaxPrice", "MinPrice", "End
 # Mnemonic and EndPrice are missing.
 DRIFT_COLUMNS = ("Time", "ISIN", "Date", "StartPrice", "MaxPrice", "MinPrice", "TradedVolume")
 
-def _write_tick_csv(frame: DataFrame, path: str, columns, mode: str = "errorifexists") -> None:
+def _write_tick_csv(frame: DataFrame, path: str, columns, mode: str = "errorifexists",
+                    encoding: str = "UTF-8") -> None:
     (frame.withColumn("day", F.date_format(SRC.date, "yyyy-MM-dd"))
      .select(*columns, "day").write.mode(mode).partitionBy("day")
-     .option("header", True).csv(path))
+     .option("header", True).option("encoding", encoding).csv(path))
 
 
 def tick_csv_root(spark: SparkSession, sf_dir: str) -> str:
@@ -77,6 +78,18 @@ def drift_csv_root(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+def utf16_csv_root(spark: SparkSession, sf_dir: str) -> str:
+    """Event ticks as UTF-16 files: little-endian ones without a mark before
+    DRIFT_DATE, then such with a mark (and the other order of bytes)."""
+    path = scratch_dir(spark, "utf16-csv")
+    ticks = event_ticks_text_time(spark, sf_dir)
+    _write_tick_csv(ticks.where(F.col(SRC.date) < F.lit(DRIFT_DATE)), path, SRC.columns,
+                    encoding="UTF-16LE")
+    _write_tick_csv(ticks.where(F.col(SRC.date) >= F.lit(DRIFT_DATE)), path, SRC.columns,
+                    mode="append", encoding="UTF-16")
+    return path
+
+
 def parquet_ticks_root(spark: SparkSession, sf_dir: str) -> str:
     """Event ticks as Parquet partitioned by Date."""
     path = scratch_dir(spark, "tick-parquet")
@@ -157,6 +170,11 @@ def q_scan_ticks(spark, sf):
     return csv_ticks(spark, sf)
 
 
+def q_scan_ticks_utf16(spark, sf):
+    return read_ticks_csv(spark, utf16_csv_root(spark, sf), date_dir="day={date}",
+                          encoding="utf-16")
+
+
 def q_extract_dates(spark, sf):
     plan = DatePlan(FIRST_DATE, FIRST_DATE - dt.timedelta(days=1), END_DATE)
     return csv_ticks(spark, sf, plan.dates, with_source_date=True)
@@ -355,6 +373,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "list_prefix": q_list_prefix,
     "extract_no_files": q_extract_no_files,
     "scan_ticks": q_scan_ticks,
+    "scan_ticks_utf16": q_scan_ticks_utf16,
     "extract_dates": q_extract_dates,
     "extract_dates_parquet": q_extract_dates_parquet,
     "read_report": q_read_report,

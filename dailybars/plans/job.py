@@ -3,7 +3,9 @@
 Run on a cluster with ``spark-submit -m dailybars.plans.job ...`` (or
 ``python -m dailybars.plans.job``); every parameter is a command-line
 argument. Load writes the report first and the ledger second, so a crash in
-between reruns those dates next time (at least once), never skips them.
+between reruns those dates next time (at least once), never skips them. Before
+either is written, the dates to record are reconciled with the files: a date
+whose files hold rows of which none is usable fails the run.
 """
 
 from __future__ import annotations
@@ -12,9 +14,12 @@ import argparse
 import datetime as dt
 import logging
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import JobConfig
+from ..errors import UnusableSourceError
 from ..sinks import check_format, write_report
 from ..session import apply_scale_defaults, size_shuffle
 from ..sources.csv_ticks import empty_ticks, read_ticks_csv, tick_types
@@ -46,18 +51,23 @@ class ReportJob:
         log.info("plan: report from %s, read %s .. %s", self.plan.extract_date,
                  self.plan.start, self.plan.end)
 
+    def _read(self, dates: list[dt.date]) -> DataFrame | None:
+        """The ticks of the dates, with ``source_date``."""
+        cfg = self.cfg
+        if cfg.source_format == "parquet":
+            ticks = read_ticks_parquet(self.spark, cfg.source_root, dates, cfg.source.date)
+            return None if ticks is None else ticks.withColumn("source_date",
+                                                               F.col(cfg.source.date))
+        return read_ticks_csv(self.spark, cfg.source_root, dates, date_dir=cfg.date_dir,
+                              file_glob=cfg.file_glob, src=cfg.source, with_source_date=True,
+                              **cfg.csv_options)
+
     def extract(self) -> DataFrame:
         cfg = self.cfg
         empty = empty_ticks(self.spark, list(cfg.source.columns), tick_types(cfg.source))
         if self.plan.is_empty:
             return empty
-        if cfg.source_format == "parquet":
-            ticks = read_ticks_parquet(self.spark, cfg.source_root, self.plan.dates,
-                                       cfg.source.date)
-        else:
-            ticks = read_ticks_csv(self.spark, cfg.source_root, self.plan.dates,
-                                   date_dir=cfg.date_dir, file_glob=cfg.file_glob,
-                                   src=cfg.source, **cfg.csv_options)
+        ticks = self._read(self.plan.dates)
         if ticks is None:
             return empty
         total = input_bytes(ticks)
@@ -65,6 +75,29 @@ class ReportJob:
         log.info("input %d bytes -> %d initial shuffle partitions", total, n)
         return ticks
 
+    def reconcile(self, report: DataFrame) -> None:
+        """Fail if a date that the run would record has files with rows but
+        none with an instrument and a date.
+
+        Dates that the report holds are proven by it. Only the others (holidays,
+        empty files, dates without files) are read again, so in the usual run
+        next to nothing is. The dates are at most the plan's calendar days."""
+        src, trg = self.cfg.source, self.cfg.report
+        held = {r[0] for r in report.select(trg.date).distinct().collect()}
+        absent = [d for d in self.plan.record_dates if d not in held]
+        ticks = self._read(absent) if absent else None
+        if ticks is None:
+            return
+        usable = F.col(src.isin).isNotNull() & F.col(src.date).isNotNull()
+        found = (ticks.groupBy("source_date")
+                 .agg(F.count(F.lit(1)).alias("rows"), F.count_if(usable).alias("usable"))
+                 .where("rows > 0 and usable = 0").orderBy("source_date").collect())
+        if found:
+            days = ", ".join(f"{r.source_date} ({r.rows} rows)" for r in found)
+            raise UnusableSourceError(
+                f"files hold rows but no tick with {src.isin} and {src.date}: {days}; check their "
+                "encoding, delimiter and columns. Nothing was written or recorded")
+
     def transform(self, ticks: DataFrame) -> DataFrame:
         cfg = self.cfg
         from ..operators import project
@@ -77,12 +110,21 @@ class ReportJob:
 
     def load(self, report: DataFrame) -> str | None:
         cfg = self.cfg
-        path = write_report(report, cfg.target_root, cfg.report_key, cfg.report_format,
-                            self.now, cfg.report.date, by_date=cfg.write_mode == "by_date",
-                            sort_within=[cfg.report.isin])
+        report = report.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self.reconcile(report)
+            path = self._write(report)
+        finally:
+            report.unpersist()
         record_plan(self.spark, cfg.ledger_path, self.plan, self.now)
         return path
 
+    def _write(self, report: DataFrame) -> str | None:
+        cfg = self.cfg
+        return write_report(report, cfg.target_root, cfg.report_key, cfg.report_format,
+                            self.now, cfg.report.date, by_date=cfg.write_mode == "by_date",
+                            sort_within=[cfg.report.isin])
+
     def run(self) -> str | None:
         """Extract, transform, load. The shuffle sizing applies to this run's
         jobs only; the session setting is restored afterwards."""

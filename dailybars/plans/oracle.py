@@ -103,6 +103,7 @@ SELECT DISTINCT "Date" AS day FROM ticks WHERE strftime("Date", '%Y-%m-%d') LIKE
     "extract_no_files": f"""WITH {TICKS}, {TEXT_TICKS}
 SELECT * FROM text_ticks WHERE "Date" = DATE '2030-01-02'""",
     "scan_ticks": f"WITH {TICKS}, {TEXT_TICKS} SELECT * FROM text_ticks",
+    "scan_ticks_utf16": f"WITH {TICKS}, {TEXT_TICKS} SELECT * FROM text_ticks",
     "extract_dates": f"""WITH {TICKS}, {TEXT_TICKS}
 SELECT *, "Date" AS source_date FROM text_ticks
 WHERE "Date" BETWEEN DATE '2024-01-09' AND DATE '2024-01-30'""",

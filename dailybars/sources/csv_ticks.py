@@ -16,8 +16,11 @@ tests):
   position into the wrong columns.
 * ``by_name=True`` handles header drift: files are grouped by header, each
   group is scanned with its own layout and the groups are unioned by name
-  (a column missing in a group is NULL there). It costs one extra pass to
-  read the headers, so it is off by default.
+  (a column missing in a group is NULL there). It costs a look at each file's
+  beginning (``sources.layouts``), so it is off by default.
+* ``encoding`` takes Python's and Spark's names. UTF-16 files are cut at their
+  own two-byte line feeds and stay splittable; with ``utf-16`` each file's mark
+  tells the order of its bytes. What cannot be read is refused before any work.
 * Short rows keep their missing trailing fields as NULL; long rows fail, also
   when a query needs few columns or none: the parser always sees whole rows.
 * No matching file gives an empty, typed frame.
@@ -38,6 +41,7 @@ from pyspark.sql import types as T
 from ..config import NA_WORDS, SourceColumns
 from ..functions import nan_to_null
 from .files import date_from_path
+from .layouts import WIDE, Layout, charset, csv_layouts, is_missing_path
 
 _CORRUPT = "_corrupt_record"
 
@@ -79,25 +83,22 @@ def date_glob(root: str, dates: Sequence[dt.date] | None, date_dir: str = "{date
 
 
 def _reader(spark: SparkSession, encoding: str, sep: str, multi_line: bool,
-            file_glob: str | None = None, recursive: bool = True):
+            file_glob: str | None = None):
     reader = (spark.read.option("header", True).option("encoding", encoding)
               .option("sep", sep).option("multiLine", multi_line)
               .option("quote", '"').option("escape", '"')
-              .option("recursiveFileLookup", recursive))
+              .option("recursiveFileLookup", True))
     return reader.option("pathGlobFilter", file_glob) if file_glob else reader
 
 
-def _is_missing_path(err: AnalysisException) -> bool:
-    return "PATH_NOT_FOUND" in str(err) or "Path does not exist" in str(err)
-
-
 def header_of(spark: SparkSession, paths: str | Sequence[str], encoding: str = "utf-8",
-              sep: str = ",", file_glob: str | None = None) -> list[str] | None:
+              sep: str = ",", file_glob: str | None = None,
+              multi_line: bool = False) -> list[str] | None:
     """Column names from the header line of the first file (reads one line)."""
     try:
-        return _reader(spark, encoding, sep, False, file_glob).csv(paths).columns
+        return _reader(spark, encoding, sep, multi_line, file_glob).csv(paths).columns
     except AnalysisException as err:
-        if _is_missing_path(err):
+        if is_missing_path(err):
             return None
         raise
 
@@ -148,21 +149,71 @@ def _typed(raw: DataFrame, columns: Sequence[str], types: Mapping[str, T.DataTyp
                           *[value.alias(name) for name, value in added.items()])
 
 
-def _scan(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str],
-          types: Mapping[str, T.DataType], encoding: str, sep: str,
-          multi_line: bool, file_glob: str | None = None, recursive: bool = True,
-          added: Mapping[str, Column] | None = None) -> DataFrame:
-    """One scan; ``added`` columns may use the scan's ``_metadata``."""
+def _raw_rows(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str], name: str,
+              sep: str, multi_line: bool, file_glob: str | None) -> DataFrame:
+    """The files' rows as text, with the corrupt record, by Spark's CSV reader."""
     text_schema = T.StructType(
         [T.StructField(c, T.StringType(), True) for c in columns]
         + [T.StructField(_CORRUPT, T.StringType(), True)])
     # Without parser pruning every field of a row is seen, so a long row is
     # noticed whatever columns the query needs.
-    raw = (_reader(spark, encoding, sep, multi_line, file_glob, recursive)
-           .option("enforceSchema", False).option("mode", "PERMISSIVE")
-           .option("columnPruning", False)
-           .option("columnNameOfCorruptRecord", _CORRUPT)
-           .schema(text_schema).csv(paths))
+    return (_reader(spark, name, sep, multi_line, file_glob)
+            .option("enforceSchema", False).option("mode", "PERMISSIVE")
+            .option("columnPruning", False)
+            .option("columnNameOfCorruptRecord", _CORRUPT)
+            .schema(text_schema).csv(paths))
+
+
+def _wide_lines(spark: SparkSession, paths: str | Sequence[str], name: str,
+                file_glob: str | None) -> DataFrame:
+    """Decoded lines (column ``value``) of files whose line feed has two bytes.
+
+    Splits are cut at the two bytes of a line feed. The same bytes may also be
+    the halves of two neighbouring characters; such a cut leaves an odd number
+    of bytes, which fails the job. Malformed text fails in ``decode``."""
+    reader = (spark.read.option("encoding", name).option("lineSep", "\n")
+              .option("recursiveFileLookup", True))
+    if file_glob:
+        reader = reader.option("pathGlobFilter", file_glob)
+    raw = F.col("value").cast("binary")
+    torn = F.raise_error(F.concat(F.lit(f"a line is torn in its {name} text (the bytes of a line "
+                                        "feed in other characters), use multi_line: "),
+                                  F.col("_metadata.file_path")))
+    text = F.decode(F.when(F.octet_length(raw) % 2 == 0, raw).otherwise(torn), name)
+    lines = reader.text(paths).withColumn("value", F.rtrim(F.ltrim(text, F.lit("\ufeff")),
+                                                           F.lit("\r")))
+    return lines.where(F.col("value") != "")
+
+
+def _wide_rows(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str], name: str,
+               sep: str, file_glob: str | None) -> DataFrame:
+    """As ``_raw_rows`` for character sets with a two-byte line feed. A line
+    that equals the header is one: its date could not be read as data."""
+    fields = [f"f{k}" for k in range(len(columns))]
+    schema = ", ".join(f"{f} string" for f in fields) + f", {_CORRUPT} string"
+    row = F.from_csv("value", schema, {
+        "sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": _CORRUPT})
+    header = F.lit(True)
+    for f, c in zip(fields, columns):
+        header &= F.col(f"row.{f}").eqNullSafe(F.lit(c))
+    return (_wide_lines(spark, paths, name, file_glob).withColumn("row", row).where(~header)
+            .withColumns({**{c: F.col(f"row.{f}") for f, c in zip(fields, columns)},
+                          _CORRUPT: F.col(f"row.{_CORRUPT}")}))
+
+
+def _scan(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str],
+          types: Mapping[str, T.DataType], encoding: str, sep: str,
+          multi_line: bool, file_glob: str | None = None,
+          added: Mapping[str, Column] | None = None, files: Column | None = None) -> DataFrame:
+    """One scan of the files that the metadata filter ``files`` selects;
+    ``added`` columns may use the scan's ``_metadata``."""
+    if encoding in WIDE and not multi_line:
+        raw = _wide_rows(spark, paths, columns, encoding, sep, file_glob)
+    else:
+        raw = _raw_rows(spark, paths, columns, encoding, sep, multi_line, file_glob)
+    if files is not None:
+        raw = raw.where(files)
     return _typed(raw, columns, types, sep, added or {})
 
 
@@ -171,21 +222,6 @@ def empty_ticks(spark: SparkSession, columns: Sequence[str],
     return spark.createDataFrame([], tick_schema(columns, types))
 
 
-def file_headers(spark: SparkSession, paths: str, encoding: str = "utf-8",
-                 file_glob: str | None = None) -> DataFrame:
-    """(path, header) for every file: the first line of each file's first
-    split, found in one distributed pass (no file is opened on the driver)."""
-    reader = spark.read.option("encoding", encoding).option("recursiveFileLookup", True)
-    if file_glob:
-        reader = reader.option("pathGlobFilter", file_glob)
-    lines = (reader.text(paths)
-             .select(F.col("_metadata.file_path").alias("path"),
-                     F.col("_metadata.file_block_start").alias("block"),
-                     F.monotonically_increasing_id().alias("pos"), "value"))
-    return (lines.where(F.col("block") == 0)
-            .groupBy("path").agg(F.min_by("value", "pos").alias("header")))
-
-
 def read_ticks_csv(spark: SparkSession, root: str, dates: Sequence[dt.date] | None = None,
                    *, date_dir: str = "{date}", file_glob: str = "*",
                    columns: Sequence[str] | None = None,
@@ -198,6 +234,7 @@ def read_ticks_csv(spark: SparkSession, root: str, dates: Sequence[dt.date] | No
     ``columns``: the files' header, in order; read from one file if None.
     ``with_source_date`` adds ``source_date``, the date in the file's path.
     """
+    encoding = charset(spark, encoding, multi_line)
     types = dict(types) if types is not None else tick_types(src)
     folders = date_folders(root, dates, date_dir)
     added = {"source_date": date_from_path("_metadata.file_path", date_dir, root)
@@ -205,16 +242,23 @@ def read_ticks_csv(spark: SparkSession, root: str, dates: Sequence[dt.date] | No
     df = None
     if by_name:
         df = read_csv_by_name(spark, folders, types, encoding, sep, multi_line,
-                              file_glob=file_glob, root=root, added=added)
+                              file_glob=file_glob, added=added)
+    elif encoding in WIDE and not multi_line:
+        layouts = csv_layouts(spark, folders, encoding, sep, file_glob)
+        headers = {lay.columns for lay in layouts or ()} | ({tuple(columns)} if columns else set())
+        if layouts and len(headers) > 1:
+            raise ValueError(f"the files' headers differ, use by_name: {sorted(headers)}")
+        df = read_csv_by_name(spark, folders, types, encoding, sep, layouts=layouts or [],
+                              file_glob=file_glob, added=added)
     else:
         if columns is None:
-            columns = header_of(spark, folders, encoding, sep, file_glob)
+            columns = header_of(spark, folders, encoding, sep, file_glob, multi_line)
         if columns:
             try:
                 df = _scan(spark, folders, columns, types, encoding, sep, multi_line, file_glob,
                            added=added)
             except AnalysisException as err:
-                if not _is_missing_path(err):
+                if not is_missing_path(err):
                     raise
     if df is None:
         df = empty_ticks(spark, columns or list(src.columns), types)
@@ -223,91 +267,17 @@ def read_ticks_csv(spark: SparkSession, root: str, dates: Sequence[dt.date] | No
     return df
 
 
-def _bare(path: str) -> str:
-    """A path without scheme and final slash, to compare with listed paths."""
-    return "/" + path.split("://", 1)[-1].split(":", 1)[-1].strip("/")
-
-
-def csv_layouts(spark: SparkSession, paths: str, encoding: str = "utf-8",
-                sep: str = ",", file_glob: str | None = None, root: str | None = None
-                ) -> dict[tuple[str, ...], list[str]] | None:
-    """Header layout -> what to scan for it; None when nothing matches.
-
-    Headers are reduced in Spark first: a folder whose files all have one
-    header is one row here, whatever its number of files. Only folders that
-    mix layouts, flat files directly below ``root``, and a ``paths`` that is
-    itself a file are listed file by file (``root/x`` alone would also read
-    files of other dates)."""
-    import csv
-    try:
-        heads = file_headers(spark, paths, encoding, file_glob).withColumn(
-            "folder", F.regexp_replace("path", "/[^/]*$", "")).persist()
-    except AnalysisException as err:
-        if _is_missing_path(err):
-            return None
-        raise
-    try:
-        folders = heads.groupBy("folder").agg(F.count_distinct("header").alias("n"),
-                                              F.min("header").alias("header"))
-        alone = F.lit(False)
-        if root is not None:
-            alone = F.col("folder").endswith(_bare(root))
-        elif not any(c in paths for c in "*{["):
-            alone = ~F.contains("folder", F.lit(_bare(paths)))
-        single = folders.where((F.col("n") > 1) | alone).select("folder")
-        files = heads.join(single, "folder", "left_semi").select("header", "path").collect()
-        whole = (folders.where((F.col("n") == 1) & ~alone)
-                 .select("header", F.concat("folder", F.lit("/")).alias("path")).collect())
-    finally:
-        heads.unpersist()
-    layouts: dict[tuple[str, ...], list[str]] = {}
-    for row in [*whole, *files]:
-        columns = tuple(next(csv.reader([row["header"]], delimiter=sep)))
-        layouts.setdefault(columns, []).append(row["path"])
-    return layouts or None
-
-
-def scan_targets(layouts: dict[tuple[str, ...], list[str]],
-                 flat: str | None = None) -> dict[tuple[str, ...], list[str]]:
-    """Per layout, the paths to scan: one glob per parent of the folders that
-    have that layout only (``parent/{a,b,..}``, resolved with one listing),
-    plus the files of folders that mix layouts and of the folder ``flat``.
-    Passing every path instead would cost one existence check per path.
-    Entries of ``layouts`` are files, or whole folders ending in a slash."""
-    folder_layouts: dict[str, set] = {}
-    for cols, paths in layouts.items():
-        for p in paths:
-            folder_layouts.setdefault(p.rsplit("/", 1)[0], set()).add(cols)
-    targets: dict[tuple[str, ...], list[str]] = {}
-    for cols, paths in layouts.items():
-        parents: dict[str, set] = {}
-        files: list[str] = []
-        for p in paths:
-            folder = p.rsplit("/", 1)[0]
-            if len(folder_layouts[folder]) == 1 and not (flat and folder.endswith(flat)):
-                parent, name = folder.rsplit("/", 1)
-                parents.setdefault(parent, set()).add(name)
-            else:
-                files.append(p)
-        targets[cols] = [f"{parent}/{{{','.join(sorted(names))}}}"
-                         for parent, names in parents.items()] + files
-    return targets
-
-
 def read_csv_by_name(spark: SparkSession, paths: str, types: Mapping[str, T.DataType],
-                     encoding: str = "utf-8", sep: str = ",", multi_line: bool = False,
-                     layouts: dict[tuple[str, ...], list[str]] | None = None,
-                     file_glob: str | None = None, root: str | None = None,
+                     encoding: str = "UTF-8", sep: str = ",", multi_line: bool = False,
+                     layouts: list[Layout] | None = None, file_glob: str | None = None,
                      added: Mapping[str, Column] | None = None) -> DataFrame | None:
     """One scan per header layout, unioned by column name."""
     if layouts is None:
-        layouts = csv_layouts(spark, paths, encoding, sep, file_glob, root)
+        layouts = csv_layouts(spark, paths, encoding, sep, file_glob)
     if not layouts:
         return None
-    flat = _bare(root) if root is not None else _bare(paths).rsplit("/", 1)[0]
-    # Folders are listed one level deep: each folder is a target of its own.
-    frames = [_scan(spark, found, list(cols), types, encoding, sep, multi_line,
-                    file_glob, recursive=False, added=added)
-              for cols, found in scan_targets(layouts, flat).items()]
+    frames = [_scan(spark, paths, lay.columns, types, encoding if multi_line else lay.charset, sep,
+                    multi_line, file_glob, added=added, files=lay.selector())
+              for lay in layouts]
     from ..operators import union_by_name
     return union_by_name(frames)

@@ -30,8 +30,9 @@ from ..config import DATE_FORMAT, LEDGER_DATE_COL, LEDGER_TIME_COL, NOTHING_TO_D
 from ..errors import WrongLedgerError
 from ..functions import date_series, parse_date
 from ..operators import missing_dates
-from ..sources.csv_ticks import csv_layouts, read_csv_by_name
+from ..sources.csv_ticks import read_csv_by_name
 from ..sources.files import list_files
+from ..sources.layouts import Layout, csv_layouts
 
 log = logging.getLogger(__name__)
 
@@ -69,7 +70,7 @@ def nothing_to_do(end: dt.date) -> DatePlan:
     return DatePlan(NOTHING_TO_DO_DATE, NOTHING_TO_DO_DATE, end)
 
 
-def _layouts(spark: SparkSession, path: str) -> dict | None:
+def _layouts(spark: SparkSession, path: str) -> list[Layout] | None:
     return csv_layouts(spark, path)
 
 
@@ -77,7 +78,7 @@ def ledger_columns(spark: SparkSession, path: str) -> list[list[str]] | None:
     """The header of every ledger part file (distinct), or None when there is
     no ledger yet."""
     layouts = _layouts(spark, path)
-    return None if layouts is None else [list(cols) for cols in layouts]
+    return None if layouts is None else [list(lay.columns) for lay in layouts]
 
 
 def check_ledger_columns(columns: list[str]) -> None:
@@ -113,8 +114,8 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame | None:
     layouts = _layouts(spark, path)
     if layouts is None:
         return None
-    for cols in layouts:
-        if LEDGER_DATE_COL not in cols:
+    for lay in layouts:
+        if LEDGER_DATE_COL not in lay.columns:
             raise WrongLedgerError(f"ledger at {path} has no {LEDGER_DATE_COL} column")
     return read_csv_by_name(spark, path, {}, layouts=layouts)
 

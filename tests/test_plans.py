@@ -13,9 +13,6 @@ FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "Map
 def test_no_python_no_pairs_no_sort_aggregate(spark):
     queries = entry.queries()
     for name in QUERIES:
-        # A tie order is a struct key, which only a sort aggregate takes.
-        if name == "daily_ohlcv_tie_break":
-            continue
         plan = explain_text(queries[name](spark, SF))
         for marker in FORBIDDEN:
             assert marker not in plan, (name, marker)

@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SOURCE_COLUMNS, TICKS, write_csv, write_golden_files
-from dailybars.sources.csv_ticks import date_glob, file_headers, read_ticks_csv
+from dailybars.sources.csv_ticks import date_glob, read_ticks_csv
+from dailybars.sources.layouts import csv_layouts, file_headers
 from dailybars.sources.files import date_from_path, list_files
 
 D = dt.date
@@ -159,14 +160,17 @@ def test_scan_prunes_columns(spark, tmp):
     assert "ReadSchema: struct<ISIN:string,StartPrice:string" in plan
 
 
-def test_scan_targets_glob_uniform_folders():
-    from dailybars.sources.csv_ticks import scan_targets
-    a, b = ("x", "y"), ("y", "x")
-    layouts = {a: ["/r/d1/f1.csv", "/r/d1/f2.csv", "/r/d2/f.csv", "/r/d3/f.csv"],
-               b: ["/r/d3/g.csv", "/r/d4/g.csv"]}
-    t = scan_targets(layouts)
-    assert t[a] == ["/r/{d1,d2}", "/r/d3/f.csv"]
-    assert t[b] == ["/r/{d4}", "/r/d3/g.csv"]
+def test_layouts_list_only_what_departs_from_the_most_common_one(spark, tmp):
+    a, b, c = ["x", "y"], ["y", "x"], ["z"]
+    for path, header in {"d1/f1.csv": a, "d1/f2.csv": a, "d2/f.csv": a, "d3/f.csv": a,
+                         "d3/g.csv": b, "d4/g.csv": b, "flat.csv": a, "other.csv": c}.items():
+        write_csv(f"{tmp}/{path}", header, [])
+    first, *rest = csv_layouts(spark, tmp)
+    assert first.rest and first.columns == ("x", "y")
+    below = lambda paths: sorted(p.split(tmp, 1)[1] for p in paths)
+    assert (below(first.folders), below(first.files)) == (["/d4"], ["/d3/g.csv", "/other.csv"])
+    assert {lay.columns: (below(lay.folders), below(lay.files)) for lay in rest} == {
+        ("y", "x"): (["/d4"], ["/d3/g.csv"]), ("z",): ([], ["/other.csv"])}
 
 
 def test_list_prefix_semantics(spark, tmp):
