@@ -1,7 +1,7 @@
 """Source divergence audit: how far the sources of a language differ in words.
 
-1. The texts are split into terms (runs of letters and non-ASCII characters,
-   A-Z lower-cased) and written once, one folder per language.
+1. The texts are split into terms (runs of ASCII letters and non-ASCII
+   characters, A-Z lower-cased) and written once, one folder per language.
 2. A ``CountVectorizer`` per language, with ``minDF`` and the largest integer as
    ``vocabSize``, turns every document into an exact sparse vector of counts.
    Vectors are written, so a lost executor costs no recount.
@@ -39,8 +39,9 @@ from pyspark.sql import types as T
 from ..session import scratch_dir
 from .common import materialise
 
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# ASCII characters that are no letters: they end a term.
+BREAKS = "".join(chr(c) for c in range(128) if not chr(c).isalpha())
 MIN_DOCS = 30
 MAX_VOCAB = 2**31 - 1
 SMOOTHING = 5
@@ -62,10 +63,16 @@ def _text(column: str) -> F.Column:
 
 
 def term_lists(documents: DataFrame) -> DataFrame:
-    """lang, source and the terms of every document, in order."""
-    lowered = F.translate(_text("text"), UPPER, LOWER)
-    return documents.select(_text("lang").alias("lang"), _text("source").alias("source"),
-                            F.regexp_extract_all(lowered, F.lit(TERM), 0).alias("terms"))
+    """lang, source, the terms of every document with the mark, and those of
+    its terms that are in the sample of terms. One pass over the characters
+    lowers A-Z and makes every break a blank, at which the text is split."""
+    plain = F.translate(_text("text"), UPPER + BREAKS, LOWER + " " * len(BREAKS))
+    words = F.array_remove(F.split(plain, " "), "")
+    sampled = F.expr(f"array_distinct(filter(words, t -> xxhash64(t) % {1 << SAMPLE_BITS} = 0))")
+    return (documents.select(_text("lang").alias("lang"), _text("source").alias("source"),
+                             words.alias("words"))
+            .select("lang", "source", F.array_append("words", F.lit(_MARK)).alias("terms"),
+                    sampled.alias("sampled")))
 
 
 def _language_key(column: str = "lang") -> F.Column:
@@ -85,8 +92,7 @@ def languages(rows: DataFrame, min_docs: int = MIN_DOCS) -> list[tuple[str, str,
     """(language, folder, expected number of kept terms) of the languages with
     enough documents to keep a term."""
     enough = rows.groupBy("lang", "folder").count().where(F.col("count") >= min_docs)
-    some = F.expr(f"filter(array_distinct(terms), t -> xxhash64(t) % {1 << SAMPLE_BITS} = 0)")
-    kept = (rows.select("folder", F.explode(some).alias("term")).groupBy("folder", "term").count()
+    kept = (rows.select("folder", F.explode("sampled").alias("term")).groupBy("folder", "term").count()
             .where(F.col("count") >= min_docs).groupBy("folder").agg(F.count("term").alias("kept")))
     found = enough.join(kept, "folder", "left").select("lang", "folder", "kept").collect()
     return sorted((r.lang, r.folder, (r.kept or 0) << SAMPLE_BITS) for r in found)
@@ -96,11 +102,10 @@ def _vector_sums(docs: DataFrame, min_docs: int) -> DataFrame:
     """(source, term, n) of one language's documents, through a vectorizer of
     their terms and the written sparse vectors."""
     spark = docs.sparkSession
-    marked = docs.withColumn("terms", F.array_append("terms", F.lit(_MARK)))
     model = CountVectorizer(inputCol="terms", outputCol="counts", minDF=float(min_docs),
-                            vocabSize=MAX_VOCAB).fit(marked)
+                            vocabSize=MAX_VOCAB).fit(docs)
     path = scratch_dir(spark, "vectors")
-    model.transform(marked).select("source", "counts").write.parquet(path)
+    model.transform(docs).select("source", "counts").write.parquet(path)
     vectors = spark.read.schema(T.StructType([T.StructField("source", T.StringType()),
                                               T.StructField("counts", _VECTOR)])).parquet(path)
     entries = vectors.select("source", F.explode(
@@ -126,7 +131,7 @@ def group_counts(rows: DataFrame, min_docs: int = MIN_DOCS,
         shards = max(1, -(-expected // shard_terms))
         for k in range(shards):
             mine = docs if shards == 1 else docs.withColumn("terms", F.expr(
-                f"filter(terms, t -> pmod(xxhash64(t, 1), {shards}) = {k})"))
+                f"filter(terms, t -> t = '{_MARK}' or pmod(xxhash64(t, 1), {shards}) = {k})"))
             sums = _vector_sums(mine, min_docs).select(F.lit(lang).alias("lang"), "source",
                                                        "term", "n")
             parts.append(materialise(sums, "group-counts"))

@@ -6,6 +6,7 @@ import pytest
 
 from dailybars.llm import divergence as dv
 
+# The contract's terms; the operator splits at what they exclude.
 TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
 LOWER = str.maketrans(dv.UPPER, dv.LOWER)
 
