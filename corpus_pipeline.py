@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame. ``run`` writes
 each stage's rows as Parquet below the shared checkpoint folder and reads them
-back as the next one's documents. All but the last return the columns of
+back as the next one's documents; what a finished stage had written besides is
+removed. All but the last return the columns of
 documents; the last returns the packed pieces.
 """
 
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from dailybars.llm import exact_dedup, langid, near_dup, packing, toxicity
 from dailybars.llm.common import materialise, ship_package, table
+from dailybars.session import clean_scratch, scratch_count
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +59,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), scratch_count(spark)
     for name, stage in STAGES:
         docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+        # Only the stage's rows are read again, not what it was made from.
+        clean_scratch(spark, since=before, keep=1)
     return docs

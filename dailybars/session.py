@@ -99,10 +99,18 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return path
 
 
-def clean_scratch(spark: SparkSession) -> int:
-    """Delete the scratch folders this application has made so far; call it
-    when no DataFrame that reads them is needed any more. Returns how many."""
-    paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
+def scratch_count(spark: SparkSession) -> int:
+    """How many scratch folders are kept: a mark for ``clean_scratch``."""
+    return len(_SCRATCH.get(spark.sparkContext.applicationId, []))
+
+
+def clean_scratch(spark: SparkSession, since: int = 0, keep: int = 0) -> int:
+    """Delete the scratch folders this application has made so far (after the
+    mark ``since``, but for the ``keep`` newest); call it when no DataFrame that
+    reads them is needed any more. Returns how many."""
+    made = _SCRATCH.get(spark.sparkContext.applicationId, [])
+    stop = max(len(made) - keep, since)
+    paths, made[since:stop] = made[since:stop], []
     conf = spark._jsc.hadoopConfiguration()
     for text in paths:
         path = spark._jvm.org.apache.hadoop.fs.Path(text)
