@@ -19,18 +19,24 @@ from ..session import scratch_dir
 _SHIPPED: set[str] = set()
 
 
-# Rows per Arrow batch where the session has Spark's default: texts are long,
-# and a batch is held in memory on both sides.
+# Rows and bytes per Arrow batch where the session has Spark's defaults: texts
+# are long, and a batch is held in memory on both sides.
 BATCH_ROWS = 1024
+BATCH_BYTES = 4 << 20
+# Rows of a thin table (ids or digests) that may be broadcast.
+BROADCAST_ROWS = 1_000_000
 
 
 def ship_package(spark: SparkSession) -> None:
     """Send this package's sources to the Python workers, once per application
     (``addPyFile``), for sessions not started with ``--py-files``; and bound
-    the rows of an Arrow batch."""
-    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(batch) == "10000":
-        spark.conf.set(batch, BATCH_ROWS)
+    the rows and bytes of an Arrow batch, in a session that has not set them
+    (the setting stays, since plans are run after the query is built)."""
+    for key, default, bound in (("maxRecordsPerBatch", 10_000, BATCH_ROWS),
+                                ("maxBytesPerBatch", (1 << 31) - 1, BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{key}"
+        if spark.conf.get(key).rstrip("b") == str(default):
+            spark.conf.set(key, bound)
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
@@ -59,6 +65,27 @@ def materialise(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def row_key(text: str = "text") -> F.Column:
+    """128-bit key of a row's id and text."""
+    return F.unhex(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")),
+                                  F.lit("|"), F.coalesce(F.col(text), F.lit("")))))
+
+
+def without(frame: DataFrame, removed: DataFrame, key: str) -> DataFrame:
+    """The rows of ``frame`` whose key is not in ``removed`` (a written table of
+    keys). The removed ones are broadcast if they are few enough by their count,
+    so wide rows stay where they are; else both sides are shuffled."""
+    few = removed.count() <= BROADCAST_ROWS
+    return frame.join(F.broadcast(removed) if few else removed, key, "left_anti")
+
+
+def only(frame: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """``frame`` joined with ``wanted`` (a written table, unique by key), the
+    latter broadcast if it has few enough rows by its count."""
+    few = wanted.count() <= BROADCAST_ROWS
+    return frame.join(F.broadcast(wanted) if few else wanted, key)
+
+
 def packed(frame: DataFrame, name: str = "doc") -> F.Column:
     """All columns of a frame as one struct, safe from name clashes."""
     return F.struct(*[frame[quoted(c)].alias(c) for c in frame.columns]).alias(name)

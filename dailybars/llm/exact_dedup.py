@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, packed, unpacked
+from .common import materialise, only, packed, row_key, unpacked, without
 
 # Space and the ASCII controls from tab to carriage return.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -87,9 +87,23 @@ def exact_dedup(documents: DataFrame, text: str = "text", limit: int = HEAVY_DIG
 
 
 def keep_first(documents: DataFrame, text: str = "text") -> DataFrame:
-    """Pipeline stage: the rows that stay, with the documents' columns. The
-    documents are written once with their digests, so the row ids hold."""
-    written = materialise(documents.select(packed(documents), "doc_id",
-                                           *digest_columns(text)), "digested-documents")
-    kept = settle(written.drop("doc")).where("kept").select("row_id")
-    return unpacked(written.join(kept, "row_id", "left_semi"), documents.columns)
+    """Pipeline stage: the rows that stay, with the documents' columns.
+
+    Only digests are written and shuffled. The texts are read a second time,
+    and the keys of the rows that go, which are far fewer, are taken out of
+    them. Rows that repeat a document that stays (same id, same text) have its
+    key; only such documents are gathered, to keep one row of each."""
+    key = row_key(text)
+    rows = materialise(documents.select("doc_id", key.alias("row_key"), *digest_columns(text)),
+                       "digests")
+    settled = materialise(settle(rows.drop("row_key")).select("row_id", "kept")
+                          .join(rows.select("row_id", "row_key"), "row_id")
+                          .groupBy("row_key")
+                          .agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+                          .where("not kept or n > 1"), "not-as-they-are")
+    keyed = documents.select(packed(documents), key.alias("row_key"))
+    stays = without(keyed, settled.select("row_key"), "row_key")
+    repeated = settled.where("kept").select("row_key")
+    if not repeated.isEmpty():
+        stays = stays.unionByName(only(keyed, repeated, "row_key").dropDuplicates(["row_key"]))
+    return unpacked(stays, documents.columns)

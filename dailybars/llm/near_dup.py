@@ -15,17 +15,19 @@ Two documents are linked when the Jaccard similarity of their sets is at least
    pair is dropped when the posterior probability (uniform prior) that its
    similarity reaches the threshold is below 1e-6. A bucket with more than 512
    members is cut into blocks and each pair of blocks is a task of its own.
-4. The pairs left are written as one list of partners per representative and
-   block pair, and shuffled once more with the representative's shingle set to
-   be verified exactly. A verifying task returns per representative its number
-   of links and one edge to the smallest representative it is connected with.
+4. The members that have a partner left are written per block pair and shuffled
+   once more with their shingle sets; there their pairs are pruned again and
+   verified exactly, so no list of pairs is ever written. Blocks are also cut by
+   the bytes of their members' shingle sets. A verifying task returns per
+   representative its number of links and one edge to the smallest
+   representative it is connected with.
 5. Connected classes are found from those edges by alternating large-star and
    small-star rounds, written to the shared folder.
 
 The comparisons inside one group of n different but mutually similar texts grow
 with the square of that group, since every link is counted; they are spread
-over the block pairs. So do the written partner lists (about n * n / 2 ids) and
-the shuffled copies of shingle sets (one per member and block pair).
+over the block pairs. A member and its shingle set are shuffled once per block
+of its bucket.
 
 Defined results: texts that are NULL or have no word have no links and are a
 class of their own; rows with the same set are linked to each other; a class
@@ -45,7 +47,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column_of, materialise, packed, text_blocks, texts_of, unpacked
+from .common import (column_of, materialise, only, packed, row_key, text_blocks, texts_of, unpacked,
+                     without)
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -54,6 +57,7 @@ HASHES = BANDS * ROWS
 STEP = 32
 TOLERANCE = 1e-6
 BLOCK = 512
+BLOCK_BYTES = 16 << 20    # shingle sets of one block's members (expected, by hash)
 
 _RNG = np.random.default_rng(20240611)
 _PLACES = _RNG.integers(1, 1 << 63, WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -238,14 +242,9 @@ def _matrix(column, dtype, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=dtype).reshape(-1, width)
 
 
-def row_key(text: str = "text") -> F.Column:
-    """128-bit key of a row's id and text."""
-    return F.unhex(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")),
-                                  F.lit("|"), F.coalesce(F.col(text), F.lit("")))))
-
-
 def sketch(documents: DataFrame) -> DataFrame:
-    """doc_id, row_key, set_key (NULL without words), signature, bands."""
+    """doc_id, row_key, set_key (NULL without words), signature, bands and size
+    of the set."""
     def run(batches):
         for block in text_blocks(batches, max_bytes=2 << 20):
             sets = shingle_sets(texts_of(block))
@@ -260,13 +259,14 @@ def sketch(documents: DataFrame) -> DataFrame:
                  pa.array([signed[place[k]].tobytes() if k in place else None
                            for k in range(len(sets))], pa.binary()),
                  pa.array([bands[place[k]] if k in place else None
-                           for k in range(len(sets))], pa.list_(pa.int64()))],
-                names=["doc_id", "row_key", "set_key", "signature", "bands"])
+                           for k in range(len(sets))], pa.list_(pa.int64())),
+                 pa.array([len(s) for s in sets], pa.int64())],
+                names=["doc_id", "row_key", "set_key", "signature", "bands", "size"])
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     return documents.select("doc_id", row_key().alias("row_key"), "text").mapInArrow(
         run, f"doc_id {kind}, row_key binary, set_key binary, signature binary, "
-             "bands array<bigint>")
+             "bands array<bigint>, size bigint")
 
 
 def _block_tasks(members: DataFrame) -> DataFrame:
@@ -281,51 +281,53 @@ def _block_tasks(members: DataFrame) -> DataFrame:
 
 
 _TASK = ["band", "bucket", "lo", "hi"]
+_MEMBER = [*_TASK, "side", "rep"]
 
 
 def _clustered(frame: DataFrame) -> DataFrame:
     return frame.repartition(*_TASK).sortWithinPartitions(*_TASK, "side", "rep")
 
 
-def candidate_members(reps: DataFrame, block: int = BLOCK) -> DataFrame:
+def candidate_members(reps: DataFrame, block: int = BLOCK,
+                      block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(rep, band, bucket, blocks) of the buckets with two members or more,
-    without buckets whose members another bucket of an earlier band has."""
-    rows = reps.select("rep", F.posexplode("bands").alias("band", "bucket")).select(
-        "rep", F.col("band").cast("long").alias("band"), "bucket")
+    without buckets whose members another bucket of an earlier band has. A
+    bucket has as many blocks as its members or their shingle sets ask for."""
+    rows = reps.select("rep", "size", F.posexplode("bands").alias("band", "bucket")).select(
+        "rep", "size", F.col("band").cast("long").alias("band"), "bucket")
     buckets = (rows.groupBy("band", "bucket")
-               .agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("rep")).alias("all_1"),
+               .agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"),
+                    F.bit_xor(F.xxhash64("rep")).alias("all_1"),
                     F.bit_xor(F.xxhash64("rep", F.lit(7))).alias("all_2"))
                .where("n > 1"))
-    once = (buckets.groupBy("n", "all_1", "all_2")
+    blocks = F.least(F.greatest(F.ceil(F.col("n") / block), F.ceil(F.col("size") * 8 / block_bytes)),
+                     F.col("n"))
+    once = (buckets.groupBy("n", "size", "all_1", "all_2")
             .agg(F.min(F.struct("band", "bucket")).alias("first"))
-            .select("first.band", "first.bucket", F.ceil(F.col("n") / block).alias("blocks")))
-    return rows.join(materialise(once, "buckets"), ["band", "bucket"])
+            .select("first.band", "first.bucket", blocks.alias("blocks")))
+    return rows.drop("size").join(materialise(once, "buckets"), ["band", "bucket"])
+
+
+def _pairs(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of a block pair's members that the Bayesian pruning leaves."""
+    signed = _matrix(group.column("signature"), np.uint32, HASHES)
+    same = group.column("lo")[0].as_py() == group.column("hi")[0].as_py()
+    cut = 0 if same else int(np.searchsorted(np.asarray(group.column("side")), 1))
+    left, right = (signed, signed) if same else (signed[:cut], signed[cut:])
+    i, j = surviving_pairs(left, right, group.column("band")[0].as_py(), same)
+    return i, j + cut
 
 
 def _compare(batches):
-    """Bayesian pruning inside each block pair: the members that are left,
-    each with its partners."""
+    """The members of each block pair that have a partner left after the
+    Bayesian pruning. Their pairs are not written: they are found again, from
+    the members that are left, where they are verified."""
     for group in _groups(batches, _TASK):
-        reps = np.asarray(group.column("rep"))
-        signed = _matrix(group.column("signature"), np.uint32, HASHES)
-        same = group.column("lo")[0].as_py() == group.column("hi")[0].as_py()
-        band = group.column("band")[0].as_py()
-        cut = 0 if same else int(np.searchsorted(np.asarray(group.column("side")), 1))
-        left, right = (signed, signed) if same else (signed[:cut], signed[cut:])
-        i, j = surviving_pairs(left, right, band, same)
-        if not len(i):
-            continue
-        j = j + cut
-        order = np.argsort(i, kind="stable")
-        i, j = i[order], j[order]
-        alive = np.unique(np.concatenate([i, j]))
-        at = np.searchsorted(i, alive, side="left"), np.searchsorted(i, alive, side="right")
-        task = [pa.array(np.full(len(alive), group.column(k)[0].as_py()), pa.int64())
-                for k in _TASK]
-        yield pa.RecordBatch.from_arrays(
-            [*task, pa.array(reps[alive], pa.int64()),
-             pa.array([reps[j[a:b]] for a, b in zip(*at)], pa.list_(pa.int64()))],
-            names=[*_TASK, "rep", "partners"])
+        alive = np.unique(np.concatenate(_pairs(group)))
+        if len(alive):
+            yield pa.RecordBatch.from_arrays(
+                [group.column(c).combine_chunks().take(pa.array(alive)) for c in _MEMBER],
+                names=_MEMBER)
 
 
 def _verify(batches):
@@ -334,16 +336,13 @@ def _verify(batches):
         reps = np.asarray(group.column("rep"))
         copies = np.asarray(group.column("copies"))
         sets = [np.frombuffer(s, dtype=np.uint64) for s in group.column("shingles").to_pylist()]
-        partners = group.column("partners").to_pylist()
-        order = np.argsort(reps)
-        i = np.repeat(np.arange(len(reps)), [len(p) for p in partners])
-        wanted = np.array([p for own in partners for p in own], dtype=np.int64)
-        j = order[np.searchsorted(reps, wanted, sorter=order)]
+        i, j = _pairs(group)
         good = linked_pairs(sets, i, j)
         i, j = i[good], j[good]
         if not len(i):
             continue
         links = (np.bincount(i, copies[j], len(reps)) + np.bincount(j, copies[i], len(reps)))
+        order = np.argsort(reps)
         rank = np.empty(len(reps), dtype=np.int64)
         rank[order] = np.arange(len(reps))
         root = reps[order][forest(len(reps), rank[i], rank[j])[rank]]
@@ -364,18 +363,20 @@ def _shingle_column(batches):
 
 def links(documents: DataFrame, reps: DataFrame) -> DataFrame:
     """(rep, links, root) rows of the verified links; ``reps`` is a written
-    table of rep, row_key, copies, signature and bands."""
-    tasks = _block_tasks(candidate_members(reps))
-    compared = materialise(
-        _clustered(tasks.join(reps.select("rep", "signature"), "rep")).mapInArrow(
-            _compare, "band bigint, bucket bigint, lo bigint, hi bigint, rep bigint, "
-                      "partners array<bigint>"), "pairs-left")
-    needed = compared.select("rep").distinct().join(reps.select("rep", "row_key", "copies"), "rep")
-    texts = (documents.select(row_key().alias("row_key"), "text")
-             .join(needed, "row_key").dropDuplicates(["row_key"]))
+    table of rep, row_key, copies, size, signature and bands."""
+    tasks = _block_tasks(candidate_members(reps)).join(reps.select("rep", "signature"), "rep")
+    alive = materialise(_clustered(tasks).mapInArrow(
+        _compare, "band bigint, bucket bigint, lo bigint, hi bigint, side int, rep bigint"),
+        "alive")
+    needed = materialise(alive.select("rep").distinct().join(
+        reps.select("rep", "row_key", "copies"), "rep"), "needed")
+    texts = only(documents.select(row_key().alias("row_key"), "text"), needed, "row_key")
     shingled = materialise(texts.select("rep", "copies", "text").mapInArrow(
         _shingle_column, "rep bigint, copies bigint, shingles binary"), "shingles")
-    verify = compared.withColumn("side", F.lit(0)).join(shingled, "rep")
+    if shingled.count() > needed.count():       # rows that repeat an id and a text
+        shingled = materialise(shingled.dropDuplicates(["rep"]), "shingles-once")
+    verify = (alive.join(reps.select("rep", "signature"), "rep")
+              .join(shingled, "rep"))
     return materialise(_clustered(verify).mapInArrow(
         _verify, "rep bigint, links bigint, root bigint"), "links")
 
@@ -410,10 +411,11 @@ def _joined_classes(documents: DataFrame) -> DataFrame:
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key"))
     sets = (rows.where(F.col("set_key").isNotNull()).groupBy("set_key")
             .agg(F.count(F.lit(1)).alias("copies"), first.alias("first"),
-                 F.first("signature").alias("signature"), F.first("bands").alias("bands")))
+                 F.first("signature").alias("signature"), F.first("bands").alias("bands"),
+                 F.first("size").alias("size")))
     reps = materialise(sets.select(F.monotonically_increasing_id().alias("rep"), "set_key", "copies",
                                    "first", F.col("first.row_key").alias("row_key"),
-                                   "signature", "bands"), "classes")
+                                   "signature", "bands", "size"), "classes")
     found = links(documents, reps)
     roots = materialise(connected(found.select(F.col("rep").alias("a"), F.col("root").alias("b"))),
                         "roots")
@@ -448,9 +450,17 @@ def jaccard_classes(documents: DataFrame) -> DataFrame:
 def keep_one(documents: DataFrame) -> DataFrame:
     """Pipeline stage: of each connected class the document with the smallest
     id stays, with the documents' columns. Rows with the same id and text
-    count as one document."""
-    kept = (_joined_classes(documents).where("row_key = class_key").select("row_key")
-            .distinct())
+    count as one document. The texts are read again and the keys of the rows
+    that go are taken out of them; only documents that stay and are repeated
+    are gathered."""
+    changed = materialise(
+        _joined_classes(documents).groupBy("row_key")
+        .agg(F.max(F.col("row_key") == F.col("class_key")).alias("kept"),
+             F.count(F.lit(1)).alias("n"))
+        .where("not kept or n > 1"), "not-as-they-are")
     keyed = documents.select(packed(documents), row_key().alias("row_key"))
-    stays = keyed.join(materialise(kept, "kept"), "row_key", "left_semi")
-    return unpacked(stays.dropDuplicates(["row_key"]), documents.columns)
+    stays = without(keyed, changed.select("row_key"), "row_key")
+    repeated = changed.where("kept").select("row_key")
+    if not repeated.isEmpty():
+        stays = stays.unionByName(only(keyed, repeated, "row_key").dropDuplicates(["row_key"]))
+    return unpacked(stays, documents.columns)

@@ -1,34 +1,39 @@
 """Toxicity scoring by weak supervision.
 
 1. *Lexicons and patterns.* From a bounded sample of labelled training rows,
-   words and word beginnings (patterns) whose documents are nearly always
-   toxic are mined by a likelihood-ratio test; a short fixed list of English
-   insults is added.
-2. *Voters.* The terms are dealt to voters; a voter fires on a document that
-   holds one of its terms. Others fire on repeated or dense hits, on insults
-   addressed to someone, or (voting clean) on the absence of any hit.
+   words, word beginnings and pairs of neighbouring words whose documents are
+   nearly always toxic are mined by a likelihood-ratio test; a short fixed list
+   of English insults is added.
+2. *Voters* from separate sources: mined words, beginnings of four and of five
+   letters, pairs of words that are harmless alone, fixed insults, insults
+   addressed to someone, repeated and dense hits, shouting (exclamation marks or
+   capitals), and, voting clean, the absence of any hit.
 3. *Label model.* Every document that is not held out votes; Spark counts the
    vote patterns (at most 2 ** voters, a fixed bound). A two-class generative
-   model with per-class firing rates is fitted to the counts by expectation
-   maximisation. Correlations that the classes do not explain are estimated
-   from the same counts, and each voter's evidence is divided by its share of
-   correlated company.
-4. *Linear classifier.* Logistic regression on the documents' hit features,
-   trained on the posterior labels.
-
-Texts are read twice: the sample for the lexicon, then every whole text once
-for features, which are written to the shared folder.
-
-Defined results: NULL and empty texts have no hits and get the score of such a
-document; rows with a NULL id are scored (``held_out`` false) but never learnt
-from; repeated rows are scored alike; without toxic labels only the fixed list
-votes; an empty table gives an empty result; extra columns are ignored.
+   model is fitted to the counts by expectation maximisation: every round
+   estimates the voters' firing rates per class (their accuracies) and the
+   correlations that the classes leave between them, and divides a voter's
+   evidence by its share of correlated company.
+4. *Linear classifier.* Logistic regression on the posterior labels. Its
+   features are the voters' counts and the document's words, hashed to
+   ``BUCKETS`` places, so it goes beyond the lexicon.
+
+Every whole text is read once for its features, which are written to the shared
+folder; labels are learnt and documents scored from there. The mining sample is
+read once more.
+
+Defined results: NULL and empty texts have no hits and no words and get the
+score of such a document; rows with a NULL id are scored (``held_out`` false)
+but never learnt from; repeated rows are scored alike; without toxic labels only
+the fixed list votes; an empty table gives an empty result; extra columns are
+ignored.
 """
 
 from __future__ import annotations
 
 import re
-from functools import reduce
+import zlib
+from functools import lru_cache, reduce
 from operator import add
 
 import numpy as np
@@ -37,26 +42,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import column_of, fold, materialise, numbered, renamed_back, text_blocks
+from .common import column_of, fold, materialise, packed, row_key, text_blocks, unpacked, without
 
 # English insults every lexicon starts from.
 INSULTS = ("clown disgusting dumb filthy garbage idiot idiots imbecile jerk loser losers "
            "moron morons pathetic scum stupid trash vermin worthless").split()
 
 SAMPLE_ROWS = 20_000      # labelled rows the lexicon is mined from (expected, by hash)
-FIT_ROWS = 20_000         # rows the classifier is fitted to, per posterior class (expected)
-MAX_TERMS = 600           # mined terms kept
+FIT_ROWS = 10_000         # rows the classifier is fitted to, per posterior class (expected)
 PATTERNS = (4, 5)         # lengths of the word beginnings
 MIN_EVIDENCE = 24.0       # likelihood ratio (2 ln) that a term needs
 MIN_PRECISION = 0.9       # share of a term's documents that are toxic
-LEXICON_VOTERS = 4
-PATTERN_VOTERS = 2
+BUCKETS = 1 << 16         # places of the hashed words
+RIDGE = 1e-3              # of the voters' weights
+WORD_RIDGE = 3e-3         # of the words' weights
+SHOUT_EVERY = 150         # characters per exclamation mark that count as shouting
 
 _WORD = re.compile(r"[^\W\d_]+")
 _ADDRESSED = re.compile(r"\b(?:you|your|you're|they are|he is|she is)\W+(?:\w+\W+){0,2}?([^\W\d_]+)")
-VOTERS = ([f"lexicon_{k}" for k in range(LEXICON_VOTERS)]
-          + [f"pattern_{n}_{k}" for n in PATTERNS for k in range(PATTERN_VOTERS)]
-          + ["insult", "two_words", "two_patterns", "dense", "addressed", "no_hit"])
+VOTERS = ["words", *(f"heads_{n}" for n in PATTERNS), "pairs", "insults", "addressed",
+          "two_words", "two_heads", "repeated", "dense", "shouting", "no_hit"]
 
 
 def _place(key: F.Column) -> F.Column:
@@ -75,15 +80,21 @@ def sample_training(documents: DataFrame, labels: DataFrame, rows: int) -> DataF
             .agg(F.first("text").alias("text"), F.max("toxic").alias("toxic")))
 
 
-def mine_terms(sample: DataFrame, limit: int = MAX_TERMS) -> tuple[list[str], float]:
-    """Terms (``w:word``, ``4:head``, ``5:heads``) nearly always toxic, and the
-    toxic share of the sample. What is collected is at most ``limit`` terms."""
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), 1))
-    heads = [F.transform(F.filter("words", lambda w, n=n: F.length(w) >= n),
+def mine_terms(sample: DataFrame) -> tuple[list[str], float]:
+    """Terms (``w:word``, ``4:head``, ``5:heads``, ``p:two words``) nearly
+    always toxic, and the toxic share of the sample. A term needs several toxic
+    documents, so what is collected is bounded by the sample."""
+    words = F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), 1)
+    distinct = F.array_distinct("words")
+    heads = [F.transform(F.filter(distinct, lambda w, n=n: F.length(w) >= n),
                          lambda w, n=n: F.concat(F.lit(f"{n}:"), F.substring(w, 1, n)))
              for n in PATTERNS]
-    terms = F.array_distinct(F.concat(F.transform("words", lambda w: F.concat(F.lit("w:"), w)),
-                                      *heads))
+    n_words = F.size("words")
+    pairs = F.when(n_words > 1, F.zip_with(
+        F.slice("words", F.lit(1), n_words - 1), F.slice("words", F.lit(2), n_words - 1),
+        lambda a, b: F.concat(F.lit("p:"), a, F.lit(" "), b))).otherwise(F.array().cast("array<string>"))
+    terms = F.array_distinct(F.concat(
+        F.transform(distinct, lambda w: F.concat(F.lit("w:"), w)), pairs, *heads))
     totals = sample.agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic")).first()
     n, toxic = totals.n, totals.toxic or 0
     if not toxic or toxic == n:
@@ -95,55 +106,63 @@ def mine_terms(sample: DataFrame, limit: int = MAX_TERMS) -> tuple[list[str], fl
     good = F.col("all") - F.col("bad")
     evidence = 2 * (F.col("bad") * F.log(F.col("bad") / (F.col("all") * share))
                     + F.when(good > 0, good * F.log(good / (F.col("all") * (1 - share)))).otherwise(0.0))
-    found = (counts.where(F.col("bad") >= MIN_PRECISION * F.col("all"))
-             .withColumn("evidence", evidence).where(F.col("evidence") >= MIN_EVIDENCE)
-             .orderBy(F.desc("evidence"), "term").limit(limit).collect())
-    return [r.term for r in found], share
+    found = (counts.where((F.col("bad") > 0) & (F.col("bad") >= MIN_PRECISION * F.col("all")))
+             .where(evidence >= MIN_EVIDENCE).select("term").collect())
+    return sorted(r.term for r in found), share
+
+
+@lru_cache(maxsize=200_000)
+def bucket_of(word: str) -> int:
+    return zlib.crc32(word.encode("utf-8", "surrogatepass")) % BUCKETS
 
 
 class Voters:
     """The voters of a lexicon: one pass over a text gives its features."""
 
     def __init__(self, terms: list[str]):
-        words = sorted({t[2:] for t in terms if t.startswith("w:")} | set(INSULTS))
-        self.insults = set(INSULTS)
-        self.words = {w: k % LEXICON_VOTERS for k, w in enumerate(words)}
-        self.heads = {n: {h: k % PATTERN_VOTERS for k, h in
-                          enumerate(sorted(t[2:] for t in terms if t.startswith(f"{n}:")))}
-                      for n in PATTERNS}
-
-    def features(self, text: str) -> list[float]:
-        """One number per voter: hits, or 0/1 where the voter is a yes or no."""
+        kinds: dict[str, set[str]] = {}
+        for t in terms:
+            kind, _, value = t.partition(":")
+            kinds.setdefault(kind, set()).add(value)
+        self.words = kinds.get("w", set()) | set(INSULTS)
+        self.mined = self.words - set(INSULTS)
+        self.heads = {n: kinds.get(str(n), set()) for n in PATTERNS}
+        # A pair is a source of its own only if neither word is one.
+        self.seconds: dict[str, set[str]] = {}
+        for first, second in (p.split(" ") for p in kinds.get("p", ())):
+            if first not in self.words and second not in self.words:
+                self.seconds.setdefault(first, set()).add(second)
+
+    def features(self, text: str) -> tuple[list[float], list[int]]:
+        """(one number per voter: hits, or 0/1 where the voter is a yes or no;
+        places of the text's different words)."""
         lowered = text.lower()
-        words = set(_WORD.findall(lowered))
-        hits = words & self.words.keys()
-        row = [0.0] * len(VOTERS)
-        for w in hits:
-            row[self.words[w]] += 1
-        place, heads_hit = LEXICON_VOTERS, set()
-        for n in PATTERNS:
-            known = self.heads[n]
-            if known:
-                for w in words:
-                    if w[:n] in known:
-                        row[place + known[w[:n]]] += 1
-                        heads_hit.add(w)
-            place += PATTERN_VOTERS
-        every = hits | heads_hit
-        insults = len(hits & self.insults)
-        addressed = bool(every) and any(w in every for w in _ADDRESSED.findall(lowered))
-        row[place:] = [float(insults), float(len(hits) >= 2), float(len(heads_hit) >= 2),
-                       float(len(every) >= 1 and len(every) >= 0.01 * len(words)),
-                       float(addressed), float(not every)]
-        return row
-
-
-def vote_features(rows: DataFrame, terms: list[str], text: str = "text",
-                  keep_text: bool = False) -> DataFrame:
-    """The rows (without their text unless ``keep_text``) with the voters'
-    features."""
-    kept = [f for f in rows.schema.fields if keep_text or f.name != text]
-    schema = T.StructType([*kept, T.StructField("features", T.ArrayType(T.FloatType()))])
+        line = _WORD.findall(lowered)
+        words = set(line)
+        hits = words & self.words
+        heads = {n: {w for w in words if w[:n] in known} for n, known in self.heads.items() if known}
+        headed = set().union(*heads.values()) if heads else set()
+        pairs = set()
+        if not words.isdisjoint(self.seconds):
+            pairs = {(a, b) for a, b in zip(line, line[1:]) if b in self.seconds.get(a, ())}
+        every = hits | headed
+        found = bool(every or pairs)
+        shout = len(text) >= 20 and (text.count("!") * SHOUT_EVERY >= len(text) or text.isupper())
+        row = [len(hits & self.mined), *(len(heads.get(n, ())) for n in PATTERNS), len(pairs),
+               len(hits & set(INSULTS)),
+               bool(every) and any(w in every for w in _ADDRESSED.findall(lowered)),
+               len(hits) >= 2, len(headed) >= 2,
+               bool(every) and sum(w in every for w in line) > len(every),
+               found and len(every) + len(pairs) >= 0.01 * len(words), shout, not found]
+        return [float(v) for v in row], sorted({bucket_of(w) for w in words})
+
+
+def vote_features(rows: DataFrame, terms: list[str], text: str = "text") -> DataFrame:
+    """The rows without their text, with the voters' features and the places of
+    their words."""
+    kept = [f for f in rows.schema.fields if f.name != text]
+    schema = T.StructType([*kept, T.StructField("features", T.ArrayType(T.FloatType())),
+                           T.StructField("places", T.ArrayType(T.IntegerType()))])
 
     def run(batches):
         voters = Voters(terms)
@@ -151,7 +170,9 @@ def vote_features(rows: DataFrame, terms: list[str], text: str = "text",
             found = [voters.features(t or "") for t in column_of(block, text).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*(column_of(block, f.name) for f in kept),
-                 pa.array(found, pa.list_(pa.float32()))], names=[f.name for f in schema])
+                 pa.array([v for v, _ in found], pa.list_(pa.float32())),
+                 pa.array([p for _, p in found], pa.list_(pa.int32()))],
+                names=[f.name for f in schema])
 
     return rows.mapInArrow(run, schema)
 
@@ -165,27 +186,29 @@ def _pattern() -> F.Column:
 class LabelModel:
     """Two-class generative model of binary voters with correlation discount."""
 
-    def __init__(self, votes: np.ndarray, counts: np.ndarray, share: float, rounds: int = 100):
+    def __init__(self, votes: np.ndarray, counts: np.ndarray, share: float, rounds: int = 200):
         clean = np.array([v == "no_hit" for v in VOTERS])
         weight = counts / max(counts.sum(), 1)
         # Start: a document with more hit voters than clean ones is toxic.
         lean = (votes[:, ~clean].sum(1) - 2 * votes[:, clean].sum(1)) > 0
         posterior = np.where(lean, 0.9, 0.02)
-        self.share = min(max(share, 1e-3), 0.5)
-        for _ in range(rounds):
+        self.share = min(max(share, 1e-3), 1 - 1e-3)
+        self.discount = np.ones(votes.shape[1])
+        self.correlations = np.eye(votes.shape[1])
+        for k in range(rounds):
             mass = np.array([weight @ (1 - posterior), weight @ posterior])
             self.rates = np.stack([(weight * (1 - posterior)) @ votes,
                                    (weight * posterior) @ votes])
             self.rates = (self.rates + 1e-5) / (mass[:, None] + 2e-5)
-            self.discount = np.ones(votes.shape[1])
+            self.correlations = self._residual(votes, weight, posterior)
+            company = np.clip(self.correlations, 0, 1)
+            np.fill_diagonal(company, 0)
+            # Half a step at a time, so that rates and correlations settle together.
+            self.discount = (self.discount + 1 / (1 + company.sum(1))) / 2
             after = self.posterior(votes)
             moved, posterior = np.abs(after - posterior).max(initial=0.0), after
             if moved < 1e-9:
                 break
-        self.correlations = self._residual(votes, weight, posterior)
-        company = np.clip(self.correlations, 0, 1)
-        np.fill_diagonal(company, 0)
-        self.discount = 1 / (1 + company.sum(1))
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
         odds = np.log(self.rates[1] / self.rates[0]), np.log((1 - self.rates[1]) / (1 - self.rates[0]))
@@ -203,25 +226,76 @@ class LabelModel:
         return total / np.outer(size, size)
 
 
-def fit_classifier(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3,
-                   rounds: int = 60) -> np.ndarray:
-    """Logistic regression by Newton steps on soft labels; bias first."""
-    x = np.hstack([np.ones((len(x), 1)), x])
-    beta = np.zeros(x.shape[1])
-    penalty = np.full(x.shape[1], ridge * max(weight.sum(), 1.0))
-    penalty[0] = 0.0
+class Documents:
+    """Features of documents: a dense matrix of the voters' counts (as
+    logarithms, after a column of ones) and the places of their words, each
+    document's scaled to length one."""
+
+    def __init__(self, features: np.ndarray, places: np.ndarray, ends: np.ndarray):
+        self.dense = np.hstack([np.ones((len(features), 1)), np.log1p(features)])
+        sizes = np.diff(ends, prepend=0)
+        self.places = places
+        self.owner = np.repeat(np.arange(len(sizes)), sizes)
+        self.value = np.repeat(1 / np.sqrt(np.maximum(sizes, 1)), sizes)
+
+    def scores(self, weights: np.ndarray) -> np.ndarray:
+        width = self.dense.shape[1]
+        words = np.bincount(self.owner, weights[width:][self.places] * self.value, len(self.dense))
+        return 1 / (1 + np.exp(-np.clip(self.dense @ weights[:width] + words, -30, 30)))
+
+    def gradient(self, error: np.ndarray) -> np.ndarray:
+        return np.concatenate([self.dense.T @ error, np.bincount(
+            self.places, error[self.owner] * self.value, BUCKETS)])
+
+
+def fit_classifier(docs: Documents, y: np.ndarray, weight: np.ndarray, rounds: int = 60,
+                   memory: int = 8) -> np.ndarray:
+    """Logistic regression on soft labels by limited-memory quasi-Newton steps:
+    bias, voters' weights, words' weights."""
+    width = docs.dense.shape[1]
+    penalty = np.concatenate([[0.0], np.full(width - 1, RIDGE), np.full(BUCKETS, WORD_RIDGE)])
+    weight = weight / max(weight.sum(), 1e-12)
+
+    def loss(w):
+        p = docs.scores(w)
+        value = -(weight @ (y * np.log(p) + (1 - y) * np.log(1 - p))) + 0.5 * penalty @ (w * w)
+        return value, docs.gradient(weight * (p - y)) + penalty * w
+
+    w = np.zeros(width + BUCKETS)
+    value, slope = loss(w)
+    past: list[tuple[np.ndarray, np.ndarray, float]] = []
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        curve = (x * (weight * np.clip(p * (1 - p), 1e-6, None))[:, None]).T @ x
-        step = np.linalg.solve(curve + np.diag(penalty + 1e-9), x.T @ (weight * (y - p)) - penalty * beta)
-        beta += step
-        if np.abs(step).max() < 1e-8:
+        step, shares = slope.copy(), []
+        for s, d, rho in reversed(past):
+            shares.append(rho * (s @ step))
+            step -= shares[-1] * d
+        if past:
+            s, d, _ = past[-1]
+            step *= (s @ d) / (d @ d)
+        for (s, d, rho), share in zip(past, reversed(shares)):
+            step += s * (share - rho * (d @ step))
+        length, gain = 1.0, slope @ step
+        while length > 1e-10:
+            after, after_slope = loss(w - length * step)
+            if after <= value - 1e-4 * length * gain:
+                break
+            length /= 2
+        else:
+            break
+        s, d = -length * step, after_slope - slope
+        if s @ d > 1e-12:
+            past = [*past[-(memory - 1):], (s, d, 1 / (s @ d))]
+        w, moved = w + s, value - after
+        value, slope = after, after_slope
+        if moved < 1e-9:
             break
-    return beta
+    return w
 
 
-def _inputs(features: np.ndarray) -> np.ndarray:
-    return np.log1p(features)
+def _documents(features: pa.Array, places: pa.Array) -> Documents:
+    flat = np.asarray(features.flatten(), dtype=np.float64).reshape(-1, len(VOTERS))
+    ends = np.cumsum(np.diff(np.asarray(places.offsets))) if len(places) else np.zeros(0, int)
+    return Documents(flat, np.asarray(places.flatten()), ends)
 
 
 def learn(features: DataFrame, share: float) -> tuple[LabelModel, np.ndarray]:
@@ -235,56 +309,63 @@ def learn(features: DataFrame, share: float) -> tuple[LabelModel, np.ndarray]:
     counts = np.array([r.n for r in groups], dtype=np.float64)
     model = LabelModel(bits, counts, share)
     if not len(groups):
-        return model, np.array([-3.0, *[1.0 * (v != "no_hit") for v in VOTERS]])
+        return model, np.array([-3.0, *[1.0 * (v != "no_hit") for v in VOTERS],
+                                *np.zeros(BUCKETS)])
     label = {r.pattern: p for r, p in zip(groups, model.posterior(bits))}
     toxic = [k for k, p in label.items() if p >= 0.5]
     held = {k: sum(r.n for r in groups if (r.pattern in toxic) == k) for k in (True, False)}
     rate = F.when(_pattern().isin(toxic), FIT_ROWS / max(held[True], 1)).otherwise(
         FIT_ROWS / max(held[False], 1))
     parts = (training.where(_place(F.col("order_key")) < rate)
-             .select("features", _pattern().alias("pattern")).collect())
-    x = _inputs(np.array([r.features for r in parts], dtype=np.float64))
-    y = np.array([label[r.pattern] for r in parts])
+             .select("features", "places", _pattern().alias("pattern")).toArrow().combine_chunks())
+    docs = _documents(*(_one_array(parts.column(c)) for c in ("features", "places")))
+    y = np.array([label[k] for k in parts.column("pattern").to_pylist()])
     # Both classes weigh alike, so that a rare class is not given up.
-    weight = np.where(y >= 0.5, 0.5 / max((y >= 0.5).sum(), 1), 0.5 / max((y < 0.5).sum(), 1)) * len(y)
-    return model, fit_classifier(x, y, weight)
+    weight = np.where(y >= 0.5, 0.5 / max((y >= 0.5).sum(), 1), 0.5 / max((y < 0.5).sum(), 1))
+    return model, fit_classifier(docs, y, weight)
 
 
-def score_column(beta: np.ndarray) -> F.Column:
-    """The classifier over the ``features`` array, as a DataFrame expression."""
-    total = F.lit(float(beta[0]))
-    for k, b in enumerate(beta[1:]):
-        total = total + F.log1p(F.col("features")[k].cast("double")) * F.lit(float(b))
-    return 1 / (1 + F.exp(-total))
+def _one_array(column: pa.ChunkedArray) -> pa.Array:
+    return pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
 
 
-def scored(documents: DataFrame, labels: DataFrame, rows: DataFrame, text: str,
-           keep_text: bool) -> DataFrame:
-    """``rows`` (the documents' rows, under any names) with their score."""
+def scored(documents: DataFrame, labels: DataFrame, rows: DataFrame) -> DataFrame:
+    """``rows`` (of the documents, with their marks) without text, with score."""
     terms, share = mine_terms(sample_training(documents, labels, SAMPLE_ROWS))
-    features = materialise(vote_features(rows, terms, text, keep_text), "vote-features")
-    _, beta = learn(features, share)
-    return features.withColumn("score", score_column(beta))
+    features = materialise(vote_features(rows, terms), "vote-features")
+    _, weights = learn(features, share)
+    kept = [f for f in rows.schema.fields if f.name != "text"]
+    schema = T.StructType([*kept, T.StructField("score", T.DoubleType())])
+
+    def run(batches):
+        for batch in batches:
+            docs = _documents(column_of(batch, "features"), column_of(batch, "places"))
+            yield pa.RecordBatch.from_arrays(
+                [*(column_of(batch, f.name) for f in kept), pa.array(docs.scores(weights))],
+                names=[f.name for f in schema])
+
+    return features.mapInArrow(run, schema)
 
 
-def _marks(doc_id: str) -> dict[str, F.Column]:
-    rest = fold(doc_id, 5)
+def _marks() -> dict[str, F.Column]:
+    rest = fold("doc_id", 5)
     return {"held_out": F.coalesce(rest == 0, F.lit(False)),
             "training": F.coalesce(rest != 0, F.lit(False)),
-            "order_key": F.xxhash64(doc_id)}
+            "order_key": F.xxhash64("doc_id")}
 
 
 def toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted for every document."""
-    rows = documents.select("doc_id", "text").withColumns(_marks("doc_id"))
-    found = scored(documents, labels, rows, "text", keep_text=False)
-    return found.select("doc_id", "held_out", "score",
-                        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    rows = documents.select("doc_id", "text").withColumns(_marks())
+    return scored(documents, labels, rows).select(
+        "doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def keep_clean(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pipeline stage: drop documents predicted toxic; columns stay."""
-    at = {c: f"c{k}" for k, c in enumerate(documents.columns)}
-    rows = numbered(documents).withColumns(_marks(at["doc_id"]))
-    found = scored(documents, labels, rows, at["text"], keep_text=True)
-    return renamed_back(found.where("score < 0.5"), documents.columns)
+    """Pipeline stage: drop documents predicted toxic; columns stay. The keys of
+    those that go are taken out of the documents, which are not written between."""
+    rows = documents.select("doc_id", "text", row_key().alias("row_key")).withColumns(_marks())
+    toxic = materialise(scored(documents, labels, rows).where("score >= 0.5")
+                        .select("row_key").distinct(), "toxic")
+    keyed = documents.select(packed(documents), row_key().alias("row_key"))
+    return unpacked(without(keyed, toxic, "row_key"), documents.columns)

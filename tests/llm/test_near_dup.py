@@ -62,9 +62,10 @@ def test_matches_brute_force(make_docs, corpus):
 
 
 def test_large_bucket_is_cut_into_blocks(make_docs, monkeypatch):
-    rows = family(60)
-    monkeypatch.setattr(N.candidate_members, "__defaults__", (7,))
-    assert found_rows(N.jaccard_classes(make_docs(rows))) == brute(rows)
+    rows = family(60) + [(5000 + k, t, g) for k, t, g in family(60)[:9]]
+    for block, size in ((7, N.BLOCK_BYTES), (N.BLOCK, 4000), (N.BLOCK, 8)):
+        monkeypatch.setattr(N.candidate_members, "__defaults__", (block, size))
+        assert found_rows(N.jaccard_classes(make_docs(rows))) == brute(rows)
 
 
 def test_one_of_each_class_stays(make_docs, corpus):
