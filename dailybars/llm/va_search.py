@@ -3,21 +3,21 @@
 1. Components become the integers floor(256 x). The range of every dimension
    is cut into 64 cells; the approximation file holds one byte per component.
 2. Blocks of queries meet blocks of approximations. For each pair the cell
-   borders give an upper and a lower bound of the score; a row stays if its
-   upper bound reaches the k-th lower bound of its block.
-3. Per query, rows whose upper bound is below the k-th lower bound of all
-   blocks go. Exact vectors are read in the order of upper bounds: first the
-   best 2 k, which give the k-th score so far, then exactly those rows whose
-   upper bound still reaches it. The result is then certain.
+   borders give an upper and a lower bound of the score. A first pass returns
+   only each block's k best lower bounds, from which every query gets its k-th
+   lower bound over all blocks; a second pass returns the rows whose upper bound
+   reaches it. So a row that another block rules out is never written.
+3. Exact vectors are read in the order of upper bounds: first the best 2 k,
+   which give the k-th score so far, then exactly those rows whose upper bound
+   still reaches it. The result is then certain.
 
 Work is the stated queries times all rows, in blocks of bounded size; the
 exact vectors are read for few rows only.
 
 Defined results: vectors that are NULL, empty or hold NULL or non-finite
-components take no part, nor do rows without an id; rows equal in id and vector
-count once; rows that repeat an id with another vector all take part, and the
-rows of one query id share one list, as in the SQL; only vectors of the same
-dimension are compared; equal scores go to the smaller id; a query with fewer
+components take no part, nor do rows without an id; rows that repeat an id, with
+the same vector or another, all take part, and the rows of one query id share
+one list, as in the SQL; only vectors of the same dimension are compared; equal scores go to the smaller id; a query with fewer
 candidates gets all of them; components saturate at the range of a long and scores at
 that of a long; an empty table gives an empty result; extra columns are
 ignored.
@@ -49,11 +49,9 @@ def integer_vectors(embeddings: DataFrame, vector: str = "embedding") -> DataFra
     ints = F.transform(x, lambda v: F.floor(F.lit(SCALE) * v.cast("double")))
     rows = (embeddings.where(F.col("vec_id").isNotNull() & x.isNotNull())
             .where((F.size(x) > 0) & whole)
-            .select(F.col("vec_id").cast("long").alias("vec_id"), x.alias("vector"),
-                    ints.alias("ints")))
-    return (rows.dropDuplicates(["vec_id", "vector"])
-            .select(F.monotonically_increasing_id().alias("row"), "vec_id",
-                    F.size("ints").alias("dim"), "ints"))
+            .select(F.col("vec_id").cast("long").alias("vec_id"), ints.alias("ints")))
+    return rows.select(F.monotonically_increasing_id().alias("row"), "vec_id",
+                       F.size("ints").alias("dim"), "ints")
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -139,24 +137,45 @@ def exact_scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.array([min(max(s, _LONG.min), _LONG.max) for s in exact], dtype=np.int64)
 
 
-def _candidates(top: int, borders: dict[int, np.ndarray]):
+def _bounds(queries: pa.Table, rows: pa.Table, borders: dict[int, np.ndarray]
+            ) -> tuple[np.ndarray, np.ndarray]:
+    """Lower and upper bounds of a block pair; minus infinity for a query's own
+    id."""
+    dim = queries["dim"][0].as_py()
+    cells = np.frombuffer(b"".join(rows["cells"].to_pylist()), np.uint8).reshape(-1, dim)
+    low, high = score_bounds(_matrix(queries["ints"].combine_chunks()), cells, borders[dim])
+    own = np.asarray(queries["query_id"])[:, None] == np.asarray(rows["vec_id"])[None, :]
+    low[own] = high[own] = -np.inf
+    return low, high
+
+
+def _best_lower(top: int, borders: dict[int, np.ndarray]):
+    """First pass: the best lower bounds of a block, per query."""
     def run(queries: pa.Table, rows: pa.Table) -> pa.Table:
-        q_ids, v_ids = np.asarray(queries["query_id"]), np.asarray(rows["vec_id"])
-        q_rows, v_rows = np.asarray(queries["query_row"]), np.asarray(rows["row"])
-        out = [np.zeros(0, np.int64)] * 4 + [np.zeros(0)] * 2
-        if len(q_ids) and len(v_ids):
-            dim = queries["dim"][0].as_py()
-            cells = np.frombuffer(b"".join(rows["cells"].to_pylist()), np.uint8).reshape(-1, dim)
-            low, high = score_bounds(_matrix(queries["ints"].combine_chunks()), cells, borders[dim])
-            own = q_ids[:, None] == v_ids[None, :]
-            low[own] = high[own] = -np.inf
+        ids, lows = np.zeros(0, np.int64), np.zeros(0)
+        if queries.num_rows and rows.num_rows:
+            low, _ = _bounds(queries, rows, borders)
             if low.shape[1] > top:
-                kth = -np.partition(-low, top - 1, axis=1)[:, top - 1]
-            else:
-                kth = np.full(len(q_ids), -np.inf)
-            i, j = np.nonzero((high >= kth[:, None]) & ~own)
-            out = [q_rows[i], q_ids[i], v_rows[j], v_ids[j], low[i, j], high[i, j]]
-        return pa.table(dict(zip(("query_row", "query_id", "row", "vec_id", "low", "high"), out)))
+                low = -np.partition(-low, top - 1, axis=1)[:, :top]
+            ids, lows = np.repeat(np.asarray(queries["query_id"]), low.shape[1]), low.ravel()
+            ids, lows = ids[lows > -np.inf], lows[lows > -np.inf]
+        return pa.table({"query_id": ids, "low": lows})
+
+    return run
+
+
+def _candidates(borders: dict[int, np.ndarray]):
+    """Second pass: the rows whose upper bound reaches the query's k-th lower
+    bound over all blocks (all rows, where it has none)."""
+    def run(queries: pa.Table, rows: pa.Table) -> pa.Table:
+        out = [np.zeros(0, np.int64)] * 4 + [np.zeros(0)]
+        if queries.num_rows and rows.num_rows:
+            _, high = _bounds(queries, rows, borders)
+            kth = np.asarray(queries["kth_low"].fill_null(-np.inf))
+            i, j = np.nonzero((high >= kth[:, None]) & (high > -np.inf))
+            out = [np.asarray(queries["query_row"])[i], np.asarray(queries["query_id"])[i],
+                   np.asarray(rows["row"])[j], np.asarray(rows["vec_id"])[j], high[i, j]]
+        return pa.table(dict(zip(("query_row", "query_id", "row", "vec_id", "high"), out)))
 
     return run
 
@@ -199,19 +218,18 @@ def top_k(embeddings: DataFrame, top: int = TOP, every: int = QUERY_EVERY,
             .withColumn("row_part", each(row_blocks)))
     right = (cells.withColumn("row_part", part("row", row_blocks))
              .withColumn("query_part", each(query_blocks)))
-    found = materialise(left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(
-        _candidates(top, borders), "query_row bigint, query_id bigint, row bigint, vec_id bigint, "
-                                "low double, high double"),
-        "bounded")
+    blocks = lambda asked: asked.groupBy(*key).cogroup(right.groupBy(*key))
     by_query = Window.partitionBy("query_id")
-    best_low = F.row_number().over(by_query.orderBy(F.desc("low"), "vec_id", "row", "query_row"))
-    certain = (found.withColumn("n", best_low).groupBy("query_id")
-               .agg(F.max(F.when(F.col("n") == top, F.col("low"))).alias("kth_low")))
-    kept = found.join(certain, "query_id").where(
-        F.col("kth_low").isNull() | (F.col("high") >= F.col("kth_low")))
+    best = F.row_number().over(by_query.orderBy(F.desc("low")))
+    kth = (blocks(left).applyInArrow(_best_lower(top, borders), "query_id bigint, low double")
+           .withColumn("n", best).where(F.col("n") == top)
+           .select("query_id", F.col("low").alias("kth_low")))
+    bounded = left.join(materialise(kth, "kth-low"), "query_id", "left")
     order = F.row_number().over(by_query.orderBy(F.desc("high"), "vec_id", "row", "query_row"))
-    kept = materialise(kept.select("query_row", "query_id", "row", "vec_id", "high",
-                                   order.alias("turn")), "in-order")
+    kept = blocks(bounded).applyInArrow(
+        _candidates(borders), "query_row bigint, query_id bigint, row bigint, vec_id bigint, "
+                              "high double")
+    kept = materialise(kept.withColumn("turn", order), "in-order")
     first = materialise(_scored(kept.where(F.col("turn") <= 2 * top), queries, vectors), "first-read")
     rank = F.row_number().over(by_query.orderBy(F.desc("score"), "vec_id"))
     kth = first.withColumn("n", rank).where(F.col("n") == top).select(

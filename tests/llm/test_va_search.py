@@ -14,16 +14,13 @@ def make_vectors(spark):
 
 
 def brute(rows, top=5, every=50):
-    good = {}
-    for i, v in rows:
-        if i is None or not v or any(x is None or not math.isfinite(x) for x in v):
-            continue
-        ints = [math.floor(256 * float(np.float32(x))) for x in v]
-        good[i] = min(good.get(i, ints), ints)
+    """Every row against every other; the rows of a query id share a list."""
+    good = [(i, [math.floor(256 * float(np.float32(x))) for x in v]) for i, v in rows
+            if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for q in (i for i in good if i % every == 0):
-        scores = sorted((-sum(a * b for a, b in zip(good[q], v)), i) for i, v in good.items()
-                        if i != q and len(v) == len(good[q]))
+    for q in sorted({i for i, _ in good if i % every == 0}):
+        scores = sorted((-sum(x * y for x, y in zip(a, b)), i) for p, a in good if p == q
+                        for i, b in good if i != q and len(a) == len(b))
         out += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scores[:top])]
     return sorted(out)
 
@@ -49,13 +46,42 @@ def test_repeated_ids_with_other_vectors_all_take_part(make_vectors):
     rng = np.random.default_rng(8)
     draw = lambda: [float(x) for x in np.float32(rng.normal(0, 0.2, 8))]
     rows = [(i, draw()) for i in range(300)] + [(i % 60, draw()) for i in range(150)]
-    ints = [(i, [math.floor(256 * x) for x in v]) for i, v in rows]
-    expected = []
-    for q in sorted({i for i, _ in ints if i % 50 == 0}):
-        scores = sorted((-sum(x * y for x, y in zip(a, b)), i) for p, a in ints if p == q
-                        for i, b in ints if i != q)
-        expected += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scores[:5])]
-    assert rows_of(V.top_k(make_vectors(rows), row_block=64, query_block=4)) == expected
+    rows += rows[:20]                                # the same id and vector again
+    assert rows_of(V.top_k(make_vectors(rows), row_block=64, query_block=4)) == brute(rows)
+
+
+def test_equal_rows_are_candidates_each(make_vectors):
+    rows = [(50, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.5, 0.0])]
+    assert [r[2] for r in rows_of(V.top_k(make_vectors(rows)))] == [1, 1, 2]
+
+
+def test_equal_and_odd_rows_match_the_sql(spark, make_vectors):
+    import duckdb
+
+    from dailybars.llm.queries import ORACLE_SQL
+    rng = np.random.default_rng(9)
+    rows = [(i % 130, [float(x) for x in np.float32(rng.normal(0, 0.3, 6))]) for i in range(260)]
+    rows += rows[:40]
+    con = duckdb.connect()
+    con.sql("CREATE TABLE embeddings (vec_id BIGINT, embedding FLOAT[])")
+    con.executemany("INSERT INTO embeddings VALUES (?, ?)", rows)
+    wanted = sorted(con.sql(f"SELECT query_id, rank, vec_id, score FROM ({ORACLE_SQL['op3_exact_top_k']})")
+                    .fetchall())
+    # Rows without finite components are out in both.
+    odd = [(200, [float("nan")] * 6), (201, [float("inf")] + [0.0] * 5), (250, None), (251, [])]
+    assert rows_of(V.top_k(make_vectors(rows + odd), row_block=32, query_block=3)) == wanted
+
+
+def test_rows_of_other_blocks_are_ruled_out(spark, make_vectors, monkeypatch):
+    """What the second pass writes for a query does not follow the blocks."""
+    written = {}
+    real = V.materialise
+    monkeypatch.setattr(V, "materialise", lambda f, n: written.setdefault(n, real(f, n)))
+    rng = np.random.default_rng(10)
+    rows = [(k, [float(x) for x in np.float32(rng.normal(0, 0.2, 24))]) for k in range(1500)]
+    assert rows_of(V.top_k(make_vectors(rows), row_block=32, query_block=8)) == brute(rows)
+    per_query = written["in-order"].groupBy("query_id").count().agg({"count": "max"}).first()[0]
+    assert per_query < 150          # of 1,499; each of 47 blocks alone would leave 5
 
 
 def test_constant_and_huge_components(make_vectors):
