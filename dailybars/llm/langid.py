@@ -1,6 +1,6 @@
 """Language identification with hyperdimensional profiles.
 
-Every letter has a fixed random bipolar vector. A letter trigram is bound by
+Every letter of Unicode has a fixed random bipolar vector of its own. A letter trigram is bound by
 permuting (rotating) the letters' vectors by their place and multiplying them;
 a document is the bundle (sum) of its trigrams' vectors, and a language's
 prototype is the bundle of all its training documents. A document is compared
@@ -42,30 +42,30 @@ MIN_SHARE = 0.3
 NOISE = 2.0
 FEW_TRIGRAMS = 24
 
-_BITS = 9
-_SLOTS = 1 << _BITS
+_BITS = 18                # of a letter's number: there are about 141,000 letters
 _BOUNDARY = 1
+_LETTERS = 1 << 14        # letters whose vectors a worker keeps
 # Rows and text bytes handled at once: they bound a worker's memory.
-_ROWS = 512
+_ROWS = 512               # a trigram and its row's number fill 63 bits
 _BYTES = 1 << 20
 _CELLS = 1 << 21          # numbers of the trigram vectors held at once
 
 
 @lru_cache(maxsize=1)
-def _slot_table() -> np.ndarray:
-    """Letter slot of each code point, 0 for anything that is no letter.
-    Letters below 256 have a slot of their own, others share 256 slots."""
-    slots = np.zeros(0x110000, dtype=np.uint16)
-    letters = np.array([c for c in range(0x110000) if chr(c).isalpha()], dtype=np.int64)
-    slots[letters] = np.where(letters < 256, letters, 256 + (letters * 2654435761 >> 7) % 256)
-    return slots
+def _letter_numbers() -> np.ndarray:
+    """Number of each code point's letter, 0 for anything that is no letter."""
+    letters = [c for c in range(0x110000) if chr(c).isalpha()]
+    numbers = np.zeros(0x110000, dtype=np.int32)
+    numbers[letters] = np.arange(len(letters)) + _BOUNDARY + 1
+    return numbers
 
 
-@lru_cache(maxsize=2)
-def _letter_vectors(dim: int) -> list[np.ndarray]:
-    """Letter vectors rotated by 2, 1 and 0 places."""
-    base = np.random.default_rng(SEED).integers(0, 2, (_SLOTS, dim), dtype=np.int8) * 2 - 1
-    return [np.roll(base, k, axis=1) for k in (2, 1, 0)]
+@lru_cache(maxsize=_LETTERS)
+def _letter_vector(number: int, dim: int) -> np.ndarray:
+    """A letter's vector, the same in every process."""
+    bits = np.random.Generator(np.random.Philox(key=[SEED, number])).integers(
+        0, 2, dim, dtype=np.int8)
+    return bits * np.int8(2) - np.int8(1)
 
 
 def trigram_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -75,13 +75,13 @@ def trigram_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     padded = [f" {t.lower()} " for t in texts]
     lengths = np.array([len(t) for t in padded], dtype=np.int64)
     points = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    slots = _slot_table()[points]
-    letter = slots > 0
+    numbers = _letter_numbers()[points]
+    letter = numbers > 0
     keep = letter.copy()
     keep[1:] |= letter[:-1]
     keep[:1] = True
     owner = np.repeat(np.arange(len(texts), dtype=np.int64), lengths)[keep]
-    line = slots[keep].astype(np.int64)
+    line = numbers[keep].astype(np.int64)
     line[line == 0] = _BOUNDARY
     middle = np.flatnonzero(line[1:-1] != _BOUNDARY) + 1
     keys = ((((owner[middle] << _BITS | line[middle - 1]) << _BITS | line[middle]) << _BITS)
@@ -94,11 +94,16 @@ def trigram_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray
 
 
 def trigram_vectors(codes: np.ndarray, dim: int) -> np.ndarray:
-    """Bound vectors of the trigram codes."""
-    two, one, zero = _letter_vectors(dim)
-    mask = _SLOTS - 1
-    return (two[codes >> 2 * _BITS] * one[codes >> _BITS & mask] * zero[codes & mask]
-            ).astype(np.float32)
+    """Bound vectors of the trigram codes: the letters' vectors rotated by 2, 1
+    and 0 places, multiplied."""
+    mask = (1 << _BITS) - 1
+    letters, where = np.unique([codes >> 2 * _BITS, codes >> _BITS & mask, codes & mask],
+                               return_inverse=True)
+    where = where.reshape(3, -1)
+    base = np.array([_letter_vector(int(n), dim) for n in letters],
+                    dtype=np.int8).reshape(-1, dim)
+    two, one = np.roll(base, 2, axis=1), np.roll(base, 1, axis=1)
+    return (two[where[0]] * one[where[1]] * base[where[2]]).astype(np.float32)
 
 
 def bundled(owner: np.ndarray, codes: np.ndarray, counts: np.ndarray, rows: int,
@@ -135,7 +140,7 @@ def _learnt_sums(training: DataFrame, text: str, lang: str, dim: int
     """(names, summed vectors, number of trigrams) per language."""
     def bundle(batches):
         sums: dict[str, np.ndarray] = {}
-        for block in text_blocks(batches, "text", _BYTES):
+        for block in text_blocks(batches, "text", _BYTES, _ROWS):
             langs = column_of(block, "lang").to_pylist()
             names = sorted(set(langs))
             place = np.array([names.index(g) for g in langs])

@@ -9,12 +9,13 @@ into a third, by the third's score.
 Encoding. No piece of such a model holds a marker behind another character
 (this is checked), so a normalised text can be cut before every marker that
 follows something else, and the parts are encoded on their own. Parts are
-cached per Python worker; the new parts of a block are encoded in one batch
-(by one thread per task, as Spark gives each task one core; more by the
-``threads`` argument), decoded again, and encoded by the SentencePiece library
-as well. A document has ``parity`` if both libraries give the same ids for
-all its parts, and ``round_trip`` if decoding its ids gives back its
-(normalised) text. A model without that property is encoded text by text.
+cached per Python worker, in two bounded generations; the new parts of a block
+are encoded in one batch by ``THREADS`` threads, and encoded by the
+SentencePiece library as well. A document has ``parity`` if both libraries give
+the same ids for all its parts. Its ids are then decoded whole, by the path that
+``decode`` takes, and it has ``round_trip`` if that gives back its normalised
+text (a literal marker character comes back as a blank, so it has not). A model
+without that property is encoded text by text.
 
 Defined results: NULL and empty texts have no ids and hold both properties;
 repeated rows are encoded one by one; an empty table gives an empty result;
@@ -37,7 +38,7 @@ from .common import column_of, text_blocks, texts_of
 from .encoding import tokenizer_path
 
 MODEL = "piece_bpe_32k.model"
-THREADS = 1               # of the library, per Python worker (one task each)
+THREADS = 2               # of both libraries, per Python worker
 CACHE_ENTRIES = 300_000
 MARK = "▁"
 
@@ -144,50 +145,53 @@ class PieceEncoder:
         self.reference = SentencePieceProcessor(model_proto=data)
         self.threads = threads
         self.cache: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.unequal: set[str] = set()
-        self.altered: set[str] = set()
 
     def normal(self, text: str) -> str:
-        """The text as the pieces see it, with markers."""
-        if self.normaliser is not None and text:
-            text = self.normaliser.normalize_str(text)
-        if not text:
-            return ""
-        return (" " * self.model.dummy_prefix + text).replace(" ", MARK)
-
-    def parts(self, text: str) -> list[str]:
-        marked = self.normal(text)
-        if not marked:
+        """The normalised text, which decoding should give back."""
+        return self.normaliser.normalize_str(text) if self.normaliser is not None and text else text
+
+    def parts(self, normal: str) -> list[str]:
+        """The parts of a normalised text, as the pieces see it, with markers."""
+        if not normal:
             return []
+        marked = (" " * self.model.dummy_prefix + normal).replace(" ", MARK)
         return self._CUT.findall(marked) if self.model.cuttable else [marked]
 
     def _learn(self, parts: list[str]) -> None:
-        if len(self.cache) + len(parts) > CACHE_ENTRIES:
-            self.cache.clear()
         found = [e.ids for e in self.tokenizer.encode_batch(parts, add_special_tokens=False)]
         prefix = int(self.model.dummy_prefix)
-        plain = [p.replace(MARK, " ") for p in parts]
         # The library puts the prefix mark before every text itself.
-        same = self.reference.encode([p[prefix:] for p in plain], num_threads=self.threads)
+        same = self.reference.encode([p[prefix:].replace(MARK, " ") for p in parts],
+                                     num_threads=self.threads)
         alone = [self.reference.piece_to_id(MARK)]   # of an empty text it gives no ids
         self.unequal.update(p for p, a, b in zip(parts, found, same)
                             if a != (alone if p == MARK and prefix else b))
-        back = self.tokenizer.decode_batch(found, skip_special_tokens=False)
-        self.altered.update(p for p, a, b in zip(parts, plain, back) if a != b)
         self.cache.update((p, array("I", ids).tobytes()) for p, ids in zip(parts, found))
 
+    def _know(self, wanted: set[str]) -> None:
+        """Have all the parts in the cache. A full cache becomes the old one,
+        from which parts still in use move over."""
+        new = wanted - self.cache.keys()
+        if new and len(self.cache) + len(new) > CACHE_ENTRIES:
+            self.old, self.cache = self.cache, {}
+            new = wanted
+        kept = new & self.old.keys()
+        self.cache.update((p, self.old[p]) for p in kept)
+        if len(kept) < len(new):
+            self._learn(sorted(new - kept))
+
     def encode(self, texts: list[str]) -> list[tuple[bytes, bool, bool]]:
         """(ids as unsigned 32-bit numbers, parity, round trip) per text."""
-        cut = [self.parts(t) for t in texts]
-        new = set().union(*cut) - self.cache.keys() if cut else set()
-        if new:
-            if len(self.cache) + len(new) > CACHE_ENTRIES:
-                new = set().union(*cut)
-            self._learn(sorted(new))
+        normal = [self.normal(t) for t in texts]
+        cut = [self.parts(t) for t in normal]
+        self._know(set().union(*cut))
         cache = self.cache
-        return [(b"".join([cache[p] for p in parts]),
-                 not self.unequal or self.unequal.isdisjoint(parts),
-                 not self.altered or self.altered.isdisjoint(parts)) for parts in cut]
+        ids = [b"".join([cache[p] for p in parts]) for parts in cut]
+        back = self.decode([array("I", i).tolist() for i in ids])
+        return [(i, not self.unequal or self.unequal.isdisjoint(parts), a == b)
+                for i, parts, a, b in zip(ids, cut, normal, back)]
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         texts = self.tokenizer.decode_batch(ids, skip_special_tokens=False)

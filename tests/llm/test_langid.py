@@ -22,11 +22,12 @@ def trigrams(text):
 
 
 def vector(text):
-    slots, (two, one, zero) = L._slot_table(), L._letter_vectors(L.DIM)
+    numbers = L._letter_numbers()
     total = np.zeros(L.DIM)
     for t in trigrams(text):
-        a, b, c = (1 if x == "_" else int(slots[ord(x)]) for x in t)
-        total += two[a].astype(int) * one[b] * zero[c]
+        a, b, c = (L._letter_vector(1 if x == "_" else int(numbers[ord(x)]), L.DIM).astype(int)
+                   for x in t)
+        total += np.roll(a, 2) * np.roll(b, 1) * c
     return total
 
 
@@ -137,3 +138,12 @@ def test_counts_one_trigram_per_letter(text):
     owner, codes, counts = L.trigram_counts([text, "ab"])
     letters = sum(c.isalpha() for c in text.lower())
     assert counts[owner == 0].sum() == letters and counts[owner == 1].sum() == 2
+
+
+def test_every_letter_has_a_vector_of_its_own():
+    letters = [chr(c) for c in range(0x250, 0x30000) if chr(c).isalpha()]
+    _, codes, _ = L.trigram_counts([" ".join(letters)])
+    assert len(codes) == len({c.lower() for c in letters})
+    greek = [L._letter_vector(int(L._letter_numbers()[ord(c)]), L.DIM).astype(int) for c in "αβγδжзий中文"]
+    products = np.array(greek) @ np.array(greek).T - L.DIM * np.eye(len(greek))
+    assert np.abs(products).max() < 0.2 * L.DIM

@@ -133,7 +133,7 @@ def test_histogram_answers_every_limit(spark, make_docs, corpus):
             texts = [r.text for r in docs.select("text").collect()]
         lengths = np.array([len(i) for i in reference_ids(texts)])
         rows = C.token_counts(docs).collect()
-        assert sorted(r.context_limit for r in rows) == sorted(set(lengths.tolist()))
+        assert sorted(r.context_limit for r in rows) == sorted({*lengths.tolist(), *C.LIMITS})
         for r in rows:
             limit = r.context_limit
             assert r.documents_at == (lengths == limit).sum()
@@ -144,5 +144,11 @@ def test_histogram_answers_every_limit(spark, make_docs, corpus):
             assert r.tokens_total == lengths.sum()
             assert r.quantile == pytest.approx((lengths <= limit).mean())
         histogram = C.length_histogram(docs)
+        asked = [0, 7, 13, 13, 1000, 4097, 10**9, -1, None, int(lengths.max())]
+        found = {r.context_limit: r for r in C.answers(histogram, asked).collect()}
+        assert sorted(found) == sorted({n for n in asked if n is not None and n >= 0})
+        for limit, r in found.items():
+            assert r.documents_fitting == (lengths <= limit).sum()
+            assert r.tokens_truncated == np.minimum(lengths, limit).sum()
         median = C.quantile_length(histogram, 0.5).first().length
         assert median == np.sort(lengths)[-(-len(lengths) // 2) - 1]

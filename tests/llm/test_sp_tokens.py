@@ -28,12 +28,28 @@ def test_decoding_gives_the_text_back(encoder):
     assert encoder.decode(ids) == ODD
 
 
+def test_a_literal_marker_is_reported(encoder):
+    """It comes back as a blank, and the round trip says so."""
+    found = encoder.encode(["a▁b", "a b", "▁", "x ▁ y"])
+    assert [r for *_, r in found] == [False, True, False, False]
+    assert encoder.decode([np.frombuffer(found[0][0], "<u4").tolist()]) == ["a b"]
+
+
+def test_threads_change_no_id(corpus):
+    texts = ODD + [t or "" for _, t, _ in corpus]
+    assert S.THREADS > 1
+    assert S.PieceEncoder(PATH, 1).encode(texts) == S.PieceEncoder(PATH, 4).encode(texts)
+
+
 def test_full_cache_is_emptied(encoder, monkeypatch):
     monkeypatch.setattr(S, "CACHE_ENTRIES", 5)
     fresh = S.PieceEncoder(PATH)
     texts = [f"some words {k} and more" for k in range(20)]
-    for text, (ids, *_), expected in zip(texts, fresh.encode(texts), fresh.reference.encode(texts)):
-        assert np.frombuffer(ids, "<u4").tolist() == expected
+    for _ in range(3):     # also from the old generation, and one text at a time
+        for text, expected in zip(texts, fresh.reference.encode(texts)):
+            (ids, parity, round_trip), = fresh.encode([text])
+            assert np.frombuffer(ids, "<u4").tolist() == expected and parity and round_trip
+        texts = texts[::-1]
 
 
 def test_unigram_model_from_a_model_message():

@@ -60,3 +60,35 @@ def test_empty_table_and_no_python(make_pages):
     found = U.judge(make_pages([]))
     assert found.collect() == []
     assert not re.search("Python|Pandas|Arrow|Join|Exchange", explain_text(found))
+
+
+def test_labelled_urls_are_no_test_pages(spark):
+    import glob
+    labelled = {u for u, _ in U.LABELLED if "://" in u}
+    for path in glob.glob("/root/testdata/*/pages.parquet"):
+        pages = {r.url for r in spark.read.parquet(path).select("url").collect()}
+        assert not pages & labelled, path
+
+
+def test_urls_without_a_host_are_allowed(make_pages):
+    found = U.judge(make_pages([(1, None), (2, ""), (3, "no scheme"), (4, "://")])).collect()
+    assert {r.verdict for r in found} == {"allow"}
+
+
+def test_accuracy_on_hosts_that_are_not_in_the_table(make_pages):
+    """URLs written by hand, no host of which is labelled."""
+    block = ["http://spammer-nest.example.org/en/4", "https://cheap-casino.example.com/win/9",
+             "http://free-pills-shop.example.org/buy/2", "https://poker-bonus-hub.example.com/en/now",
+             "http://ads-network.example.org/banner/4", "https://lottery-prize.example.com/claim/7",
+             "http://phishing-bank.example.org/account/verify", "http://link-spam.example.com/fr/8",
+             "https://malware-host.example.org/download.exe", "http://adult-videos.example.com/hot/1"]
+    allow = ["https://blog.pottery.example.com/en/clay", "http://news.harbour.example.org/es/2020/11",
+             "https://docs.compiler.example.org/guide/intro.html", "http://m.orchard.example.com/en/pears",
+             "https://www.theatre.example.org/en/plays/3", "http://wiki.geology.example.com/en/granite",
+             "https://school.example.org/es/lesson/5", "http://forum.chess.example.com/en/thread/12",
+             "https://travel.alps.example.org/en/huts", "http://recipes.soup.example.com/en/leek.html"]
+    hosts = {u.split("/")[2] for u, _ in U.LABELLED if "://" in u}
+    assert not hosts & {u.split("/")[2] for u in block + allow}
+    found = U.judge(make_pages(list(enumerate(block + allow))), rules=()).collect()
+    right = sum((r.verdict == "block") == (r.page_id < len(block)) for r in found)
+    assert right >= 18
