@@ -82,7 +82,7 @@ def test_equals_brute_force(frame, rows, min_docs):
 
 
 def test_shards_of_the_vocabulary_change_nothing(frame, rows, monkeypatch):
-    monkeypatch.setattr(dv, "SAMPLE_BITS", 0)
+    monkeypatch.setattr(dv, "SAMPLE_EVERY", 1)
     assert result(dv.source_divergence(frame(rows), min_docs=3, shard_terms=30)) == brute(rows, 3)
 
 
