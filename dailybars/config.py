@@ -110,6 +110,8 @@ class JobConfig:
     tie_break: tuple[str, ...] = ()
     order_by_text: bool = False
     max_shuffle_partitions: int = 100_000
+    # A run that finds more ledger part files than this compacts them (0: never).
+    compact_ledger_after: int = 200
     csv_options: dict = field(default_factory=dict)
     source: SourceColumns = SourceColumns()
     report: ReportColumns = ReportColumns()

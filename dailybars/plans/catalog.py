@@ -28,11 +28,13 @@ from ..operators import (add_change, closing_price, daily_high, daily_low, daily
 from ..session import scratch_dir
 from ..sinks import write_table
 from ..sources.csv_ticks import read_ticks_csv
-from ..sources.files import (date_from_path, list_prefix, read_csv_table, read_parquet,
+from ..sources.files import (date_from_path, list_files, list_prefix, read_csv_table, read_parquet,
                              read_ticks_parquet)
 from ..sources.tables import event_ticks, event_ticks_text_time, read_table
-from ..streaming.ledger import (DatePlan, append_ledger, ledger_days, ledger_rows,
-                                missing_days, plan_frame, read_ledger, union_ledger)
+from ..errors import WrongFormatError, WrongLedgerError
+from ..streaming.ledger import (DatePlan, append_ledger, check_ledger_columns, compact_ledger,
+                                ledger_days, ledger_rows, missing_days, plan_frame, read_ledger,
+                                union_ledger)
 from .job import ReportJob
 from .report import daily_report, report_schema, round_floats
 
@@ -55,7 +57,15 @@ V1_COLUMNS = ("ISIN", "Date", "Time", "StartPrice", "MaxPrice", "MinPrice", "End
 DRIFT_COLUMNS = ("Time", "ISIN", "Date", "StartPrice", "MaxPrice", "MinPrice", "TradedVolume")
 
 def _write_tick_csv(frame: DataFrame, path: str, columns, mode: str = "errorifexists",
-                    encoding: str = "UTF-8") -> None:
+                    encoding: str = "UTF-8", rows: int | None = None) -> None:
+    """One folder of CSV files per date; with ``rows`` 0 files of headers only."""
+    if rows == 0:
+        days = [r.day for r in frame.select(F.date_format(SRC.date, "yyyy-MM-dd").alias("day"))
+                .distinct().collect()]
+        for day in days:
+            (frame.where(F.lit(False)).select(*columns).coalesce(1).write.mode(mode)
+             .option("header", True).csv(f"{path}/day={day}"))
+        return
     (frame.withColumn("day", F.date_format(SRC.date, "yyyy-MM-dd"))
      .select(*columns, "day").write.mode(mode).partitionBy("day")
      .option("header", True).option("encoding", encoding).csv(path))
@@ -350,6 +360,76 @@ def q_ledger_scan(spark, sf):
     return read_ledger(spark, path)
 
 
+def q_ledger_compacted(spark, sf):
+    """A ledger of two snapshots and a later run's part file."""
+    path = scratch_dir(spark, "ledger-compacted")
+    old = previous_ledger(spark, sf)
+    for k in range(2):
+        append_ledger(spark, path, old.where(F.col("source_date").substr(9, 2).cast("int") % 3 == k))
+        compact_ledger(spark, path)
+    append_ledger(spark, path, old.where(F.col("source_date").substr(9, 2).cast("int") % 3 == 2))
+    return read_ledger(spark, path)
+
+
+def q_scan_skips_empty_files(spark, sf):
+    """Tick files beside files that hold a header only: rows per source date."""
+    root = tick_csv_root(spark, sf)
+    _write_tick_csv(event_ticks_text_time(spark, sf), root, SRC.columns, mode="append", rows=0)
+    ticks = read_ticks_csv(spark, root, date_dir="day={date}", with_source_date=True)
+    return ticks.groupBy("source_date").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_empty_write_leaves_nothing(spark, sf):
+    """Files below the target after a write of dates with, and of dates without
+    ticks."""
+    out = []
+    for name, first in (("some", FIRST_DATE), ("none", AFTER_DATE)):
+        path = scratch_dir(spark, f"guard-{name}")
+        wrote = write_table(daily_report(report_ticks(spark, sf, first), first), path, "parquet")
+        listed = list_files(spark, f"{path}/")
+        out.append(listed.agg((F.count("path") > 0).alias("has_files")).select(
+            F.lit(name).alias("target"), F.lit(wrote).alias("wrote"), "has_files"))
+    return out[0].unionByName(out[1])
+
+
+def q_wrong_format(spark, sf):
+    """What a write in each asked format says: nothing, or which fault. The
+    check of an empty frame comes first."""
+    rows = daily_report(report_ticks(spark, sf), FIRST_DATE)
+    none = daily_report(report_ticks(spark, sf, AFTER_DATE), AFTER_DATE)
+    out = []
+    for case, frame, fmt in (("csv", rows, "csv"), ("parquet", rows, "parquet"),
+                             ("orc", rows, "orc"), ("orc, no rows", none, "orc")):
+        try:
+            write_table(frame, scratch_dir(spark, "format"), fmt)
+            fault = "none"
+        except WrongFormatError:
+            fault = "wrong format"
+        out.append((case, fault))
+    return spark.createDataFrame(out, "asked string, fault string").join(
+        rows.agg(F.count(F.lit(1)).alias("report_rows")))
+
+
+def q_ledger_faults(spark, sf):
+    """What the check of a ledger's columns says, for ledgers made from the
+    previous one."""
+    ledger = previous_ledger(spark, sf)
+    cases = {"as it is": ledger, "turned round": ledger.select(*reversed(ledger.columns)),
+             "renamed": ledger.withColumnRenamed("source_date", "wrong_column"),
+             "one more": ledger.withColumn("more", F.lit("x")),
+             "one less": ledger.select("source_date")}
+    out = []
+    for case, frame in cases.items():
+        try:
+            check_ledger_columns(frame.columns)
+            fault = "none"
+        except WrongLedgerError as err:
+            fault = str(err.args[0]).split("]: ")[1]
+        out.append((case, fault))
+    return spark.createDataFrame(out, "ledger string, fault string").join(
+        ledger.agg(F.count(F.lit(1)).alias("days")))
+
+
 def q_etl_job(spark, sf):
     """The whole job on derived data: plan from a ledger with gaps, extract
     the CSV tick files of the planned dates, report, write, record. Returns
@@ -399,6 +479,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ledger_scan": q_ledger_scan,
     "etl_job": q_etl_job,
     "ledger_noop": q_ledger_noop,
+    "ledger_compacted": q_ledger_compacted,
+    "ledger_faults": q_ledger_faults,
+    "scan_skips_empty_files": q_scan_skips_empty_files,
+    "empty_write_leaves_nothing": q_empty_write_leaves_nothing,
+    "wrong_format": q_wrong_format,
     "plan_dates": q_plan_dates,
     "plan_dates_no_ledger": q_plan_dates_no_ledger,
     "plan_dates_complete": q_plan_dates_complete,

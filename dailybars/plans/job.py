@@ -24,7 +24,8 @@ from ..sinks import check_format, write_report
 from ..session import apply_scale_defaults, size_shuffle
 from ..sources.csv_ticks import empty_ticks, read_ticks_csv, tick_types
 from ..sources.files import input_bytes, read_ticks_parquet
-from ..streaming.ledger import DatePlan, check_ledger, plan_dates, record_plan
+from ..streaming.ledger import (DatePlan, check_ledger, compact_ledger, ledger_parts,
+                                plan_dates, record_plan)
 from .report import daily_report
 
 log = logging.getLogger(__name__)
@@ -117,6 +118,8 @@ class ReportJob:
         finally:
             report.unpersist()
         record_plan(self.spark, cfg.ledger_path, self.plan, self.now)
+        if 0 < cfg.compact_ledger_after < ledger_parts(self.spark, cfg.ledger_path):
+            compact_ledger(self.spark, cfg.ledger_path)
         return path
 
     def _write(self, report: DataFrame) -> str | None:
@@ -161,6 +164,8 @@ def main(argv: list[str] | None = None) -> str | None:
                    help="orders ticks of the same time (can be repeated)")
     p.add_argument("--text-time", action="store_true", help="order times as text")
     p.add_argument("--max-shuffle-partitions", type=int, default=100_000)
+    p.add_argument("--compact-ledger-after", type=int, default=200, metavar="FILES",
+                   help="ledger part files beyond which they are compacted (0: never)")
     p.add_argument("--by-name", action="store_true", help="allow header drift")
     p.add_argument("--multi-line", action="store_true", help="quoted line breaks")
     p.add_argument("--sep", default=",", help="CSV field delimiter")
@@ -178,6 +183,7 @@ def main(argv: list[str] | None = None) -> str | None:
         write_mode=args.write_mode, source_format=args.source_format,
         tie_break=tuple(args.tie_break), order_by_text=args.text_time,
         max_shuffle_partitions=args.max_shuffle_partitions,
+        compact_ledger_after=args.compact_ledger_after,
         ordered_output=not args.unordered, date_dir=args.date_dir, file_glob=args.file_glob,
         csv_options={"by_name": args.by_name, "multi_line": args.multi_line,
                      "sep": args.sep, "encoding": args.encoding})

@@ -175,6 +175,21 @@ WHERE CAST(d AS DATE) >= (SELECT min(day) FROM missing) - INTERVAL 1 DAY""",
     "ledger_noop": """SELECT strftime(day, '%Y-%m-%d') AS source_date,
        '2024-01-30 06:00:00' AS datetime_of_processing
 FROM (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events)""",
+    "ledger_compacted": f"WITH {LEDGER} SELECT source_date, datetime_of_processing FROM ledger",
+    "ledger_faults": f"""WITH {LEDGER}
+SELECT l.ledger, l.fault, (SELECT count(*) FROM ledger) AS days FROM (VALUES
+  ('as it is', 'none'), ('turned round', 'none'),
+  ('renamed', 'missing: source_date; extra: wrong_column'), ('one more', 'extra: more'),
+  ('one less', 'missing: datetime_of_processing')) l(ledger, fault)""",
+    "scan_skips_empty_files": """SELECT CAST(ts AS DATE) AS source_date, count(*) AS n
+FROM events GROUP BY 1""",
+    "empty_write_leaves_nothing": """SELECT t.target, n > 0 AS wrote, n > 0 AS has_files
+FROM (SELECT 'some' AS target, count(*) AS n FROM events WHERE ts >= DATE '2024-01-10'
+      UNION ALL SELECT 'none', count(*) FROM events WHERE ts >= DATE '2030-01-02') t""",
+    "wrong_format": f"""WITH {TICKS}, {DAY}
+SELECT f.asked, f.fault, (SELECT count(*) FROM day WHERE "Date" >= DATE '2024-01-10') AS report_rows
+FROM (VALUES ('csv', 'none'), ('parquet', 'none'), ('orc', 'wrong format'),
+             ('orc, no rows', 'none')) f(asked, fault)""",
     "ledger_scan": f"WITH {LEDGER} SELECT source_date, datetime_of_processing FROM ledger",
     "etl_job": f"""WITH {TICKS}, {LEDGER},
 gap AS (SELECT min(day) AS g FROM missing),

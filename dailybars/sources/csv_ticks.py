@@ -32,6 +32,8 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -270,14 +272,21 @@ def read_ticks_csv(spark: SparkSession, root: str, dates: Sequence[dt.date] | No
 def read_csv_by_name(spark: SparkSession, paths: str, types: Mapping[str, T.DataType],
                      encoding: str = "UTF-8", sep: str = ",", multi_line: bool = False,
                      layouts: list[Layout] | None = None, file_glob: str | None = None,
-                     added: Mapping[str, Column] | None = None) -> DataFrame | None:
-    """One scan per header layout, unioned by column name."""
+                     added: Mapping[str, Column] | None = None,
+                     within: Column | None = None) -> DataFrame | None:
+    """One scan per header layout, unioned by column name; ``within`` selects
+    files by their metadata."""
     if layouts is None:
-        layouts = csv_layouts(spark, paths, encoding, sep, file_glob)
+        layouts = csv_layouts(spark, paths, encoding, sep, file_glob, within)
     if not layouts:
         return None
+
+    def files(lay: Layout) -> Column | None:
+        both = [c for c in (lay.selector(), within) if c is not None]
+        return reduce(and_, both) if both else None
+
     frames = [_scan(spark, paths, lay.columns, types, encoding if multi_line else lay.charset, sep,
-                    multi_line, file_glob, added=added, files=lay.selector())
+                    multi_line, file_glob, added=added, files=files(lay))
               for lay in layouts]
     from ..operators import union_by_name
     return union_by_name(frames)

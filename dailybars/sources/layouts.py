@@ -121,8 +121,9 @@ _HEADERS = "path string, header string, charset string"
 
 
 def file_headers(spark: SparkSession, paths: str, charset_name: str = "UTF-8",
-                 file_glob: str | None = None) -> DataFrame:
-    """(path, header, charset) of every file that has a line."""
+                 file_glob: str | None = None, within: Column | None = None) -> DataFrame:
+    """(path, header, charset) of every file that has a line, of those that the
+    metadata filter ``within`` takes."""
     def lines(paths: str, glob: str | None) -> DataFrame:
         reader = spark.read.option("recursiveFileLookup", True)
         if charset_name in WIDE:
@@ -131,7 +132,8 @@ def file_headers(spark: SparkSession, paths: str, charset_name: str = "UTF-8",
                                    else "UTF-16LE").option("lineSep", "\n")
         if glob:
             reader = reader.option("pathGlobFilter", glob)
-        return reader.text(paths).select(
+        text = reader.text(paths)
+        return (text if within is None else text.where(within)).select(
             F.col("_metadata.file_path").alias("path"),
             F.col("_metadata.file_block_start").alias("block"),
             F.col("value").cast("binary").alias("raw"), F.col("_metadata.file_size").alias("size"))
@@ -148,7 +150,8 @@ def file_headers(spark: SparkSession, paths: str, charset_name: str = "UTF-8",
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if file_glob:
         listed = listed.option("pathGlobFilter", file_glob)
-    large = [r.path for r in listed.load(paths).where(F.col("length") > SMALL_FILE)
+    listed = listed.load(paths).where(F.col("length") > SMALL_FILE)
+    large = [r.path for r in (listed if within is None else listed.where(within))
              .select("path").collect()]
     if not large:
         return small
@@ -163,11 +166,11 @@ def _literal(path: str) -> str:
 
 
 def csv_layouts(spark: SparkSession, paths: str, charset_name: str = "UTF-8", sep: str = ",",
-                file_glob: str | None = None) -> list[Layout] | None:
-    """The layouts of the files, the most common one first; None when nothing
-    matches."""
+                file_glob: str | None = None, within: Column | None = None) -> list[Layout] | None:
+    """The layouts of the files (that the metadata filter ``within`` takes), the
+    most common one first; None when nothing matches."""
     try:
-        heads = file_headers(spark, paths, charset_name, file_glob).select(
+        heads = file_headers(spark, paths, charset_name, file_glob, within).select(
             "path", folder_of("path").alias("folder"),
             F.struct("header", "charset").alias("kind")).persist()
     except AnalysisException as err:

@@ -3,7 +3,9 @@
 The ledger is a folder of CSV part files (``source_date``,
 ``datetime_of_processing``); each run *appends* one part file, so concurrent
 runs cannot overwrite each other's rows. Duplicate dates are harmless: the
-planner reads the ledger as a set.
+planner reads the ledger as a set. ``compact_ledger`` puts the part files' rows
+into a snapshot (``streaming.snapshots``), so that planning reads a bounded
+number of files however many runs there were.
 
 Planning (``plan_dates``): with ``start = first_date - 1``,
 
@@ -29,10 +31,11 @@ from pyspark.sql import functions as F
 from ..config import DATE_FORMAT, LEDGER_DATE_COL, LEDGER_TIME_COL, NOTHING_TO_DO_DATE
 from ..errors import WrongLedgerError
 from ..functions import date_series, parse_date
-from ..operators import missing_dates
+from ..operators import missing_dates, union_by_name
 from ..sources.csv_ticks import read_csv_by_name
 from ..sources.files import list_files
 from ..sources.layouts import Layout, csv_layouts
+from . import snapshots
 
 log = logging.getLogger(__name__)
 
@@ -70,14 +73,16 @@ def nothing_to_do(end: dt.date) -> DatePlan:
     return DatePlan(NOTHING_TO_DO_DATE, NOTHING_TO_DO_DATE, end)
 
 
-def _layouts(spark: SparkSession, path: str) -> list[Layout] | None:
-    return csv_layouts(spark, path)
+def _layouts(spark: SparkSession, path: str,
+             snapshot: snapshots.Snapshot | None = None) -> list[Layout] | None:
+    """The layouts of the part files that the snapshot does not cover."""
+    return csv_layouts(spark, path, within=snapshot.uncovered() if snapshot else None)
 
 
 def ledger_columns(spark: SparkSession, path: str) -> list[list[str]] | None:
-    """The header of every ledger part file (distinct), or None when there is
-    no ledger yet."""
-    layouts = _layouts(spark, path)
+    """The header of every ledger part file that no snapshot covers (distinct),
+    or None when there is none."""
+    layouts = _layouts(spark, path, snapshots.newest(spark, path))
     return None if layouts is None else [list(lay.columns) for lay in layouts]
 
 
@@ -110,14 +115,58 @@ def check_ledger(spark: SparkSession, path: str) -> None:
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame | None:
     """The ledger rows (as text), or None when there is no ledger yet. Part
-    files are aligned by column name, whatever their column order."""
-    layouts = _layouts(spark, path)
-    if layouts is None:
-        return None
-    for lay in layouts:
+    files are aligned by column name, whatever their column order; those that
+    the newest snapshot covers are not read."""
+    return _ledger_of(spark, path, snapshots.newest(spark, path))
+
+
+def _ledger_of(spark: SparkSession, path: str,
+               snapshot: snapshots.Snapshot | None) -> DataFrame | None:
+    layouts = _layouts(spark, path, snapshot)
+    for lay in layouts or []:
         if LEDGER_DATE_COL not in lay.columns:
             raise WrongLedgerError(f"ledger at {path} has no {LEDGER_DATE_COL} column")
-    return read_csv_by_name(spark, path, {}, layouts=layouts)
+    if snapshot is None:
+        return None if layouts is None else read_csv_by_name(spark, path, {}, layouts=layouts)
+    kept = snapshot.rows(spark, LEDGER_COLUMNS)
+    if not layouts:
+        return kept
+    return union_by_name([kept, read_csv_by_name(spark, path, {}, layouts=layouts,
+                                                 within=snapshot.uncovered())])
+
+
+def ledger_parts(spark: SparkSession, path: str) -> int:
+    """How many part files a reader of the ledger opens besides the snapshot."""
+    snapshot = snapshots.newest(spark, path)
+    parts = snapshots.part_files(spark, path)
+    return (parts if snapshot is None
+            else parts.where(~F.col("path").isin(list(snapshot.covered)))).count()
+
+
+def compact_ledger(spark: SparkSession, path: str) -> bool:
+    """Put all part files into a new snapshot; True if there was anything to do.
+    Rows appended meanwhile stay in their own files; equal rows are kept once."""
+    before = snapshots.newest(spark, path)
+    # The files are listed before their rows are read: one that comes between is
+    # read twice at worst, never left out.
+    files = [r.path for r in snapshots.part_files(spark, path).collect()]
+    if before is not None and set(files) <= set(before.covered):
+        return False
+    listed = F.col("_metadata.file_path").isin(files)
+    if before is not None:
+        listed &= before.uncovered()
+    layouts = csv_layouts(spark, path, within=listed)
+    if layouts is None:
+        return False
+    for lay in layouts:
+        check_ledger_columns(list(lay.columns))
+    rows = read_csv_by_name(spark, path, {}, layouts=layouts, within=listed).select(*LEDGER_COLUMNS)
+    if before is not None:
+        rows = before.rows(spark, LEDGER_COLUMNS).unionByName(rows)
+    snapshots.commit(spark, path, rows.distinct(), files)
+    removed = snapshots.remove_superseded(spark, path, before)
+    log.info("ledger %s: %d part files in a snapshot, %d old files removed", path, len(files), removed)
+    return True
 
 
 def ledger_days(ledger: DataFrame, column: str = LEDGER_DATE_COL) -> DataFrame:
@@ -211,7 +260,7 @@ def record_plan(spark: SparkSession, path: str, plan: DatePlan,
 
 
 __all__ = [
-    "DatePlan", "LEDGER_COLUMNS", "append_ledger", "check_ledger", "check_ledger_columns", "ledger_columns", "ledger_days",
-    "ledger_rows", "missing_days", "nothing_to_do", "plan_dates", "plan_frame",
+    "DatePlan", "LEDGER_COLUMNS", "append_ledger", "check_ledger", "check_ledger_columns",
+    "compact_ledger", "ledger_columns", "ledger_days", "ledger_parts", "ledger_rows", "missing_days", "nothing_to_do", "plan_dates", "plan_frame",
     "read_ledger", "record_dates", "record_plan", "union_ledger",
 ]
