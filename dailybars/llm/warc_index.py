@@ -4,12 +4,14 @@
 payloads the one with the smallest page_id is a ``response``, the others are
 ``revisit`` records that refer to it. Records are laid out by DataFrame
 expressions; Spark's text sink, with the records' end mark as line separator,
-writes them as archives (a bounded number of records each).
+writes them as archives. Records of like size share archives, so that a bounded
+number of records is a bounded number of bytes.
 
 *Indexing.* The archives are read back and every record yields one index line
 (key, archive, offset, length). Lines are range-partitioned and sorted by
 reversed-host URL key and cut into compressed blocks; a sparse directory holds
-each block's first key. Blocks grow with the corpus, so the directory never
+for each block the shortest beginning of its first key that separates it from
+the block before. Blocks grow with the corpus, so the directory never
 has more than ``MAX_DIRECTORY`` entries; it is what lookups broadcast.
 
 *Lookup.* A key is searched in the directory by bisection, its block is
@@ -44,7 +46,10 @@ from .common import column_of, materialise
 CRLF = "\r\n"
 RECORD_END = CRLF * 2
 CAPTURED = "1970-01-01T00:00:00Z"   # the pages carry no capture time
-RECORDS_PER_ARCHIVE = 4096
+# Payload bytes up to which a record belongs to a class, and the records that an
+# archive of the class holds: at most 64 MB of payload, but for a larger record,
+# which has an archive to itself.
+ARCHIVE_CLASSES = ((1 << 14, 4096), (1 << 20, 64), (None, 1))
 LINES_PER_BLOCK = 1024
 MAX_DIRECTORY = 100_000
 PACK_LEVEL = 9
@@ -75,22 +80,26 @@ def capture_key(uri: str = "uri", page: str = "page") -> F.Column:
     return F.concat(F.coalesce(surt, F.col(uri), F.lit("-")), F.lit(" "), ident)
 
 
-def plan_records(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
+def first_captures(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
+    """(payload_digest, first) of the payloads that several pages have. Written,
+    so that the join with it sees two plain shuffles and adaptive execution can
+    split a frequent digest."""
+    return materialise(
+        pages.select("page_id", F.coalesce("html", F.lit("")).alias("payload"))
+        .where(F.octet_length("payload") >= min_bytes)
+        .groupBy(base32_sha1("payload").alias("payload_digest"))
+        .agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
+        .where("n > 1 AND first IS NOT NULL").select("payload_digest", "first"), "first-captures")
+
+
+def plan_records(pages: DataFrame, min_bytes: int, firsts: DataFrame) -> DataFrame:
     """page_id, uri, payload, payload_bytes, payload_digest, record_type and
     refers_to of every page."""
     rows = pages.select("page_id", _clean_uri(F.col("url")).alias("uri"),
                         F.coalesce("html", F.lit("")).alias("payload"))
     rows = rows.withColumns({"payload_bytes": F.octet_length("payload").cast("long"),
                              "payload_digest": base32_sha1("payload")})
-    # Written, so that the join below sees two plain shuffles and adaptive
-    # execution can split a frequent digest.
-    firsts = materialise(
-        pages.select("page_id", F.coalesce("html", F.lit("")).alias("payload"))
-        .where(F.octet_length("payload") >= min_bytes)
-        .groupBy(base32_sha1("payload").alias("payload_digest"))
-        .agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1 AND first IS NOT NULL"), "first-captures")
-    found = rows.join(firsts.select("payload_digest", "first"), "payload_digest", "left")
+    found = rows.join(firsts, "payload_digest", "left")
     again = (F.col("first").isNotNull() & (F.col("payload_bytes") >= min_bytes)
              & ~F.col("page_id").eqNullSafe(F.col("first")))
     return (found.withColumn("record_type", F.when(again, "revisit").otherwise("response"))
@@ -121,13 +130,23 @@ def _record() -> F.Column:
     return F.concat(F.lit(f"WARC/1.1{CRLF}"), *lines, F.lit(CRLF), block)
 
 
-def write_archives(records: DataFrame, path: str, per_archive: int = RECORDS_PER_ARCHIVE) -> None:
-    (records.select(_record().alias("value")).write.option("lineSep", RECORD_END)
-     .option("maxRecordsPerFile", per_archive).text(path))
+def write_archives(pages: DataFrame, path: str, min_bytes: int = 0,
+                   classes=ARCHIVE_CLASSES) -> None:
+    """Write the pages' records below ``path``, each size class by itself, so
+    that archives are bounded by bytes and not only by records."""
+    firsts, least = first_captures(pages, min_bytes), -1
+    size = F.octet_length(F.coalesce("html", F.lit("")))
+    for k, (most, per_archive) in enumerate(classes):
+        mine = (size > least) if most is None else (size > least) & (size <= most)
+        records = plan_records(pages.where(mine), min_bytes, firsts)
+        (records.select(_record().alias("value")).write.option("lineSep", RECORD_END)
+         .option("maxRecordsPerFile", per_archive).text(f"{path}/class-{k}"))
+        least = most
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").load(path).select(
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+            .where("length > 0")).select(
         F.col("path").alias("archive"), "content")
 
 
@@ -171,21 +190,35 @@ def index_lines(archives: DataFrame) -> DataFrame:
     return rows.select(capture_key().alias("key"), "archive", "offset", "length")
 
 
+def separating(before: str | None, key: str) -> str:
+    """The shortest beginning of a key that is greater than the key before (the
+    whole key, if that is equal or not known)."""
+    if before is None or before >= key:
+        return key
+    same = next((k for k, (a, b) in enumerate(zip(before, key)) if a != b),
+                min(len(before), len(key)))
+    return key[: same + 1]
+
+
 def build_index(lines: DataFrame, per_block: int = LINES_PER_BLOCK) -> DataFrame:
-    """(block, first_key, last_key, lines, data): the compressed blocks in key
-    order. The directory is their ``block`` and ``first_key``."""
+    """(block, separator, first_key, last_key, lines, data): the compressed
+    blocks in key order. The directory is their ``block`` and ``separator``."""
     lines = materialise(lines, "index-lines")
     per_block = max(per_block, -(-lines.count() // MAX_DIRECTORY))
 
     def run(batches):
         held: list[tuple] = []
+        before = None          # the last key of the task's block before
 
         def block(rows):
+            nonlocal before
+            separator, before = separating(before, rows[0][0]), rows[-1][0]
             text = "\n".join("\t".join(map(str, r)) for r in rows)
             return pa.RecordBatch.from_arrays(
-                [pa.array([rows[0][0]]), pa.array([rows[-1][0]]), pa.array([len(rows)], pa.int64()),
+                [pa.array([separator]), pa.array([rows[0][0]]), pa.array([rows[-1][0]]),
+                 pa.array([len(rows)], pa.int64()),
                  pa.array([zlib.compress(text.encode("utf-8"))], pa.binary())],
-                names=["first_key", "last_key", "lines", "data"])
+                names=["separator", "first_key", "last_key", "lines", "data"])
 
         for batch in batches:
             held += zip(*(c.to_pylist() for c in batch.columns))
@@ -197,14 +230,14 @@ def build_index(lines: DataFrame, per_block: int = LINES_PER_BLOCK) -> DataFrame
 
     order = ["key", "archive", "offset"]
     blocks = lines.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
-        run, "first_key string, last_key string, lines bigint, data binary")
+        run, "separator string, first_key string, last_key string, lines bigint, data binary")
     return materialise(blocks.select(F.monotonically_increasing_id().alias("block"), "*"), "index")
 
 
 def directory(index: DataFrame) -> list[tuple[str, int]]:
-    """(first_key, block) in key order, at most ``MAX_DIRECTORY`` entries and
+    """(separator, block) in key order, at most ``MAX_DIRECTORY`` entries and
     one per partition that the range partitioning left short."""
-    return sorted((r.first_key, r.block) for r in index.select("first_key", "block").collect())
+    return sorted((r.separator, r.block) for r in index.select("separator", "block").collect())
 
 
 def candidate_blocks(first_keys: list[str], key: str) -> range:
@@ -334,7 +367,7 @@ def archive_round_trip(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """Write the pages as archives, index these, and look every page up."""
     spark = pages.sparkSession
     path = scratch_dir(spark, "archives")
-    write_archives(plan_records(pages, min_bytes), path)
+    write_archives(pages, path, min_bytes)
     index = build_index(index_lines(read_archives(spark, path)))
     keys = pages.select(_clean_uri(F.col("url")).alias("uri"),
                         F.col("page_id").alias("page")).select(capture_key().alias("key"))

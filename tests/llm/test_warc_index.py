@@ -54,7 +54,7 @@ def test_empty_table(make_pages):
 @pytest.fixture(scope="module")
 def indexed(spark, make_pages):
     path = scratch_dir(spark, "archives")
-    W.write_archives(W.plan_records(make_pages(pages())), path, per_archive=9)
+    W.write_archives(make_pages(pages()), path, classes=((30, 9), (1 << 14, 5), (None, 1)))
     return W.build_index(W.index_lines(W.read_archives(spark, path)), per_block=5), path
 
 
@@ -64,8 +64,34 @@ def test_blocks_are_sorted_and_directory_is_sparse(indexed):
     keys = [x.split("\t")[0] for b in blocks for x in
             W.zlib.decompress(bytes(b.data)).decode().split("\n")]
     assert keys == sorted(keys) and len(keys) == len(pages())
-    assert [b.first_key for b in blocks] == [k for k, _ in W.directory(index)]
-    assert len(blocks) < len(keys)
+    entries = W.directory(index)
+    assert [b.block for b in blocks] == [k for _, k in entries] and len(blocks) < len(keys)
+    for k, (b, (separator, _)) in enumerate(zip(blocks, entries)):
+        assert b.first_key.startswith(separator)
+        assert not k or blocks[k - 1].last_key <= separator
+    assert sum(len(s) for s, _ in entries) < sum(len(b.first_key) for b in blocks)
+
+
+def test_separators_are_shortest():
+    assert W.separating("org,a)/x 1", "org,b)/y 2") == "org,b"
+    assert W.separating("ab", "abc") == "abc" and W.separating("abc", "abd") == "abd"
+    assert W.separating("same", "same") == "same" and W.separating(None, "key") == "key"
+
+
+def test_archives_are_bounded_by_bytes(spark, make_pages):
+    """Pages of very different sizes: no archive beyond the bound of its class."""
+    rows = [(k, f"http://h/{k}", "x" * size) for k, size in enumerate(
+        [10] * 300 + [9_000] * 60 + [50_000] * 30 + [3_000_000] * 3)]
+    path = scratch_dir(spark, "archives")
+    classes = ((100, 64), (10_000, 8), (100_000, 2), (None, 1))
+    W.write_archives(make_pages(rows).coalesce(2), path, classes=classes)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(
+        "path", "length").collect()
+    for r in files:
+        most, count = classes[int(re.search(r"/class-(\d)/", r.path)[1])]
+        assert r.length <= (count * (most + 1000) if most else 3_001_000), r
+    found = W.archive_round_trip(make_pages(rows)).count()
+    assert found == len(rows)
 
 
 def test_search_key_spread_over_blocks():
