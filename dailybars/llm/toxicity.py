@@ -42,7 +42,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import column_of, fold, materialise, packed, row_key, text_blocks, unpacked, without
+from .common import (column_of, fold, materialise, only, packed, row_key, text_blocks, unpacked,
+                     without)
 
 # English insults every lexicon starts from.
 INSULTS = ("clown disgusting dumb filthy garbage idiot idiots imbecile jerk loser losers "
@@ -100,13 +101,21 @@ def mine_terms(sample: DataFrame) -> tuple[list[str], float]:
     if not toxic or toxic == n:
         return [], (toxic / n if n else 0.0)
     share = toxic / n
-    counts = (sample.select("toxic", words.alias("words")).select("toxic", F.explode(terms).alias("term"))
-              .groupBy("term").agg(F.sum("toxic").cast("double").alias("bad"),
-                                   F.count(F.lit(1)).cast("double").alias("all")))
-    good = F.col("all") - F.col("bad")
+    listed = sample.select("toxic", words.alias("words")).select("toxic", F.explode(terms).alias("term"))
+    # A term needs so many toxic documents for its evidence, whatever else has
+    # it: only such terms are looked for in the other documents.
+    least = MIN_EVIDENCE / (2 * np.log(1 / share))
+    bad = materialise(listed.where("toxic = 1").groupBy("term")
+                      .agg(F.count(F.lit(1)).cast("double").alias("bad"))
+                      .where(F.col("bad") >= least), "toxic-terms")
+    good = (only(listed.where("toxic = 0").select("term"), bad.select("term"), "term")
+            .groupBy("term").agg(F.count(F.lit(1)).cast("double").alias("good")))
+    counts = bad.join(good, "term", "left").fillna(0.0, ["good"]).withColumn(
+        "all", F.col("bad") + F.col("good"))
     evidence = 2 * (F.col("bad") * F.log(F.col("bad") / (F.col("all") * share))
-                    + F.when(good > 0, good * F.log(good / (F.col("all") * (1 - share)))).otherwise(0.0))
-    found = (counts.where((F.col("bad") > 0) & (F.col("bad") >= MIN_PRECISION * F.col("all")))
+                    + F.when(F.col("good") > 0, F.col("good") * F.log(
+                        F.col("good") / (F.col("all") * (1 - share)))).otherwise(0.0))
+    found = (counts.where(F.col("bad") >= MIN_PRECISION * F.col("all"))
              .where(evidence >= MIN_EVIDENCE).select("term").collect())
     return sorted(r.term for r in found), share
 
@@ -331,7 +340,8 @@ def _one_array(column: pa.ChunkedArray) -> pa.Array:
 
 def scored(documents: DataFrame, labels: DataFrame, rows: DataFrame) -> DataFrame:
     """``rows`` (of the documents, with their marks) without text, with score."""
-    terms, share = mine_terms(sample_training(documents, labels, SAMPLE_ROWS))
+    terms, share = mine_terms(materialise(sample_training(documents, labels, SAMPLE_ROWS),
+                                          "mining-sample"))
     features = materialise(vote_features(rows, terms), "vote-features")
     _, weights = learn(features, share)
     kept = [f for f in rows.schema.fields if f.name != "text"]
