@@ -112,6 +112,8 @@ class JobConfig:
     max_shuffle_partitions: int = 100_000
     # A run that finds more ledger part files than this compacts them (0: never).
     compact_ledger_after: int = 200
+    # Hours after which the claim of a run that did not end is taken over.
+    stale_claim_hours: float = 24.0
     csv_options: dict = field(default_factory=dict)
     source: SourceColumns = SourceColumns()
     report: ReportColumns = ReportColumns()

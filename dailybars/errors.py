@@ -12,3 +12,7 @@ class WrongLedgerError(KeyError, ValueError):
 
 class UnusableSourceError(ValueError):
     """A date's files hold rows, but none that a report can use."""
+
+
+class RunInProgressError(RuntimeError):
+    """Another run has claimed the ledger."""

@@ -5,7 +5,9 @@ Run on a cluster with ``spark-submit -m dailybars.plans.job ...`` (or
 argument. Load writes the report first and the ledger second, so a crash in
 between reruns those dates next time (at least once), never skips them. Before
 either is written, the dates to record are reconciled with the files: a date
-whose files hold rows of which none is usable fails the run.
+whose files hold rows of which none is usable fails the run. A run claims the
+ledger (``streaming.claims``), so that two at a time cannot report the same
+dates, and finishes what a killed run left between the two writes.
 """
 
 from __future__ import annotations
@@ -20,10 +22,11 @@ from pyspark.sql import functions as F
 
 from ..config import JobConfig
 from ..errors import UnusableSourceError
-from ..sinks import check_format, write_report
+from ..sinks import check_format, report_path, write_report
 from ..session import apply_scale_defaults, size_shuffle
 from ..sources.csv_ticks import empty_ticks, read_ticks_csv, tick_types
 from ..sources.files import input_bytes, read_ticks_parquet
+from ..streaming import claims
 from ..streaming.ledger import (DatePlan, check_ledger, compact_ledger, ledger_parts,
                                 plan_dates, record_plan)
 from .report import daily_report
@@ -47,6 +50,7 @@ class ReportJob:
         # A ledger that the run could not append to is refused before it reads
         # or writes anything.
         check_ledger(spark, cfg.ledger_path)
+        self.claim: claims.Claim | None = None
         self.plan: DatePlan = plan_dates(spark, cfg.ledger_path,
                                          cfg.first_extract_date, cfg.end_date)
         log.info("plan: report from %s, read %s .. %s", self.plan.extract_date,
@@ -124,13 +128,38 @@ class ReportJob:
 
     def _write(self, report: DataFrame) -> str | None:
         cfg = self.cfg
+        # A report by date rewrites folders that earlier runs committed, so its
+        # mark proves nothing; a run that died there is planned again.
+        if self.claim is not None and cfg.write_mode != "by_date":
+            path = report_path(cfg.target_root, cfg.report_key, self.now, cfg.report_format)
+            self.claim = claims.announce(self.spark, cfg.ledger_path, self.claim, path,
+                                         max(self.plan.extract_date, self.plan.start), self.plan.end)
         return write_report(report, cfg.target_root, cfg.report_key, cfg.report_format,
                             self.now, cfg.report.date, by_date=cfg.write_mode == "by_date",
                             sort_within=[cfg.report.isin])
 
     def run(self) -> str | None:
-        """Extract, transform, load. The shuffle sizing applies to this run's
-        jobs only; the session setting is restored afterwards."""
+        """Claim the ledger, extract, transform, load. With nothing to do there
+        is nothing to claim. The dates are planned again under the claim: another
+        run may have recorded some since."""
+        if self.plan.is_empty:
+            return self._run()
+        cfg = self.cfg
+        self.claim, dead = claims.take(self.spark, cfg.ledger_path, cfg.stale_claim_hours)
+        try:
+            if dead is not None and claims.published(self.spark, dead):
+                log.warning("recording %s .. %s, reported in %s by run %s", dead.first, dead.last,
+                            dead.report, dead.run)
+                record_plan(self.spark, cfg.ledger_path, DatePlan(
+                    _date(dead.first), _date(dead.first), _date(dead.last)), self.now)
+            self.plan = plan_dates(self.spark, cfg.ledger_path, cfg.first_extract_date, cfg.end_date)
+            return self._run()
+        finally:
+            claims.release(self.spark, cfg.ledger_path, self.claim)
+
+    def _run(self) -> str | None:
+        """The shuffle sizing applies to this run's jobs only; the session
+        setting is restored afterwards."""
         key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
         before = self.spark.conf.get(key, None)
         try:
@@ -166,6 +195,8 @@ def main(argv: list[str] | None = None) -> str | None:
     p.add_argument("--max-shuffle-partitions", type=int, default=100_000)
     p.add_argument("--compact-ledger-after", type=int, default=200, metavar="FILES",
                    help="ledger part files beyond which they are compacted (0: never)")
+    p.add_argument("--stale-claim-hours", type=float, default=24.0,
+                   help="age at which the claim of a run that did not end is taken over")
     p.add_argument("--by-name", action="store_true", help="allow header drift")
     p.add_argument("--multi-line", action="store_true", help="quoted line breaks")
     p.add_argument("--sep", default=",", help="CSV field delimiter")
@@ -183,7 +214,7 @@ def main(argv: list[str] | None = None) -> str | None:
         write_mode=args.write_mode, source_format=args.source_format,
         tie_break=tuple(args.tie_break), order_by_text=args.text_time,
         max_shuffle_partitions=args.max_shuffle_partitions,
-        compact_ledger_after=args.compact_ledger_after,
+        compact_ledger_after=args.compact_ledger_after, stale_claim_hours=args.stale_claim_hours,
         ordered_output=not args.unordered, date_dir=args.date_dir, file_glob=args.file_glob,
         csv_options={"by_name": args.by_name, "multi_line": args.multi_line,
                      "sep": args.sep, "encoding": args.encoding})

@@ -39,14 +39,15 @@ class Snapshot:
         return ~F.col("_metadata.file_path").isin(list(self.covered))
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop file system, path object) of a path."""
     path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
 
 def _names(spark: SparkSession, ledger: str) -> list[str]:
     """The committed snapshots' names, oldest first."""
-    fs, folder = _file_system(spark, f"{ledger.rstrip('/')}/{FOLDER}")
+    fs, folder = file_system(spark, f"{ledger.rstrip('/')}/{FOLDER}")
     if not fs.exists(folder):
         return []
     found = [s.getPath() for s in fs.listStatus(folder)]
@@ -89,6 +90,6 @@ def remove_superseded(spark: SparkSession, ledger: str, before: Snapshot | None)
     gone = [*before.covered, *(f"{ledger.rstrip('/')}/{FOLDER}/{n}" for n in older)]
     removed = 0
     for name in gone:
-        fs, path = _file_system(spark, name)
+        fs, path = file_system(spark, name)
         removed += bool(fs.delete(path, True))
     return removed
