@@ -406,8 +406,8 @@ def q_wrong_format(spark, sf):
         except WrongFormatError:
             fault = "wrong format"
         out.append((case, fault))
-    return spark.createDataFrame(out, "asked string, fault string").join(
-        rows.agg(F.count(F.lit(1)).alias("report_rows")))
+    return spark.createDataFrame(out, "asked string, fault string").withColumn(
+        "report_rows", rows.agg(F.count(F.lit(1))).scalar())
 
 
 def q_ledger_faults(spark, sf):
@@ -426,8 +426,8 @@ def q_ledger_faults(spark, sf):
         except WrongLedgerError as err:
             fault = str(err.args[0]).split("]: ")[1]
         out.append((case, fault))
-    return spark.createDataFrame(out, "ledger string, fault string").join(
-        ledger.agg(F.count(F.lit(1)).alias("days")))
+    return spark.createDataFrame(out, "ledger string, fault string").withColumn(
+        "days", ledger.agg(F.count(F.lit(1))).scalar())
 
 
 def q_etl_job(spark, sf):

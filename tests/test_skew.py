@@ -68,7 +68,7 @@ def test_hot_key_aggregate_is_partial_before_shuffle(spark):
 def test_hot_key_is_broadcast_and_spread(spark):
     ticks = hot_ticks(spark)
     # Small thresholds so HOT (about a third of the ticks) counts as hot.
-    out = ticks_with_open_close(ticks, hot_rows=100, max_hot_keys=10, buckets=8)
+    out = ticks_with_open_close(ticks, hot_rows=100, max_hot_keys=10, buckets=8, broadcast_bytes=0)
     rows = out.collect()
     plan = explain_text(out)
     assert "BroadcastHashJoin" in plan
@@ -79,7 +79,7 @@ def test_hot_key_is_broadcast_and_spread(spark):
 
 def test_hot_key_tasks_are_balanced(spark):
     ticks = hot_ticks(spark)
-    out = ticks_with_open_close(ticks, hot_rows=100, max_hot_keys=10, buckets=64)
+    out = ticks_with_open_close(ticks, hot_rows=100, max_hot_keys=10, buckets=64, broadcast_bytes=0)
     with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1",
                         "spark.sql.adaptive.enabled": "false",
                         "spark.sql.shuffle.partitions": "8"}):
@@ -94,8 +94,8 @@ def test_hot_key_tasks_are_balanced(spark):
 
 def test_hot_and_cold_paths_agree_with_plain_join(spark):
     ticks = hot_ticks(spark)
-    split = ticks_with_open_close(ticks, hot_rows=100, max_hot_keys=10)
-    plain = ticks_with_open_close(ticks)            # default thresholds: nothing is hot here
+    split = ticks_with_open_close(ticks, hot_rows=100, max_hot_keys=10, broadcast_bytes=0)
+    plain = ticks_with_open_close(ticks, broadcast_bytes=0)     # nothing is hot here
     assert split.columns == plain.columns
     assert split.exceptAll(plain).count() == 0 and plain.exceptAll(split).count() == 0
 
@@ -104,7 +104,7 @@ def test_keyless_ticks_are_spread(spark):
     t = event_ticks(spark, SF)
     third = (F.col("StartPrice") * 100).cast("long") % 3 == 0
     ticks = t.withColumn("ISIN", F.when(third, F.lit(None).cast("string")).otherwise(F.col("ISIN")))
-    out = ticks_with_open_close(ticks, buckets=64)
+    out = ticks_with_open_close(ticks, buckets=64, broadcast_bytes=0)
     with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1",
                         "spark.sql.adaptive.enabled": "false",
                         "spark.sql.shuffle.partitions": "8"}):
@@ -116,3 +116,16 @@ def test_keyless_ticks_are_spread(spark):
     nulls = out.where(F.col("ISIN").isNull())
     assert nulls.count() > 0
     assert nulls.where(F.col("OpeningPrice").isNotNull() | F.col("ClosingPrice").isNotNull()).count() == 0
+
+
+def test_small_day_table_is_broadcast_by_its_counted_size(spark):
+    ticks = hot_ticks(spark)
+    whole = ticks_with_open_close(ticks)
+    plan = explain_text(whole)
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    n_days = ticks.select("ISIN", "Date").distinct().count()
+    for limit, split in ((n_days * 110, False), (n_days * 90, True)):
+        plan = explain_text(ticks_with_open_close(ticks, broadcast_bytes=limit))
+        assert ("_join_key" in plan) == split
+    split = ticks_with_open_close(ticks, hot_rows=100, max_hot_keys=10, broadcast_bytes=0)
+    assert split.exceptAll(whole).count() == 0 and whole.exceptAll(split).count() == 0
