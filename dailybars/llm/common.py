@@ -55,13 +55,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def materialise(frame: DataFrame, name: str) -> DataFrame:
+def materialise(frame: DataFrame, name: str, parts: int | None = None) -> DataFrame:
     """Write a frame below the shared checkpoint folder and read it back: the
     lineage is cut, and a lost executor costs no recomputation. The schema is
-    given, so an empty table reads back too."""
+    given, so an empty table reads back too. A frame of bounded size goes into
+    at most ``parts`` files."""
     spark = frame.sparkSession
     path = scratch_dir(spark, name)
-    frame.write.parquet(path)
+    (frame if parts is None else frame.coalesce(parts)).write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 

@@ -65,11 +65,11 @@ def _winner():
 
 def settle(rows: DataFrame, limit: int = HEAVY_DIGESTS, tracked: int = TRACKED) -> DataFrame:
     """Group size and winner of every row of a written digest table."""
-    candidates = materialise(heavy_hitters(rows, limit, tracked), "heavy-digests")
+    candidates = materialise(heavy_hitters(rows, limit, tracked), "heavy-digests", 1)
     stats = {"group_size": F.count(F.lit(1)), "winner": _winner()}
     winners = materialise(
         rows.join(F.broadcast(candidates), "digest").groupBy("digest")
-        .agg(*(c.alias(n) for n, c in stats.items())), "heavy-winners")
+        .agg(*(c.alias(n) for n, c in stats.items())), "heavy-winners", 1)
     hot = rows.join(F.broadcast(winners), "digest")
     cold = (rows.join(F.broadcast(winners.select("digest")), "digest", "left_anti")
             .withColumns({n: c.over(Window.partitionBy("digest")) for n, c in stats.items()}))

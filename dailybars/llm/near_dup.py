@@ -364,8 +364,9 @@ def _shingle_column(batches):
 def links(documents: DataFrame, reps: DataFrame) -> DataFrame:
     """(rep, links, root) rows of the verified links; ``reps`` is a written
     table of rep, row_key, copies, size, signature and bands."""
-    tasks = _block_tasks(candidate_members(reps)).join(reps.select("rep", "signature"), "rep")
-    alive = materialise(_clustered(tasks).mapInArrow(
+    # A member meets its signature once, then goes to its block pairs.
+    members = candidate_members(reps).join(reps.select("rep", "signature"), "rep")
+    alive = materialise(_clustered(_block_tasks(members)).mapInArrow(
         _compare, "band bigint, bucket bigint, lo bigint, hi bigint, side int, rep bigint"),
         "alive")
     needed = materialise(alive.select("rep").distinct().join(
@@ -375,33 +376,35 @@ def links(documents: DataFrame, reps: DataFrame) -> DataFrame:
         _shingle_column, "rep bigint, copies bigint, shingles binary"), "shingles")
     if shingled.count() > needed.count():       # rows that repeat an id and a text
         shingled = materialise(shingled.dropDuplicates(["rep"]), "shingles-once")
-    verify = (alive.join(reps.select("rep", "signature"), "rep")
-              .join(shingled, "rep"))
+    places = alive.groupBy("rep").agg(F.collect_list(F.struct(*_TASK, "side")).alias("places"))
+    verify = (places.join(reps.select("rep", "signature"), "rep").join(shingled, "rep")
+              .select("rep", "copies", "signature", "shingles", F.explode("places").alias("place"))
+              .select("rep", "copies", "signature", "shingles", "place.*"))
     return materialise(_clustered(verify).mapInArrow(
         _verify, "rep bigint, links bigint, root bigint"), "links")
 
 
 def connected(edges: DataFrame) -> DataFrame:
     """(node, root) of the connected components of (a, b) edges with a > b, by
-    alternating large-star and small-star rounds until nothing moves."""
+    alternating large-star and small-star rounds until nothing moves. One table
+    is written per round."""
     edges = materialise(edges.where("a > b").distinct(), "edges")
     seen = None
     while True:
+        state = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
+        if state == seen or not state[0]:
+            return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+        seen = state
         both = edges.select("a", "b").unionByName(
             edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = (both.join(materialise(least, "least"), "a").where("b > a")
+        large = (both.join(least, "a").where("b > a")
                  .select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b").distinct())
-        large = materialise(large, "large-star")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(materialise(least, "least"), "a")
-        edges = materialise(
-            small.where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-            .unionByName(small.select("a", F.col("m").alias("b"))).distinct(), "edges")
-        state = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
-        if state == seen:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        seen = state
+        small = large.join(large.groupBy("a").agg(F.min("b").alias("m")), "a")
+        moved = F.array(F.struct("a", F.col("m").alias("b")),
+                        F.struct(F.col("b").alias("a"), F.col("m").alias("b")))
+        edges = materialise(small.select(F.explode(moved).alias("edge")).select("edge.a", "edge.b")
+                            .where("a > b").distinct(), "edges")
 
 
 def _joined_classes(documents: DataFrame) -> DataFrame:
@@ -417,8 +420,7 @@ def _joined_classes(documents: DataFrame) -> DataFrame:
                                    "first", F.col("first.row_key").alias("row_key"),
                                    "signature", "bands", "size"), "classes")
     found = links(documents, reps)
-    roots = materialise(connected(found.select(F.col("rep").alias("a"), F.col("root").alias("b"))),
-                        "roots")
+    roots = connected(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
     thin = reps.select("rep", "set_key", "copies", "first")
     placed = (thin.join(counts, "rep", "left")
@@ -426,11 +428,8 @@ def _joined_classes(documents: DataFrame) -> DataFrame:
               .withColumn("root", F.coalesce("root", "rep")))
     placed = materialise(placed, "placed")
     heads = placed.groupBy("root").agg(F.min("first").alias("head"))
-    classes = materialise(
-        placed.join(materialise(heads, "heads"), "root")
-        .select("set_key", "head",
-                (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")),
-        "class-links")
+    classes = placed.join(heads, "root").select(
+        "set_key", "head", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     worded = rows.where(F.col("set_key").isNotNull()).select("doc_id", "row_key", "set_key")
     wordless = rows.where(F.col("set_key").isNull())
     return worded.join(classes, "set_key").select(

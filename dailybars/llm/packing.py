@@ -214,7 +214,7 @@ def best_fit_packing(documents: DataFrame, path: str | None = None,
                          "pieces").withColumn(
         "bucket", F.pmod(F.xxhash64("row_id", "piece"), F.lit(RANK_BUCKETS)))
     held = materialise(pieces.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n")),
-                       "length-counts")
+                       "length-counts", 8)
     counts = np.zeros(capacity + 1, dtype=np.int64)
     for r in held.groupBy("length").agg(F.sum("n").alias("n")).collect():
         counts[r.length] = r.n

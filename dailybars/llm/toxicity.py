@@ -107,7 +107,7 @@ def mine_terms(sample: DataFrame) -> tuple[list[str], float]:
     least = MIN_EVIDENCE / (2 * np.log(1 / share))
     bad = materialise(listed.where("toxic = 1").groupBy("term")
                       .agg(F.count(F.lit(1)).cast("double").alias("bad"))
-                      .where(F.col("bad") >= least), "toxic-terms")
+                      .where(F.col("bad") >= least), "toxic-terms", 4)
     good = (only(listed.where("toxic = 0").select("term"), bad.select("term"), "term")
             .groupBy("term").agg(F.count(F.lit(1)).cast("double").alias("good")))
     counts = bad.join(good, "term", "left").fillna(0.0, ["good"]).withColumn(
@@ -341,7 +341,7 @@ def _one_array(column: pa.ChunkedArray) -> pa.Array:
 def scored(documents: DataFrame, labels: DataFrame, rows: DataFrame) -> DataFrame:
     """``rows`` (of the documents, with their marks) without text, with score."""
     terms, share = mine_terms(materialise(sample_training(documents, labels, SAMPLE_ROWS),
-                                          "mining-sample"))
+                                          "mining-sample", 16))
     features = materialise(vote_features(rows, terms), "vote-features")
     _, weights = learn(features, share)
     kept = [f for f in rows.schema.fields if f.name != "text"]
