@@ -39,12 +39,13 @@ def test_stage_list():
 def test_every_operator_is_registered():
     import __spark_entry__ as entry
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(q.startswith(f"op{n}_") for q in names) == 1
     assert "pipeline" in names and set(entry.oracle_sql()) <= set(names)
 
 
-@pytest.mark.parametrize("name", ["op2_warc_index", "op3_exact_top_k", "op6_ngram_jaccard_join", "op8_exact_dedup"])
+@pytest.mark.parametrize("name", ["op2_warc_index", "op3_exact_top_k", "op6_ngram_jaccard_join", "op8_exact_dedup",
+                                  "op12_source_divergence", "op13_fill_in_middle"])
 def test_queries_match_their_sql(spark, name):
     import duckdb
 
