@@ -1,7 +1,8 @@
 """Source divergence audit: how far the sources of a language differ in words.
 
-1. The texts are split into terms (runs of ASCII letters and non-ASCII
-   characters, A-Z lower-cased) and written once, one folder per language.
+1. The texts are cut into terms (runs of ASCII letters and non-ASCII
+   characters, A-Z lower-cased) by one byte table and written once, joined by
+   blanks, one folder per language.
 2. A ``CountVectorizer`` per language, with ``minDF`` and the largest integer as
    ``vocabSize``, turns every document into an exact sparse vector of counts.
    Vectors are written, so a lost executor costs no recount.
@@ -31,17 +32,19 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import scratch_dir
-from .common import materialise
+from .common import column_of, materialise, text_blocks
 
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# ASCII characters that are no letters: they end a term.
-BREAKS = "".join(chr(c) for c in range(128) if not chr(c).isalpha())
+# What becomes of the bytes of a UTF-8 text: A-Z is lower-cased, an ASCII byte
+# that is no letter ends a term, all bytes of other characters stay.
+_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalpha() else 32
+               for c in range(256))
 MIN_DOCS = 30
 MAX_VOCAB = 2**31 - 1
 SMOOTHING = 5
@@ -50,8 +53,8 @@ TOP_TERMS = 50
 SHARD_TERMS = 2_000_000
 SAMPLE_EVERY = 64
 
-# What stands between two breaks without a letter. Every document has it, which
-# keeps a vocabulary from being empty (the vectorizer refuses that).
+# No term; every document has it, which keeps a vocabulary from being empty (the
+# vectorizer refuses that).
 _MARK = ""
 _VECTOR = T.StructType([T.StructField("type", T.ByteType()), T.StructField("size", T.IntegerType()),
                         T.StructField("indices", T.ArrayType(T.IntegerType())),
@@ -62,17 +65,31 @@ def _text(column: str) -> F.Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def _joined(batches):
+    """The terms of every text, joined by blanks, and its different terms."""
+    for batch in text_blocks(batches):
+        every, different = [], []
+        for text in column_of(batch, "text").view(pa.binary()).to_pylist():
+            terms = text.translate(_BYTES).split()
+            every.append(b" ".join(terms))
+            different.append(b" ".join(set(terms)))
+        yield pa.RecordBatch.from_arrays(
+            [column_of(batch, "lang"), column_of(batch, "source"),
+             *(pa.array(c, pa.binary()).view(pa.string()) for c in (every, different))],
+            names=["lang", "source", "every", "different"])
+
+
 def term_lists(documents: DataFrame) -> DataFrame:
-    """lang, source, the terms of every document between empty marks, and the
-    same list again of the documents in the sample. One pass over the characters
-    lowers A-Z and makes every break a blank, at which the text is split."""
-    plain = F.translate(_text("text"), UPPER + BREAKS, LOWER + " " * len(BREAKS))
-    # The last blank gives every document a mark.
-    terms = F.split(F.concat(plain, F.lit(" ")), " ")
-    drawn = F.pmod(F.xxhash64(_text("text")), F.lit(SAMPLE_EVERY)) == 0
-    return (documents.select(_text("lang").alias("lang"), _text("source").alias("source"),
-                             drawn.alias("drawn"), terms.alias("terms"))
-            .select("lang", "source", "terms", F.when(F.col("drawn"), F.col("terms")).alias("sampled")))
+    """lang, source, and of every document its terms in order (``every``) and
+    its different terms (``different``), joined by blanks."""
+    rows = documents.select(*[_text(c).alias(c) for c in ("lang", "source", "text")])
+    return rows.mapInArrow(_joined, "lang string, source string, every string, different string")
+
+
+def _terms(column: str) -> F.Column:
+    """The list of a joined column's terms and the mark (the last blank gives
+    every document one)."""
+    return F.split(F.concat(F.col(column), F.lit(" ")), " ")
 
 
 def _language_key(column: str = "lang") -> F.Column:
@@ -83,7 +100,8 @@ def _language_key(column: str = "lang") -> F.Column:
 def write_terms(documents: DataFrame) -> DataFrame:
     """The term lists in one folder per language (column ``folder``)."""
     spark, path = documents.sparkSession, scratch_dir(documents.sparkSession, "terms")
-    rows = term_lists(documents).withColumn("folder", _language_key())
+    drawn = F.pmod(F.xxhash64("every"), F.lit(SAMPLE_EVERY)) == 0
+    rows = term_lists(documents).withColumns({"drawn": drawn, "folder": _language_key()})
     rows.write.partitionBy("folder").parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
@@ -94,21 +112,27 @@ def languages(rows: DataFrame, min_docs: int = MIN_DOCS) -> list[tuple[str, str,
     term of 30 documents with probability 0.37, so the kept terms are hardly more
     than three times the sample's different terms."""
     enough = rows.groupBy("lang", "folder").count().where(F.col("count") >= min_docs)
-    seen = (rows.where(F.col("sampled").isNotNull())
-            .select("folder", F.explode("sampled").alias("term"))
+    seen = (rows.where("drawn").select("folder", F.explode(_terms("different")).alias("term"))
             .groupBy("folder").agg(F.approx_count_distinct("term").alias("seen")))
     found = enough.join(seen, "folder", "left").select("lang", "folder", "seen").collect()
     return sorted((r.lang, r.folder, 3 * (r.seen or 0)) for r in found)
 
 
-def _vector_sums(docs: DataFrame, min_docs: int) -> DataFrame:
+def _vector_sums(docs: DataFrame, min_docs: int, shard: F.Column | None = None) -> DataFrame:
     """(source, term, n) of one language's documents, through a vectorizer of
-    their terms and the written sparse vectors."""
+    their terms (those of a ``shard``) and the written sparse vectors. Its
+    vocabulary depends on the documents that hold a term, not on how often one
+    does, so it is fitted to the documents' different terms."""
     spark = docs.sparkSession
+
+    def listed(column: str) -> DataFrame:
+        rows = docs.select("source", _terms(column).alias("terms"))
+        return rows if shard is None else rows.withColumn("terms", shard)
+
     model = CountVectorizer(inputCol="terms", outputCol="counts", minDF=float(min_docs),
-                            vocabSize=MAX_VOCAB).fit(docs)
+                            vocabSize=MAX_VOCAB).fit(listed("different"))
     path = scratch_dir(spark, "vectors")
-    model.transform(docs).select("source", "counts").write.parquet(path)
+    model.transform(listed("every")).select("source", "counts").write.parquet(path)
     vectors = spark.read.schema(T.StructType([T.StructField("source", T.StringType()),
                                               T.StructField("counts", _VECTOR)])).parquet(path)
     entries = vectors.select("source", F.explode(
@@ -130,13 +154,13 @@ def group_counts(rows: DataFrame, min_docs: int = MIN_DOCS,
     schema = "lang string, source string, term string, n bigint"
     parts = []
     for lang, folder, expected in languages(rows, min_docs):
-        docs = rows.where(F.col("folder") == folder).select("source", "terms")
+        docs = rows.where(F.col("folder") == folder)
         shards = max(1, -(-expected // shard_terms))
         for k in range(shards):
-            mine = docs if shards == 1 else docs.withColumn("terms", F.expr(
-                f"filter(terms, t -> t = '{_MARK}' or pmod(xxhash64(t, 1), {shards}) = {k})"))
-            sums = _vector_sums(mine, min_docs).select(F.lit(lang).alias("lang"), "source",
-                                                       "term", "n")
+            shard = None if shards == 1 else F.expr(
+                f"filter(terms, t -> t = '{_MARK}' or pmod(xxhash64(t, 1), {shards}) = {k})")
+            sums = _vector_sums(docs, min_docs, shard).select(F.lit(lang).alias("lang"), "source",
+                                                              "term", "n")
             parts.append(materialise(sums, "group-counts"))
     return reduce(DataFrame.unionByName, parts, spark.createDataFrame([], schema))
 

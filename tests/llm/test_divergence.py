@@ -8,7 +8,7 @@ from dailybars.llm import divergence as dv
 
 # The contract's terms; the operator splits at what they exclude.
 TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
-LOWER = str.maketrans(dv.UPPER, dv.LOWER)
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
 def brute(rows, min_docs, top_terms=50):
@@ -102,3 +102,12 @@ def test_shares_are_exact_beyond_a_long(spark):
     big = spark.createDataFrame([(4 * 10**12, 9 * 10**15, 12345)], "n long, total long, v long")
     got = big.select(dv._share("n", "total")).first()[0]
     assert got == 1 + 10**9 * (4 * 10**12 + 5) // (9 * 10**15 + 5 * 12345)
+
+
+@pytest.mark.parametrize("text", ["", "A\x00b\x7fC", "ÀÉÿ\u0100\U0001F600x", "\x85a\xa0b\u2028c", "a" * 9 + "\t" * 9,
+                                  "".join(map(chr, range(256)))])
+def test_terms_of_odd_characters(frame, text):
+    row = dv.term_lists(frame([(text, "en", "s")])).first()
+    terms = TERM.findall(text.translate(LOWER))
+    assert row.every.split(" ") == (terms or [""])
+    assert sorted(row.different.split(" ")) == (sorted(set(terms)) or [""])
