@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -115,8 +116,18 @@ def fold(column: str, parts: int) -> F.Column:
     return F.crc32(F.col(column).cast("string")) % parts
 
 
+def give_back_memory() -> None:
+    """Return what a worker has freed to the system: workers live on between
+    tasks, and a task's high-water mark would stay with them."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):       # a C library without it
+        pass
+
+
 def text_blocks(batches: Iterator[pa.RecordBatch], column: str = "text",
-                max_bytes: int = 4 << 20, max_rows: int = 4096) -> Iterator[pa.RecordBatch]:
+                max_bytes: int = 1 << 20, max_rows: int = 4096) -> Iterator[pa.RecordBatch]:
     """Slice Arrow batches so that each has at most ``max_bytes`` of text (one
     longer text is a slice of its own) and at most ``max_rows`` rows."""
     for batch in batches:
@@ -129,6 +140,7 @@ def text_blocks(batches: Iterator[pa.RecordBatch], column: str = "text",
             stop = min(max(stop, start + 1), start + max_rows, batch.num_rows)
             yield batch.slice(start, stop - start)
             start = stop
+    give_back_memory()
 
 
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:

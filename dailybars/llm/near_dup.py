@@ -246,7 +246,7 @@ def sketch(documents: DataFrame) -> DataFrame:
     """doc_id, row_key, set_key (NULL without words), signature, bands and size
     of the set."""
     def run(batches):
-        for block in text_blocks(batches, max_bytes=2 << 20):
+        for block in text_blocks(batches, max_bytes=1 << 20):
             sets = shingle_sets(texts_of(block))
             full = [k for k, s in enumerate(sets) if len(s)]
             signed = np.stack([signature(sets[k]) for k in full]) if full else None
@@ -353,7 +353,7 @@ def _verify(batches):
 
 
 def _shingle_column(batches):
-    for block in text_blocks(batches, max_bytes=2 << 20):
+    for block in text_blocks(batches, max_bytes=1 << 20):
         sets = shingle_sets(texts_of(block))
         yield pa.RecordBatch.from_arrays(
             [column_of(block, "rep"), column_of(block, "copies"),

@@ -120,7 +120,7 @@ def mine_terms(sample: DataFrame) -> tuple[list[str], float]:
     return sorted(r.term for r in found), share
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=50_000)
 def bucket_of(word: str) -> int:
     return zlib.crc32(word.encode("utf-8", "surrogatepass")) % BUCKETS
 
