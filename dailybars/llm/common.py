@@ -34,7 +34,7 @@ def ship_package(spark: SparkSession) -> None:
     the rows and bytes of an Arrow batch, in a session that has not set them
     (the setting stays, since plans are run after the query is built)."""
     for key, default, bound in (("maxRecordsPerBatch", 10_000, BATCH_ROWS),
-                                ("maxBytesPerBatch", (1 << 31) - 1, BATCH_BYTES)):
+                                ("maxBytesPerBatch", 64 << 20, BATCH_BYTES)):
         key = f"spark.sql.execution.arrow.{key}"
         if spark.conf.get(key).rstrip("b") == str(default):
             spark.conf.set(key, bound)

@@ -92,3 +92,16 @@ def test_draws_are_the_digest_of_seed_and_id(spark):
     drawn = spark.range(42, 43).select(pt.draws(9, "id").alias("d")).first().d
     assert drawn == [int(digest[8 * k: 8 * k + 8], 16) for k in range(4)]
     assert spark.range(1).select(F.size(pt.draws(9, "id"))).first()[0] == 4
+
+
+def test_batches_are_bounded_by_bytes(spark, make_docs):
+    """Texts of 1 MB: no Arrow batch holds many of them."""
+    docs = make_docs([(k, "x" * (1 << 20), None) for k in range(24)]).coalesce(1)
+
+    def sizes(batches):
+        import pyarrow as pa
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+
+    rows = [r.n for r in docs.select("text").mapInArrow(sizes, "n long").collect()]
+    assert sum(rows) == 24 and max(rows) <= 6
