@@ -121,8 +121,14 @@ def published(spark: SparkSession, dead: Claim) -> bool:
 
 
 def release(spark: SparkSession, ledger: str, claim: Claim) -> None:
-    """Remove the claim, if it is still this run's."""
+    """Remove the claim, if it is still this run's, and the folders that were
+    made for it if they hold nothing: a failed first run leaves no ledger."""
     now = held(spark, ledger)
-    if now is not None and now.run == claim.run:
-        fs, path = file_system(spark, _path(ledger))
-        fs.delete(path, False)
+    if now is None or now.run != claim.run:
+        return
+    fs, path = file_system(spark, _path(ledger))
+    fs.delete(path, False)
+    for folder in (path.getParent(), path.getParent().getParent()):
+        if len(fs.listStatus(folder)):
+            break
+        fs.delete(folder, False)
