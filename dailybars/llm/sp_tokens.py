@@ -8,9 +8,10 @@ into a third, by the third's score.
 
 Encoding. No piece of such a model holds a marker behind another character
 (this is checked), so a normalised text can be cut before every marker that
-follows something else, and the parts are encoded on their own. Parts are
-cached per Python worker, in two bounded generations; the new parts of a block
-are encoded in one batch by ``THREADS`` threads, and encoded by the
+follows something else, and the parts are encoded on their own. The cuts of a
+block are found in its UTF-8 bytes, and Arrow numbers its different parts. Their
+ids are cached per Python worker, in two bounded generations; the new parts of a
+block are encoded in one batch by ``THREADS`` threads, and encoded by the
 SentencePiece library as well. A document has ``parity`` if both libraries give
 the same ids for all its parts. Its ids are then decoded whole, by the path that
 ``decode`` takes, and it has ``round_trip`` if that gives back its normalised
@@ -25,13 +26,13 @@ extra columns are ignored.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from array import array
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from .common import column_of, text_blocks, texts_of
@@ -39,7 +40,8 @@ from .encoding import tokenizer_path
 
 MODEL = "piece_bpe_32k.model"
 THREADS = 2               # of both libraries, per Python worker
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 600_000
+LEARN_PARTS = 1_000       # new parts per input of the tokenizers library
 MARK = "▁"
 
 # Kinds of pieces and of models in the model file's format.
@@ -129,11 +131,29 @@ def rebuild(model: Model):
     return normalizers.Sequence(steps) if steps else None, tokenizer
 
 
+def speaker(model: Model, tokenizer):
+    """Tokenizer that decodes like ``tokenizer``: its pieces hold blanks for
+    markers already, so that no token need be searched for them."""
+    from tokenizers import Tokenizer, decoders, models
+    names = [p.replace(MARK, " ") for p, _, _ in model.pieces]
+    if len(set(names)) < len(names):
+        return tokenizer
+    out = Tokenizer(models.WordLevel({p: k for k, p in enumerate(names)}, names[model.unknown]))
+    out.decoder = decoders.Sequence([decoders.ByteFallback(), decoders.Fuse()])
+    return out
+
+
+def covers(model: Model) -> np.ndarray | None:
+    """Bytes of text that a token of every piece stands for; None for a model
+    whose unknown characters become one piece."""
+    if not model.byte_fallback or sum(kind == BYTE for *_, kind in model.pieces) < 256:
+        return None
+    return np.array([1 if kind == BYTE else len(p.encode("utf-8")) for p, _, kind in model.pieces])
+
+
 class PieceEncoder:
     """Encoder of one worker: normalise, cut, look up, encode what is new."""
 
-    _CUT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+$")
-
     def __init__(self, path: str, threads: int = THREADS):
         os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "true" if threads > 1 else "false")
@@ -142,59 +162,118 @@ class PieceEncoder:
             data = file.read()
         self.model = Model(data)
         self.normaliser, self.tokenizer = rebuild(self.model)
+        self.speaker = speaker(self.model, self.tokenizer)
+        self.covers = covers(self.model)
         self.reference = SentencePieceProcessor(model_proto=data)
         self.threads = threads
-        self.cache: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.unequal: set[str] = set()
+        self.cache: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        self.unequal: set[bytes] = set()
 
     def normal(self, text: str) -> str:
         """The normalised text, which decoding should give back."""
         return self.normaliser.normalize_str(text) if self.normaliser is not None and text else text
 
-    def parts(self, normal: str) -> list[str]:
-        """The parts of a normalised text, as the pieces see it, with markers."""
-        if not normal:
-            return []
-        marked = (" " * self.model.dummy_prefix + normal).replace(" ", MARK)
-        return self._CUT.findall(marked) if self.model.cuttable else [marked]
-
-    def _learn(self, parts: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch(parts, add_special_tokens=False)]
+    def parts(self, normal: list[str]) -> tuple[pa.Array, np.ndarray]:
+        """The parts of normalised texts, in UTF-8 with blanks for markers, and
+        for every text the number of parts up to its end."""
+        prefix = " " * self.model.dummy_prefix
+        texts = pa.array([t and prefix + t.replace(MARK, " ") for t in normal], pa.large_string())
+        _, ends, data = texts.buffers()
+        ends = np.frombuffer(ends, np.int64)[: len(texts) + 1]
+        blob = np.frombuffer(data or b"", np.uint8)[: ends[-1]]
+        starts = np.zeros(len(blob) + 1, bool)
+        if self.model.cuttable:
+            blank = blob == 32
+            starts[1:-1] = blank[1:] & ~blank[:-1]
+        starts[ends] = True       # the last one is the end of all parts
+        starts = np.flatnonzero(starts)
+        parts = pa.Array.from_buffers(pa.large_binary(), len(starts) - 1,
+                                      [None, pa.py_buffer(starts), data or pa.py_buffer(b"")])
+        return parts, np.searchsorted(starts, ends)[1:]
+
+    def _ids(self, parts: list[str]) -> list[list[int]]:
+        """The tokenizers library's ids of every part (with markers)."""
+        if self.covers is None:
+            return [e.ids for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+        # Parts go in as the words of longer inputs, each encoded on its own. A
+        # token stands for its own bytes, so a part ends where they add up.
+        groups = [parts[k: k + LEARN_PARTS] for k in range(0, len(parts), LEARN_PARTS)]
+        out = []
+        for group, found in zip(groups, self.tokenizer.encode_batch_fast(
+                groups, is_pretokenized=True, add_special_tokens=False)):
+            ids = found.ids
+            upto = np.cumsum(self.covers[ids])
+            wanted = np.cumsum([len(p.encode("utf-8")) for p in group])
+            ends = np.searchsorted(upto, wanted)
+            if upto[-1] != wanted[-1] or (upto[ends] != wanted).any():
+                raise ValueError("tokens do not cover their parts")
+            ends = (ends + 1).tolist()
+            out += [ids[a:b] for a, b in zip([0, *ends], ends)]
+        return out
+
+    def _learn(self, parts: list[bytes]) -> list[bytes]:
+        """The ids of parts, having both libraries encode them."""
+        texts = [p.decode("utf-8") for p in parts]
         prefix = int(self.model.dummy_prefix)
         # The library puts the prefix mark before every text itself.
-        same = self.reference.encode([p[prefix:].replace(MARK, " ") for p in parts],
-                                     num_threads=self.threads)
+        same = self.reference.encode([t[prefix:] for t in texts], num_threads=self.threads)
         alone = [self.reference.piece_to_id(MARK)]   # of an empty text it gives no ids
+        found = self._ids([t.replace(" ", MARK) for t in texts])
         self.unequal.update(p for p, a, b in zip(parts, found, same)
-                            if a != (alone if p == MARK and prefix else b))
-        self.cache.update((p, array("I", ids).tobytes()) for p, ids in zip(parts, found))
-
-    def _know(self, wanted: set[str]) -> None:
-        """Have all the parts in the cache. A full cache becomes the old one,
-        from which parts still in use move over."""
-        new = wanted - self.cache.keys()
+                            if a != (alone if p == b" " and prefix else b))
+        return [array("I", ids).tobytes() for ids in found]
+
+    def _know(self, wanted: list[bytes]) -> list[bytes]:
+        """The ids of different parts. A full cache becomes the old one, from
+        which parts still in use move over."""
+        found = list(map(self.cache.get, wanted))
+        new = [k for k, ids in enumerate(found) if ids is None]
+        for k in new:
+            found[k] = self.old.get(wanted[k])
         if new and len(self.cache) + len(new) > CACHE_ENTRIES:
-            self.old, self.cache = self.cache, {}
-            new = wanted
-        kept = new & self.old.keys()
-        self.cache.update((p, self.old[p]) for p in kept)
-        if len(kept) < len(new):
-            self._learn(sorted(new - kept))
+            self.old = self.cache
+            self.cache = {p: ids for p, ids in zip(wanted, found) if ids is not None}
+        unseen = [k for k in new if found[k] is None]
+        if unseen:
+            for k, ids in zip(unseen, self._learn([wanted[k] for k in unseen])):
+                found[k] = ids
+        self.cache.update((wanted[k], found[k]) for k in new)
+        return found
+
+    def encode_block(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, where each text's begin (and the last
+        one's end), parity and round trip per text."""
+        normal = [self.normal(t) for t in texts]
+        parts, last = self.parts(normal)
+        coded = parts.dictionary_encode()
+        different = coded.dictionary.to_pylist()
+        found = self._know(different)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        lists = pa.LargeListArray.from_arrays(
+            np.concatenate([[0], np.cumsum(sizes)]),
+            pa.array(np.frombuffer(b"".join(found), np.uint32)))
+        places = np.asarray(coded.indices)
+        ids = np.asarray(pc.take(lists, coded.indices).flatten())
+        upto = np.concatenate([[0], np.cumsum(sizes[places])])
+        ends = upto[np.concatenate([[0], last])]
+        parity = np.ones(len(texts), bool)
+        if self.unequal:
+            bad = np.array([p in self.unequal for p in different], bool)
+            seen = np.concatenate([[0], np.cumsum(bad[places])])[np.concatenate([[0], last])]
+            parity = seen[1:] == seen[:-1]
+        plain = ids.tolist()
+        back = self.decode([plain[a:b] for a, b in zip(ends[:-1], ends[1:])])
+        return ids, ends, parity, np.array([a == b for a, b in zip(normal, back)], bool)
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, bool, bool]]:
         """(ids as unsigned 32-bit numbers, parity, round trip) per text."""
-        normal = [self.normal(t) for t in texts]
-        cut = [self.parts(t) for t in normal]
-        self._know(set().union(*cut))
-        cache = self.cache
-        ids = [b"".join([cache[p] for p in parts]) for parts in cut]
-        back = self.decode([array("I", i).tolist() for i in ids])
-        return [(i, not self.unequal or self.unequal.isdisjoint(parts), a == b)
-                for i, parts, a, b in zip(ids, cut, normal, back)]
+        ids, ends, parity, round_trip = self.encode_block(texts)
+        return [(ids[a:b].tobytes(), p, r) for a, b, p, r in zip(
+            ends[:-1], ends[1:], parity.tolist(), round_trip.tolist())]
 
     def decode(self, ids: list[list[int]]) -> list[str]:
-        texts = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
+        texts = self.speaker.decode_batch(ids, skip_special_tokens=False)
         prefix = int(self.model.dummy_prefix)
         return [t[prefix:] if t[:prefix] == " " else t for t in texts]
 
@@ -209,12 +288,11 @@ def encode(documents: DataFrame, path: str, threads: int = THREADS) -> DataFrame
     def run(batches):
         encoder = piece_encoder(path, threads)
         for block in text_blocks(batches):
-            found = encoder.encode(texts_of(block))
-            values = np.frombuffer(b"".join(ids for ids, _, _ in found), np.uint32).astype(np.int32)
-            ends = np.cumsum([0, *(len(ids) // 4 for ids, _, _ in found)]).astype(np.int32)
+            ids, ends, parity, round_trip = encoder.encode_block(texts_of(block))
             yield pa.RecordBatch.from_arrays(
-                [column_of(block, "doc_id"), pa.ListArray.from_arrays(ends, values),
-                 pa.array([p for _, p, _ in found]), pa.array([r for _, _, r in found])],
+                [column_of(block, "doc_id"),
+                 pa.ListArray.from_arrays(ends.astype(np.int32), ids.astype(np.int32)),
+                 pa.array(parity), pa.array(round_trip)],
                 names=["doc_id", "ids", "parity", "round_trip"])
 
     kind = documents.schema["doc_id"].dataType.simpleString()
@@ -243,12 +321,11 @@ def encoding_report(documents: DataFrame, path: str | None = None,
     def run(batches):
         encoder = piece_encoder(path, threads)
         for block in text_blocks(batches):
-            found = encoder.encode(texts_of(block))
+            ids, ends, parity, round_trip = encoder.encode_block(texts_of(block))
             yield pa.RecordBatch.from_arrays(
-                [column_of(block, "doc_id"),
-                 pa.array([len(ids) // 4 for ids, _, _ in found], pa.int64()),
-                 pa.array([zlib.crc32(ids) for ids, _, _ in found], pa.int64()),
-                 pa.array([p for _, p, _ in found]), pa.array([r for _, _, r in found])],
+                [column_of(block, "doc_id"), pa.array(np.diff(ends), pa.int64()),
+                 pa.array([zlib.crc32(ids[a:b]) for a, b in zip(ends[:-1], ends[1:])], pa.int64()),
+                 pa.array(parity), pa.array(round_trip)],
                 names=["doc_id", "n_ids", "ids_crc32", "parity", "round_trip"])
 
     kind = documents.schema["doc_id"].dataType.simpleString()

@@ -89,3 +89,56 @@ def test_operator_encodes_and_decodes(make_docs, corpus):
     assert sorted(((r.doc_id, r.text) for r in back), key=key) == sorted(
         ((i, t or "") for i, t, _ in corpus), key=key)
     assert S.encoding_report(make_docs([])).collect() == []
+
+
+def test_cuts_fall_before_runs_of_markers(encoder):
+    texts = ["", "a b", "  a   b ", "▁a▁ b", "   ", "ü 日本\n x"]
+    parts, last = encoder.parts(texts)
+    assert parts.to_pylist() == [p.encode() for p in (
+        " a", " b", "   a", "   b", " ", "  a", "  b", "    ", " ü", " 日本\n", " x")]
+    assert last.tolist() == [0, 2, 5, 7, 8, 11]
+
+
+def test_parts_are_encoded_together_as_alone(encoder, monkeypatch):
+    """Parts share an input of the library; bytes, blanks and long parts do not run over."""
+    parts = ["▁a", "▁▁▁", "▁日本語", "▁\x00\x07", "▁é🙂é", "▁", "▁<0x41>", "▁" + "x" * 5000, "▁the"]
+    alone = [encoder.tokenizer.encode(p, add_special_tokens=False).ids for p in parts]
+    for size in (1, 2, 4, 100):
+        monkeypatch.setattr(S, "LEARN_PARTS", size)
+        assert encoder._ids(parts) == alone
+    monkeypatch.setattr(encoder, "covers", None)
+    assert encoder._ids(parts) == alone
+
+
+def test_one_call_of_the_library_for_many_new_parts(monkeypatch):
+    """Copies of a part are looked up and encoded once, new ones by the thousand."""
+    fresh, calls = S.PieceEncoder(PATH), []
+
+    class Counted:
+        def __init__(self, tokenizer):
+            self.tokenizer = tokenizer
+
+        def encode_batch_fast(self, inputs, **more):
+            calls.append([len(i) for i in inputs])
+            return self.tokenizer.encode_batch_fast(inputs, **more)
+
+    fresh.tokenizer = Counted(fresh.tokenizer)
+    texts = [f"w{k} w{k + 1} again" for k in range(1500)] * 2
+    expected = fresh.reference.encode(texts)
+    assert [np.frombuffer(i, "<u4").tolist() for i, _, _ in fresh.encode(texts)] == expected
+    assert calls == [[1000, 502]]
+    fresh.encode(texts)
+    assert len(calls) == 1
+
+
+def test_parity_of_the_documents_that_hold_a_part(encoder, monkeypatch):
+    monkeypatch.setattr(encoder, "unequal", {b" bad"})
+    found = encoder.encode(["good", "", "so bad it is", "badly", "bad bad"])
+    assert [p for _, p, _ in found] == [True, True, False, True, False]
+
+
+def test_decoding_replaces_markers_but_not_those_made_of_bytes(encoder):
+    ids = [encoder.tokenizer.token_to_id(f"<0x{b:02X}>") for b in "▁é".encode()]
+    the = encoder.tokenizer.token_to_id("▁the")
+    assert encoder.decode([[the, the, *ids], [*ids, the]]) == ["the the▁é", "▁é the"]
+    assert encoder.speaker.decode_batch([[the, *ids]]) == encoder.tokenizer.decode_batch([[the, *ids]])
