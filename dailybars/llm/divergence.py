@@ -8,6 +8,8 @@
    Vectors are written, so a lost executor costs no recount.
 3. The non-zero entries are summed per (source, term), combined in every task
    before the shuffle: a hot source sends one row per term and task.
+   From here on a term is a number (of its vectorizer and its place in it) and a
+   group is a number; names come back with the results.
 4. Smoothed integer shares p = 1 + floor(1e9 (count + 5) / (N + 5 V)) are
    compared pair by pair from the non-zero entries alone: a term that neither
    source has adds the same known amount, so all of them are one product.
@@ -119,7 +121,7 @@ def languages(rows: DataFrame, min_docs: int = MIN_DOCS) -> list[tuple[str, str,
 
 
 def _vector_sums(docs: DataFrame, min_docs: int, shard: F.Column | None = None) -> DataFrame:
-    """(source, term, n) of one language's documents, through a vectorizer of
+    """(source, place, term, n) of one language's documents, through a vectorizer of
     their terms (those of a ``shard``) and the written sparse vectors. Its
     vocabulary depends on the documents that hold a term, not on how often one
     does, so it is fitted to the documents' different terms."""
@@ -144,14 +146,16 @@ def _vector_sums(docs: DataFrame, min_docs: int, shard: F.Column | None = None)
     model.save(saved)
     names = (spark.read.parquet(f"{saved}/data")
              .select(F.posexplode("vocabulary").alias("place", "term")))
-    return sums.join(names.where(F.col("term") != _MARK), "place").select("source", "term", "n")
+    return (sums.join(names.where(F.col("term") != _MARK), "place")
+            .select("source", "place", "term", "n"))
 
 
 def group_counts(rows: DataFrame, min_docs: int = MIN_DOCS,
                  shard_terms: int = SHARD_TERMS) -> DataFrame:
-    """(lang, source, term, n): occurrences of the kept terms, n > 0."""
+    """(lang, source, number, term, n): occurrences of the kept terms, n > 0. A
+    language's term has one number, which no other language's term has."""
     spark = rows.sparkSession
-    schema = "lang string, source string, term string, n bigint"
+    schema = "lang string, source string, number bigint, term string, n bigint"
     parts = []
     for lang, folder, expected in languages(rows, min_docs):
         docs = rows.where(F.col("folder") == folder)
@@ -159,8 +163,9 @@ def group_counts(rows: DataFrame, min_docs: int = MIN_DOCS,
         for k in range(shards):
             shard = None if shards == 1 else F.expr(
                 f"filter(terms, t -> t = '{_MARK}' or pmod(xxhash64(t, 1), {shards}) = {k})")
-            sums = _vector_sums(docs, min_docs, shard).select(F.lit(lang).alias("lang"), "source",
-                                                              "term", "n")
+            number = F.lit(len(parts) << 32).cast("bigint") + F.col("place")
+            sums = _vector_sums(docs, min_docs, shard).select(
+                F.lit(lang).alias("lang"), "source", number.alias("number"), "term", "n")
             parts.append(materialise(sums, "group-counts"))
     return reduce(DataFrame.unionByName, parts, spark.createDataFrame([], schema))
 
@@ -185,7 +190,8 @@ def source_divergence(documents: DataFrame, min_docs: int = MIN_DOCS, top_terms:
     its language (part ``term``)."""
     rows = write_terms(documents)
     counts = materialise(group_counts(rows, min_docs, shard_terms), "counts")
-    by_term = counts.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"))
+    by_term = materialise(counts.groupBy("lang", "number").agg(F.sum("n").alias("lang_n")),
+                          "by-term")
     by_lang = by_term.groupBy("lang").agg(F.count(F.lit(1)).alias("v"),
                                           F.sum("lang_n").alias("lang_total"))
     totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"),
@@ -193,16 +199,19 @@ def source_divergence(documents: DataFrame, min_docs: int = MIN_DOCS, top_terms:
     none = F.lit(0).cast("bigint")
     groups = (rows.select("lang", "source").distinct().join(totals, ["lang", "source"], "left")
               .join(by_lang, "lang", "left").fillna(0, ["total", "present", "v", "lang_total"]))
-    groups = materialise(groups.withColumn(
-        "absent", F.when(F.col("v") > 0, _share(none, "total")).otherwise(none)), "groups")
-    own = groups.select("lang", "source", "total", "absent", "v", "lang_total")
+    groups = materialise(groups.select(
+        "*", F.when(F.col("v") > 0, _share(none, "total")).otherwise(none).alias("absent"),
+        F.monotonically_increasing_id().alias("group")), "groups")
+    own = groups.select("lang", "source", "group", "total", "absent", "v")
     shares = materialise(counts.join(own, ["lang", "source"]).select(
-        "lang", "source", "term", _share("n", "total").alias("p"), "n", "absent", "v",
-        "lang_total"), "shares")
+        "group", "number", "term", _share("n", "total").alias("p"), "absent"), "shares")
 
-    over = (shares.join(by_term, ["lang", "term"])
-            .withColumn("value", F.col("p") - _share("lang_n", "lang_total"))
+    # A term's share in its language is worked out once, not once per source.
+    whole = (by_term.join(F.broadcast(by_lang), "lang")     # a row per language
+             .select("number", _share("lang_n", "lang_total").alias("q")))
+    over = (shares.join(whole, "number").withColumn("value", F.col("p") - F.col("q"))
             .where("value > 0")
+            .join(groups.select("lang", "source", "group"), "group")
             .select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"),
                     "value"))
     terms = _ranked(over).where(F.col("rank") <= top_terms)
@@ -218,29 +227,30 @@ def pair_distances(groups: DataFrame, shares: DataFrame) -> DataFrame:
     |p0 - q| - |p0 - q0| over the second's, plus, over the terms of both,
     |p - q| - |p - q0| - |p0 - q| + |p0 - q0|."""
     pair = (groups.alias("a").join(groups.alias("b"), F.expr(
-        "a.lang = b.lang and a.source <> b.source"))
-        .selectExpr("a.lang", "a.source", "b.source as item", "b.absent as other",
-                    "a.v * abs(a.absent - b.absent) as base"))
+        "a.lang = b.lang and a.group <> b.group"))
+        .selectExpr("a.lang", "a.source", "b.source as item", "a.group", "b.group as other",
+                    "b.absent as other_absent", "a.v * abs(a.absent - b.absent) as base"))
     # A source's terms by share: far fewer rows than terms.
-    levels = shares.groupBy("lang", "source", "p", "absent").agg(F.count(F.lit(1)).alias("terms"))
-    alone = (levels.join(pair.select("lang", "source", "item", "other"), ["lang", "source"])
-             .groupBy("lang", "source", "item")
-             .agg(F.sum(F.expr("terms * (abs(p - other) - abs(absent - other))")).alias("alone")))
-    thin = shares.select("lang", "source", "term", "p", "absent")
+    levels = shares.groupBy("group", "p", "absent").agg(F.count(F.lit(1)).alias("terms"))
+    alone = (levels.join(pair.select("group", "other", "other_absent"), "group")
+             .groupBy("group", "other")
+             .agg(F.sum(F.expr("terms * (abs(p - other_absent) - abs(absent - other_absent))"))
+                  .alias("alone")))
+    thin = shares.select("group", "number", "p", "absent")
     both = (thin.alias("a").join(thin.alias("b"), F.expr(
-        "a.lang = b.lang and a.term = b.term and a.source < b.source"))
-        .groupBy("a.lang", "a.source", F.col("b.source").alias("item"))
+        "a.number = b.number and a.group < b.group"))
+        .groupBy("a.group", F.col("b.group").alias("other"))
         .agg(F.sum(F.expr("abs(a.p - b.p) - abs(a.p - b.absent) - abs(a.absent - b.p)"
                           " + abs(a.absent - b.absent)")).alias("both")))
     one_way = materialise(alone, "alone")
-    other_way = one_way.select("lang", F.col("item").alias("source"), F.col("source").alias("item"),
+    other_way = one_way.select(F.col("other").alias("group"), F.col("group").alias("other"),
                                F.col("alone").alias("back"))
     both = materialise(both, "both")
-    both = both.unionByName(both.select("lang", F.col("item").alias("source"),
-                                        F.col("source").alias("item"), "both"))
-    key = ["lang", "source", "item"]
+    both = both.unionByName(both.select(F.col("other").alias("group"),
+                                        F.col("group").alias("other"), "both"))
+    key = ["group", "other"]
     zero = lambda c: F.coalesce(F.col(c), F.lit(0).cast("bigint"))
-    return (pair.drop("other").join(one_way, key, "left").join(other_way, key, "left")
+    return (pair.join(one_way, key, "left").join(other_way, key, "left")
             .join(both, key, "left")
             .select("lang", "source", F.lit("pair").alias("part"), "item",
                     (F.col("base") + zero("alone") + zero("back") + zero("both")).alias("value")))

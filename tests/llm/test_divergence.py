@@ -111,3 +111,35 @@ def test_terms_of_odd_characters(frame, text):
     terms = TERM.findall(text.translate(LOWER))
     assert row.every.split(" ") == (terms or [""])
     assert sorted(row.different.split(" ")) == (sorted(set(terms)) or [""])
+
+
+def test_a_terms_number_is_its_own(frame, rows, monkeypatch):
+    """Also of a word that several languages or shards have; sums are as counted."""
+    monkeypatch.setattr(dv, "SAMPLE_EVERY", 1)
+    written = dv.write_terms(frame(rows))
+    for shard_terms in (dv.SHARD_TERMS, 30):
+        got = dv.group_counts(written, 3, shard_terms).collect()
+        numbers = defaultdict(set)
+        for r in got:
+            numbers[r.number].add((r.lang, r.term))
+        assert all(len(terms) == 1 for terms in numbers.values())
+        assert len(numbers) == len({(r.lang, r.term) for r in got})
+        counts = defaultdict(Counter)
+        for text, lang, source in rows:
+            counts[lang or "", source or ""].update(TERM.findall((text or "").translate(LOWER)))
+        assert all(counts[r.lang, r.source][r.term] == r.n for r in got)
+        assert len({(r.lang, r.source, r.term) for r in got}) == len(got)
+
+
+def test_pairs_are_summed_by_numbers(spark):
+    """Terms meet by their number, not by their text."""
+    groups = spark.createDataFrame(
+        [("en", s, 10, 2, 4, p0, g) for g, (s, p0) in enumerate([("a", 3), ("b", 5), ("c", 7)])],
+        "lang string, source string, total long, present long, v long, absent long, group long")
+    shares = spark.createDataFrame(
+        [(0, 1, "x", 30, 3), (0, 2, "y", 9, 3), (1, 1, "x", 20, 5)],
+        "group long, number long, term string, p long, absent long")
+    got = {(r.source, r.item): r.value for r in dv.pair_distances(groups, shares).collect()}
+    p = {"a": (30, 9, 3, 3), "b": (20, 5, 5, 5), "c": (7, 7, 7, 7)}
+    assert got == {(s, t): sum(abs(x - y) for x, y in zip(p[s], p[t]))
+                   for s in p for t in p if s != t}
